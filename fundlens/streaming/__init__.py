@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The analysis this library rebuilds is batch-only (tables in, tables out);
+it has no streams, watermarks, windows over event time or state, so no
+streaming operator is provided.  Every operator is a DataFrame → DataFrame
+function and therefore also applies to a streaming DataFrame inside
+``foreachBatch`` if a caller needs that.
+"""
