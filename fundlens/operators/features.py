@@ -8,8 +8,9 @@ give the same values:
 * ``"aggregate"`` (default): ``groupBy`` with partial aggregation, then a
   null-safe join back.  The shuffle carries one partial row per group and map
   task, so a sector that holds a third of all rows costs no more than any
-  other; the small totals table is broadcast only if Spark measures it under
-  the broadcast threshold, otherwise AQE splits skewed join partitions.
+  other.  The totals are broadcast after a checked row count
+  (``broadcast_if_small``); above the bound the join is a shuffle join whose
+  skewed partitions AQE splits.
 * ``"window"``: ``sum().over(partitionBy(keys))``.  One pass, but every row
   of a group is shuffled into one task and sorted there, so a hot group
   becomes a straggler; kept for small inputs and as a cross-check.
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlens.functions.columns import EPS, guarded_ratio, safe_ratio, sum_measure
+from fundlens.operators.join import broadcast_if_small
 from fundlens.operators.standardize import with_columns_if_missing
 
 # Measures that are filled with 0.0 after the joins.  The
@@ -156,8 +158,14 @@ def add_sector_features(
     exact_scale: int | None = None,
     eps: float = EPS,
     keys: Sequence[str] = SECTOR_KEYS,
+    broadcast_max_rows: int | None = None,
 ) -> DataFrame:
-    """W1–W4 (sector totals) and F12–F15 (shares and sector efficiency)."""
+    """W1–W4 (sector totals) and F12–F15 (shares and sector efficiency).
+
+    With ``strategy="aggregate"`` and ``broadcast_max_rows`` set, the totals
+    are materialized first and broadcast when they have at most that many
+    rows (see ``broadcast_if_small``); otherwise the join is left to Spark.
+    """
     if strategy == "window":
         w = Window.partitionBy(*keys)
         with_totals = df.withColumns(_sector_total_columns(exact_scale, over=w))
@@ -167,6 +175,7 @@ def add_sector_features(
         totals = totals.select(
             *[F.col(k).alias(r) for k, r in zip(keys, renamed)], *SECTOR_TOTALS
         )
+        totals = broadcast_if_small(totals, broadcast_max_rows)
         cond = None
         for k, r in zip(keys, renamed):
             term = df[k].eqNullSafe(F.col(r))

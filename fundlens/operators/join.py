@@ -1,21 +1,56 @@
 """Left outer equi-joins of the base table with pre-aggregated inputs.
 
 The right sides are aggregates keyed on the join keys, so each base row
-matches at most once and the base row count is preserved.  No broadcast hint
-is forced: Spark broadcasts a side only when its estimated or (with AQE)
-measured size is under ``spark.sql.autoBroadcastJoinThreshold``, and falls
-back to a sort-merge join, where AQE splits skewed base partitions.
-Null keys never match, so such base rows keep nulls (filled later).
+matches at most once and the base row count is preserved.  Null keys never
+match, so such base rows keep nulls (filled later).
+
+Broadcast policy: a right side is broadcast only after its size was checked
+(:func:`broadcast_if_small`: materialize it to the shared checkpoint folder,
+count its rows, hint a broadcast under the bound).  Above the bound the join
+stays a shuffle join, where AQE splits skewed base partitions.  Leaving the
+choice to AQE alone is not enough: AQE converts a sort-merge join only after
+the aggregate stage finished, and by then the big side's shuffle may already
+have run.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from fundlens.operators.aggregate import NEEDS_MEASURES
 from fundlens.operators.standardize import with_columns_if_missing
 
+# Default bound for broadcasting a pre-aggregated side: rows of a few short
+# keys and four numbers, so about 50 MB at most.
+BROADCAST_MAX_ROWS = 500_000
+
 NEEDS_JOIN_KEYS = ("country_code", "cluster_code")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the cluster's shared checkpoint folder and cut its lineage.
+
+    Uses a reliable ``checkpoint`` (never a local one), so the result
+    survives the loss of the executors that computed it.
+    """
+    from fundlens.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``df`` materialized and, if it has at most ``max_rows`` rows, hinted for broadcast.
+
+    ``max_rows=None`` returns ``df`` unchanged and lazy (Spark and AQE pick
+    the join).  Meant for derived tables whose size is not known in advance
+    but usually small, such as per-group totals.
+    """
+    if max_rows is None:
+        return df
+    mat = materialize(df)
+    return F.broadcast(mat) if mat.count() <= max_rows else mat
 POPULATION_JOIN_KEYS = ("country_code", "year")
 
 

@@ -14,7 +14,12 @@ from fundlens.operators.features import (
     add_sector_features,
     fill_measures,
 )
-from fundlens.operators.join import join_needs, join_population
+from fundlens.operators.join import (
+    BROADCAST_MAX_ROWS,
+    broadcast_if_small,
+    join_needs,
+    join_population,
+)
 from fundlens.operators.standardize import (
     standardize_needs,
     standardize_population,
@@ -42,21 +47,36 @@ def feature_stages(
     *,
     sector_strategy: str = "aggregate",
     exact_scale: int | None = None,
+    broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
 ) -> FeatureStages:
     """Build the pipeline from *standardized* inputs; needs and population are optional.
 
-    Nothing is executed.  A missing input contributes null measures, which
-    the fill step turns into zeros, so the schema never depends on which
-    inputs were present.
+    A missing input contributes null measures, which the fill step turns
+    into zeros, so the schema never depends on which inputs were present.
+
+    With ``broadcast_max_rows`` set (the default) the three small per-group
+    tables (needs, population and sector totals) are computed and
+    checkpointed first, then broadcast if under the bound, so the base is
+    never shuffled for a join with a small side.  ``None`` keeps the whole
+    pipeline lazy and leaves join choice to Spark/AQE.
     """
     needs_agg = None if needs is None else needs_by_country_cluster(needs, exact_scale)
     pop_agg = None if population is None else population_by_country_year(population, exact_scale)
+    if needs_agg is not None:
+        needs_agg = broadcast_if_small(needs_agg, broadcast_max_rows)
+    if pop_agg is not None:
+        pop_agg = broadcast_if_small(pop_agg, broadcast_max_rows)
     after_needs = join_needs(requirements, needs_agg)
     after_pop = join_population(after_needs, pop_agg)
     filled = fill_measures(after_pop)
     feats = add_project_features(filled)
     feats = add_population_features(feats)
-    feats = add_sector_features(feats, strategy=sector_strategy, exact_scale=exact_scale)
+    feats = add_sector_features(
+        feats,
+        strategy=sector_strategy,
+        exact_scale=exact_scale,
+        broadcast_max_rows=broadcast_max_rows,
+    )
     return FeatureStages(
         base=requirements,
         needs_agg=needs_agg,
@@ -75,6 +95,7 @@ def build_features(
     *,
     sector_strategy: str = "aggregate",
     exact_scale: int | None = None,
+    broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """The 36-column feature table (one row per appeal row) from standardized inputs."""
     return feature_stages(
@@ -83,6 +104,7 @@ def build_features(
         population,
         sector_strategy=sector_strategy,
         exact_scale=exact_scale,
+        broadcast_max_rows=broadcast_max_rows,
     ).features
 
 
@@ -91,6 +113,7 @@ def build_features_from_raw(
     *,
     sector_strategy: str = "aggregate",
     exact_scale: int | None = None,
+    broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Standardize the raw inputs present in ``raw`` and build the feature table.
 
@@ -100,5 +123,10 @@ def build_features_from_raw(
     needs = standardize_needs(raw["needs"]) if "needs" in raw else None
     pop = standardize_population(raw["population"]) if "population" in raw else None
     return build_features(
-        req, needs, pop, sector_strategy=sector_strategy, exact_scale=exact_scale
+        req,
+        needs,
+        pop,
+        sector_strategy=sector_strategy,
+        exact_scale=exact_scale,
+        broadcast_max_rows=broadcast_max_rows,
     )

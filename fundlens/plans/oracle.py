@@ -14,10 +14,14 @@ from fundlens.functions.columns import sum_measure_sql
 EXACT = 2  # scale of the exact money sums used by every registered query
 
 
-def _s(expr: str, over: str = "") -> str:
+def money_sql(expr: str, over: str = "") -> str:
+    """SQL of an exact money sum (the registered queries' ``exact_scale``)."""
     return sum_measure_sql(expr, EXACT, over)
 
 
+_s = money_sql
+
+
 # The five raw stand-ins and their standardized forms as CTEs.
 STANDIN_CTES = f"""
 lines_by_order AS (

@@ -1,10 +1,13 @@
 """Registered queries: one lazy DataFrame per inventory item, over whole tables.
 
 Each entry of :data:`QUERIES` takes ``(spark, sf_dir)`` and returns a
-DataFrame built only from the library's operators over the stand-ins of
-``fundlens.sources.standins``.  :data:`ORACLE_SQL` holds, per name, an
-independently written SQL statement with the same result for DuckDB.
-Money sums use ``exact_scale=2`` so results do not depend on partitioning.
+DataFrame built from the library's operators over the stand-ins of
+``fundlens.sources.standins`` (or the driver tables themselves).
+:data:`ORACLE_SQL` holds, per name, an independently written DuckDB
+statement with the same result.  Money sums use ``exact_scale=2`` so results
+do not depend on partitioning; reported averages and standard deviations
+are given to float precision (about 7 significant digits), because their
+last double bits depend on summation order in any engine.
 """
 
 from __future__ import annotations
@@ -12,21 +15,72 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fundlens.operators.features import FEATURE_COLUMNS
-from fundlens.plans.features import feature_stages
-from fundlens.plans.oracle import EXACT, with_standins
+from fundlens.functions.multivalue import explode_multi
+from fundlens.operators import profile as P
+from fundlens.operators.aggregate import (
+    flows_by_destination,
+    needs_by_country_cluster,
+    population_by_country_year,
+)
+from fundlens.operators.features import (
+    FEATURE_COLUMNS,
+    POPULATION_FEATURES,
+    PROJECT_FEATURES,
+    SECTOR_RATIOS,
+    SECTOR_TOTALS,
+    add_population_features,
+    add_project_features,
+    add_sector_features,
+    fill_measures,
+)
+from fundlens.operators.join import join_needs, join_population
+from fundlens.operators.quality import (
+    QUALITY_KEY_COLUMNS,
+    nulls_after_fill,
+    quality_report,
+    stage_audit,
+)
 from fundlens.operators.standardize import (
     standardize_needs,
+    standardize_plans,
     standardize_population,
     standardize_requirements,
 )
+from fundlens.plans.features import feature_stages
+from fundlens.plans.oracle import EXACT, money_sql, with_standins
 from fundlens.sources import standins
+from fundlens.sources.csv import read_csv_dataset, write_csv
+from fundlens.sinks.tables import ensure_database, save_table, verify_table
+from fundlens.session import scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+DRIVER_TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+# Column lists of the stand-ins, as their definitions name them.
+REQUIREMENTS_RAW_COLUMNS = (
+    "countryCode clusterCode cluster year id name code startDate endDate "
+    "requirements funding percentFunded"
+).split()
+NEEDS_RAW_COLUMNS = ["country_iso3", "Cluster", "population", "In Need", "targeted", "affected", "reached"]
+FLOWS_RAW_COLUMNS = ["id", "description", "amountUSD", "srcOrganization", "destGlobalClusters", "destLocations"]
+
+# Key columns whose values are profiled, per stand-in dataset.
+KEY_PROFILE_CONFIG = {
+    "requirements": ["countryCode", "clusterCode", "year"],
+    "needs": ["country_iso3", "Cluster"],
+    "population": ["ISO3", "Reference_year"],
+    "plans": ["locations"],
+    "flows": ["destLocations"],
+}
+
 
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
@@ -38,7 +92,20 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def stages(spark: SparkSession, sf_dir: str, strategy: str = "aggregate"):
+def q(ident: str) -> str:
+    """Double-quoted SQL identifier."""
+    return '"' + ident.replace('"', '""') + '"'
+
+
+def lit(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {t: standins.read_table(spark, sf_dir, t) for t in DRIVER_TABLES}
+
+
+def _stages(spark: SparkSession, sf_dir: str, strategy: str = "aggregate", **kw):
     raw = standins.raw_datasets(spark, sf_dir)
     return feature_stages(
         standardize_requirements(raw["requirements"]),
@@ -46,13 +113,551 @@ def stages(spark: SparkSession, sf_dir: str, strategy: str = "aggregate"):
         standardize_population(raw["population"]),
         sector_strategy=strategy,
         exact_scale=EXACT,
+        **kw,
+    )
+
+
+def _to_float(df: DataFrame, columns) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("float") for c in columns})
+
+
+# ----------------------------------------------------------- standardizers
+
+
+@register("requirements_standardized", with_standins("SELECT * FROM requirements_std"))
+def requirements_standardized(spark, sf_dir):
+    return standardize_requirements(standins.requirements_raw(spark, sf_dir))
+
+
+@register("plans_standardized", with_standins("SELECT * FROM plans_std"))
+def plans_standardized(spark, sf_dir):
+    return standardize_plans(standins.plans_raw(spark, sf_dir))
+
+
+@register("needs_standardized", with_standins("SELECT * FROM needs_std"))
+def needs_standardized(spark, sf_dir):
+    return standardize_needs(standins.needs_raw(spark, sf_dir))
+
+
+@register("population_standardized", with_standins("SELECT * FROM population_std"))
+def population_standardized(spark, sf_dir):
+    return standardize_population(standins.population_raw(spark, sf_dir))
+
+
+# ------------------------------------------------------------ aggregations
+
+
+@register("population_by_country_year", with_standins("SELECT * FROM population_agg"))
+def q_population_by_country_year(spark, sf_dir):
+    return population_by_country_year(population_standardized(spark, sf_dir), EXACT)
+
+
+@register(
+    "population_with_name",
+    with_standins(
+        f"""
+SELECT country_code, year, {money_sql('population')} AS population, min(country) AS country_name
+FROM population_std GROUP BY country_code, year"""
+    ),
+)
+def q_population_with_name(spark, sf_dir):
+    return population_by_country_year(population_standardized(spark, sf_dir), EXACT, with_name=True)
+
+
+@register("needs_by_country_cluster", with_standins("SELECT * FROM needs_agg"))
+def q_needs_by_country_cluster(spark, sf_dir):
+    return needs_by_country_cluster(needs_standardized(spark, sf_dir), EXACT)
+
+
+# ------------------------------------------------------------------- joins
+
+
+@register("join_needs", with_standins("SELECT * FROM after_needs"))
+def q_join_needs(spark, sf_dir):
+    return join_needs(
+        requirements_standardized(spark, sf_dir),
+        needs_by_country_cluster(needs_standardized(spark, sf_dir), EXACT),
+    )
+
+
+@register("join_population", with_standins("SELECT * FROM after_population"))
+def q_join_population(spark, sf_dir):
+    return join_population(
+        q_join_needs(spark, sf_dir),
+        population_by_country_year(population_standardized(spark, sf_dir), EXACT),
+    )
+
+
+@register(
+    "join_missing_input",
+    with_standins(
+        """
+SELECT country_code, year, cluster_code, cluster_name, appeal_id, appeal_name, appeal_code,
+       startDate, endDate, total_requirements_usd,
+       coalesce(total_funding_usd, CAST(0 AS DOUBLE)) AS total_funding_usd,
+       coalesce(funding_percent, CAST(0 AS DOUBLE)) AS funding_percent,
+       CAST(0 AS DOUBLE) AS targeted, CAST(0 AS DOUBLE) AS inneed,
+       CAST(0 AS DOUBLE) AS affected, CAST(0 AS DOUBLE) AS reached,
+       CAST(0 AS DOUBLE) AS population
+FROM requirements_std"""
+    ),
+)
+def q_join_missing_input(spark, sf_dir):
+    """Needs and population absent: measures are added as nulls and filled."""
+    base = requirements_standardized(spark, sf_dir)
+    return fill_measures(join_population(join_needs(base, None), None))
+
+
+@register("filled_measures", with_standins("SELECT * FROM filled"))
+def q_filled_measures(spark, sf_dir):
+    return _stages(spark, sf_dir, broadcast_max_rows=None).filled.select(
+        *[c for c in FEATURE_COLUMNS[:17]]
     )
 
 
 # ---------------------------------------------------------------- features
 
+_FEATURE_KEYS = ("appeal_id", "country_code", "year", "cluster_code")
+
+
+@register(
+    "features_project",
+    with_standins(f"SELECT {', '.join(_FEATURE_KEYS + PROJECT_FEATURES)} FROM project_features"),
+)
+def q_features_project(spark, sf_dir):
+    filled = _stages(spark, sf_dir, broadcast_max_rows=None).filled
+    return add_project_features(filled).select(*_FEATURE_KEYS, *PROJECT_FEATURES)
+
+
+@register(
+    "features_population",
+    with_standins(
+        f"SELECT {', '.join(_FEATURE_KEYS + POPULATION_FEATURES)} FROM population_features"
+    ),
+)
+def q_features_population(spark, sf_dir):
+    filled = _stages(spark, sf_dir, broadcast_max_rows=None).filled
+    return add_population_features(filled).select(*_FEATURE_KEYS, *POPULATION_FEATURES)
+
+
+_SECTOR_SQL = with_standins(
+    f"SELECT {', '.join(_FEATURE_KEYS + SECTOR_TOTALS + SECTOR_RATIOS)} FROM features"
+)
+
+
+@register("features_sector", _SECTOR_SQL)
+def q_features_sector(spark, sf_dir):
+    """Sector totals by aggregate + checked broadcast join back."""
+    feats = add_project_features(_stages(spark, sf_dir, broadcast_max_rows=None).filled)
+    out = add_sector_features(feats, strategy="aggregate", exact_scale=EXACT, broadcast_max_rows=500_000)
+    return out.select(*_FEATURE_KEYS, *SECTOR_TOTALS, *SECTOR_RATIOS)
+
+
+@register("features_sector_window", _SECTOR_SQL)
+def q_features_sector_window(spark, sf_dir):
+    """Sector totals by a window over (country_code, year, cluster_code)."""
+    feats = add_project_features(_stages(spark, sf_dir, broadcast_max_rows=None).filled)
+    out = add_sector_features(feats, strategy="window", exact_scale=EXACT)
+    return out.select(*_FEATURE_KEYS, *SECTOR_TOTALS, *SECTOR_RATIOS)
+
 
 @register("features_all", with_standins(f"SELECT {', '.join(FEATURE_COLUMNS)} FROM features"))
-def features_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 36 columns of the feature table (sector totals by aggregate + join)."""
-    return stages(spark, sf_dir).features
+def features_all(spark, sf_dir):
+    """All 36 columns of the feature table (checked broadcasts, aggregate strategy)."""
+    return _stages(spark, sf_dir).features
+
+
+@register("features_all_lazy", with_standins(f"SELECT {', '.join(FEATURE_COLUMNS)} FROM features"))
+def features_all_lazy(spark, sf_dir):
+    """The same table as one lazy plan: join strategies left to Spark/AQE."""
+    return _stages(spark, sf_dir, broadcast_max_rows=None).features
+
+
+# ------------------------------------------------------- multi-valued flows
+
+
+@register(
+    "flows_exploded",
+    with_standins(
+        """
+SELECT id, destination FROM (
+  SELECT id, unnest(CASE WHEN parts IS NULL OR len(parts) = 0 THEN [NULL::VARCHAR] ELSE parts END)
+           AS destination
+  FROM (SELECT id, list_filter(list_transform(string_split(destGlobalClusters, ','),
+                                              lambda x: lower(trim(x))),
+                               lambda x: x <> '') AS parts
+        FROM flows_raw))"""
+    ),
+)
+def q_flows_exploded(spark, sf_dir):
+    flows = standins.flows_raw(spark, sf_dir).select("id", "destGlobalClusters")
+    return explode_multi(flows, "destGlobalClusters", sep=",", out="destination", lower=True).select(
+        "id", "destination"
+    )
+
+
+@register(
+    "flows_by_destination",
+    with_standins(
+        f"""
+SELECT destination, {money_sql("amountUSD")} AS amount_usd,
+       count(*) AS flow_count
+FROM (
+  SELECT amountUSD,
+         unnest(CASE WHEN parts IS NULL OR len(parts) = 0 THEN [NULL::VARCHAR] ELSE parts END)
+           AS destination
+  FROM (SELECT amountUSD, list_filter(list_transform(string_split(destGlobalClusters, ','),
+                                                     lambda x: lower(trim(x))),
+                                      lambda x: x <> '') AS parts
+        FROM flows_raw))
+GROUP BY destination"""
+    ),
+)
+def q_flows_by_destination(spark, sf_dir):
+    flows = standins.flows_raw(spark, sf_dir)
+    return flows_by_destination(flows, "destGlobalClusters", "amountUSD", lower=True, exact_scale=EXACT)
+
+
+# ---------------------------------------------------------------- profiles
+
+
+def _null_counts_sql(dataset: str, source: str, columns) -> str:
+    parts = []
+    for c in columns:
+        nulls = f"(count(*) - count({q(c)}))"
+        parts.append(
+            f"SELECT {lit(dataset)} AS dataset, {lit(c)} AS column_name, {nulls} AS null_count, "
+            f"count(*) AS row_count, CASE WHEN count(*) > 0 THEN {nulls} / count(*) * 100 "
+            f"ELSE CAST(0 AS DOUBLE) END AS null_pct FROM {source}"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+_NULL_PROFILE_SQL = (
+    "(" + _null_counts_sql("requirements", "requirements_raw", REQUIREMENTS_RAW_COLUMNS)
+    + "\nUNION ALL\n" + _null_counts_sql("needs", "needs_raw", NEEDS_RAW_COLUMNS) + ")"
+)
+
+
+def _raw_null_profile(spark, sf_dir):
+    raw = standins.raw_datasets(spark, sf_dir)
+    return P.null_counts(raw["requirements"], "requirements").unionByName(
+        P.null_counts(raw["needs"], "needs")
+    )
+
+
+@register(
+    "null_profile",
+    with_standins(f"SELECT * FROM {_NULL_PROFILE_SQL} WHERE null_count > 0"),
+)
+def q_null_profile(spark, sf_dir):
+    """Columns with nulls, with null %, for the requirements and needs inputs."""
+    return P.null_ranking(_raw_null_profile(spark, sf_dir))
+
+
+@register(
+    "null_total",
+    with_standins(
+        f"SELECT dataset, sum(null_count) AS total_nulls FROM {_NULL_PROFILE_SQL} GROUP BY dataset"
+    ),
+)
+def q_null_total(spark, sf_dir):
+    return P.null_total(_raw_null_profile(spark, sf_dir))
+
+
+_DISTINCT_TABLES = {
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice "
+    "l_discount l_tax l_returnflag l_linestatus l_shipdate".split(),
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split(),
+}
+_DISTINCT_SQL = "(" + "\nUNION ALL\n".join(
+    f"SELECT {lit(t)} AS dataset, {lit(c)} AS column_name, count(DISTINCT {q(c)}) AS distinct_count FROM {t}"
+    for t, cols in _DISTINCT_TABLES.items()
+    for c in cols
+) + ")"
+
+
+def _distinct_profile(spark, sf_dir):
+    frames = [
+        P.distinct_counts(standins.read_table(spark, sf_dir, t), t) for t in _DISTINCT_TABLES
+    ]
+    return frames[0].unionByName(frames[1])
+
+
+@register("distinct_profile", f"SELECT * FROM {_DISTINCT_SQL}")
+def q_distinct_profile(spark, sf_dir):
+    """Exact distinct counts of every column of lineitem and orders (one job)."""
+    return _distinct_profile(spark, sf_dir)
+
+
+@register(
+    "top_cardinality",
+    f"SELECT * FROM {_DISTINCT_SQL} ORDER BY coalesce(distinct_count, 0) DESC, column_name LIMIT 15",
+)
+def q_top_cardinality(spark, sf_dir):
+    """The 15 highest-cardinality columns (a top-k report)."""
+    return P.top_cardinality(_distinct_profile(spark, sf_dir), 15)
+
+
+@register(
+    "sample_rows",
+    with_standins("SELECT * FROM requirements_std ORDER BY appeal_id LIMIT 10"),
+)
+def q_sample_rows(spark, sf_dir):
+    """A deterministic 10-row sample of the standardized requirements (sampling operator)."""
+    return P.sample_rows(requirements_standardized(spark, sf_dir), 10, order_by=["appeal_id"])
+
+
+_LINEITEM_NUMERIC = (
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax".split()
+)
+
+
+@register(
+    "numeric_profile",
+    "\nUNION ALL\n".join(
+        f"SELECT 'lineitem' AS dataset, {lit(c)} AS column_name, "
+        f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "
+        f"CAST(avg(CAST({c} AS DOUBLE)) AS FLOAT) AS avg, "
+        f"CAST(stddev_samp(CAST({c} AS DOUBLE)) AS FLOAT) AS stddev FROM lineitem"
+        for c in _LINEITEM_NUMERIC
+    ),
+)
+def q_numeric_profile(spark, sf_dir):
+    """min/max/avg/stddev of the (first ten) numeric columns of lineitem, one pass."""
+    lineitem = standins.read_table(spark, sf_dir, "lineitem")
+    stats = P.numeric_stats(lineitem, "lineitem", P.numeric_columns(lineitem, 10))
+    return _to_float(stats, ["avg", "stddev"])
+
+
+@register(
+    "feature_stats",
+    with_standins(
+        "\nUNION ALL\n".join(
+            f"SELECT {lit(g)} AS feature_group, {lit(c)} AS feature, "
+            f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "
+            f"CAST(avg({c}) AS FLOAT) AS avg FROM features"
+            for g, cols in P.FEATURE_STAT_GROUPS.items()
+            for c in cols
+        )
+    ),
+)
+def q_feature_stats(spark, sf_dir):
+    """min/max/avg of the 14 reported features in their three groups, one pass."""
+    return _to_float(P.feature_stats(features_all(spark, sf_dir)), ["avg"])
+
+
+def _key_pairs():
+    return [(d, c) for d, cols in KEY_PROFILE_CONFIG.items() for c in cols]
+
+
+@register(
+    "key_profile",
+    with_standins(
+        "\nUNION ALL\n".join(
+            f"SELECT {lit(d)} AS dataset, {lit(c)} AS column_name, "
+            f"count(*) - count({q(c)}) AS null_count, count(*) AS row_count, "
+            f"CASE WHEN count(*) > 0 THEN (count(*) - count({q(c)})) / count(*) * 100 "
+            f"ELSE CAST(0 AS DOUBLE) END AS null_pct, "
+            f"count(DISTINCT {q(c)}) AS distinct_count FROM {d}_raw"
+            for d, c in _key_pairs()
+        )
+    ),
+)
+def q_key_profile(spark, sf_dir):
+    """Null and distinct counts of the configured key columns of every input."""
+    return P.key_profiles(standins.raw_datasets(spark, sf_dir), KEY_PROFILE_CONFIG)
+
+
+@register(
+    "key_samples",
+    with_standins(
+        "\nUNION ALL\n".join(
+            f"SELECT {lit(d)} AS dataset, {lit(c)} AS column_name, "
+            f"CAST(row_number() OVER (ORDER BY v) AS INTEGER) AS sample_rank, "
+            f"CAST(v AS VARCHAR) AS sample_value FROM "
+            f"(SELECT DISTINCT {q(c)} AS v FROM {d}_raw WHERE {q(c)} IS NOT NULL ORDER BY v LIMIT 5)"
+            for d, c in _key_pairs()
+        )
+    ),
+)
+def q_key_samples(spark, sf_dir):
+    """The five smallest distinct values of each configured key column."""
+    return P.key_samples_all(standins.raw_datasets(spark, sf_dir), KEY_PROFILE_CONFIG, 5)
+
+
+_TYPE_NAMES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "FLOAT": "float",
+    "VARCHAR": "string",
+    "TIMESTAMP": "timestamp_ntz",
+    "DATE": "date",
+    "BOOLEAN": "boolean",
+    "FLOAT[]": "array<float>",
+}
+_TYPE_CASE = "CASE data_type " + " ".join(
+    f"WHEN {lit(k)} THEN {lit(v)}" for k, v in _TYPE_NAMES.items()
+) + " ELSE lower(data_type) END"
+_DRIVER_TABLE_LIST = ", ".join(lit(t) for t in DRIVER_TABLES)
+
+
+@register(
+    "profile_schema",
+    f"""
+SELECT table_name AS dataset, CAST(ordinal_position AS BIGINT) AS ordinal,
+       column_name, {_TYPE_CASE} AS data_type, is_nullable = 'YES' AS nullable
+FROM information_schema.columns
+WHERE table_name IN ({_DRIVER_TABLE_LIST})
+  AND table_catalog = current_database() AND table_schema = current_schema()""",
+)
+def q_profile_schema(spark, sf_dir):
+    """Column names and types of every driver table (read from each table's schema)."""
+    return P.profile_schema(spark, _driver(spark, sf_dir))
+
+
+@register(
+    "profile_shape",
+    f"""
+SELECT c.dataset, r.row_count, c.column_count, c.columns
+FROM (SELECT table_name AS dataset, count(*) AS column_count,
+             string_agg(column_name, ', ' ORDER BY ordinal_position) AS columns
+      FROM information_schema.columns
+      WHERE table_name IN ({_DRIVER_TABLE_LIST})
+        AND table_catalog = current_database() AND table_schema = current_schema()
+      GROUP BY table_name) c
+JOIN ({" UNION ALL ".join(f"SELECT {lit(t)} AS dataset, count(*) AS row_count FROM {t}" for t in DRIVER_TABLES)}) r
+  ON c.dataset = r.dataset""",
+)
+def q_profile_shape(spark, sf_dir):
+    """Rows, column count and column list of every driver table (one job)."""
+    return P.profile_shape(_driver(spark, sf_dir))
+
+
+@register(
+    "join_key_candidates",
+    with_standins(
+        "SELECT DISTINCT dataset, column_name, key_kind FROM (\n"
+        + "\nUNION ALL\n".join(
+            f"SELECT {lit(d)} AS dataset, lower(column_name) AS column_name FROM (DESCRIBE SELECT * FROM {d}_raw)"
+            for d in standins.RAW_BUILDERS
+        )
+        + ") names JOIN (VALUES "
+        + ", ".join(f"({lit(k)}, {lit(t)})" for k, ts in P.JOIN_KEY_TERMS.items() for t in ts)
+        + ") terms(key_kind, term) ON contains(names.column_name, terms.term)"
+    ),
+)
+def q_join_key_candidates(spark, sf_dir):
+    """Candidate join-key columns of the five inputs, by name terms."""
+    return P.join_key_candidates(spark, standins.raw_datasets(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- quality
+
+
+@register(
+    "nulls_after_fill",
+    with_standins(
+        "SELECT * FROM ("
+        + _null_counts_sql("filled", "filled", FEATURE_COLUMNS[:17])
+        + ") WHERE null_count > 0"
+    ),
+)
+def q_nulls_after_fill(spark, sf_dir):
+    """Columns that still have nulls after the fill (requirements, keys, text)."""
+    return nulls_after_fill(q_filled_measures(spark, sf_dir))
+
+
+@register(
+    "quality_report",
+    with_standins(
+        "SELECT *, column_name IN ('country_code', 'cluster_code', 'year') AS expect_non_null, "
+        "column_name IN ('country_code', 'cluster_code', 'year') AND null_count > 0 "
+        "AS expectation_failed FROM ("
+        + _null_counts_sql(
+            "features",
+            "features",
+            QUALITY_KEY_COLUMNS,
+        )
+        + ")"
+    ),
+)
+def q_quality_report(spark, sf_dir):
+    """Null count/% of the 12 checked columns and the key non-null expectation."""
+    return quality_report(features_all(spark, sf_dir))
+
+
+_AUDIT_STAGES = (
+    ("requirements_raw", "requirements_raw"),
+    ("requirements_std", "requirements_std"),
+    ("needs_std", "needs_std"),
+    ("population_std", "population_std"),
+    ("plans_std", "plans_std"),
+    ("after_needs", "after_needs"),
+    ("after_population", "after_population"),
+    ("features", "features"),
+)
+
+
+@register(
+    "stage_audit",
+    with_standins(
+        "\nUNION ALL\n".join(
+            f"SELECT {i + 1} AS step, {lit(name)} AS stage, count(*) AS row_count FROM {src}"
+            for i, (name, src) in enumerate(_AUDIT_STAGES)
+        )
+    ),
+)
+def q_stage_audit(spark, sf_dir):
+    """Row counts after each standardization and join; the joins keep the base count."""
+    raw = standins.raw_datasets(spark, sf_dir)
+    st = _stages(spark, sf_dir, broadcast_max_rows=None)
+    frames = {
+        "requirements_raw": raw["requirements"],
+        "requirements_std": st.base,
+        "needs_std": standardize_needs(raw["needs"]),
+        "population_std": standardize_population(raw["population"]),
+        "plans_std": standardize_plans(raw["plans"]),
+        "after_needs": st.after_needs,
+        "after_population": st.after_population,
+        "features": st.features,
+    }
+    return stage_audit(frames)
+
+
+# -------------------------------------------------------- sources and sinks
+
+
+@register("csv_roundtrip", with_standins("SELECT * FROM flows_raw"))
+def q_csv_roundtrip(spark, sf_dir):
+    """Flows written as CSV with a tag row and multi-line text, read back typed."""
+    flows = standins.flows_raw(spark, sf_dir)
+    schema = flows.schema
+    as_text = flows.select(*[F.col(c).cast("string").alias(c) for c in flows.columns])
+    tags = spark.createDataFrame([tuple("#" + c.lower() for c in flows.columns)], as_text.schema)
+    path = scratch_path(spark, "csv-roundtrip")
+    write_csv(tags.unionByName(as_text), path)
+    return read_csv_dataset(spark, path, schema=schema)
+
+
+@register("table_roundtrip", with_standins(f"SELECT {', '.join(FEATURE_COLUMNS)} FROM features"))
+def q_table_roundtrip(spark, sf_dir):
+    """The feature table saved to a catalog table in the shared folder and read back."""
+    location = scratch_path(spark, "warehouse")
+    ensure_database(spark, "fundlens_check", location=location)
+    save_table(features_all(spark, sf_dir), "fundlens_check.features", path=f"{location}/features")
+    return spark.table("fundlens_check.features")
+
+
+@register(
+    "table_verify",
+    with_standins("SELECT 'fundlens_check.features_verify' AS table_name, count(*) AS row_count, "
+                  "CAST(36 AS BIGINT) AS column_count FROM features"),
+)
+def q_table_verify(spark, sf_dir):
+    """Read-back report of a saved table: name, rows, columns."""
+    location = scratch_path(spark, "warehouse")
+    ensure_database(spark, "fundlens_check", location=location)
+    save_table(features_all(spark, sf_dir), "fundlens_check.features_verify", path=f"{location}/fv")
+    return verify_table(spark, "fundlens_check.features_verify")
