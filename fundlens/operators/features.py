@@ -159,23 +159,26 @@ def add_sector_features(
     eps: float = EPS,
     keys: Sequence[str] = SECTOR_KEYS,
     broadcast_max_rows: int | None = None,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """W1–W4 (sector totals) and F12–F15 (shares and sector efficiency).
 
     With ``strategy="aggregate"`` and ``broadcast_max_rows`` set, the totals
     are materialized first and broadcast when they have at most that many
     rows (see ``broadcast_if_small``); otherwise the join is left to Spark.
+    ``totals`` passes a precomputed :func:`sector_totals` table (possibly
+    already materialized) for the aggregate strategy.
     """
     if strategy == "window":
         w = Window.partitionBy(*keys)
         with_totals = df.withColumns(_sector_total_columns(exact_scale, over=w))
     elif strategy == "aggregate":
         renamed = [f"__sector_key{i}" for i in range(len(keys))]
-        totals = sector_totals(df, exact_scale, keys)
+        if totals is None:
+            totals = broadcast_if_small(sector_totals(df, exact_scale, keys), broadcast_max_rows)
         totals = totals.select(
             *[F.col(k).alias(r) for k, r in zip(keys, renamed)], *SECTOR_TOTALS
         )
-        totals = broadcast_if_small(totals, broadcast_max_rows)
         cond = None
         for k, r in zip(keys, renamed):
             term = df[k].eqNullSafe(F.col(r))

@@ -15,6 +15,10 @@ have run.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +55,28 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS)
         return df
     mat = materialize(df)
     return F.broadcast(mat) if mat.count() <= max_rows else mat
+
+
+def broadcast_all_if_small(
+    frames: Mapping[str, DataFrame | None], max_rows: int | None = BROADCAST_MAX_ROWS
+) -> dict[str, DataFrame | None]:
+    """:func:`broadcast_if_small` for independent tables, run as concurrent Spark jobs.
+
+    The tables are submitted from separate driver threads (inheriting the
+    caller's job properties), so their small jobs share the cluster instead
+    of queueing one after another.
+    """
+    present = {k: v for k, v in frames.items() if v is not None}
+    out: dict[str, DataFrame | None] = {k: None for k in frames}
+    if max_rows is None or len(present) <= 1:
+        out.update({k: broadcast_if_small(v, max_rows) for k, v in present.items()})
+        return out
+    spark = next(iter(present.values())).sparkSession
+    task = inheritable_thread_target(spark)(lambda d: broadcast_if_small(d, max_rows))
+    with ThreadPoolExecutor(max_workers=len(present)) as pool:
+        futures = {k: pool.submit(task, v) for k, v in present.items()}
+        out.update({k: f.result() for k, f in futures.items()})
+    return out
 POPULATION_JOIN_KEYS = ("country_code", "year")
 
 

@@ -13,10 +13,11 @@ from fundlens.operators.features import (
     add_project_features,
     add_sector_features,
     fill_measures,
+    sector_totals,
 )
 from fundlens.operators.join import (
     BROADCAST_MAX_ROWS,
-    broadcast_if_small,
+    broadcast_all_if_small,
     join_needs,
     join_population,
 )
@@ -55,17 +56,32 @@ def feature_stages(
     into zeros, so the schema never depends on which inputs were present.
 
     With ``broadcast_max_rows`` set (the default) the three small per-group
-    tables (needs, population and sector totals) are computed and
-    checkpointed first, then broadcast if under the bound, so the base is
-    never shuffled for a join with a small side.  ``None`` keeps the whole
-    pipeline lazy and leaves join choice to Spark/AQE.
+    tables (needs, population and sector totals) are computed concurrently
+    and checkpointed first, then broadcast if under the bound, so the base
+    is never shuffled for a join with a small side.  The sector totals only
+    use base columns (requirements, filled funding, appeal id), so they are
+    taken from the base before the joins, which keep its rows.  ``None``
+    keeps the whole pipeline lazy and leaves join choice to Spark/AQE.
     """
     needs_agg = None if needs is None else needs_by_country_cluster(needs, exact_scale)
     pop_agg = None if population is None else population_by_country_year(population, exact_scale)
-    if needs_agg is not None:
-        needs_agg = broadcast_if_small(needs_agg, broadcast_max_rows)
-    if pop_agg is not None:
-        pop_agg = broadcast_if_small(pop_agg, broadcast_max_rows)
+    totals = None
+    if broadcast_max_rows is not None and sector_strategy == "aggregate":
+        base_features = add_project_features(fill_measures(requirements))
+        small = broadcast_all_if_small(
+            {
+                "needs": needs_agg,
+                "population": pop_agg,
+                "sector": sector_totals(base_features, exact_scale),
+            },
+            broadcast_max_rows,
+        )
+        needs_agg, pop_agg, totals = small["needs"], small["population"], small["sector"]
+    elif broadcast_max_rows is not None:
+        small = broadcast_all_if_small(
+            {"needs": needs_agg, "population": pop_agg}, broadcast_max_rows
+        )
+        needs_agg, pop_agg = small["needs"], small["population"]
     after_needs = join_needs(requirements, needs_agg)
     after_pop = join_population(after_needs, pop_agg)
     filled = fill_measures(after_pop)
@@ -76,6 +92,7 @@ def feature_stages(
         strategy=sector_strategy,
         exact_scale=exact_scale,
         broadcast_max_rows=broadcast_max_rows,
+        totals=totals,
     )
     return FeatureStages(
         base=requirements,

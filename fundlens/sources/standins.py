@@ -30,8 +30,22 @@ POPULATION_MISSING_REGION = 1  # population covers no nation of this region
 FUNDED_RETURN_FLAG = "R"  # funding = extended price of the lines with this flag
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, read once per session (the driver tables are immutable).
+
+    Resolving a parquet source lists files and reads a footer on the driver;
+    reusing the DataFrame skips that for every later query and lets Spark
+    recognise repeated scans of the same relation.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _null_when(key, mod: int, value):
