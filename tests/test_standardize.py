@@ -1,0 +1,80 @@
+import pytest
+
+from fundlens.operators.standardize import (
+    standardize_needs,
+    standardize_plans,
+    standardize_population,
+    standardize_requirements,
+)
+
+REQ_SCHEMA = (
+    "countryCode string, clusterCode string, cluster string, year string, id bigint, "
+    "name string, code string, startDate string, endDate string, requirements string, "
+    "funding string, percentFunded string"
+)
+
+
+def test_requirements_casts_and_drops_null_keys(spark):
+    rows = [
+        ("#country+code", "#sector", "#sector+name", "#date+year", None, "#n", "#c", "#d", "#d", "#v", "#v", "#v"),
+        ("AFG", "FSC", "Food", "2024", 1, "A", "X", "2024-01-01", "2024-12-31", "100.5", "50", "49.75"),
+        (None, "FSC", "Food", "2024", 2, "B", "Y", None, None, "10", "1", "10"),
+        ("AFG", None, None, "bad", 3, "C", "Z", None, None, "10", None, None),
+        ("AFG", None, None, "2023", 4, "D", "W", None, None, None, None, None),
+    ]
+    out = standardize_requirements(spark.createDataFrame(rows, REQ_SCHEMA))
+    got = {r.appeal_id: r for r in out.collect()}
+    # tag row: year is not a number -> null -> dropped; null country dropped; bad year dropped
+    assert sorted(got) == [1, 4]
+    assert got[1].year == 2024 and got[1].total_requirements_usd == 100.5
+    assert got[1].total_funding_usd == 50.0 and got[1].funding_percent == 49.75
+    assert got[4].cluster_code is None and got[4].total_requirements_usd is None
+    assert dict(out.dtypes)["year"] == "int"
+    assert out.columns[:4] == ["country_code", "cluster_code", "cluster_name", "year"]
+
+
+def test_needs_name_variants_and_optional_measures(spark):
+    df = spark.createDataFrame(
+        [("SYR", "WSH", 10.0, "7"), (None, "WSH", 1.0, "1")],
+        "`Country ISO3` string, Cluster string, `In Need` double, Targeted string",
+    )
+    out = standardize_needs(df)
+    r = out.collect()
+    assert len(r) == 1
+    assert (r[0].country_code, r[0].cluster_code, r[0].inneed, r[0].targeted) == ("SYR", "WSH", 10.0, 7.0)
+    assert r[0].affected is None and r[0].reached is None and r[0].population is None
+
+
+def test_needs_coalesces_both_country_columns(spark):
+    df = spark.createDataFrame(
+        [(None, "A1", "C"), ("B2", None, "C")],
+        "country_iso3 string, `Country ISO3` string, sector_cluster_code string",
+    )
+    assert sorted(r.country_code for r in standardize_needs(df).collect()) == ["A1", "B2"]
+
+
+def test_needs_without_country_raises(spark):
+    df = spark.createDataFrame([("x",)], "Cluster string")
+    with pytest.raises(ValueError):
+        standardize_needs(df)
+
+
+def test_population_requires_both_keys(spark):
+    df = spark.createDataFrame(
+        [("AFG", "Afghanistan", "2020", "10"), ("AFG", "Afghanistan", None, "5"), (None, "x", "2020", "1")],
+        "ISO3 string, Country string, Reference_year string, Population string",
+    )
+    out = standardize_population(df).collect()
+    assert [(r.country_code, r.year, r.population) for r in out] == [("AFG", 2020, 10.0)]
+
+
+def test_plans_keep_year_uncast(spark):
+    df = spark.createDataFrame(
+        [("AFG", "2024", "HAFG24", "1.5", "2", "a", "b", "cat", 7)],
+        "locations string, years string, code string, origRequirements string, "
+        "revisedRequirements string, startDate string, endDate string, categories string, internalId int",
+    )
+    out = standardize_plans(df)
+    assert dict(out.dtypes)["year"] == "string"
+    r = out.first()
+    assert (r.plan_id, r.total_requirements_usd, r.revised_requirements_usd) == ("HAFG24", 1.5, 2.0)
