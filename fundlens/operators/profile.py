@@ -132,6 +132,7 @@ def distinct_counts(
     columns: Sequence[str] | None = None,
     approx: bool = False,
     rsd: float = 0.05,
+    single_pass: bool = False,
 ) -> DataFrame:
     """Distinct non-null values per column.
 
@@ -139,9 +140,11 @@ def distinct_counts(
     into one job.  Each branch reads only its own column from a columnar
     source and de-duplicates map-side before its shuffle, which avoids the
     row-multiplying ``Expand`` of many ``countDistinct`` in one aggregate.
-    ``approx=True`` uses HyperLogLog++ sketches in a single pass instead
-    (relative error ``rsd``), the choice for very wide or very large tables.
-    Columns of a type without equality (maps) get a null count.
+    That suits a stored table; for an expensive derived DataFrame (joins,
+    aggregates) ``single_pass=True`` computes it once and lets Spark expand
+    rows per column instead.  ``approx=True`` uses HyperLogLog++ sketches in
+    a single pass (relative error ``rsd``), the choice for very wide or very
+    large tables.  Columns of a type without equality (maps) get a null count.
     """
     fields = {f.name: f for f in df.schema.fields}
     cols = list(columns) if columns is not None else list(df.columns)
@@ -159,6 +162,16 @@ def distinct_counts(
             ]
         )
         parts.append(agg.select(F.inline(pairs)))
+    elif ok and single_pass:
+        aliases = [f"d{i}" for i in range(len(ok))]
+        agg = df.agg(*[F.count_distinct(qcol(c)).alias(a) for c, a in zip(ok, aliases)])
+        pairs = F.array(
+            *[
+                F.struct(F.lit(c).alias("column_name"), F.col(a).alias("distinct_count"))
+                for c, a in zip(ok, aliases)
+            ]
+        )
+        parts.append(agg.select(F.inline(pairs)))
     elif ok:
         parts.extend(
             df.agg(F.count_distinct(qcol(c)).alias("distinct_count")).select(
@@ -278,17 +291,36 @@ def feature_stats(
 # -------------------------------------------------------------------- keys
 
 
-def key_profile(df: DataFrame, dataset: str, column: str) -> DataFrame:
-    """Null count, null %, and distinct non-null count of one key column (one job)."""
-    c = qcol(column)
-    agg = df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count(F.when(c.isNull(), 1)).alias("null_count"),
-        F.count_distinct(c).alias("distinct_count"),
+def key_profile(df: DataFrame, dataset: str, columns: str | Sequence[str]) -> DataFrame:
+    """Null count, null % and distinct non-null count of key columns, in one aggregate.
+
+    The dataset is computed once for all its key columns (Spark expands each
+    row once per distinct column, with map-side de-duplication), which is
+    cheaper than one pass per column when the dataset is derived by joins.
+    """
+    cols = [columns] if isinstance(columns, str) else list(columns)
+    aggs = [F.count(F.lit(1)).alias("row_count")]
+    for i, name in enumerate(cols):
+        c = qcol(name)
+        aggs += [
+            F.count(F.when(c.isNull(), 1)).alias(f"n{i}"),
+            F.count_distinct(c).alias(f"d{i}"),
+        ]
+    agg = df.agg(*aggs)
+    triples = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("column_name"),
+                F.col(f"n{i}").alias("null_count"),
+                F.col(f"d{i}").alias("distinct_count"),
+            )
+            for i, name in enumerate(cols)
+        ]
     )
-    return agg.select(
+    long = agg.select(F.col("row_count"), F.inline(triples))
+    return long.select(
         F.lit(dataset).alias("dataset"),
-        F.lit(column).alias("column_name"),
+        "column_name",
         "null_count",
         "row_count",
         _pct(F.col("null_count"), F.col("row_count")).alias("null_pct"),
@@ -334,11 +366,14 @@ def configured_columns(
 
 
 def key_profiles(dfs: Mapping[str, DataFrame], config: Mapping[str, Sequence[str]]) -> DataFrame | None:
-    """:func:`key_profile` for every configured column present, as one DataFrame."""
+    """:func:`key_profile` for every configured column present, one aggregate per dataset."""
     pairs = configured_columns(dfs, config)
     if not pairs:
         return None
-    return _union_all([key_profile(dfs[d], d, c) for d, c in pairs])
+    by_dataset: dict[str, list[str]] = {}
+    for d, c in pairs:
+        by_dataset.setdefault(d, []).append(c)
+    return _union_all([key_profile(dfs[d], d, cols) for d, cols in by_dataset.items()])
 
 
 def key_samples_all(

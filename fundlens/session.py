@@ -47,13 +47,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     checkpoint dir).  Only when neither is set, as in local tests, a fresh
     folder is created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Connect session has no context
+        if configured:
+            return configured
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    configured = sc.getConf().get("spark.checkpoint.dir") or configured
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured

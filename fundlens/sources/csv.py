@@ -1,7 +1,8 @@
 """CSV inputs: header line, quoted fields with line breaks, ``"`` escaped by ``"``.
 
 Records may span lines, so each file is read by one task (multi-line CSV is
-not splittable); parallelism comes from many files.  Convert once to a
+not splittable); parallelism comes from many files.  A CRLF inside a quoted
+field is returned as LF by Spark's parser.  Convert once to a
 columnar table (``fundlens.sinks.tables.save_table``) and read that for
 everything else.
 """

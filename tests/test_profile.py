@@ -102,3 +102,15 @@ def test_feature_stats_groups(spark):
     out = {r.feature: (r.feature_group, r.min) for r in P.feature_stats(df, groups).collect()}
     assert out["funding_gap_pct"] == ("project", 3.0)
     assert set(P.FEATURE_STAT_GROUPS["sector"]) <= set(FEATURE_COLUMNS)
+
+
+def test_distinct_counts_single_pass_matches_union(spark):
+    df = _df(spark)
+    a = {r.column_name: r.distinct_count for r in P.distinct_counts(df, "t").collect()}
+    b = {r.column_name: r.distinct_count for r in P.distinct_counts(df, "t", single_pass=True).collect()}
+    assert a == b
+
+
+def test_key_profile_many_columns_one_aggregate(spark):
+    out = {r.column_name: (r.null_count, r.distinct_count) for r in P.key_profile(_df(spark), "t", ["k", "s"]).collect()}
+    assert out == {"k": (0, 3), "s": (1, 2)}
