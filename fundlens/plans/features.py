@@ -18,6 +18,7 @@ from fundlens.operators.features import (
 from fundlens.operators.join import (
     BROADCAST_MAX_ROWS,
     broadcast_all_if_small,
+    materialize,
     join_needs,
     join_population,
 )
@@ -49,6 +50,7 @@ def feature_stages(
     sector_strategy: str = "aggregate",
     exact_scale: int | None = None,
     broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
+    checkpoint_base: bool = False,
 ) -> FeatureStages:
     """Build the pipeline from *standardized* inputs; needs and population are optional.
 
@@ -62,7 +64,14 @@ def feature_stages(
     use base columns (requirements, filled funding, appeal id), so they are
     taken from the base before the joins, which keep its rows.  ``None``
     keeps the whole pipeline lazy and leaves join choice to Spark/AQE.
+
+    ``checkpoint_base=True`` writes the requirements input once to the shared
+    checkpoint folder first.  Use it when that input is itself derived by
+    joins or aggregations: the sector totals and the final pass then read it
+    instead of recomputing it.  For a stored table it only adds a write.
     """
+    if checkpoint_base:
+        requirements = materialize(requirements)
     needs_agg = None if needs is None else needs_by_country_cluster(needs, exact_scale)
     pop_agg = None if population is None else population_by_country_year(population, exact_scale)
     totals = None
@@ -113,6 +122,7 @@ def build_features(
     sector_strategy: str = "aggregate",
     exact_scale: int | None = None,
     broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
+    checkpoint_base: bool = False,
 ) -> DataFrame:
     """The 36-column feature table (one row per appeal row) from standardized inputs."""
     return feature_stages(
@@ -122,6 +132,7 @@ def build_features(
         sector_strategy=sector_strategy,
         exact_scale=exact_scale,
         broadcast_max_rows=broadcast_max_rows,
+        checkpoint_base=checkpoint_base,
     ).features
 
 
@@ -131,6 +142,7 @@ def build_features_from_raw(
     sector_strategy: str = "aggregate",
     exact_scale: int | None = None,
     broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
+    checkpoint_base: bool = False,
 ) -> DataFrame:
     """Standardize the raw inputs present in ``raw`` and build the feature table.
 
@@ -146,4 +158,5 @@ def build_features_from_raw(
         sector_strategy=sector_strategy,
         exact_scale=exact_scale,
         broadcast_max_rows=broadcast_max_rows,
+        checkpoint_base=checkpoint_base,
     )

@@ -263,8 +263,13 @@ def q_features_sector_window(spark, sf_dir):
 
 @register("features_all", with_standins(f"SELECT {', '.join(FEATURE_COLUMNS)} FROM features"))
 def features_all(spark, sf_dir):
-    """All 36 columns of the feature table (checked broadcasts, aggregate strategy)."""
-    return _stages(spark, sf_dir).features
+    """All 36 columns of the feature table, planned for scale.
+
+    The stand-in requirements are derived by joins and a line-item
+    aggregate, so the base is checkpointed once; the three per-group tables
+    are checked and broadcast; sector totals use the aggregate strategy.
+    """
+    return _stages(spark, sf_dir, checkpoint_base=True).features
 
 
 @register("features_all_lazy", with_standins(f"SELECT {', '.join(FEATURE_COLUMNS)} FROM features"))
@@ -493,6 +498,11 @@ _TYPE_NAMES = {
     "FLOAT": "float",
     "VARCHAR": "string",
     "TIMESTAMP": "timestamp_ntz",
+    "TIMESTAMP_NS": "timestamp_ntz",
+    "TIMESTAMP_MS": "timestamp_ntz",
+    "TIMESTAMP_S": "timestamp_ntz",
+    "TIMESTAMP_US": "timestamp_ntz",
+    "TIMESTAMP WITH TIME ZONE": "timestamp",
     "DATE": "date",
     "BOOLEAN": "boolean",
     "FLOAT[]": "array<float>",
@@ -501,16 +511,21 @@ _TYPE_CASE = "CASE data_type " + " ".join(
     f"WHEN {lit(k)} THEN {lit(v)}" for k, v in _TYPE_NAMES.items()
 ) + " ELSE lower(data_type) END"
 _DRIVER_TABLE_LIST = ", ".join(lit(t) for t in DRIVER_TABLES)
+# Columns of the driver views, whatever catalog or schema they were registered in.
+_DRIVER_COLUMNS_CTE = f"""
+WITH cols AS (
+  SELECT DISTINCT table_name, ordinal_position, column_name, data_type, is_nullable
+  FROM information_schema.columns
+  WHERE table_name IN ({_DRIVER_TABLE_LIST})
+)"""
 
 
 @register(
     "profile_schema",
-    f"""
+    f"""{_DRIVER_COLUMNS_CTE}
 SELECT table_name AS dataset, CAST(ordinal_position AS BIGINT) AS ordinal,
        column_name, {_TYPE_CASE} AS data_type, is_nullable = 'YES' AS nullable
-FROM information_schema.columns
-WHERE table_name IN ({_DRIVER_TABLE_LIST})
-  AND table_catalog = current_database() AND table_schema = current_schema()""",
+FROM cols""",
 )
 def q_profile_schema(spark, sf_dir):
     """Column names and types of every driver table (read from each table's schema)."""
@@ -519,13 +534,11 @@ def q_profile_schema(spark, sf_dir):
 
 @register(
     "profile_shape",
-    f"""
+    f"""{_DRIVER_COLUMNS_CTE}
 SELECT c.dataset, r.row_count, c.column_count, c.columns
 FROM (SELECT table_name AS dataset, count(*) AS column_count,
              string_agg(column_name, ', ' ORDER BY ordinal_position) AS columns
-      FROM information_schema.columns
-      WHERE table_name IN ({_DRIVER_TABLE_LIST})
-        AND table_catalog = current_database() AND table_schema = current_schema()
+      FROM cols
       GROUP BY table_name) c
 JOIN ({" UNION ALL ".join(f"SELECT {lit(t)} AS dataset, count(*) AS row_count FROM {t}" for t in DRIVER_TABLES)}) r
   ON c.dataset = r.dataset""",
