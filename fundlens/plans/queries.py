@@ -363,7 +363,8 @@ def q_null_profile(spark, sf_dir):
 @register(
     "null_total",
     with_standins(
-        f"SELECT dataset, sum(null_count) AS total_nulls FROM {_NULL_PROFILE_SQL} GROUP BY dataset"
+        f"SELECT dataset, CAST(sum(null_count) AS BIGINT) AS total_nulls "
+        f"FROM {_NULL_PROFILE_SQL} GROUP BY dataset"
     ),
 )
 def q_null_total(spark, sf_dir):

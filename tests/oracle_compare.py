@@ -50,6 +50,28 @@ def _norm(v):
     return v
 
 
+# Spark simple type name -> DuckDB type name, for the schema comparison.
+TYPE_MAP = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "float": "FLOAT",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+}
+
+
+def spark_types(df) -> dict:
+    return {f.name: TYPE_MAP.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+
+
+def duck_types(con, sql: str) -> dict:
+    rel = con.sql(sql)
+    return {n: str(t) for n, t in zip(rel.columns, rel.types)}
+
+
 def spark_rows(df):
     cols = sorted(df.columns)
     rows = [tuple(_norm(r[c]) for c in cols) for r in df.select(*[f"`{c}`" for c in cols]).collect()]
@@ -68,23 +90,30 @@ def duck_rows(con, sql: str):
 
 def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> dict:
     t0 = time.time()
-    s_cols, s_rows = spark_rows(fn(spark, sf_dir))
+    df = fn(spark, sf_dir)
+    s_cols, s_rows = spark_rows(df)
     t1 = time.time()
     d_cols, d_rows = duck_rows(con, sql)
+    s_types, d_types = spark_types(df), duck_types(con, sql)
     res = {
         "name": name,
         "rows_spark": len(s_rows),
         "rows_oracle": len(d_rows),
         "cols_match": s_cols == d_cols,
+        "types_match": s_types == d_types,
         "spark_sec": round(t1 - t0, 2),
     }
+    if s_types != d_types:
+        res["type_diffs"] = {
+            k: (s_types.get(k), d_types.get(k)) for k in s_types if s_types.get(k) != d_types.get(k)
+        }
     if s_cols != d_cols:
         res["cols_spark"] = s_cols
         res["cols_oracle"] = d_cols
         res["match"] = False
         return res
     cs, cd = Counter(s_rows), Counter(d_rows)
-    res["match"] = cs == cd
+    res["match"] = cs == cd and res["types_match"]
     if not res["match"]:
         only_s = list((cs - cd).elements())[:3]
         only_d = list((cd - cs).elements())[:3]
