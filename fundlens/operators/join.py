@@ -72,6 +72,9 @@ def broadcast_all_if_small(
         out.update({k: broadcast_if_small(v, max_rows) for k, v in present.items()})
         return out
     spark = next(iter(present.values())).sparkSession
+    from fundlens.session import checkpoint_root
+
+    checkpoint_root(spark)  # resolve the folder once, before the threads start
     task = inheritable_thread_target(spark)(lambda d: broadcast_if_small(d, max_rows))
     with ThreadPoolExecutor(max_workers=len(present)) as pool:
         futures = {k: pool.submit(task, v) for k, v in present.items()}
