@@ -44,8 +44,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir).  Only when neither is set, as in local tests, a fresh
-    folder is created and registered as the checkpoint dir.
+    checkpoint dir).  Only when neither is set and the session runs in local
+    mode (tests), a fresh folder is created and registered; on a cluster an
+    unset folder is an error, since a machine-local folder would not be
+    visible to other executors.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -61,6 +63,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     local = tempfile.mkdtemp(prefix="fundlens-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
