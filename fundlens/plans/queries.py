@@ -25,6 +25,7 @@ from fundlens.operators.aggregate import (
     population_by_country_year,
 )
 from fundlens.operators.features import (
+    BASE_COLUMNS,
     FEATURE_COLUMNS,
     POPULATION_FEATURES,
     PROJECT_FEATURES,
@@ -35,7 +36,7 @@ from fundlens.operators.features import (
     add_sector_features,
     fill_measures,
 )
-from fundlens.operators.join import join_needs, join_population
+from fundlens.operators.join import BROADCAST_MAX_ROWS, join_needs, join_population
 from fundlens.operators.quality import (
     QUALITY_KEY_COLUMNS,
     nulls_after_fill,
@@ -70,7 +71,6 @@ REQUIREMENTS_RAW_COLUMNS = (
     "requirements funding percentFunded"
 ).split()
 NEEDS_RAW_COLUMNS = ["country_iso3", "Cluster", "population", "In Need", "targeted", "affected", "reached"]
-FLOWS_RAW_COLUMNS = ["id", "description", "amountUSD", "srcOrganization", "destGlobalClusters", "destLocations"]
 
 # Key columns whose values are profiled, per stand-in dataset.
 KEY_PROFILE_CONFIG = {
@@ -210,9 +210,7 @@ def q_join_missing_input(spark, sf_dir):
 
 @register("filled_measures", with_standins("SELECT * FROM filled"))
 def q_filled_measures(spark, sf_dir):
-    return _stages(spark, sf_dir, broadcast_max_rows=None).filled.select(
-        *[c for c in FEATURE_COLUMNS[:17]]
-    )
+    return _stages(spark, sf_dir, broadcast_max_rows=None).filled.select(*BASE_COLUMNS)
 
 
 # ---------------------------------------------------------------- features
@@ -249,7 +247,9 @@ _SECTOR_SQL = with_standins(
 def q_features_sector(spark, sf_dir):
     """Sector totals by aggregate + checked broadcast join back."""
     feats = add_project_features(_stages(spark, sf_dir, broadcast_max_rows=None).filled)
-    out = add_sector_features(feats, strategy="aggregate", exact_scale=EXACT, broadcast_max_rows=500_000)
+    out = add_sector_features(
+        feats, strategy="aggregate", exact_scale=EXACT, broadcast_max_rows=BROADCAST_MAX_ROWS
+    )
     return out.select(*_FEATURE_KEYS, *SECTOR_TOTALS, *SECTOR_RATIOS)
 
 
@@ -574,7 +574,7 @@ def q_join_key_candidates(spark, sf_dir):
     "nulls_after_fill",
     with_standins(
         "SELECT * FROM ("
-        + _null_counts_sql("filled", "filled", FEATURE_COLUMNS[:17])
+        + _null_counts_sql("filled", "filled", BASE_COLUMNS)
         + ") WHERE null_count > 0"
     ),
 )

@@ -78,3 +78,10 @@ def test_plans_keep_year_uncast(spark):
     assert dict(out.dtypes)["year"] == "string"
     r = out.first()
     assert (r.plan_id, r.total_requirements_usd, r.revised_requirements_usd) == ("HAFG24", 1.5, 2.0)
+
+
+def test_null_rows(spark):
+    from fundlens.operators.standardize import null_rows
+
+    df = spark.createDataFrame([(1, None), (2, "x"), (3, None)], "k int, c string")
+    assert sorted(r.k for r in null_rows(df, "c").collect()) == [1, 3]
