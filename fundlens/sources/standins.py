@@ -30,7 +30,9 @@ POPULATION_MISSING_REGION = 1  # population covers no nation of this region
 FUNDED_RETURN_FLAG = "R"  # funding = extended price of the lines with this flag
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+# (session, path) -> DataFrame.  The session object is kept in the value, so
+# its id cannot be reused by a later session while the entry exists.
+_TABLES: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,10 +43,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     recognise repeated scans of the same relation.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
+    key = (id(spark), path)
+    hit = _TABLES.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = spark.read.parquet(path)
+    _TABLES[key] = (spark, df)
     return df
 
 
