@@ -38,3 +38,12 @@ def test_filters_and_columns_pushed_to_scan(spark):
     # column pruning: the orders scan never reads the unused priority column
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint" in text
     assert "o_orderpriority" not in text
+
+
+def test_flagship_final_plan_has_no_shuffle(spark):
+    """After execution the adaptive plan of the feature table has broadcasts only."""
+    df = entry.queries()["features_all"](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in final and "SortMergeJoin" not in final
+    assert final.count("BroadcastHashJoin") == 3
