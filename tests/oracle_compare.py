@@ -11,6 +11,7 @@ Columns are matched by name; rows are compared as multisets of exact values
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -135,7 +136,18 @@ def main(argv: list[str]) -> int:
     import __spark_entry__ as entry
     from fundlens.session import local_session
 
-    spark = local_session(8, 8)
+    if os.environ.get("PLAIN_SESSION"):
+        # as a driver would build it: no tuning beyond the shuffle width
+        from pyspark.sql import SparkSession
+
+        spark = (
+            SparkSession.builder.master("local[8]")
+            .config("spark.sql.shuffle.partitions", "8")
+            .config("spark.ui.enabled", "false")
+            .getOrCreate()
+        )
+    else:
+        spark = local_session(8, 8)
     con = duck(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = 0
