@@ -62,15 +62,19 @@ def read_csv_dataset(
     infer_schema: bool = False,
     drop_tags: bool = True,
     options: Mapping[str, str] | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read one CSV dataset (file, folder or glob).
 
     Text is read as strings, the tag row (if any) is dropped, then
     ``schema`` is applied with ``try_cast``.  ``infer_schema=True`` asks
     Spark to infer types instead (an extra pass over the data, and every
-    column stays text when a tag row is present).
+    column stays text when a tag row is present).  ``multi_line=False``
+    makes large files splittable across tasks, for inputs known to have no
+    line break inside a quoted field.
     """
     opts = dict(CSV_OPTIONS)
+    opts["multiLine"] = "true" if multi_line else "false"
     opts["inferSchema"] = "true" if (infer_schema and schema is None) else "false"
     opts.update(options or {})
     df = spark.read.options(**opts).csv(path)

@@ -94,3 +94,10 @@ def test_tables_roundtrip(spark):
     # overwrite replaces data and schema
     save_table(df.selectExpr("k", "v", "k * 2 AS k2"), "fl_test.t1", path=f"{loc}/t1")
     assert spark.table("fl_test.t1").columns == ["k", "v", "k2"]
+
+
+def test_single_line_mode_reads_plain_files(spark):
+    d = tempfile.mkdtemp(prefix="fundlens-csv-")
+    path = _write(d, "plain.csv", "a,b\n#x,#y\n1,2\n3,4\n")
+    out = read_csv_dataset(spark, path, multi_line=False).collect()
+    assert [(r.a, r.b) for r in out] == [("1", "2"), ("3", "4")]
