@@ -106,11 +106,10 @@ def _driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _stages(spark: SparkSession, sf_dir: str, strategy: str = "aggregate", **kw):
-    raw = standins.raw_datasets(spark, sf_dir)
     return feature_stages(
-        standardize_requirements(raw["requirements"]),
-        standardize_needs(raw["needs"]),
-        standardize_population(raw["population"]),
+        standardize_requirements(standins.requirements_raw(spark, sf_dir)),
+        standardize_needs(standins.needs_raw(spark, sf_dir)),
+        standardize_population(standins.population_raw(spark, sf_dir)),
         sector_strategy=strategy,
         exact_scale=EXACT,
         **kw,
