@@ -33,7 +33,10 @@ def local_session(
         # Python call-site capture costs several JVM round trips per Column call.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
-    for k, v in (extra or {}).items():
+    extra = dict(extra or {})
+    # keep the catalog's default folder out of the working directory
+    extra.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="fundlens-warehouse-"))
+    for k, v in extra.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
