@@ -36,7 +36,12 @@ from fundlens.operators.features import (
     add_sector_features,
     fill_measures,
 )
-from fundlens.operators.join import BROADCAST_MAX_ROWS, join_needs, join_population
+from fundlens.operators.join import (
+    BROADCAST_MAX_ROWS,
+    broadcast_all_if_small,
+    join_needs,
+    join_population,
+)
 from fundlens.operators.quality import (
     QUALITY_KEY_COLUMNS,
     nulls_after_fill,
@@ -116,6 +121,23 @@ def _stages(spark: SparkSession, sf_dir: str, strategy: str = "aggregate", **kw)
     )
 
 
+def _small_sides(spark: SparkSession, sf_dir: str) -> dict:
+    """Needs and population per-group tables, checked and broadcast (concurrent jobs)."""
+    return broadcast_all_if_small(
+        {
+            "needs": needs_by_country_cluster(needs_standardized(spark, sf_dir), EXACT),
+            "population": population_by_country_year(population_standardized(spark, sf_dir), EXACT),
+        }
+    )
+
+
+def _filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base ⟕ needs ⟕ population, filled; both small sides broadcast after a check."""
+    small = _small_sides(spark, sf_dir)
+    base = requirements_standardized(spark, sf_dir)
+    return fill_measures(join_population(join_needs(base, small["needs"]), small["population"]))
+
+
 def _to_float(df: DataFrame, columns) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("float") for c in columns})
 
@@ -173,18 +195,14 @@ def q_needs_by_country_cluster(spark, sf_dir):
 
 @register("join_needs", with_standins("SELECT * FROM after_needs"))
 def q_join_needs(spark, sf_dir):
-    return join_needs(
-        requirements_standardized(spark, sf_dir),
-        needs_by_country_cluster(needs_standardized(spark, sf_dir), EXACT),
-    )
+    return join_needs(requirements_standardized(spark, sf_dir), _small_sides(spark, sf_dir)["needs"])
 
 
 @register("join_population", with_standins("SELECT * FROM after_population"))
 def q_join_population(spark, sf_dir):
-    return join_population(
-        q_join_needs(spark, sf_dir),
-        population_by_country_year(population_standardized(spark, sf_dir), EXACT),
-    )
+    small = _small_sides(spark, sf_dir)
+    base = requirements_standardized(spark, sf_dir)
+    return join_population(join_needs(base, small["needs"]), small["population"])
 
 
 @register(
@@ -209,7 +227,7 @@ def q_join_missing_input(spark, sf_dir):
 
 @register("filled_measures", with_standins("SELECT * FROM filled"))
 def q_filled_measures(spark, sf_dir):
-    return _stages(spark, sf_dir, broadcast_max_rows=None).filled.select(*BASE_COLUMNS)
+    return _filled(spark, sf_dir).select(*BASE_COLUMNS)
 
 
 # ---------------------------------------------------------------- features
@@ -222,7 +240,7 @@ _FEATURE_KEYS = ("appeal_id", "country_code", "year", "cluster_code")
     with_standins(f"SELECT {', '.join(_FEATURE_KEYS + PROJECT_FEATURES)} FROM project_features"),
 )
 def q_features_project(spark, sf_dir):
-    filled = _stages(spark, sf_dir, broadcast_max_rows=None).filled
+    filled = _filled(spark, sf_dir)
     return add_project_features(filled).select(*_FEATURE_KEYS, *PROJECT_FEATURES)
 
 
@@ -233,7 +251,7 @@ def q_features_project(spark, sf_dir):
     ),
 )
 def q_features_population(spark, sf_dir):
-    filled = _stages(spark, sf_dir, broadcast_max_rows=None).filled
+    filled = _filled(spark, sf_dir)
     return add_population_features(filled).select(*_FEATURE_KEYS, *POPULATION_FEATURES)
 
 
@@ -245,7 +263,7 @@ _SECTOR_SQL = with_standins(
 @register("features_sector", _SECTOR_SQL)
 def q_features_sector(spark, sf_dir):
     """Sector totals by aggregate + checked broadcast join back."""
-    feats = add_project_features(_stages(spark, sf_dir, broadcast_max_rows=None).filled)
+    feats = add_project_features(_filled(spark, sf_dir))
     out = add_sector_features(
         feats, strategy="aggregate", exact_scale=EXACT, broadcast_max_rows=BROADCAST_MAX_ROWS
     )
@@ -255,7 +273,7 @@ def q_features_sector(spark, sf_dir):
 @register("features_sector_window", _SECTOR_SQL)
 def q_features_sector_window(spark, sf_dir):
     """Sector totals by a window over (country_code, year, cluster_code)."""
-    feats = add_project_features(_stages(spark, sf_dir, broadcast_max_rows=None).filled)
+    feats = add_project_features(_filled(spark, sf_dir))
     out = add_sector_features(feats, strategy="window", exact_scale=EXACT)
     return out.select(*_FEATURE_KEYS, *SECTOR_TOTALS, *SECTOR_RATIOS)
 
