@@ -53,3 +53,17 @@ def test_ingest_then_feature_pipeline(spark):
     q = {r.column_name: r.null_count for r in res.quality.collect()}
     assert q["cluster_code"] == 1 and q["country_code"] == 0
     assert res.feature_stats.count() == 14
+
+
+def test_command_line(spark, capsys):
+    from fundlens.__main__ import main
+
+    d = tempfile.mkdtemp(prefix="fundlens-inputs-")
+    with open(os.path.join(d, "fts_requirements_funding_globalcluster_global.csv"), "w") as fh:
+        fh.write(REQ)
+    loc = tempfile.mkdtemp(prefix="fundlens-db-")
+    assert main(["ingest", "--input", d, "--database", "fl_cli", "--location", loc]) == 0
+    assert main(["features", "--database", "fl_cli", "--location", loc, "--window"]) == 0
+    out = capsys.readouterr().out
+    assert "skipped hno" in out and "== quality" in out and "funding_gap_pct" in out
+    assert spark.table("fl_cli.features").count() == 4
