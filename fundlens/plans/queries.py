@@ -33,11 +33,9 @@ from fundlens.operators.features import (
     SECTOR_TOTALS,
     add_population_features,
     add_project_features,
-    add_sector_features,
     fill_measures,
 )
 from fundlens.operators.join import (
-    BROADCAST_MAX_ROWS,
     broadcast_all_if_small,
     join_needs,
     join_population,
@@ -262,19 +260,19 @@ _SECTOR_SQL = with_standins(
 
 @register("features_sector", _SECTOR_SQL)
 def q_features_sector(spark, sf_dir):
-    """Sector totals by aggregate + checked broadcast join back."""
-    feats = add_project_features(_filled(spark, sf_dir))
-    out = add_sector_features(
-        feats, strategy="aggregate", exact_scale=EXACT, broadcast_max_rows=BROADCAST_MAX_ROWS
-    )
+    """Sector totals by partial aggregate + checked broadcast join back.
+
+    The totals are computed from the base, concurrently with the needs and
+    population tables (see ``feature_stages``).
+    """
+    out = _stages(spark, sf_dir, strategy="aggregate").features
     return out.select(*_FEATURE_KEYS, *SECTOR_TOTALS, *SECTOR_RATIOS)
 
 
 @register("features_sector_window", _SECTOR_SQL)
 def q_features_sector_window(spark, sf_dir):
     """Sector totals by a window over (country_code, year, cluster_code)."""
-    feats = add_project_features(_filled(spark, sf_dir))
-    out = add_sector_features(feats, strategy="window", exact_scale=EXACT)
+    out = _stages(spark, sf_dir, strategy="window").features
     return out.select(*_FEATURE_KEYS, *SECTOR_TOTALS, *SECTOR_RATIOS)
 
 
