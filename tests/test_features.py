@@ -44,7 +44,7 @@ def _pop(spark):
 
 
 @pytest.mark.parametrize("strategy", ["aggregate", "window"])
-@pytest.mark.parametrize("bmax", [None, 1000])
+@pytest.mark.parametrize("bmax", [None, 1000, 0])
 def test_features_hand_computed(spark, strategy, bmax):
     out = build_features(
         _base(spark), _needs(spark), _pop(spark), sector_strategy=strategy, broadcast_max_rows=bmax
@@ -161,3 +161,21 @@ def test_invariants_on_standins(spark, small_dir):
         .filter(F.abs(F.col("s") - 100) > 1e-6)
     )
     assert shares.count() == 0
+
+
+def test_fallback_without_broadcast_uses_shuffle_join(spark):
+    """Above the bound nothing is hinted: with Spark's own auto-broadcast off the
+    joins become sort-merge joins, and the rows are the same as with broadcasts."""
+    expected = _rows(build_features(_base(spark), _needs(spark), _pop(spark), exact_scale=2))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = build_features(
+            _base(spark), _needs(spark), _pop(spark), exact_scale=2, broadcast_max_rows=0
+        )
+        got = _rows(out)
+        final = out._jdf.queryExecution().executedPlan().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == expected
+    assert "SortMergeJoin" in final and "BroadcastHashJoin" not in final
