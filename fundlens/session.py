@@ -30,6 +30,8 @@ def local_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
+        # delete checkpoint files of materialized tables once they are unreferenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # Python call-site capture costs several JVM round trips per Column call.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
