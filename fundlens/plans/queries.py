@@ -641,12 +641,20 @@ _AUDIT_STAGES = (
 def q_stage_audit(spark, sf_dir):
     """Row counts after each standardization and join; the joins keep the base count."""
     raw = standins.raw_datasets(spark, sf_dir)
-    st = _stages(spark, sf_dir, broadcast_max_rows=None)
+    needs_std = standardize_needs(raw["needs"])
+    pop_std = standardize_population(raw["population"])
+    st = feature_stages(
+        standardize_requirements(raw["requirements"]),
+        needs_std,
+        pop_std,
+        exact_scale=EXACT,
+        broadcast_max_rows=None,
+    )
     frames = {
         "requirements_raw": raw["requirements"],
         "requirements_std": st.base,
-        "needs_std": standardize_needs(raw["needs"]),
-        "population_std": standardize_population(raw["population"]),
+        "needs_std": needs_std,
+        "population_std": pop_std,
         "plans_std": standardize_plans(raw["plans"]),
         "after_needs": st.after_needs,
         "after_population": st.after_population,
