@@ -15,8 +15,9 @@ have run.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from fundlens.operators.aggregate import NEEDS_MEASURES
 from fundlens.operators.standardize import with_columns_if_missing
 
+T = TypeVar("T")
+
 # Default bound for broadcasting a pre-aggregated side: rows of a few short
 # keys and four numbers, so about 50 MB at most.
 BROADCAST_MAX_ROWS = 500_000
@@ -57,21 +60,36 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS)
     return F.broadcast(mat) if mat.count() <= max_rows else mat
 
 
+def run_concurrently(spark, tasks: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent eager steps (materializations) as concurrent Spark jobs.
+
+    Each callable runs in its own driver thread, inheriting the caller's job
+    properties, so small jobs share the cluster instead of queueing.
+    """
+    if len(tasks) <= 1:
+        return {k: f() for k, f in tasks.items()}
+    from fundlens.session import checkpoint_root
+
+    checkpoint_root(spark)  # resolve the shared folder once, before the threads start
+    wrap = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        futures = {k: pool.submit(wrap(f)) for k, f in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def broadcast_all_if_small(
     frames: Mapping[str, DataFrame | None], max_rows: int | None = BROADCAST_MAX_ROWS
 ) -> dict[str, DataFrame | None]:
-    """:func:`broadcast_if_small` for independent tables, run as concurrent Spark jobs.
-
-    The tables are submitted from separate driver threads (inheriting the
-    caller's job properties), so their small jobs share the cluster instead
-    of queueing one after another.
-    """
+    """:func:`broadcast_if_small` for independent tables, run as concurrent Spark jobs."""
     present = {k: v for k, v in frames.items() if v is not None}
     out: dict[str, DataFrame | None] = {k: None for k in frames}
-    if max_rows is None or len(present) <= 1:
-        out.update({k: broadcast_if_small(v, max_rows) for k, v in present.items()})
+    if not present:
         return out
     spark = next(iter(present.values())).sparkSession
+    tasks = {k: (lambda d=v: broadcast_if_small(d, max_rows)) for k, v in present.items()}
+    out.update(run_concurrently(spark, tasks))
+    return out
+    spark = next(iter(present.values())).sparkSession
     from fundlens.session import checkpoint_root
 
     checkpoint_root(spark)  # resolve the folder once, before the threads start

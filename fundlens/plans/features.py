@@ -17,8 +17,9 @@ from fundlens.operators.features import (
 )
 from fundlens.operators.join import (
     BROADCAST_MAX_ROWS,
-    broadcast_all_if_small,
+    broadcast_if_small,
     materialize,
+    run_concurrently,
     join_needs,
     join_population,
 )
@@ -70,27 +71,37 @@ def feature_stages(
     joins or aggregations: the sector totals and the final pass then read it
     instead of recomputing it.  For a stored table it only adds a write.
     """
-    if checkpoint_base:
-        requirements = materialize(requirements)
     needs_agg = None if needs is None else needs_by_country_cluster(needs, exact_scale)
     pop_agg = None if population is None else population_by_country_year(population, exact_scale)
     totals = None
-    if broadcast_max_rows is not None and sector_strategy == "aggregate":
-        base_features = add_project_features(fill_measures(requirements))
-        small = broadcast_all_if_small(
-            {
-                "needs": needs_agg,
-                "population": pop_agg,
-                "sector": sector_totals(base_features, exact_scale),
-            },
-            broadcast_max_rows,
-        )
-        needs_agg, pop_agg, totals = small["needs"], small["population"], small["sector"]
-    elif broadcast_max_rows is not None:
-        small = broadcast_all_if_small(
-            {"needs": needs_agg, "population": pop_agg}, broadcast_max_rows
-        )
-        needs_agg, pop_agg = small["needs"], small["population"]
+    if broadcast_max_rows is None:
+        if checkpoint_base:
+            requirements = materialize(requirements)
+    else:
+        # Phase 1: independent materializations run concurrently; the sector
+        # totals join them unless they must wait for the checkpointed base.
+        tasks = {}
+        if needs_agg is not None:
+            tasks["needs"] = lambda: broadcast_if_small(needs_agg, broadcast_max_rows)
+        if pop_agg is not None:
+            tasks["population"] = lambda: broadcast_if_small(pop_agg, broadcast_max_rows)
+
+        def _totals(base: DataFrame) -> DataFrame:
+            table = sector_totals(add_project_features(fill_measures(base)), exact_scale)
+            return broadcast_if_small(table, broadcast_max_rows)
+
+        with_totals = sector_strategy == "aggregate"
+        if checkpoint_base:
+            tasks["base"] = lambda: materialize(requirements)
+        elif with_totals:
+            tasks["sector"] = lambda: _totals(requirements)
+        done = run_concurrently(requirements.sparkSession, tasks)
+        needs_agg = done.get("needs", needs_agg)
+        pop_agg = done.get("population", pop_agg)
+        requirements = done.get("base", requirements)
+        totals = done.get("sector")
+        if with_totals and totals is None:
+            totals = _totals(requirements)  # phase 2: from the checkpointed base
     after_needs = join_needs(requirements, needs_agg)
     after_pop = join_population(after_needs, pop_agg)
     filled = fill_measures(after_pop)
