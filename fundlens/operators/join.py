@@ -89,15 +89,8 @@ def broadcast_all_if_small(
     tasks = {k: (lambda d=v: broadcast_if_small(d, max_rows)) for k, v in present.items()}
     out.update(run_concurrently(spark, tasks))
     return out
-    spark = next(iter(present.values())).sparkSession
-    from fundlens.session import checkpoint_root
 
-    checkpoint_root(spark)  # resolve the folder once, before the threads start
-    task = inheritable_thread_target(spark)(lambda d: broadcast_if_small(d, max_rows))
-    with ThreadPoolExecutor(max_workers=len(present)) as pool:
-        futures = {k: pool.submit(task, v) for k, v in present.items()}
-        out.update({k: f.result() for k, f in futures.items()})
-    return out
+
 POPULATION_JOIN_KEYS = ("country_code", "year")
 
 
