@@ -126,6 +126,24 @@ def _distinct_supported(field: StructField) -> bool:
     return not isinstance(field.dataType, MapType)
 
 
+def _distinct_batch(df: DataFrame, cols: Sequence[str], approx: bool, rsd: float) -> DataFrame:
+    """(column_name, distinct_count) for ``cols`` from one aggregate."""
+    aliases = [f"d{i}" for i in range(len(cols))]
+    if approx:
+        aggs = [F.approx_count_distinct(qcol(c), rsd).alias(a) for c, a in zip(cols, aliases)]
+    else:
+        aggs = [F.count_distinct(qcol(c)).alias(a) for c, a in zip(cols, aliases)]
+    if len(cols) == 1:
+        return df.agg(*aggs).select(F.lit(cols[0]).alias("column_name"), F.col("d0").alias("distinct_count"))
+    pairs = F.array(
+        *[
+            F.struct(F.lit(c).alias("column_name"), F.col(a).alias("distinct_count"))
+            for c, a in zip(cols, aliases)
+        ]
+    )
+    return df.agg(*aggs).select(F.inline(pairs))
+
+
 def distinct_counts(
     df: DataFrame,
     dataset: str,
@@ -133,57 +151,34 @@ def distinct_counts(
     approx: bool = False,
     rsd: float = 0.05,
     single_pass: bool = False,
+    batch_size: int | None = None,
 ) -> DataFrame:
     """Distinct non-null values per column.
 
-    Exact (default): one small aggregate per column, combined with ``union``
-    into one job.  Each branch reads only its own column from a columnar
-    source and de-duplicates map-side before its shuffle, which avoids the
-    row-multiplying ``Expand`` of many ``countDistinct`` in one aggregate.
-    That suits a stored table; for an expensive derived DataFrame (joins,
-    aggregates) ``single_pass=True`` computes it once and lets Spark expand
-    rows per column instead.  ``approx=True`` uses HyperLogLog++ sketches in
-    a single pass (relative error ``rsd``), the choice for very wide or very
-    large tables.  Columns of a type without equality (maps) get a null count.
+    Exact (default): small aggregates over batches of columns, combined with
+    ``union`` into one job.  With one column per batch (the default up to 32
+    columns) each branch reads only its own column from a columnar source and
+    de-duplicates map-side before its shuffle, avoiding the row-multiplying
+    ``Expand`` of many ``countDistinct`` in one aggregate; wider tables use
+    batches of 8 (an 8-way ``Expand`` per branch), which bounds the number of
+    scans and the plan size.  ``single_pass=True`` puts every column in one
+    aggregate, which computes an expensive derived DataFrame only once.
+    ``approx=True`` uses HyperLogLog++ sketches in a single pass (relative
+    error ``rsd``), the choice for very wide or very large tables.  Columns of
+    a type without equality (maps) get a null count.
     """
     fields = {f.name: f for f in df.schema.fields}
     cols = list(columns) if columns is not None else list(df.columns)
     ok = [c for c in cols if _distinct_supported(fields[c])]
-    parts = []
-    if approx and ok:
-        aliases = [f"d{i}" for i in range(len(ok))]
-        agg = df.agg(
-            *[F.approx_count_distinct(qcol(c), rsd).alias(a) for c, a in zip(ok, aliases)]
-        )
-        pairs = F.array(
-            *[
-                F.struct(F.lit(c).alias("column_name"), F.col(a).alias("distinct_count"))
-                for c, a in zip(ok, aliases)
-            ]
-        )
-        parts.append(agg.select(F.inline(pairs)))
-    elif ok and single_pass:
-        aliases = [f"d{i}" for i in range(len(ok))]
-        agg = df.agg(*[F.count_distinct(qcol(c)).alias(a) for c, a in zip(ok, aliases)])
-        pairs = F.array(
-            *[
-                F.struct(F.lit(c).alias("column_name"), F.col(a).alias("distinct_count"))
-                for c, a in zip(ok, aliases)
-            ]
-        )
-        parts.append(agg.select(F.inline(pairs)))
-    elif ok:
-        parts.extend(
-            df.agg(F.count_distinct(qcol(c)).alias("distinct_count")).select(
-                F.lit(c).alias("column_name"), "distinct_count"
-            )
-            for c in ok
-        )
+    if approx or single_pass:
+        size = max(len(ok), 1)
+    else:
+        size = batch_size or (1 if len(ok) <= 32 else 8)
+    parts = [_distinct_batch(df, ok[i : i + size], approx, rsd) for i in range(0, len(ok), size)]
     bad = [c for c in cols if c not in ok]
     if bad:
-        spark = df.sparkSession
         parts.append(
-            spark.createDataFrame(
+            df.sparkSession.createDataFrame(
                 [(c, None) for c in bad], "column_name string, distinct_count bigint"
             )
         )

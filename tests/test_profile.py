@@ -114,3 +114,21 @@ def test_distinct_counts_single_pass_matches_union(spark):
 def test_key_profile_many_columns_one_aggregate(spark):
     out = {r.column_name: (r.null_count, r.distinct_count) for r in P.key_profile(_df(spark), "t", ["k", "s"]).collect()}
     assert out == {"k": (0, 3), "s": (1, 2)}
+
+
+def test_distinct_counts_batches_match(spark):
+    df = _df(spark)
+    a = {r.column_name: r.distinct_count for r in P.distinct_counts(df, "t").collect()}
+    for size in (2, 3):
+        b = {r.column_name: r.distinct_count for r in P.distinct_counts(df, "t", batch_size=size).collect()}
+        assert a == b
+
+
+def test_distinct_counts_wide_table_uses_batches(spark):
+    cols = ", ".join(f"c{i} int" for i in range(40))
+    df = spark.createDataFrame([tuple(range(40)), tuple(i % 2 for i in range(40))], cols)
+    prof = P.distinct_counts(df, "w")
+    got = {r.column_name: r.distinct_count for r in prof.collect()}
+    assert got["c0"] == 1 and got["c3"] == 2 and len(got) == 40
+    plan = prof._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") < 40
