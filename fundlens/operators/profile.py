@@ -286,14 +286,22 @@ def feature_stats(
 # -------------------------------------------------------------------- keys
 
 
-def key_profile(df: DataFrame, dataset: str, columns: str | Sequence[str]) -> DataFrame:
-    """Null count, null % and distinct non-null count of key columns, in one aggregate.
+def key_profile(
+    df: DataFrame, dataset: str, columns: str | Sequence[str], batch_size: int = 8
+) -> DataFrame:
+    """Null count, null % and distinct non-null count of key columns.
 
-    The dataset is computed once for all its key columns (Spark expands each
-    row once per distinct column, with map-side de-duplication), which is
-    cheaper than one pass per column when the dataset is derived by joins.
+    Up to ``batch_size`` columns share one aggregate, so the dataset is
+    computed once per batch (Spark expands each row once per distinct column,
+    with map-side de-duplication); that is cheaper than one pass per column
+    when the dataset is derived by joins, and the batch bound keeps the
+    expansion small.
     """
     cols = [columns] if isinstance(columns, str) else list(columns)
+    if len(cols) > batch_size:
+        return _union_all(
+            [key_profile(df, dataset, cols[i : i + batch_size], batch_size) for i in range(0, len(cols), batch_size)]
+        )
     aggs = [F.count(F.lit(1)).alias("row_count")]
     for i, name in enumerate(cols):
         c = qcol(name)

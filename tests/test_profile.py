@@ -132,3 +132,10 @@ def test_distinct_counts_wide_table_uses_batches(spark):
     assert got["c0"] == 1 and got["c3"] == 2 and len(got) == 40
     plan = prof._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") < 40
+
+
+def test_key_profile_batches(spark):
+    df = _df(spark)
+    one = {r.column_name: (r.null_count, r.distinct_count) for r in P.key_profile(df, "t", ["k", "s", "x"]).collect()}
+    two = {r.column_name: (r.null_count, r.distinct_count) for r in P.key_profile(df, "t", ["k", "s", "x"], batch_size=2).collect()}
+    assert one == two == {"k": (0, 3), "s": (1, 2), "x": (1, 3)}
