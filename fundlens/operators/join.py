@@ -6,7 +6,7 @@ match, so such base rows keep nulls (filled later).
 
 Broadcast policy: a right side is broadcast only after its size was checked
 (:func:`broadcast_if_small`: materialize it to the shared checkpoint folder,
-count its rows, hint a broadcast under the bound).  Above the bound the join
+observe its row count in the same job, hint a broadcast under the bound).  Above the bound the join
 stays a shuffle join, where AQE splits skewed base partitions.  Leaving the
 choice to AQE alone is not enough: AQE converts a sort-merge join only after
 the aggregate stage finished, and by then the big side's shuffle may already
@@ -20,7 +20,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fundlens.operators.aggregate import NEEDS_MEASURES
@@ -56,8 +56,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS)
     """
     if max_rows is None:
         return df
-    mat = materialize(df)
-    return F.broadcast(mat) if mat.count() <= max_rows else mat
+    # the row count is observed while the checkpoint job runs: no second job
+    rows = Observation()
+    mat = materialize(df.observe(rows, F.count(F.lit(1)).alias("rows")))
+    return F.broadcast(mat) if rows.get["rows"] <= max_rows else mat
 
 
 def run_concurrently(spark, tasks: Mapping[str, Callable[[], T]]) -> dict[str, T]:
