@@ -380,13 +380,32 @@ def key_profiles(dfs: Mapping[str, DataFrame], config: Mapping[str, Sequence[str
 
 
 def key_samples_all(
-    dfs: Mapping[str, DataFrame], config: Mapping[str, Sequence[str]], n: int = 5
+    dfs: Mapping[str, DataFrame],
+    config: Mapping[str, Sequence[str]],
+    n: int = 5,
+    materialize_inputs: bool = False,
 ) -> DataFrame | None:
-    """:func:`key_samples` for every configured column present, as one DataFrame."""
+    """:func:`key_samples` for every configured column present, as one DataFrame.
+
+    Each column is its own top-``n`` branch.  When the inputs are derived
+    (joins, aggregates), ``materialize_inputs=True`` first checkpoints just
+    the configured columns of each dataset with several of them, so the
+    input is computed once instead of once per column.
+    """
     pairs = configured_columns(dfs, config)
     if not pairs:
         return None
-    return _union_all([key_samples(dfs[d], d, c, n) for d, c in pairs])
+    sources = dict(dfs)
+    if materialize_inputs:
+        from fundlens.operators.join import materialize
+
+        by_dataset: dict[str, list[str]] = {}
+        for d, c in pairs:
+            by_dataset.setdefault(d, []).append(c)
+        for d, cols in by_dataset.items():
+            if len(cols) > 1:
+                sources[d] = materialize(dfs[d].select(*[qcol(c) for c in cols]))
+    return _union_all([key_samples(sources[d], d, c, n) for d, c in pairs])
 
 
 # Name fragments that mark candidate join keys, per key kind.

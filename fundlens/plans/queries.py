@@ -503,8 +503,14 @@ def q_key_profile(spark, sf_dir):
     ),
 )
 def q_key_samples(spark, sf_dir):
-    """The five smallest distinct values of each configured key column."""
-    return P.key_samples_all(standins.raw_datasets(spark, sf_dir), KEY_PROFILE_CONFIG, 5)
+    """The five smallest distinct values of each configured key column.
+
+    The stand-ins are derived by joins, so each one's key columns are
+    checkpointed once instead of being recomputed per column.
+    """
+    return P.key_samples_all(
+        standins.raw_datasets(spark, sf_dir), KEY_PROFILE_CONFIG, 5, materialize_inputs=True
+    )
 
 
 _TYPE_NAMES = {

@@ -139,3 +139,11 @@ def test_key_profile_batches(spark):
     one = {r.column_name: (r.null_count, r.distinct_count) for r in P.key_profile(df, "t", ["k", "s", "x"]).collect()}
     two = {r.column_name: (r.null_count, r.distinct_count) for r in P.key_profile(df, "t", ["k", "s", "x"], batch_size=2).collect()}
     assert one == two == {"k": (0, 3), "s": (1, 2), "x": (1, 3)}
+
+
+def test_key_samples_materialized_inputs_same(spark):
+    dfs = {"t": _df(spark)}
+    cfg = {"t": ["k", "s"]}
+    a = sorted(map(tuple, P.key_samples_all(dfs, cfg, 2).collect()))
+    b = sorted(map(tuple, P.key_samples_all(dfs, cfg, 2, materialize_inputs=True).collect()))
+    assert a == b and len(a) == 4
