@@ -15,18 +15,14 @@ have run.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
-from typing import TypeVar
+from collections.abc import Mapping
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fundlens.operators.aggregate import NEEDS_MEASURES
 from fundlens.operators.standardize import with_columns_if_missing
-
-T = TypeVar("T")
+from fundlens.session import run_concurrently
 
 # Default bound for broadcasting a pre-aggregated side: rows of a few short
 # keys and four numbers, so about 50 MB at most.
@@ -62,23 +58,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS)
     return F.broadcast(mat) if rows.get["rows"] <= max_rows else mat
 
 
-def run_concurrently(spark, tasks: Mapping[str, Callable[[], T]]) -> dict[str, T]:
-    """Run independent eager steps (materializations) as concurrent Spark jobs.
-
-    Each callable runs in its own driver thread, inheriting the caller's job
-    properties, so small jobs share the cluster instead of queueing.
-    """
-    if len(tasks) <= 1:
-        return {k: f() for k, f in tasks.items()}
-    from fundlens.session import checkpoint_root
-
-    checkpoint_root(spark)  # resolve the shared folder once, before the threads start
-    wrap = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-        futures = {k: pool.submit(wrap(f)) for k, f in tasks.items()}
-        return {k: f.result() for k, f in futures.items()}
-
-
 def broadcast_all_if_small(
     frames: Mapping[str, DataFrame | None], max_rows: int | None = BROADCAST_MAX_ROWS
 ) -> dict[str, DataFrame | None]:

@@ -8,9 +8,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 
 def local_session(
     cpus: int | str = "*",
@@ -75,6 +81,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def run_concurrently(
+    spark: SparkSession, tasks: Mapping[str, Callable[[], T]], resolve_checkpoint: bool = True
+) -> dict[str, T]:
+    """Run independent eager steps (materializations, writes) as concurrent Spark jobs.
+
+    Each callable runs in its own driver thread, inheriting the caller's job
+    properties, so small jobs share the cluster instead of queueing.  With
+    ``resolve_checkpoint`` the shared checkpoint folder is resolved once
+    before the threads start.
+    """
+    if len(tasks) <= 1:
+        return {k: f() for k, f in tasks.items()}
+    if resolve_checkpoint:
+        checkpoint_root(spark)  # resolve the shared folder once, before the threads start
+    wrap = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        futures = {k: pool.submit(wrap(f)) for k, f in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
@@ -86,5 +112,5 @@ def as_local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["as_local_path", "checkpoint_root", "local_session", "scratch_path"]
+__all__ = ["as_local_path", "checkpoint_root", "local_session", "run_concurrently", "scratch_path"]
 

@@ -14,6 +14,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fundlens.session import run_concurrently
+
 
 def quote_ident(name: str) -> str:
     """Back-quote each part of a (possibly qualified) identifier."""
@@ -59,18 +61,25 @@ def save_raw_tables(
     """Save each dataset as ``<database>.<prefix><name>``; failures are isolated.
 
     Returns name → None on success or the error text.  With ``location``
-    each table is written below that folder.
+    each table is written below that folder.  The writes run as concurrent
+    Spark jobs: a multi-line CSV source is one task per file, so writing the
+    datasets one after another would leave most of the cluster idle.
     """
-    status: dict[str, str | None] = {}
-    for name, df in dfs.items():
+    if not dfs:
+        return {}
+
+    def write(name: str, df: DataFrame) -> str | None:
         table = f"{database}.{prefix}{name}"
         path = f"{location.rstrip('/')}/{prefix}{name}" if location else None
         try:
             save_table(df, table, fmt=fmt, path=path)
-            status[name] = None
+            return None
         except Exception as exc:  # noqa: BLE001 - reported per table
-            status[name] = f"{type(exc).__name__}: {exc}".splitlines()[0]
-    return status
+            return f"{type(exc).__name__}: {exc}".splitlines()[0]
+
+    spark = next(iter(dfs.values())).sparkSession
+    tasks = {name: (lambda n=name, d=df: write(n, d)) for name, df in dfs.items()}
+    return run_concurrently(spark, tasks, resolve_checkpoint=False)
 
 
 def verify_table(spark: SparkSession, name: str) -> DataFrame:
