@@ -693,10 +693,26 @@ def q_table_roundtrip(spark, sf_dir):
     return spark.table("fundlens_check.features")
 
 
+# Declared types of the feature table's columns, for the read-back report.
+_FEATURE_TYPES = {
+    **{c: "string" for c in ("country_code", "cluster_code", "cluster_name", "appeal_name", "appeal_code")},
+    "year": "int",
+    "appeal_id": "bigint",
+    "startDate": "timestamp_ntz",
+    "endDate": "timestamp_ntz",
+    "sector_project_count": "bigint",
+}
+_FEATURE_SCHEMA = "struct<" + ",".join(
+    f"{c}:{_FEATURE_TYPES.get(c, 'double')}" for c in FEATURE_COLUMNS
+) + ">"
+
+
 @register(
     "table_verify",
-    with_standins("SELECT 'fundlens_check.features_verify' AS table_name, count(*) AS row_count, "
-                  "CAST(36 AS BIGINT) AS column_count FROM features"),
+    with_standins(
+        "SELECT 'fundlens_check.features_verify' AS table_name, count(*) AS row_count, "
+        f"CAST(36 AS BIGINT) AS column_count, {lit(_FEATURE_SCHEMA)} AS schema FROM features"
+    ),
 )
 def q_table_verify(spark, sf_dir):
     """Read-back report of a saved table: name, rows, columns."""

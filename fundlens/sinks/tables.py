@@ -83,12 +83,13 @@ def save_raw_tables(
 
 
 def verify_table(spark: SparkSession, name: str) -> DataFrame:
-    """One row for a table: its name, row count and column count (one job)."""
+    """One row for a table read back: name, row count, column count and schema (one job)."""
     t = spark.table(name)
     return t.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(name).alias("table_name"),
         "row_count",
         F.lit(len(t.columns)).cast("bigint").alias("column_count"),
+        F.lit(t.schema.simpleString()).alias("schema"),
     )
 
 

@@ -87,6 +87,7 @@ def test_tables_roundtrip(spark):
     assert status["x"] is None and status["bad"] is not None
     rep = verify_table(spark, "fl_test.t1").first()
     assert (rep.table_name, rep.row_count, rep.column_count) == ("fl_test.t1", 2, 2)
+    assert rep.schema == "struct<k:int,v:string>"
     names = {r.tableName for r in list_tables(spark, "fl_test").collect()}
     assert {"t1", "raw_x"} <= names
     res = load_tables(spark, {"t": "fl_test.t1", "nope": "fl_test.nope"})
