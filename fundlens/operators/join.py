@@ -31,16 +31,25 @@ BROADCAST_MAX_ROWS = 500_000
 NEEDS_JOIN_KEYS = ("country_code", "cluster_code")
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, as_table: bool = False) -> DataFrame:
     """Write ``df`` to the cluster's shared checkpoint folder and cut its lineage.
 
-    Uses a reliable ``checkpoint`` (never a local one), so the result
-    survives the loss of the executors that computed it.
+    Default: a reliable ``checkpoint()`` (never a local one), right for small
+    tables.  ``as_table=True`` writes a parquet table there instead and reads
+    it back: compressed and columnar (about a tenth of the checkpoint's size
+    for the feature base), splittable, and with file statistics for the
+    planner; the choice for large intermediates.  Either survives the loss of
+    the executors that computed it.
     """
-    from fundlens.session import checkpoint_root
-
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    from fundlens.session import checkpoint_root, scratch_path
+
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    if not as_table:
+        return df.checkpoint(eager=True)
+    path = scratch_path(spark, "table")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -404,7 +404,7 @@ def key_samples_all(
             by_dataset.setdefault(d, []).append(c)
         for d, cols in by_dataset.items():
             if len(cols) > 1:
-                sources[d] = materialize(dfs[d].select(*[qcol(c) for c in cols]))
+                sources[d] = materialize(dfs[d].select(*[qcol(c) for c in cols]), as_table=True)
     return _union_all([key_samples(sources[d], d, c, n) for d, c in pairs])
 
 

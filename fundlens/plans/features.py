@@ -66,8 +66,8 @@ def feature_stages(
     taken from the base before the joins, which keep its rows.  ``None``
     keeps the whole pipeline lazy and leaves join choice to Spark/AQE.
 
-    ``checkpoint_base=True`` writes the requirements input once to the shared
-    checkpoint folder first.  Use it when that input is itself derived by
+    ``checkpoint_base=True`` writes the requirements input once, as a parquet
+    table in the shared checkpoint folder.  Use it when that input is itself derived by
     joins or aggregations: the sector totals and the final pass then read it
     instead of recomputing it.  For a stored table it only adds a write.
     """
@@ -76,7 +76,7 @@ def feature_stages(
     totals = None
     if broadcast_max_rows is None:
         if checkpoint_base:
-            requirements = materialize(requirements)
+            requirements = materialize(requirements, as_table=True)
     else:
         # Phase 1: independent materializations run concurrently; the sector
         # totals join them unless they must wait for the checkpointed base.
@@ -92,7 +92,7 @@ def feature_stages(
 
         with_totals = sector_strategy == "aggregate"
         if checkpoint_base:
-            tasks["base"] = lambda: materialize(requirements)
+            tasks["base"] = lambda: materialize(requirements, as_table=True)
         elif with_totals:
             tasks["sector"] = lambda: _totals(requirements)
         done = run_concurrently(requirements.sparkSession, tasks)
