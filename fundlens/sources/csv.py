@@ -29,6 +29,7 @@ CSV_OPTIONS = {
     "mode": "PERMISSIVE",
 }
 TAG_PREFIX = "#"
+NULL_SENTINEL = "\u0000"  # never produced by a text field; marks "no null token"
 
 
 def drop_tag_row(df: DataFrame, column: str | None = None, prefix: str = TAG_PREFIX) -> DataFrame:
@@ -63,6 +64,7 @@ def read_csv_dataset(
     drop_tags: bool = True,
     options: Mapping[str, str] | None = None,
     multi_line: bool = True,
+    empty_as_null: bool = True,
 ) -> DataFrame:
     """Read one CSV dataset (file, folder or glob).
 
@@ -71,10 +73,15 @@ def read_csv_dataset(
     Spark to infer types instead (an extra pass over the data, and every
     column stays text when a tag row is present).  ``multi_line=False``
     makes large files splittable across tasks, for inputs known to have no
-    line break inside a quoted field.
+    line break inside a quoted field.  As with Spark's default options, an
+    empty field reads as null whether quoted or not; ``empty_as_null=False``
+    keeps a quoted empty field (``""``) as an empty string.
     """
     opts = dict(CSV_OPTIONS)
     opts["multiLine"] = "true" if multi_line else "false"
+    if not empty_as_null:
+        # unquoted empty fields still become null; "" no longer matches nullValue
+        opts["nullValue"] = NULL_SENTINEL
     opts["inferSchema"] = "true" if (infer_schema and schema is None) else "false"
     opts.update(options or {})
     df = spark.read.options(**opts).csv(path)
