@@ -681,7 +681,7 @@ def q_csv_roundtrip(spark, sf_dir):
     tags = spark.createDataFrame([tuple("#" + c.lower() for c in flows.columns)], as_text.schema)
     path = scratch_path(spark, "csv-roundtrip")
     write_csv(tags.unionByName(as_text), path)
-    return read_csv_dataset(spark, path, schema=schema)
+    return read_csv_dataset(spark, path, schema=schema, empty_as_null=False)
 
 
 @register("table_roundtrip", with_standins(f"SELECT {', '.join(FEATURE_COLUMNS)} FROM features"))
