@@ -650,11 +650,7 @@ def q_stage_audit(spark, sf_dir):
     needs_std = standardize_needs(raw["needs"])
     pop_std = standardize_population(raw["population"])
     st = feature_stages(
-        standardize_requirements(raw["requirements"]),
-        needs_std,
-        pop_std,
-        exact_scale=EXACT,
-        broadcast_max_rows=None,
+        standardize_requirements(raw["requirements"]), needs_std, pop_std, exact_scale=EXACT
     )
     frames = {
         "requirements_raw": raw["requirements"],
