@@ -137,15 +137,25 @@ def feature_pipeline(
     """Read ``<database>.raw_*``, standardize, build and (optionally) save the feature table.
 
     The requirements table is required; needs and population are optional.
+    A raw table missing from the catalog is read from ``<location>/raw_<name>``
+    when ``location`` is given (the folder ``ingest`` wrote it to), so the
+    workflow also works across sessions without a persistent metastore.
     ``feature_options`` go to :func:`fundlens.plans.features.feature_stages`.
     """
-    names = {
-        "requirements": f"{database}.raw_fts_requirements",
-        "needs": f"{database}.raw_hno",
-        "population": f"{database}.raw_population",
-        "plans": f"{database}.raw_hrp",
+    raw_names = {
+        "requirements": "raw_fts_requirements",
+        "needs": "raw_hno",
+        "population": "raw_population",
+        "plans": "raw_hrp",
     }
-    loaded = load_tables(spark, names)
+    loaded = load_tables(spark, {k: f"{database}.{v}" for k, v in raw_names.items()})
+    if location:
+        for key in list(loaded.failures):
+            try:
+                loaded.frames[key] = spark.read.parquet(f"{location.rstrip('/')}/{raw_names[key]}")
+                del loaded.failures[key]
+            except Exception as exc:  # noqa: BLE001 - still reported as missing
+                loaded.failures[key] += f"; {type(exc).__name__}: {exc}".splitlines()[0]
     if "requirements" not in loaded.frames:
         raise ValueError(f"requirements table missing: {loaded.failures.get('requirements')}")
     raw = loaded.frames
@@ -160,6 +170,7 @@ def feature_pipeline(
         {"base": st.base, "after_needs": st.after_needs, "after_population": st.after_population}
     )
     if output_table:
+        ensure_database(spark, database, location=location)
         path = f"{location.rstrip('/')}/{output_table}" if location else None
         save_table(st.features, f"{database}.{output_table}", path=path)
         features = spark.table(f"{database}.{output_table}")
