@@ -67,3 +67,15 @@ def test_command_line(spark, capsys):
     out = capsys.readouterr().out
     assert "skipped hno" in out and "== quality" in out and "funding_gap_pct" in out
     assert spark.table("fl_cli.features").count() == 4
+
+
+def test_feature_pipeline_without_catalog_entries(spark):
+    """A new session without a persistent metastore: raw tables are read from the folder."""
+    d = tempfile.mkdtemp(prefix="fundlens-inputs-")
+    with open(os.path.join(d, "fts_requirements_funding_globalcluster_global.csv"), "w") as fh:
+        fh.write(REQ)
+    loc = tempfile.mkdtemp(prefix="fundlens-db-")
+    ingest(spark, d, "fl_gone", location=loc)
+    spark.sql("DROP DATABASE fl_gone CASCADE")  # external tables: the parquet files stay
+    res = feature_pipeline(spark, "fl_gone", location=loc)
+    assert res.features.count() == 4 and "requirements" not in res.failures
