@@ -80,3 +80,24 @@ def test_feature_pipeline_without_catalog_entries(spark):
     spark.sql("DROP TABLE fl_gone.raw_fts_requirements")
     res = feature_pipeline(spark, "fl_gone", location=loc)
     assert res.features.count() == 4 and "requirements" not in res.failures
+
+
+def test_ingest_with_schema_profiles_numbers(spark):
+    from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+
+    d = tempfile.mkdtemp(prefix="fundlens-inputs-")
+    with open(os.path.join(d, "fts_requirements_funding_globalcluster_global.csv"), "w") as fh:
+        fh.write(REQ)
+    schema = StructType(
+        [
+            StructField("countryCode", StringType()),
+            StructField("year", IntegerType()),
+            StructField("requirements", DoubleType()),
+        ]
+    )
+    rep = ingest(
+        spark, d, "fl_typed", location=tempfile.mkdtemp(prefix="fundlens-db-"),
+        schemas={"fts_requirements": schema},
+    )
+    stats = {r.column_name: (r.min, r.max) for r in rep.numeric.collect()}
+    assert stats == {"year": (2023.0, 2024.0), "requirements": (0.0, 300.0)}
