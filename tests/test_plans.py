@@ -12,10 +12,13 @@ def _plan(df):
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_python_udf_in_plan(spark, name):
+def test_no_python_udf_or_cross_join_in_plan(spark, name):
     plan = _plan(entry.queries()[name](spark, SF))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in plan, (name, node)
+    # no cross joins / all-pairs joins anywhere
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan, (name, node)
 
 
 def test_window_strategy_has_one_window_node(spark):
