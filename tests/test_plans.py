@@ -50,3 +50,19 @@ def test_flagship_final_plan_has_no_shuffle(spark):
     final = df._jdf.queryExecution().executedPlan().executedPlan().toString()
     assert "Exchange hashpartitioning" not in final and "SortMergeJoin" not in final
     assert final.count("BroadcastHashJoin") == 3
+
+
+def test_library_never_pulls_data_to_the_driver():
+    """No collect/toPandas/take/RDD access anywhere in the library code."""
+    import re
+    from pathlib import Path
+
+    pattern = re.compile(r"\.(collect|toPandas|take|head|first)\(\)|\.rdd\b|\.toLocalIterator\(")
+    root = Path(__file__).resolve().parents[1] / "fundlens"
+    hits = [
+        f"{p.relative_to(root)}:{i}"
+        for p in root.rglob("*.py")
+        for i, line in enumerate(p.read_text().splitlines(), 1)
+        if pattern.search(line)
+    ]
+    assert hits == []
