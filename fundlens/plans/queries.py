@@ -360,9 +360,8 @@ _NULL_PROFILE_SQL = (
 
 
 def _raw_null_profile(spark, sf_dir):
-    raw = standins.raw_datasets(spark, sf_dir)
-    return P.null_counts(raw["requirements"], "requirements").unionByName(
-        P.null_counts(raw["needs"], "needs")
+    return P.null_counts(standins.requirements_raw(spark, sf_dir), "requirements").unionByName(
+        P.null_counts(standins.needs_raw(spark, sf_dir), "needs")
     )
 
 
