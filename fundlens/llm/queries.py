@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.llm import langid, mixing, quality, tokenize_bpe, toxicity
+from fundlens.llm import jaccard_join, langid, mixing, pii, quality, tokenize_bpe, toxicity
 from fundlens.llm.common import held_out, read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -39,6 +39,18 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_fold(langid.predict(docs, net), 5, 0)
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+# The key of the registered query only; a real run passes its own secret.
+PII_KEY = "registered query"
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(read_table(spark, sf_dir, "documents"), PII_KEY)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return quality.assess(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
@@ -72,6 +84,8 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
     "op3_langid": op3_langid,
+    "op4_jaccard": op4_jaccard,
+    "op5_pii": op5_pii,
     "op8_quality": op8_quality,
     "op10_mixing": op10_mixing,
 }
