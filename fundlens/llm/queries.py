@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.llm import jaccard_join, langid, mixing, pii, quality, tokenize_bpe, toxicity
+from fundlens.llm import jaccard_join, langid, lm_ppm, mixing, pii, quality, tokenize_bpe, toxicity
 from fundlens.llm.common import held_out, read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -56,6 +56,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return _with_fold(lm_ppm.score_documents(docs, ~held_out(F.col("doc_id"), 7, 2)), 7, 2)
+
+
 MIX = {"temperature": 0.5, "epochs": 1.0, "seed": 17}
 
 
@@ -87,6 +92,7 @@ QUERIES = {
     "op4_jaccard": op4_jaccard,
     "op5_pii": op5_pii,
     "op8_quality": op8_quality,
+    "op9_ppm": op9_ppm,
     "op10_mixing": op10_mixing,
 }
 
