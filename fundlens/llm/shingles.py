@@ -24,7 +24,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-_POWERS = np.cumprod(np.full(1 << 10, BASE, np.uint64))
+POWERS = np.cumprod(np.full(1 << 10, BASE, np.uint64))
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -42,7 +42,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     lengths = ends - starts
     at = np.flatnonzero(~space)
     place = np.arange(len(at)) - np.repeat(np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths)
-    code = BYTE_CODE[FOLD[raw[at]]] * _POWERS[place & 1023]
+    code = BYTE_CODE[FOLD[raw[at]]] * POWERS[place & (len(POWERS) - 1)]
     if lengths.max() > 1024:
         code = code * (PLACES[0] + np.uint64(2) * (place >> 10).astype(np.uint64))
     sums = np.add.reduceat(code, np.concatenate([[0], np.cumsum(lengths)[:-1]]))
