@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.llm import jaccard_join, langid, line_dedup, lm_ppm, mixing, pii, quality, tokenize_bpe, toxicity
+from fundlens.llm import jaccard_join, langid, line_dedup, lm_ppm, mixing, nn_descent, pii, quality, tokenize_bpe, toxicity
 from fundlens.llm.common import held_out, read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -51,6 +51,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(read_table(spark, sf_dir, "documents"), PII_KEY)
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs, count_col="lines_deleted")
@@ -96,6 +100,7 @@ QUERIES = {
     "op3_langid": op3_langid,
     "op4_jaccard": op4_jaccard,
     "op5_pii": op5_pii,
+    "op6_nn_descent": op6_nn_descent,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality": op8_quality,
     "op9_ppm": op9_ppm,
