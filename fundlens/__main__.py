@@ -39,12 +39,14 @@ def main(argv: list[str] | None = None) -> int:
             print(f"skipped {name}: {err}")
         for title, df in [
             ("shape", rep.shape),
-            ("nulls", rep.nulls.filter("null_count > 0")),
+            ("nulls", rep.nulls.filter("null_count > 0") if rep.nulls is not None else None),
             ("top cardinality", rep.top_cardinality),
             ("numeric", rep.numeric),
             ("join key candidates", rep.join_key_candidates),
             ("key columns", rep.key_profile),
             ("key samples", rep.key_samples),
+            ("tables", rep.tables),
+            *((f"first rows of {n}", df) for n, df in rep.previews.items()),
         ]:
             if df is not None:
                 print(f"== {title}")
@@ -58,10 +60,13 @@ def main(argv: list[str] | None = None) -> int:
             sector_strategy="window" if args.window else "aggregate",
             exact_scale=args.exact_scale,
         )
+        for name, err in sorted(res.failures.items()):
+            print(f"missing {name}: {err}")
         for title, df in [
             ("stage audit", res.audit),
             ("quality", res.quality),
             ("feature statistics", res.feature_stats),
+            ("first rows", res.preview),
         ]:
             print(f"== {title}")
             df.show(200, truncate=False)

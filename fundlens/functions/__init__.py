@@ -10,7 +10,6 @@ from fundlens.functions.columns import (
     resolve_columns,
     safe_ratio,
     sum_measure,
-    sum_measure_sql,
     typed_null,
 )
 from fundlens.functions.multivalue import explode_multi, split_multi
@@ -27,6 +26,5 @@ __all__ = [
     "safe_ratio",
     "split_multi",
     "sum_measure",
-    "sum_measure_sql",
     "typed_null",
 ]

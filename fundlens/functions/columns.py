@@ -90,31 +90,19 @@ def sum_measure(
 
     ``exact_scale=None`` is a plain double sum (fast, but the last bits depend
     on how rows are partitioned).  With ``exact_scale=k`` every value is
-    rounded to ``10**-k`` units and summed as a 64-bit integer, so the total
-    is identical for any partitioning and in any SQL engine that rounds the
-    same way; the long sum stays inside codegen, unlike a wide decimal sum.
+    rounded half up to ``10**-k`` units (a smaller value counts as 0) and summed
+    as integers, so the total is identical for any partitioning and in any SQL
+    engine that rounds the same way.  The sums are longs, inside codegen, and
+    do not overflow for values below 9e18 units; a NaN makes the total NaN.
     """
     if exact_scale is None:
         total = F.sum(c.cast(DoubleType()))
         return total if over is None else total.over(over)
     unit = 10**exact_scale
-    units = F.round(c.cast(DoubleType()) * unit).cast("bigint")
-    total = F.sum(units)
-    if over is not None:
-        total = total.over(over)
-    return total.cast(DoubleType()) / F.lit(float(unit))
-
-
-def sum_measure_sql(expr: str, exact_scale: int | None = None, over: str = "") -> str:
-    """SQL text of :func:`sum_measure` (same arithmetic), for oracle queries.
-
-    ``over`` is an optional window clause such as ``"OVER (PARTITION BY k)"``.
-    """
-    tail = f" {over}" if over else ""
-    if exact_scale is None:
-        return f"sum(CAST({expr} AS DOUBLE)){tail}"
-    unit = 10**exact_scale
-    return (
-        f"CAST(sum(CAST(round(CAST({expr} AS DOUBLE) * {unit}) AS BIGINT)){tail} AS DOUBLE)"
-        f" / CAST({unit} AS DOUBLE)"
-    )
+    value = c.cast(DoubleType())
+    units = F.when(~F.isnan(value), F.round(value * unit).cast("bigint"))
+    # two long sums, of the high and the low 32 bits, cannot overflow where one would
+    parts = [F.sum(F.shiftright(units, 32)), F.sum(units.bitwiseAND(0xFFFFFFFF)), F.max(F.isnan(value))]
+    high, low, nan = parts if over is None else [p.over(over) for p in parts]
+    total = high.cast("decimal(19,0)") * F.lit(2**32).cast("decimal(10,0)") + low.cast("decimal(19,0)")
+    return F.when(nan, F.lit(float("nan"))).otherwise(total.cast(DoubleType()) / F.lit(float(unit)))

@@ -17,9 +17,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from fundlens.functions.columns import qcol
 from fundlens.operators.aggregate import NEEDS_MEASURES
 from fundlens.operators.standardize import with_columns_if_missing
 from fundlens.session import run_concurrently
@@ -27,6 +28,8 @@ from fundlens.session import run_concurrently
 # Default bound for broadcasting a pre-aggregated side: rows of a few short
 # keys and four numbers, so about 50 MB at most.
 BROADCAST_MAX_ROWS = 500_000
+# And of its values' bytes, whatever the rows.
+BROADCAST_MAX_BYTES = 64 << 20
 
 NEEDS_JOIN_KEYS = ("country_code", "cluster_code")
 
@@ -52,8 +55,24 @@ def materialize(df: DataFrame, as_table: bool = False) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``df`` materialized and, if it has at most ``max_rows`` rows, hinted for broadcast.
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values: the length of text and binary, 8 for a number, 8 per element of an array."""
+    total = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        kind, c = f.dataType.typeName(), qcol(f.name)
+        if kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        else:
+            total = total + 8
+    return total
+
+
+def broadcast_if_small(
+    df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
+) -> DataFrame:
+    """``df`` materialized and, if it has at most ``max_rows`` rows and ``max_bytes`` bytes, hinted for broadcast.
 
     ``max_rows=None`` returns ``df`` unchanged and lazy (Spark and AQE pick
     the join).  Meant for derived tables whose size is not known in advance
@@ -61,10 +80,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS)
     """
     if max_rows is None:
         return df
-    # the row count is observed while the checkpoint job runs: no second job
-    rows = Observation()
-    mat = materialize(df.observe(rows, F.count(F.lit(1)).alias("rows")))
-    return F.broadcast(mat) if rows.get["rows"] <= max_rows else mat
+    # rows and bytes are observed while the checkpoint job runs: no second job
+    size = Observation()
+    seen = df.observe(size, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes"))
+    mat = materialize(seen)
+    small = size.get["rows"] <= max_rows and (size.get["bytes"] or 0) <= max_bytes
+    return F.broadcast(mat) if small else mat
 
 
 def broadcast_all_if_small(

@@ -11,10 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
+    DecimalType,
+    FractionalType,
     LongType,
     MapType,
     NumericType,
@@ -26,7 +28,7 @@ from pyspark.sql.types import (
 from fundlens.functions.columns import qcol
 
 
-def _union_all(frames: Sequence[DataFrame]) -> DataFrame:
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -72,7 +74,7 @@ def profile_shape(dfs: Mapping[str, DataFrame]) -> DataFrame:
         )
         for name, df in dfs.items()
     ]
-    return _union_all(frames)
+    return union_all(frames)
 
 
 # ------------------------------------------------------------------- nulls
@@ -151,17 +153,16 @@ def distinct_counts(
     approx: bool = False,
     rsd: float = 0.05,
     single_pass: bool = False,
-    batch_size: int | None = None,
+    batch_size: int = 1,
 ) -> DataFrame:
     """Distinct non-null values per column.
 
     Exact (default): small aggregates over batches of columns, combined with
-    ``union`` into one job.  With one column per batch (the default up to 32
-    columns) each branch reads only its own column from a columnar source and
-    de-duplicates map-side before its shuffle, avoiding the row-multiplying
-    ``Expand`` of many ``countDistinct`` in one aggregate; wider tables use
-    batches of 8 (an 8-way ``Expand`` per branch), which bounds the number of
-    scans and the plan size.  ``single_pass=True`` puts every column in one
+    ``union`` into one job.  With one column per batch (the default) each
+    branch reads only its own column from a columnar source and de-duplicates
+    map-side before its shuffle, avoiding the row-multiplying ``Expand`` of
+    many ``countDistinct`` in one aggregate; a larger ``batch_size`` bounds
+    the number of scans and the plan size of very wide tables.  ``single_pass=True`` puts every column in one
     aggregate, which computes an expensive derived DataFrame only once.
     ``approx=True`` uses HyperLogLog++ sketches in a single pass (relative
     error ``rsd``), the choice for very wide or very large tables.  Columns of
@@ -173,7 +174,7 @@ def distinct_counts(
     if approx or single_pass:
         size = max(len(ok), 1)
     else:
-        size = batch_size or (1 if len(ok) <= 32 else 8)
+        size = batch_size
     parts = [_distinct_batch(df, ok[i : i + size], approx, rsd) for i in range(0, len(ok), size)]
     bad = [c for c in cols if c not in ok]
     if bad:
@@ -182,15 +183,18 @@ def distinct_counts(
                 [(c, None) for c in bad], "column_name string, distinct_count bigint"
             )
         )
-    out = _union_all(parts)
+    out = union_all(parts)
     return out.select(F.lit(dataset).alias("dataset"), "column_name", "distinct_count")
 
 
 def top_cardinality(profile: DataFrame, n: int = 15) -> DataFrame:
-    """The ``n`` columns with most distinct values (unknown counts sort as 0)."""
-    return profile.orderBy(
-        F.coalesce(F.col("distinct_count"), F.lit(0)).desc(), F.col("column_name")
-    ).limit(n)
+    """Of each dataset the ``n`` columns with most distinct values (unknown counts sort as 0).
+
+    Ties go to the smaller column name.  The window runs over the profile, one row per column.
+    """
+    by_count = Window.partitionBy("dataset").orderBy(F.coalesce("distinct_count", F.lit(0)).desc(), "column_name")
+    ranked = profile.withColumn("__rank", F.row_number().over(by_count))
+    return ranked.filter(F.col("__rank") <= n).drop("__rank")
 
 
 def sample_rows(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> DataFrame:
@@ -203,8 +207,8 @@ def sample_rows(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None
 # ----------------------------------------------------------------- numeric
 
 
-def numeric_columns(df: DataFrame, max_columns: int | None = 10) -> list[str]:
-    """Names of numeric columns (any ``NumericType``), the first ``max_columns``."""
+def numeric_columns(df: DataFrame, max_columns: int | None = None) -> list[str]:
+    """Names of the numeric columns (any ``NumericType``); only the first ``max_columns`` if asked."""
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     return names if max_columns is None else names[:max_columns]
 
@@ -217,23 +221,34 @@ def numeric_stats(
 ) -> DataFrame:
     """min, max, avg and sample stddev per numeric column, in one pass.
 
-    Values are reported as double.  An all-null column yields nulls rather
-    than disappearing.
+    Values are reported as double; ``exact_min`` and ``exact_max`` spell the
+    extremes of integer and decimal columns, which a double may not hold (null
+    for floating columns).  An all-null column yields nulls rather than
+    disappearing; without a numeric column there are no rows.
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
+    types = {f.name: f.dataType for f in df.schema.fields}
     aggs = []
     for i, c in enumerate(cols):
         v = qcol(c).cast("double")
-        aggs += [F.min(v).alias(f"mn{i}"), F.max(v).alias(f"mx{i}"), F.avg(v).alias(f"av{i}")]
+        aggs += [F.min(qcol(c)).alias(f"mn{i}"), F.max(qcol(c)).alias(f"mx{i}"), F.avg(v).alias(f"av{i}")]
         if stddev:
             aggs.append(F.stddev_samp(v).alias(f"sd{i}"))
+    if not cols:
+        empty = "dataset string, column_name string, min double, max double, exact_min string, exact_max string, avg double"
+        return df.sparkSession.createDataFrame([], empty + (", stddev double" if stddev else ""))
     agg = df.agg(*aggs)
     structs = []
     for i, c in enumerate(cols):
+        spell = lambda x, floating=isinstance(types[c], FractionalType) and not isinstance(types[c], DecimalType): (
+            F.lit(None).cast("string") if floating else F.col(x).cast("string")
+        )
         fields = [
             F.lit(c).alias("column_name"),
-            F.col(f"mn{i}").alias("min"),
-            F.col(f"mx{i}").alias("max"),
+            F.col(f"mn{i}").cast("double").alias("min"),
+            F.col(f"mx{i}").cast("double").alias("max"),
+            spell(f"mn{i}").alias("exact_min"),
+            spell(f"mx{i}").alias("exact_max"),
             F.col(f"av{i}").alias("avg"),
         ]
         if stddev:
@@ -287,19 +302,17 @@ def feature_stats(
 
 
 def key_profile(
-    df: DataFrame, dataset: str, columns: str | Sequence[str], batch_size: int = 8
+    df: DataFrame, dataset: str, columns: str | Sequence[str], batch_size: int | None = None
 ) -> DataFrame:
     """Null count, null % and distinct non-null count of key columns.
 
-    Up to ``batch_size`` columns share one aggregate, so the dataset is
-    computed once per batch (Spark expands each row once per distinct column,
-    with map-side de-duplication); that is cheaper than one pass per column
-    when the dataset is derived by joins, and the batch bound keeps the
-    expansion small.
+    All columns share one aggregate, so the dataset is computed once (Spark
+    expands each row once per distinct column, with map-side de-duplication);
+    ``batch_size`` splits many columns into several aggregates if asked.
     """
     cols = [columns] if isinstance(columns, str) else list(columns)
-    if len(cols) > batch_size:
-        return _union_all(
+    if batch_size and len(cols) > batch_size:
+        return union_all(
             [key_profile(df, dataset, cols[i : i + batch_size], batch_size) for i in range(0, len(cols), batch_size)]
         )
     aggs = [F.count(F.lit(1)).alias("row_count")]
@@ -376,7 +389,7 @@ def key_profiles(dfs: Mapping[str, DataFrame], config: Mapping[str, Sequence[str
     by_dataset: dict[str, list[str]] = {}
     for d, c in pairs:
         by_dataset.setdefault(d, []).append(c)
-    return _union_all([key_profile(dfs[d], d, cols) for d, cols in by_dataset.items()])
+    return union_all([key_profile(dfs[d], d, cols) for d, cols in by_dataset.items()])
 
 
 def key_samples_all(
@@ -405,7 +418,7 @@ def key_samples_all(
         for d, cols in by_dataset.items():
             if len(cols) > 1:
                 sources[d] = materialize(dfs[d].select(*[qcol(c) for c in cols]), as_table=True)
-    return _union_all([key_samples(sources[d], d, c, n) for d, c in pairs])
+    return union_all([key_samples(sources[d], d, c, n) for d, c in pairs])
 
 
 # Name fragments that mark candidate join keys, per key kind.

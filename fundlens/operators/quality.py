@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundlens.operators.profile import _union_all, null_counts, null_ranking
+from fundlens.functions.columns import qcol
+from fundlens.operators.profile import union_all, null_counts, null_ranking
 
 # Columns checked by the quality report, and the join keys
 # among them that are expected to have no nulls.
@@ -42,10 +43,14 @@ def quality_report(
     """Null count and % for the checked columns, with a key expectation flag.
 
     ``expect_non_null`` marks join keys; ``expectation_failed`` is true for a
-    join key that has nulls.  One aggregate pass computes all counts.
+    join key that has nulls or, as ``absent`` says, is not there at all: each
+    checked column has a row.  One aggregate pass computes all counts.
     """
-    present = [c for c in columns if c in features.columns]
-    report = null_counts(features, dataset, present)
+    spark_columns = set(features.columns)
+    checked = features.select(*[qcol(c) if c in spark_columns else F.lit(None).cast("string").alias(c) for c in columns])
+    report = null_counts(checked, dataset)
+    missing = [c for c in columns if c not in spark_columns]
+    absent = F.col("column_name").isin(missing) if missing else F.lit(False)
     keys = F.array(*[F.lit(k) for k in non_null_keys])
     expect = F.array_contains(keys, F.col("column_name"))
     return report.select(
@@ -55,7 +60,8 @@ def quality_report(
         "row_count",
         "null_pct",
         expect.alias("expect_non_null"),
-        (expect & (F.col("null_count") > 0)).alias("expectation_failed"),
+        absent.alias("absent"),
+        (absent | (expect & (F.col("null_count") > 0))).alias("expectation_failed"),
     )
 
 
@@ -67,7 +73,7 @@ def stage_audit(stages: Mapping[str, DataFrame]) -> DataFrame:
         )
         for i, (name, df) in enumerate(stages.items())
     ]
-    return _union_all(frames)
+    return union_all(frames)
 
 
 def join_preserves_rows(audit: DataFrame, before: str, after: str) -> DataFrame:

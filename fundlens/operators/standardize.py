@@ -83,12 +83,12 @@ REQUIREMENTS_KEYS = ("country_code", "year")
 
 NEEDS_FIELDS = (
     FieldSpec("country_code", ("country_iso3", "Country ISO3"), "string"),
-    FieldSpec("cluster_code", ("sector_cluster_code", "Cluster"), "string", required=False),
+    FieldSpec("cluster_code", ("sector_cluster_code", "Cluster"), "string"),
     FieldSpec("population", ("population", "Population"), "double", required=False),
-    FieldSpec("inneed", ("inneed", "In Need"), "double", required=False),
-    FieldSpec("targeted", ("targeted", "Targeted"), "double", required=False),
-    FieldSpec("affected", ("affected", "Affected"), "double", required=False),
-    FieldSpec("reached", ("reached", "Reached"), "double", required=False),
+    FieldSpec("inneed", ("inneed", "In Need"), "double"),
+    FieldSpec("targeted", ("targeted", "Targeted"), "double"),
+    FieldSpec("affected", ("affected", "Affected"), "double"),
+    FieldSpec("reached", ("reached", "Reached"), "double"),
 )
 NEEDS_KEYS = ("country_code",)
 

@@ -1,22 +1,22 @@
 """Reference SQL for the correctness oracle (DuckDB dialect, also valid Spark SQL
 where noted).
 
-Written independently of the DataFrame code: each query restates the
-operator's semantics in plain SQL over the driver tables (pre-registered
-views ``orders``, ``lineitem``, ...).  Money sums use the same exact
-integer-unit arithmetic as ``sum_measure(..., exact_scale=2)``.
+Written independently of the DataFrame code: nothing is imported from the
+library, each query restates the operator's semantics and its column lists in
+plain SQL over the driver tables (pre-registered views ``orders``,
+``lineitem``, ...).
 """
 
 from __future__ import annotations
 
-from fundlens.functions.columns import sum_measure_sql
 
 EXACT = 2  # scale of the exact money sums used by every registered query
 
 
 def money_sql(expr: str, over: str = "") -> str:
-    """SQL of an exact money sum (the registered queries' ``exact_scale``)."""
-    return sum_measure_sql(expr, EXACT, over)
+    """SQL of an exact money sum: rounded to cents, summed as integers."""
+    cents = f"CAST(round(CAST({expr} AS DOUBLE) * 100) AS BIGINT)"
+    return f"CAST(sum({cents}) {over} AS DOUBLE) / CAST(100 AS DOUBLE)"
 
 
 _s = money_sql
@@ -60,7 +60,7 @@ requirements_raw AS (
   FROM requirements_pre
 ),
 needs_raw AS (
-  SELECT n_name AS country_iso3,
+  SELECT CASE WHEN n_regionkey = 0 THEN concat('X-', n_name) ELSE n_name END AS country_iso3,
          c_mktsegment AS Cluster,
          c_acctbal * 3 AS population,
          c_acctbal AS "In Need",
@@ -68,17 +68,15 @@ needs_raw AS (
          CASE WHEN c_custkey % 4 = 0 THEN c_acctbal END AS affected,
          CASE WHEN c_custkey % 7 = 0 THEN c_acctbal END AS reached
   FROM customer JOIN nation ON c_nationkey = n_nationkey
-  WHERE n_regionkey <> 0
 ),
 population_raw AS (
-  SELECT n_name AS ISO3,
+  SELECT CASE WHEN n_regionkey = 1 THEN concat('X-', n_name) ELSE n_name END AS ISO3,
          lower(n_name) AS Country,
          CAST(year(l_shipdate) AS INT) AS Reference_year,
          l_quantity AS Population
   FROM lineitem
   JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation ON s_nationkey = n_nationkey
-  WHERE n_regionkey <> 1
 ),
 plans_raw AS (
   SELECT CASE WHEN o_orderkey % 23 <> 0 THEN n_name END AS locations,
@@ -239,3 +237,48 @@ features AS (
 def with_standins(select: str) -> str:
     """A full statement: the stand-in CTEs followed by ``select``."""
     return "WITH " + STANDIN_CTES.strip() + "\n" + select.strip()
+
+
+# Column lists as the reports must show them (fixed values, in order).
+KEYS = "appeal_id country_code year cluster_code".split()
+FEATURES = """
+country_code year cluster_code cluster_name appeal_id appeal_name appeal_code startDate endDate
+total_requirements_usd total_funding_usd funding_percent targeted inneed affected reached population
+beneficiary_to_funding_ratio need_to_requirements_ratio targeting_coverage_rate funding_gap_usd
+funding_gap_pct funding_coverage_rate cost_per_beneficiary cost_per_capita requirement_per_capita
+funding_coverage_pct requirement_coverage_pct sector_total_requirements_usd sector_total_funding_usd
+sector_total_gap_usd sector_project_count project_funding_share_of_sector_pct
+project_requirement_share_of_sector_pct sector_funding_efficiency_pct project_funding_status_vs_sector_avg
+""".split()
+BASE = """
+country_code year cluster_code cluster_name appeal_id appeal_name appeal_code startDate endDate
+total_requirements_usd total_funding_usd funding_percent targeted inneed affected reached population
+""".split()
+PROJECT = """
+beneficiary_to_funding_ratio need_to_requirements_ratio targeting_coverage_rate funding_gap_usd
+funding_gap_pct funding_coverage_rate cost_per_beneficiary
+""".split()
+POPULATION = """
+cost_per_capita requirement_per_capita funding_coverage_pct requirement_coverage_pct
+""".split()
+SECTOR = """
+sector_total_requirements_usd sector_total_funding_usd sector_total_gap_usd sector_project_count
+project_funding_share_of_sector_pct project_requirement_share_of_sector_pct sector_funding_efficiency_pct
+project_funding_status_vs_sector_avg
+""".split()
+STAT_GROUPS = {
+    "project": "beneficiary_to_funding_ratio need_to_requirements_ratio targeting_coverage_rate funding_gap_pct funding_coverage_rate cost_per_beneficiary".split(),
+    "population": "cost_per_capita requirement_per_capita funding_coverage_pct requirement_coverage_pct".split(),
+    "sector": "project_funding_share_of_sector_pct project_requirement_share_of_sector_pct sector_funding_efficiency_pct project_funding_status_vs_sector_avg".split(),
+}
+CHECKED = """
+country_code year cluster_code total_requirements_usd total_funding_usd funding_gap_pct cost_per_beneficiary
+targeted inneed population sector_total_funding_usd sector_project_count
+""".split()
+KEY_TERMS = {
+    "country": "country countrycode code iso3 iso2".split(),
+    "cluster": "cluster sector cluster_name sector_name clustercode clusterid".split(),
+    "year": "year date_year year_start year_end".split(),
+    "appeal_id": "appeal appeal_id appeal_code plan_id activity_id".split(),
+    "funding": "funding amount value".split(),
+}

@@ -12,6 +12,7 @@ last double bits depend on summation order in any engine.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,6 @@ from fundlens.operators.aggregate import (
 )
 from fundlens.operators.features import (
     BASE_COLUMNS,
-    FEATURE_COLUMNS,
     POPULATION_FEATURES,
     PROJECT_FEATURES,
     SECTOR_RATIOS,
@@ -39,6 +39,7 @@ from fundlens.operators.join import (
     broadcast_all_if_small,
     join_needs,
     join_population,
+    materialize,
 )
 from fundlens.operators.quality import (
     QUALITY_KEY_COLUMNS,
@@ -47,16 +48,22 @@ from fundlens.operators.quality import (
     stage_audit,
 )
 from fundlens.operators.standardize import (
+    FieldSpec,
+    null_rows,
+    standardize,
     standardize_needs,
     standardize_plans,
     standardize_population,
     standardize_requirements,
 )
 from fundlens.plans.features import feature_stages
+from fundlens.plans import oracle as O
 from fundlens.plans.oracle import EXACT, money_sql, with_standins
 from fundlens.sources import standins
-from fundlens.sources.csv import read_csv_dataset, write_csv
-from fundlens.sinks.tables import ensure_database, save_table, verify_table
+from fundlens.plans.workflows import ingest
+from fundlens.sources.catalog import load_tables
+from fundlens.sources.csv import load_datasets, read_csv_dataset, write_csv
+from fundlens.sinks.tables import ensure_database, list_tables, persisted, save_raw_tables, save_table, verify_table
 from fundlens.session import scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -119,21 +126,20 @@ def _stages(spark: SparkSession, sf_dir: str, strategy: str = "aggregate", **kw)
     )
 
 
-def _small_sides(spark: SparkSession, sf_dir: str) -> dict:
-    """Needs and population per-group tables, checked and broadcast (concurrent jobs)."""
-    return broadcast_all_if_small(
-        {
-            "needs": needs_by_country_cluster(needs_standardized(spark, sf_dir), EXACT),
-            "population": population_by_country_year(population_standardized(spark, sf_dir), EXACT),
-        }
-    )
+def _small_sides(spark: SparkSession, sf_dir: str, *sides: str) -> dict:
+    """The named per-group tables (needs, population), checked and broadcast in concurrent jobs."""
+    build = {
+        "needs": lambda: needs_by_country_cluster(needs_standardized(spark, sf_dir), EXACT),
+        "population": lambda: population_by_country_year(population_standardized(spark, sf_dir), EXACT),
+    }
+    return broadcast_all_if_small({k: build[k]() for k in sides})
 
 
-def _filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base ⟕ needs ⟕ population, filled; both small sides broadcast after a check."""
-    small = _small_sides(spark, sf_dir)
+def _filled(spark: SparkSession, sf_dir: str, *sides: str) -> DataFrame:
+    """Base ⟕ the named sides, filled; an unnamed side is absent (its measures are 0)."""
+    small = _small_sides(spark, sf_dir, *sides)
     base = requirements_standardized(spark, sf_dir)
-    return fill_measures(join_population(join_needs(base, small["needs"]), small["population"]))
+    return fill_measures(join_population(join_needs(base, small.get("needs")), small.get("population")))
 
 
 def _to_float(df: DataFrame, columns) -> DataFrame:
@@ -193,12 +199,12 @@ def q_needs_by_country_cluster(spark, sf_dir):
 
 @register("join_needs", with_standins("SELECT * FROM after_needs"))
 def q_join_needs(spark, sf_dir):
-    return join_needs(requirements_standardized(spark, sf_dir), _small_sides(spark, sf_dir)["needs"])
+    return join_needs(requirements_standardized(spark, sf_dir), _small_sides(spark, sf_dir, "needs")["needs"])
 
 
 @register("join_population", with_standins("SELECT * FROM after_population"))
 def q_join_population(spark, sf_dir):
-    small = _small_sides(spark, sf_dir)
+    small = _small_sides(spark, sf_dir, "needs", "population")
     base = requirements_standardized(spark, sf_dir)
     return join_population(join_needs(base, small["needs"]), small["population"])
 
@@ -225,7 +231,7 @@ def q_join_missing_input(spark, sf_dir):
 
 @register("filled_measures", with_standins("SELECT * FROM filled"))
 def q_filled_measures(spark, sf_dir):
-    return _filled(spark, sf_dir).select(*BASE_COLUMNS)
+    return _filled(spark, sf_dir, "needs", "population").select(*BASE_COLUMNS)
 
 
 # ---------------------------------------------------------------- features
@@ -235,48 +241,52 @@ _FEATURE_KEYS = ("appeal_id", "country_code", "year", "cluster_code")
 
 @register(
     "features_project",
-    with_standins(f"SELECT {', '.join(_FEATURE_KEYS + PROJECT_FEATURES)} FROM project_features"),
+    with_standins(f"SELECT {', '.join(O.KEYS + O.PROJECT)} FROM project_features"),
 )
 def q_features_project(spark, sf_dir):
-    filled = _filled(spark, sf_dir)
+    filled = _filled(spark, sf_dir, "needs")
     return add_project_features(filled).select(*_FEATURE_KEYS, *PROJECT_FEATURES)
 
 
 @register(
     "features_population",
     with_standins(
-        f"SELECT {', '.join(_FEATURE_KEYS + POPULATION_FEATURES)} FROM population_features"
+        f"SELECT {', '.join(O.KEYS + O.POPULATION)} FROM population_features"
     ),
 )
 def q_features_population(spark, sf_dir):
-    filled = _filled(spark, sf_dir)
+    filled = _filled(spark, sf_dir, "population")
     return add_population_features(filled).select(*_FEATURE_KEYS, *POPULATION_FEATURES)
 
 
 _SECTOR_SQL = with_standins(
-    f"SELECT {', '.join(_FEATURE_KEYS + SECTOR_TOTALS + SECTOR_RATIOS)} FROM features"
+    f"SELECT {', '.join(O.KEYS + O.SECTOR)} FROM features"
 )
 
 
+def _sector(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    """The sector columns need the base alone: it is written once, totalled and joined back."""
+    st = feature_stages(requirements_standardized(spark, sf_dir), None, None, exact_scale=EXACT, checkpoint_base=True, **kw)
+    return st.features.select(*_FEATURE_KEYS, *SECTOR_TOTALS, *SECTOR_RATIOS)
+
+
 @register("features_sector", _SECTOR_SQL)
 def q_features_sector(spark, sf_dir):
-    """Sector totals by partial aggregate + checked broadcast join back.
-
-    The totals are computed from the base, concurrently with the needs and
-    population tables (see ``feature_stages``).
-    """
-    out = _stages(spark, sf_dir, strategy="aggregate").features
-    return out.select(*_FEATURE_KEYS, *SECTOR_TOTALS, *SECTOR_RATIOS)
+    """Sector totals by partial aggregate + checked broadcast join back."""
+    return _sector(spark, sf_dir)
 
 
 @register("features_sector_window", _SECTOR_SQL)
 def q_features_sector_window(spark, sf_dir):
-    """Sector totals by a window over (country_code, year, cluster_code)."""
-    out = _stages(spark, sf_dir, strategy="window").features
-    return out.select(*_FEATURE_KEYS, *SECTOR_TOTALS, *SECTOR_RATIOS)
+    """What a window over (country_code, year, cluster_code) gives, without one task per hot group.
+
+    The totals are partial aggregates joined back by a shuffle join, which AQE
+    splits on a hot key; the window strategy itself is only unit-tested.
+    """
+    return _sector(spark, sf_dir, broadcast_max_rows=None)
 
 
-@register("features_all", with_standins(f"SELECT {', '.join(FEATURE_COLUMNS)} FROM features"))
+@register("features_all", with_standins(f"SELECT {', '.join(O.FEATURES)} FROM features"))
 def features_all(spark, sf_dir):
     """All 36 columns of the feature table, planned for scale.
 
@@ -287,10 +297,10 @@ def features_all(spark, sf_dir):
     return _stages(spark, sf_dir, checkpoint_base=True).features
 
 
-@register("features_all_lazy", with_standins(f"SELECT {', '.join(FEATURE_COLUMNS)} FROM features"))
+@register("features_all_lazy", with_standins(f"SELECT {', '.join(O.FEATURES)} FROM features"))
 def features_all_lazy(spark, sf_dir):
-    """The same table as one lazy plan: join strategies left to Spark/AQE."""
-    return _stages(spark, sf_dir, broadcast_max_rows=None).features
+    """The same table with the joins left to Spark/AQE; the derived base is written once."""
+    return _stages(spark, sf_dir, broadcast_max_rows=None, checkpoint_base=True).features
 
 
 # ------------------------------------------------------- multi-valued flows
@@ -412,10 +422,12 @@ def q_distinct_profile(spark, sf_dir):
 
 @register(
     "top_cardinality",
-    f"SELECT * FROM {_DISTINCT_SQL} ORDER BY coalesce(distinct_count, 0) DESC, column_name LIMIT 15",
+    f"""SELECT dataset, column_name, distinct_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY coalesce(distinct_count, 0) DESC, column_name) AS r
+  FROM {_DISTINCT_SQL}) WHERE r <= 15""",
 )
 def q_top_cardinality(spark, sf_dir):
-    """The 15 highest-cardinality columns (a top-k report)."""
+    """The 15 highest-cardinality columns of each dataset (a top-k report)."""
     return P.top_cardinality(_distinct_profile(spark, sf_dir), 15)
 
 
@@ -438,15 +450,17 @@ _LINEITEM_NUMERIC = (
     "\nUNION ALL\n".join(
         f"SELECT 'lineitem' AS dataset, {lit(c)} AS column_name, "
         f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "
+        f"CASE WHEN typeof(min({c})) <> 'DOUBLE' THEN CAST(min({c}) AS VARCHAR) END AS exact_min, "
+        f"CASE WHEN typeof(max({c})) <> 'DOUBLE' THEN CAST(max({c}) AS VARCHAR) END AS exact_max, "
         f"CAST(avg(CAST({c} AS DOUBLE)) AS FLOAT) AS avg, "
         f"CAST(stddev_samp(CAST({c} AS DOUBLE)) AS FLOAT) AS stddev FROM lineitem"
         for c in _LINEITEM_NUMERIC
     ),
 )
 def q_numeric_profile(spark, sf_dir):
-    """min/max/avg/stddev of the (first ten) numeric columns of lineitem, one pass."""
+    """min/max/avg/stddev of every numeric column of lineitem, one pass."""
     lineitem = standins.read_table(spark, sf_dir, "lineitem")
-    stats = P.numeric_stats(lineitem, "lineitem", P.numeric_columns(lineitem, 10))
+    stats = P.numeric_stats(lineitem, "lineitem")
     return _to_float(stats, ["avg", "stddev"])
 
 
@@ -457,7 +471,7 @@ def q_numeric_profile(spark, sf_dir):
             f"SELECT {lit(g)} AS feature_group, {lit(c)} AS feature, "
             f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "
             f"CAST(avg({c}) AS FLOAT) AS avg FROM features"
-            for g, cols in P.FEATURE_STAT_GROUPS.items()
+            for g, cols in O.STAT_GROUPS.items()
             for c in cols
         )
     ),
@@ -578,7 +592,7 @@ def q_profile_shape(spark, sf_dir):
             for d in standins.RAW_BUILDERS
         )
         + ") names JOIN (VALUES "
-        + ", ".join(f"({lit(k)}, {lit(t)})" for k, ts in P.JOIN_KEY_TERMS.items() for t in ts)
+        + ", ".join(f"({lit(k)}, {lit(t)})" for k, ts in O.KEY_TERMS.items() for t in ts)
         + ") terms(key_kind, term) ON contains(names.column_name, terms.term)"
     ),
 )
@@ -594,7 +608,7 @@ def q_join_key_candidates(spark, sf_dir):
     "nulls_after_fill",
     with_standins(
         "SELECT * FROM ("
-        + _null_counts_sql("filled", "filled", BASE_COLUMNS)
+        + _null_counts_sql("filled", "filled", O.BASE)
         + ") WHERE null_count > 0"
     ),
 )
@@ -606,20 +620,20 @@ def q_nulls_after_fill(spark, sf_dir):
 @register(
     "quality_report",
     with_standins(
-        "SELECT *, column_name IN ('country_code', 'cluster_code', 'year') AS expect_non_null, "
+        "SELECT *, column_name IN ('country_code', 'cluster_code', 'year') AS expect_non_null, false AS absent, "
         "column_name IN ('country_code', 'cluster_code', 'year') AND null_count > 0 "
         "AS expectation_failed FROM ("
         + _null_counts_sql(
             "features",
             "features",
-            QUALITY_KEY_COLUMNS,
+            O.CHECKED,
         )
-        + ")"
+        + ") UNION ALL SELECT 'features', 'sector_quality_index', count(*), count(*), 100.0, false, true, true FROM features"
     ),
 )
 def q_quality_report(spark, sf_dir):
-    """Null count/% of the 12 checked columns and the key non-null expectation."""
-    return quality_report(features_all(spark, sf_dir))
+    """Null count/% of the 12 checked columns, the key non-null expectation and one column that is absent."""
+    return quality_report(features_all(spark, sf_dir), (*QUALITY_KEY_COLUMNS, "sector_quality_index"))
 
 
 _AUDIT_STAGES = (
@@ -646,6 +660,7 @@ _AUDIT_STAGES = (
 def q_stage_audit(spark, sf_dir):
     """Row counts after each standardization and join; the joins keep the base count."""
     raw = standins.raw_datasets(spark, sf_dir)
+    raw["requirements"] = materialize(raw["requirements"], as_table=True)  # every stage of the base reads it
     needs_std = standardize_needs(raw["needs"])
     pop_std = standardize_population(raw["population"])
     st = feature_stages(
@@ -667,25 +682,146 @@ def q_stage_audit(spark, sf_dir):
 # -------------------------------------------------------- sources and sinks
 
 
-@register("csv_roundtrip", with_standins("SELECT * FROM flows_raw"))
-def q_csv_roundtrip(spark, sf_dir):
-    """Flows written as CSV with a tag row and multi-line text, read back typed."""
+def _flows_as_csv(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The flows and a data row that starts with "#", written with the tag record inside each data file."""
     flows = standins.flows_raw(spark, sf_dir)
-    schema = flows.schema
-    as_text = flows.select(*[F.col(c).cast("string").alias(c) for c in flows.columns])
-    tags = spark.createDataFrame([tuple("#" + c.lower() for c in flows.columns)], as_text.schema)
-    path = scratch_path(spark, "csv-roundtrip")
-    write_csv(tags.unionByName(as_text), path)
-    return read_csv_dataset(spark, path, schema=schema, empty_as_null=False)
+    extra = spark.range(1).select(
+        F.lit(-1).cast("long").alias("id"), F.lit("a row whose organization starts with a hash").alias("description"),
+        F.lit(1.5).alias("amountUSD"), F.lit("#1 region").alias("srcOrganization"), F.lit("#1 region").alias("destGlobalClusters"), F.lit("EN").alias("destLocations"),
+    )
+    # source first, so that the hash is in the first field
+    order = ["srcOrganization", *[c for c in flows.columns if c != "srcOrganization"]]
+    rows = flows.unionByName(extra).select(order)
+    as_text = rows.select(*[F.col(c).cast("string").alias(c) for c in order])
+    # a tag record with an empty cell, first in every file
+    tags = F.struct(*[F.lit(None if c == "destLocations" else "#" + c.lower()).cast("string").alias(c) for c in order])
+    numbered = as_text.withColumn("__row", F.monotonically_increasing_id() % (1 << 33))
+    tagged = numbered.select(F.explode(F.when(F.col("__row") == 0, F.array(tags, F.struct(*order))).otherwise(F.array(F.struct(*order)))).alias("r")).select("r.*")
+    path = scratch_path(spark, "csv")
+    write_csv(tagged, path)
+    return path, rows
+
+
+_FLOWS_CSV_SQL = """
+SELECT * FROM flows_raw UNION ALL
+SELECT -1, 'a row whose organization starts with a hash', 1.5, '#1 region', '#1 region', 'EN'"""
+
+
+@register("csv_roundtrip", with_standins(_FLOWS_CSV_SQL))
+def q_csv_roundtrip(spark, sf_dir):
+    """Flows written as CSV with tag records and multi-line text, read back typed."""
+    path, rows = _flows_as_csv(spark, sf_dir)
+    return read_csv_dataset(spark, path, schema=rows.schema, empty_as_null=False)
+
+
+@register(
+    "ingest_numeric",
+    with_standins(
+        "\nUNION ALL\n".join(
+            f"""SELECT 'flows' AS dataset, {lit(c)} AS column_name, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
+CAST(avg({c}) AS FLOAT) AS avg, CAST(stddev_samp({c}) AS FLOAT) AS stddev FROM ({_FLOWS_CSV_SQL})"""
+            for c in ("id", "amountUSD")
+        )
+    ),
+)
+def q_ingest_numeric(spark, sf_dir):
+    """Flows CSVs ingested without a schema: tags dropped, types inferred, raw table saved, numbers profiled."""
+    path, _ = _flows_as_csv(spark, sf_dir)
+    location = scratch_path(spark, "ingest")
+    reports = ingest(spark, "", _unique_database(spark), {"flows": path}, location=location)
+    return _to_float(reports.numeric.drop("exact_min", "exact_max"), ["avg", "stddev"])
+
+
+def _unique_database(spark: SparkSession) -> str:
+    return f"fundlens_check_{uuid.uuid4().hex[:12]}"
+
+
+@register("load_report", "SELECT 'flows' AS dataset, count(*) + 1 AS row_count, false AS failed FROM documents UNION ALL SELECT 'missing', NULL, true")
+def q_load_report(spark, sf_dir):
+    """Several datasets loaded, one of them absent: row counts and which failed."""
+    path, _ = _flows_as_csv(spark, sf_dir)
+    loaded = load_datasets(spark, {"flows": path, "missing": path + "-missing"})
+    shape = P.profile_shape(loaded.frames).select("dataset", "row_count", F.lit(False).alias("failed"))
+    failed = loaded.failures_frame(spark).select("dataset", F.lit(None).cast("long").alias("row_count"), F.lit(True).alias("failed"))
+    return shape.unionByName(failed)
+
+
+def _saved_raw(spark: SparkSession, sf_dir: str) -> str:
+    database, location = _unique_database(spark), scratch_path(spark, "raw")
+    ensure_database(spark, database, location=location)
+    raw = {k: standins.raw_datasets(spark, sf_dir)[k] for k in ("needs", "plans")}
+    failed = {k: v for k, v in save_raw_tables(raw, database, location=location).items() if v}
+    if failed:
+        raise RuntimeError(f"raw tables not saved: {failed}")
+    return database
+
+
+@register(
+    "raw_tables",
+    with_standins("SELECT 'needs' AS dataset, count(*) AS row_count FROM needs_raw UNION ALL SELECT 'plans', count(*) FROM plans_raw"),
+)
+def q_raw_tables(spark, sf_dir):
+    """Raw datasets saved as catalog tables, loaded by name again and counted."""
+    database = _saved_raw(spark, sf_dir)
+    loaded = load_tables(spark, {k: f"{database}.raw_{k}" for k in ("needs", "plans")})
+    return P.profile_shape(loaded.frames).select("dataset", "row_count")
+
+
+@register("listed_tables", with_standins("SELECT 'raw_needs' AS table_name, count(*) AS row_count FROM needs_raw UNION ALL SELECT 'raw_plans', count(*) FROM plans_raw"))
+def q_listed_tables(spark, sf_dir):
+    """The tables a database lists, each with its rows."""
+    database = _saved_raw(spark, sf_dir)
+    listed = list_tables(spark, database).select(F.col("tableName").alias("table_name"))
+    reports = [verify_table(spark, f"{database}.raw_{n}").select(F.lit(f"raw_{n}").alias("table_name"), "row_count") for n in ("needs", "plans")]
+    return listed.join(P.union_all(reports), "table_name", "left")
+
+
+@register("persisted_counts", with_standins("SELECT count(*) AS row_count, count(country_code) AS with_country FROM needs_std"))
+def q_persisted_counts(spark, sf_dir):
+    """A cached input written and counted within one block, then released."""
+    with persisted(needs_standardized(spark, sf_dir)) as needs:
+        path = scratch_path(spark, "persisted")
+        needs.write.parquet(path)
+        counted = materialize(needs.agg(F.count(F.lit(1)).alias("row_count"), F.count("country_code").alias("with_country")))
+    return counted
+
+
+@register(
+    "coalesced_candidates",
+    with_standins(
+        """
+SELECT coalesce(CASE WHEN c_custkey % 5 <> 0 THEN n_name END, CASE WHEN c_custkey % 3 <> 0 THEN lower(n_name) END) AS country_code,
+       TRY_CAST(CASE WHEN c_custkey % 7 = 0 THEN 'n/a' ELSE CAST(c_custkey AS VARCHAR) END AS INTEGER) AS amount
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE c_custkey % 5 <> 0 OR c_custkey % 3 <> 0"""
+    ),
+)
+def q_coalesced_candidates(spark, sf_dir):
+    """Two candidate columns that both hold values and nulls, malformed numbers, and null keys to drop."""
+    customer, nation = (standins.read_table(spark, sf_dir, t) for t in ("customer", "nation"))
+    k = F.col("c_custkey")
+    raw = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.when(k % 5 != 0, F.col("n_name")).alias("ISO3"),
+        F.when(k % 3 != 0, F.lower("n_name")).alias("Country Code"),
+        F.when(k % 7 == 0, F.lit("n/a")).otherwise(k.cast("string")).alias("Amount"),
+    )
+    fields = (FieldSpec("country_code", ("iso3", "country_code"), "string"), FieldSpec("amount", ("amount",), "int"))
+    return standardize(raw, fields, ("country_code",))
+
+
+@register("rows_without_country", with_standins("SELECT id, year FROM requirements_raw WHERE countryCode IS NULL"))
+def q_rows_without_country(spark, sf_dir):
+    """The appeals that have no country."""
+    return null_rows(standins.requirements_raw(spark, sf_dir), "countryCode").select("id", "year")
 
 
-@register("table_roundtrip", with_standins(f"SELECT {', '.join(FEATURE_COLUMNS)} FROM features"))
+@register("table_roundtrip", with_standins(f"SELECT {', '.join(O.FEATURES)} FROM features"))
 def q_table_roundtrip(spark, sf_dir):
     """The feature table saved to a catalog table in the shared folder and read back."""
-    location = scratch_path(spark, "warehouse")
-    ensure_database(spark, "fundlens_check", location=location)
-    save_table(features_all(spark, sf_dir), "fundlens_check.features", path=f"{location}/features")
-    return spark.table("fundlens_check.features")
+    location, database = scratch_path(spark, "warehouse"), _unique_database(spark)
+    ensure_database(spark, database, location=location)
+    save_table(features_all(spark, sf_dir), f"{database}.features", path=f"{location}/features")
+    return spark.table(f"{database}.features")
 
 
 # Declared types of the feature table's columns, for the read-back report.
@@ -698,20 +834,21 @@ _FEATURE_TYPES = {
     "sector_project_count": "bigint",
 }
 _FEATURE_SCHEMA = "struct<" + ",".join(
-    f"{c}:{_FEATURE_TYPES.get(c, 'double')}" for c in FEATURE_COLUMNS
+    f"{c}:{_FEATURE_TYPES.get(c, 'double')}" for c in O.FEATURES
 ) + ">"
 
 
 @register(
     "table_verify",
     with_standins(
-        "SELECT 'fundlens_check.features_verify' AS table_name, count(*) AS row_count, "
+        "SELECT 'features_verify' AS table_name, count(*) AS row_count, "
         f"CAST(36 AS BIGINT) AS column_count, {lit(_FEATURE_SCHEMA)} AS schema FROM features"
     ),
 )
 def q_table_verify(spark, sf_dir):
     """Read-back report of a saved table: name, rows, columns."""
-    location = scratch_path(spark, "warehouse")
-    ensure_database(spark, "fundlens_check", location=location)
-    save_table(features_all(spark, sf_dir), "fundlens_check.features_verify", path=f"{location}/fv")
-    return verify_table(spark, "fundlens_check.features_verify")
+    location, database = scratch_path(spark, "warehouse"), _unique_database(spark)
+    ensure_database(spark, database, location=location)
+    save_table(features_all(spark, sf_dir), f"{database}.features_verify", path=f"{location}/fv")
+    report = verify_table(spark, f"{database}.features_verify")
+    return report.withColumn("table_name", F.substring_index("table_name", ".", -1))

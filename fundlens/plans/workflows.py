@@ -21,7 +21,7 @@ from fundlens.operators.standardize import (
     standardize_requirements,
 )
 from fundlens.plans.features import feature_stages
-from fundlens.sinks.tables import ensure_database, save_raw_tables, save_table
+from fundlens.sinks.tables import ensure_database, list_tables, save_raw_tables, save_table
 from fundlens.sources.catalog import load_tables
 from fundlens.sources.csv import load_datasets
 
@@ -49,21 +49,23 @@ COUNTRY_KEY_COLUMNS = {
 class ProfileReports:
     """The exploratory reports of a set of datasets, all lazy DataFrames."""
 
-    shape: DataFrame
+    shape: DataFrame | None
     schema: DataFrame
-    nulls: DataFrame
-    distinct: DataFrame
-    top_cardinality: DataFrame
+    nulls: DataFrame | None
+    distinct: DataFrame | None
+    top_cardinality: DataFrame | None
     numeric: DataFrame | None
     join_key_candidates: DataFrame
     key_profile: DataFrame | None
     key_samples: DataFrame | None
+    previews: dict[str, DataFrame] = field(default_factory=dict)
+    tables: DataFrame | None = None
     failures: dict[str, str] = field(default_factory=dict)
 
 
 def _union(frames):
     frames = [f for f in frames if f is not None]
-    return P._union_all(frames) if frames else None
+    return P.union_all(frames) if frames else None
 
 
 def profile_datasets(
@@ -72,23 +74,20 @@ def profile_datasets(
     key_columns: Mapping[str, list[str]] = COUNTRY_KEY_COLUMNS,
     approx_distinct: bool = False,
 ) -> ProfileReports:
-    """Every exploratory report for ``dfs`` (nothing is executed here)."""
-    numeric = [
-        P.numeric_stats(df, name, P.numeric_columns(df))
-        for name, df in dfs.items()
-        if P.numeric_columns(df)
-    ]
+    """Every exploratory report for ``dfs`` (nothing is executed here); without datasets the reports are absent."""
+    numeric = [P.numeric_stats(df, name) for name, df in dfs.items() if P.numeric_columns(df)]
     distinct = _union(P.distinct_counts(df, name, approx=approx_distinct) for name, df in dfs.items())
     return ProfileReports(
-        shape=P.profile_shape(dfs),
+        shape=P.profile_shape(dfs) if dfs else None,
         schema=P.profile_schema(spark, dfs),
         nulls=_union(P.null_counts(df, name) for name, df in dfs.items()),
         distinct=distinct,
-        top_cardinality=P.top_cardinality(distinct),
+        top_cardinality=P.top_cardinality(distinct) if distinct is not None else None,
         numeric=_union(numeric),
         join_key_candidates=P.join_key_candidates(spark, dfs),
         key_profile=P.key_profiles(dfs, key_columns),
         key_samples=P.key_samples_all(dfs, key_columns),
+        previews={name: P.sample_rows(df) for name, df in dfs.items()},
     )
 
 
@@ -99,21 +98,28 @@ def ingest(
     registry: Mapping[str, str] = DATASET_FILES,
     location: str | None = None,
     schemas: Mapping[str, StructType] | None = None,
+    multi_line: bool = True,
 ) -> ProfileReports:
     """Read the CSV inputs present, save each as ``<database>.raw_<name>`` and profile them.
 
     Each CSV is parsed once, by the write; the profiles then read the saved
     parquet tables (columnar, splittable).  Missing or unreadable files are
     reported in ``failures`` (failed writes under ``write:<name>``); the
-    others proceed.  ``schemas`` (name → StructType) types the text columns.
+    others proceed.  ``schemas`` (name → StructType) types the text columns;
+    types of a dataset without a schema are inferred once its tag record is
+    dropped.  ``multi_line=False`` makes files without line breaks inside
+    quotes splittable.
     """
-    loaded = load_datasets(spark, registry, base_dir=base_dir, schemas=schemas)
+    loaded = load_datasets(
+        spark, registry, base_dir=base_dir, schemas=schemas, infer_schema=True, multi_line=multi_line
+    )
     ensure_database(spark, database, location=location)
     status = save_raw_tables(loaded.frames, database, location=location)
     saved = {name: spark.table(f"{database}.raw_{name}") for name, err in status.items() if not err}
     reports = profile_datasets(spark, saved)
     reports.failures = dict(loaded.failures)
     reports.failures.update({f"write:{k}": v for k, v in status.items() if v})
+    reports.tables = list_tables(spark, database)
     return reports
 
 
@@ -125,6 +131,8 @@ class PipelineResult:
     feature_stats: DataFrame
     plans: DataFrame | None
     failures: dict[str, str]
+    preview: DataFrame | None = None
+    sources: dict[str, str] = field(default_factory=dict)
 
 
 def feature_pipeline(
@@ -137,7 +145,7 @@ def feature_pipeline(
     """Read ``<database>.raw_*``, standardize, build and (optionally) save the feature table.
 
     The requirements table is required; needs and population are optional.
-    A raw table missing from the catalog is read from ``<location>/raw_<name>``
+    A raw table not found in the catalog is read from ``<location>/raw_<name>``
     when ``location`` is given (the folder ``ingest`` wrote it to), so the
     workflow also works across sessions without a persistent metastore.
     ``feature_options`` go to :func:`fundlens.plans.features.feature_stages`.
@@ -149,10 +157,13 @@ def feature_pipeline(
         "plans": "raw_hrp",
     }
     loaded = load_tables(spark, {k: f"{database}.{v}" for k, v in raw_names.items()})
+    sources = {key: f"{database}.{raw_names[key]}" for key in loaded.frames}
     if location:
-        for key in list(loaded.failures):
+        # only a table that is not in the catalog is looked for in the folder; any other error stays an error
+        for key in [k for k, why in loaded.failures.items() if "TABLE_OR_VIEW_NOT_FOUND" in why or "SCHEMA_NOT_FOUND" in why]:
             try:
                 loaded.frames[key] = spark.read.parquet(f"{location.rstrip('/')}/{raw_names[key]}")
+                sources[key] = f"{location.rstrip('/')}/{raw_names[key]}"
                 del loaded.failures[key]
             except Exception as exc:  # noqa: BLE001 - still reported as missing
                 loaded.failures[key] += f"; {type(exc).__name__}: {exc}".splitlines()[0]
@@ -183,4 +194,6 @@ def feature_pipeline(
         feature_stats=P.feature_stats(features),
         plans=plans,
         failures=dict(loaded.failures),
+        preview=P.sample_rows(features),
+        sources=sources,
     )

@@ -52,33 +52,20 @@ def local_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder.
+    """The cluster's shared folder for intermediates, by one rule in every mode.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir).  Only when neither is set and the session runs in local
-    mode (tests), a fresh folder is created and registered; on a cluster an
-    unset folder is an error, since a machine-local folder would not be
-    visible to other executors.
+    ``spark.checkpoint.dir`` of the session (or the context's checkpoint dir),
+    else a folder below ``spark.sql.warehouse.dir``, which the cluster shares too.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    fallback = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a Connect session has no context
-        if configured:
-            return configured
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir") or configured
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    local = tempfile.mkdtemp(prefix="fundlens-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+        return configured or fallback
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or configured or fallback)
+    return sc.getCheckpointDir() or configured or fallback
 
 
 def run_concurrently(
@@ -101,16 +88,23 @@ def run_concurrently(
         return {k: f.result() for k, f in futures.items()}
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path below the shared checkpoint folder."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/fundlens/{name}-{uuid.uuid4().hex[:12]}"
+def _scratch_root(spark: SparkSession) -> str:
+    try:
+        owner = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - a Connect session has no context
+        owner = "connect"
+    return f"{checkpoint_root(spark).rstrip('/')}/fundlens/{owner}"
 
 
-def as_local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-filesystem access (tests only)."""
-    return path[len("file:"):] if path.startswith("file:") else path
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new, unique path of this application below the shared folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
 
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what this application materialized; call it when its results are consumed."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
-__all__ = ["as_local_path", "checkpoint_root", "local_session", "run_concurrently", "scratch_path"]
 
+__all__ = ["checkpoint_root", "local_session", "release_scratch", "run_concurrently", "scratch_path"]

@@ -32,14 +32,43 @@ TAG_PREFIX = "#"
 NULL_SENTINEL = "\u0000"  # never produced by a text field; marks "no null token"
 
 
-def drop_tag_row(df: DataFrame, column: str | None = None, prefix: str = TAG_PREFIX) -> DataFrame:
-    """Remove the semantic-tag record (its first field starts with ``#``).
+def drop_tag_row(df: DataFrame, prefix: str = TAG_PREFIX) -> DataFrame:
+    """Remove the semantic-tag record: all its non-empty fields start with ``#``, and it has one.
 
-    Rows whose first field is null are kept.  The filter is narrow and can
-    be pushed into the scan.
+    A data row with some field that starts with ``#`` is kept, a tag record
+    with empty cells is dropped.  The filter is narrow.
     """
-    first = qcol(column or df.columns[0]).cast("string")
-    return df.filter(~F.coalesce(first.startswith(prefix), F.lit(False)))
+    filled = F.filter(F.array(*[qcol(c).cast("string") for c in df.columns]), lambda v: v.isNotNull() & (v != ""))
+    return df.filter(~((F.size(filled) > 0) & F.forall(filled, lambda v: v.startswith(prefix))))
+
+
+# Types tried for a text column, narrowest first.
+INFERRED = ("int", "bigint", "double", "date", "timestamp", "boolean")
+
+
+def infer_text_types(df: DataFrame) -> DataFrame:
+    """Cast each text column to the first type of INFERRED that all its values have (one pass).
+
+    Unlike the reader's own inference this runs after the tag record is gone.
+    A column without values stays text, and so does one whose numbers are
+    written with leading zeros (codes).
+    """
+    text = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
+    if not text:
+        return df
+
+    def fits(c: str, kind: str):
+        value = F.trim(qcol(c))
+        ok = value.try_cast(kind).isNotNull()
+        if kind in ("int", "bigint", "double"):
+            ok = ok & value.rlike(r"^[+-]?(?!0[0-9])[0-9]*\.?[0-9]+([eE][+-]?[0-9]+)?$")
+        if kind in ("date", "timestamp"):
+            ok = ok & value.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}" + ("$" if kind == "date" else ""))
+        return F.bool_and(F.when(qcol(c).isNotNull(), F.coalesce(ok, F.lit(False))))
+
+    checks = df.agg(*[fits(c, k).alias(f"{i}_{k}") for i, c in enumerate(text) for k in INFERRED]).first()  # one row
+    kinds = {c: next((k for k in INFERRED if checks[f"{i}_{k}"]), None) for i, c in enumerate(text)}
+    return df.select(*[F.trim(qcol(c)).try_cast(kinds[c]).alias(c) if kinds.get(c) else qcol(c) for c in df.columns])
 
 
 def apply_schema(df: DataFrame, schema: StructType) -> DataFrame:
@@ -69,9 +98,9 @@ def read_csv_dataset(
     """Read one CSV dataset (file, folder or glob).
 
     Text is read as strings, the tag row (if any) is dropped, then
-    ``schema`` is applied with ``try_cast``.  ``infer_schema=True`` asks
-    Spark to infer types instead (an extra pass over the data, and every
-    column stays text when a tag row is present).  ``multi_line=False``
+    ``schema`` is applied with ``try_cast``.  ``infer_schema=True`` infers
+    the types once the tag row is gone (:func:`infer_text_types`, an extra
+    pass over the data).  ``multi_line=False``
     makes large files splittable across tasks, for inputs known to have no
     line break inside a quoted field.  As with Spark's default options, an
     empty field reads as null whether quoted or not; ``empty_as_null=False``
@@ -82,12 +111,13 @@ def read_csv_dataset(
     if not empty_as_null:
         # unquoted empty fields still become null; "" no longer matches nullValue
         opts["nullValue"] = NULL_SENTINEL
-    opts["inferSchema"] = "true" if (infer_schema and schema is None) else "false"
     opts.update(options or {})
     df = spark.read.options(**opts).csv(path)
     if drop_tags:
         df = drop_tag_row(df)
-    return apply_schema(df, schema) if schema is not None else df
+    if schema is not None:
+        return apply_schema(df, schema)
+    return infer_text_types(df) if infer_schema else df
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

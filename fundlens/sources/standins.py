@@ -6,7 +6,7 @@ derive DataFrames with the same column names and kinds from the TPC-H-like
 tables, over whole tables, so every query's work grows with the data.  Nulls
 are injected by key arithmetic on the row's own key (never by dropping rows);
 coverage gaps (a needs or population input that lacks some countries) come
-from the nation's region.  ``fundlens.plans.oracle`` holds the same
+from other codes for one region's nations, so no row is dropped.  ``fundlens.plans.oracle`` holds the same
 definitions as SQL for the independent engine.
 """
 
@@ -25,31 +25,19 @@ NULL_REQUIREMENTS_MOD = 11  # requirements null when key % 11 = 0
 ZERO_REQUIREMENTS_MOD = 13  # requirements 0 when key % 13 = 0
 TARGETED_MOD, AFFECTED_MOD, REACHED_MOD = 3, 4, 7  # needs measures present when custkey % m = 0
 NO_FLOW_DESTINATION_MOD = 10  # flows: destination null when doc_id % 10 = 0
-NEEDS_MISSING_REGION = 0  # needs cover no nation of this region
-POPULATION_MISSING_REGION = 1  # population covers no nation of this region
+NEEDS_MISSING_REGION = 0  # needs name this region's nations by other codes
+POPULATION_MISSING_REGION = 1  # so does population for this one
 FUNDED_RETURN_FLAG = "R"  # funding = extended price of the lines with this flag
 
 
-# (session, path) -> DataFrame.  The session object is kept in the value, so
-# its id cannot be reused by a later session while the entry exists.
-_TABLES: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, read once per session (the driver tables are immutable).
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-    Resolving a parquet source lists files and reads a footer on the driver;
-    reusing the DataFrame skips that for every later query and lets Spark
-    recognise repeated scans of the same relation.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    hit = _TABLES.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    df = spark.read.parquet(path)
-    _TABLES[key] = (spark, df)
-    return df
+
+def _code(missing_region: int):
+    """The nation's code; an input that lacks a region uses other codes for it, so its rows stay."""
+    return F.when(F.col("n_regionkey") == missing_region, F.concat(F.lit("X-"), F.col("n_name"))).otherwise(F.col("n_name"))
 
 
 def _null_when(key, mod: int, value):
@@ -105,15 +93,13 @@ def requirements_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def needs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One needs row per customer of a covered nation; names in mixed variants."""
+    """One needs row per customer; names in mixed variants."""
     customer = read_table(spark, sf_dir, "customer")
-    nation = read_table(spark, sf_dir, "nation").filter(
-        F.col("n_regionkey") != NEEDS_MISSING_REGION
-    )
+    nation = read_table(spark, sf_dir, "nation")
     c = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
     key, bal = F.col("c_custkey"), F.col("c_acctbal")
     return c.select(
-        F.col("n_name").alias("country_iso3"),
+        _code(NEEDS_MISSING_REGION).alias("country_iso3"),
         F.col("c_mktsegment").alias("Cluster"),
         (bal * 3).alias("population"),
         bal.alias("In Need"),
@@ -124,17 +110,15 @@ def needs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def population_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One admin row per line item of a supplier in a covered nation."""
+    """One admin row per line item."""
     lineitem = read_table(spark, sf_dir, "lineitem")
     supplier = read_table(spark, sf_dir, "supplier")
-    nation = read_table(spark, sf_dir, "nation").filter(
-        F.col("n_regionkey") != POPULATION_MISSING_REGION
-    )
+    nation = read_table(spark, sf_dir, "nation")
     j = lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey).join(
         nation, supplier.s_nationkey == nation.n_nationkey
     )
     return j.select(
-        F.col("n_name").alias("ISO3"),
+        _code(POPULATION_MISSING_REGION).alias("ISO3"),
         F.lower("n_name").alias("Country"),
         F.year("l_shipdate").cast("int").alias("Reference_year"),
         F.col("l_quantity").alias("Population"),

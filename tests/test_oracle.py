@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from fundlens.plans.queries import ORACLE_SQL, QUERIES
 from tests.oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,8 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE_SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)

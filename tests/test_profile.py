@@ -127,7 +127,7 @@ def test_distinct_counts_batches_match(spark):
 def test_distinct_counts_wide_table_uses_batches(spark):
     cols = ", ".join(f"c{i} int" for i in range(40))
     df = spark.createDataFrame([tuple(range(40)), tuple(i % 2 for i in range(40))], cols)
-    prof = P.distinct_counts(df, "w")
+    prof = P.distinct_counts(df, "w", batch_size=8)
     got = {r.column_name: r.distinct_count for r in prof.collect()}
     assert got["c0"] == 1 and got["c3"] == 2 and len(got) == 40
     plan = prof._jdf.queryExecution().optimizedPlan().toString()
@@ -147,3 +147,17 @@ def test_key_samples_materialized_inputs_same(spark):
     a = sorted(map(tuple, P.key_samples_all(dfs, cfg, 2).collect()))
     b = sorted(map(tuple, P.key_samples_all(dfs, cfg, 2, materialize_inputs=True).collect()))
     assert a == b and len(a) == 4
+
+
+def test_numeric_profile_has_every_column_and_exact_extremes(spark):
+    wide = ", ".join(f"c{i} bigint" for i in range(20))
+    df = spark.createDataFrame([tuple([9007199254740993] * 20), tuple([-1] * 20)], wide)
+    got = P.numeric_stats(df, "w").collect()
+    assert len(got) == 20 and {(r.exact_min, r.exact_max) for r in got} == {("-1", "9007199254740993")}
+    assert P.numeric_stats(spark.createDataFrame([("a",)], "s string"), "w").collect() == []
+
+
+def test_top_cardinality_is_per_dataset(spark):
+    rows = [("wide", f"c{i:02d}", 100 + i) for i in range(20)] + [("small", "a", 1), ("small", "b", None)]
+    got = P.top_cardinality(spark.createDataFrame(rows, "dataset string, column_name string, distinct_count bigint")).collect()
+    assert len(got) == 17 and sum(r.dataset == "small" for r in got) == 2

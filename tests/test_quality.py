@@ -12,7 +12,8 @@ def test_quality_report_flags_null_keys(spark):
         "country_code string, cluster_code string, year int, population double",
     )
     got = {r.column_name: r for r in quality_report(df).collect()}
-    assert set(got) == {"country_code", "cluster_code", "year", "population"}
+    assert len(got) == 12 and {c for c, r in got.items() if not r.absent} == {"country_code", "cluster_code", "year", "population"}
+    assert got["inneed"].absent and got["inneed"].expectation_failed and got["inneed"].null_count == 2
     assert got["cluster_code"].expectation_failed and got["cluster_code"].null_pct == 50.0
     assert not got["country_code"].expectation_failed
     assert not got["population"].expect_non_null and not got["population"].expectation_failed

@@ -12,16 +12,16 @@ from fundlens.sinks.tables import (
     verify_table,
 )
 from fundlens.sources.catalog import load_tables
-from fundlens.sources.csv import drop_tag_row, load_datasets, read_csv_dataset
+from fundlens.sources.csv import drop_tag_row, infer_text_types, load_datasets, read_csv_dataset
 
 # A hand-made look-alike of a flows file: header, tag row, quoted fields with
 # commas, doubled quotes, tabs and line breaks, CRLF line ends.
 CSV_TEXT = (
     'date,description,amountUSD,destGlobalClusters,id\r\n'
     '#date,#description+notes,#value+funding+total+usd,#sector+cluster+name+list,#activity+id\r\n'
-    '2025-06-27,"Response, ""urgent""\r\nsecond line\tand tab",212925,"Food Security,Nutrition,Water",1\r\n'
-    '2026-02-02,plain,1311046,Food Security,2\r\n'
-    '2026-02-03,,86699,,3\r\n'
+    '2019-03-11,"Response, ""urgent""\r\nsecond line\tand tab",1500,"Food Security,Nutrition,Water",1\r\n'
+    '2019-04-12,plain,72000,Food Security,2\r\n'
+    '2019-05-13,,310,,3\r\n'
 )
 
 
@@ -58,15 +58,25 @@ def test_read_csv_with_schema_try_casts(spark):
     )
     out = read_csv_dataset(spark, path, schema=schema).orderBy("id").collect()
     assert [(r.id, r.amountUSD, r.missing) for r in out] == [
-        (1, 212925.0, None),
-        (2, 1311046.0, None),
-        (3, 86699.0, None),
+        (1, 1500.0, None),
+        (2, 72000.0, None),
+        (3, 310.0, None),
     ]
 
 
-def test_tag_row_kept_without_drop_and_null_first_field_kept(spark):
-    df = spark.createDataFrame([("#x", 1), (None, 2), ("a", 3)], "c string, n int")
-    assert sorted(r.n for r in drop_tag_row(df).collect()) == [2, 3]
+def test_only_a_record_whose_fields_are_all_tags_is_dropped(spark):
+    rows = [("#x", "#y", 1), (None, "#y", 2), ("#1 region", "a", 3), (None, None, 4), ("a", "#y", 5), ("", "#y", 6)]
+    df = spark.createDataFrame(rows, "c string, d string, n int")
+    kept = drop_tag_row(df.select("c", "d"))
+    assert sorted(map(str, kept.collect())) == sorted(str(r) for r in df.filter("n IN (3, 4, 5)").select("c", "d").collect())
+
+
+def test_types_are_inferred_after_the_tags(spark):
+    d = tempfile.mkdtemp(prefix="fundlens-csv-")
+    out = read_csv_dataset(spark, _write(d), infer_schema=True)
+    assert dict(out.dtypes) == {"date": "date", "description": "string", "amountUSD": "int", "destGlobalClusters": "string", "id": "int"}
+    codes = spark.createDataFrame([("007", "1.5", "x"), ("010", None, "1")], "code string, amount string, mixed string")
+    assert dict(infer_text_types(codes).dtypes) == {"code": "string", "amount": "double", "mixed": "string"}
 
 
 def test_load_datasets_reports_missing(spark):

@@ -35,8 +35,8 @@ def test_requirements_casts_and_drops_null_keys(spark):
 
 def test_needs_name_variants_and_optional_measures(spark):
     df = spark.createDataFrame(
-        [("SYR", "WSH", 10.0, "7"), (None, "WSH", 1.0, "1")],
-        "`Country ISO3` string, Cluster string, `In Need` double, Targeted string",
+        [("SYR", "WSH", 10.0, "7", None, "n/a"), (None, "WSH", 1.0, "1", 2.0, "3")],
+        "`Country ISO3` string, Cluster string, `In Need` double, Targeted string, Affected double, Reached string",
     )
     out = standardize_needs(df)
     r = out.collect()
@@ -47,12 +47,18 @@ def test_needs_name_variants_and_optional_measures(spark):
 
 def test_needs_coalesces_both_country_columns(spark):
     df = spark.createDataFrame(
-        [(None, "A1", "C"), ("B2", None, "C")],
-        "country_iso3 string, `Country ISO3` string, sector_cluster_code string",
+        [(None, "A1", "C", 1.0, 1.0, 1.0, 1.0), ("B2", None, "C", 1.0, 1.0, 1.0, 1.0)],
+        "country_iso3 string, `Country ISO3` string, sector_cluster_code string, inneed double, targeted double, affected double, reached double",
     )
     assert sorted(r.country_code for r in standardize_needs(df).collect()) == ["A1", "B2"]
 
 
+def test_needs_without_a_summed_measure_raises(spark):
+    df = spark.createDataFrame([("A", "C", 1.0)], "country_iso3 string, Cluster string, inneed double")
+    with pytest.raises(ValueError, match="targeted"):
+        standardize_needs(df)
+
+
 def test_needs_without_country_raises(spark):
     df = spark.createDataFrame([("x",)], "Cluster string")
     with pytest.raises(ValueError):

@@ -43,8 +43,11 @@ def test_ingest_then_feature_pipeline(spark):
     assert rep.distinct.count() == 12 + 7 + 4
 
     res = feature_pipeline(spark, "fl_flow", location=loc, exact_scale=2)
-    rows = {r.appeal_id: r for r in res.features.collect()}
+    rows = {str(r.appeal_id): r for r in res.features.collect()}
     assert sorted(rows) == ["1", "2", "3", "5"]
+    assert {r.column_name for r in rep.numeric.filter("dataset = 'population'").collect()} == {"Reference_year", "Population"}
+    assert {r.tableName for r in rep.tables.collect()} >= {"raw_hno", "raw_population"}
+    assert res.preview.count() == 4 and set(rep.previews) == {"hno", "fts_requirements", "population"}
     assert rows["1"].targeted == 150.0 and rows["1"].population == 4000.0
     assert rows["1"].sector_total_requirements_usd == 400.0 and rows["1"].sector_project_count == 2
     assert rows["5"].targeted == 0.0 and rows["5"].population == 0.0
@@ -101,3 +104,9 @@ def test_ingest_with_schema_profiles_numbers(spark):
     )
     stats = {r.column_name: (r.min, r.max) for r in rep.numeric.collect()}
     assert stats == {"year": (2023.0, 2024.0), "requirements": (0.0, 300.0)}
+
+
+def test_ingest_without_any_input_reports_the_failures(spark):
+    d, loc = tempfile.mkdtemp(prefix="fundlens-none-"), tempfile.mkdtemp(prefix="fundlens-db-")
+    rep = ingest(spark, d, "fl_empty", location=loc)
+    assert len(rep.failures) == 7 and rep.shape is None and rep.numeric is None
