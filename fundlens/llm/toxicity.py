@@ -13,7 +13,6 @@ documents that the dictionaries have not seen; 0.5 is its threshold.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundlens.llm.common import id_and_text, id_type
+from fundlens.llm.common import id_and_text, id_type, written
 
 WINDOW = 96
 LEVEL = 9
@@ -77,31 +76,28 @@ class WindowSavings:
         ]
 
 
-def _bare_words(text: str) -> list[str]:
-    return [w.strip(PUNCTUATION) for w in text.split()]
+def bare_words(text: Column) -> Column:
+    return F.filter(F.transform(F.split(F.lower(text), r"\s+"), lambda w: F.btrim(w, F.lit(PUNCTUATION))), lambda w: w != "")
 
 
-def toxic_words(ordinary: list[str], toxic: list[str]) -> set[str]:
+def toxic_words(sample: DataFrame) -> list[str]:
     """Words whose number of different contexts (the word before) is far larger in toxic text.
 
     Contexts rather than occurrences are counted, so the words of one text
-    that was copied many times do not look frequent.
+    that was copied many times do not look frequent.  ``sample`` has toxic and words.
     """
-    contexts: list[set[tuple[str, str]]] = [set(), set()]
-    for seen, texts in zip(contexts, (ordinary, toxic)):
-        for t in texts:
-            words = _bare_words(t)
-            seen.update(zip(["", *words], words))
-    counts = [Counter(w for _, w in seen) for seen in contexts]
-    n0, n1 = max(1, len(contexts[0])), max(1, len(contexts[1]))
-
-    def stands_out(w: str) -> bool:
-        a, b = counts[1][w], counts[0][w]
-        p = (a + b) / (n0 + n1)
-        z = (a / n1 - b / n0) / math.sqrt(p * (1 - p) * (1 / n0 + 1 / n1) + 1e-18)
-        return a >= MIN_CONTEXTS and z > MIN_SCORE and a * n0 > MIN_RATIO * b * n1
-
-    return {w for w in counts[1] if w and stands_out(w)}
+    words = F.col("words")
+    before = F.concat(F.array(F.lit("")), words)
+    pairs = sample.select("toxic", F.explode(F.arrays_zip(before.alias("b"), words.alias("w"))).alias("p")).select("toxic", "p.b", "p.w")
+    contexts = pairs.filter("w IS NOT NULL").distinct()
+    n = {r["toxic"]: r["n"] for r in contexts.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n0, n1 = float(n.get(0, 1)), float(n.get(1, 1))
+    counts = contexts.groupBy("w").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    a, b = F.col("a"), F.col("b")
+    p = (a + b) / (n0 + n1)
+    z = (a / n1 - b / n0) / F.sqrt(p * (1 - p) * (1 / n0 + 1 / n1) + 1e-18)
+    far = counts.filter((a >= MIN_CONTEXTS) & (z > MIN_SCORE) & (a * n0 > MIN_RATIO * b * n1))
+    return [r["w"] for r in far.select("w").orderBy("w").collect()]
 
 
 def _trained(samples: list[bytes], size: int) -> bytes:
@@ -153,34 +149,48 @@ def labelled_segments(docs: DataFrame, labels: DataFrame, train: Column, id_col:
     return picked.groupBy("id").agg(F.first("toxic").alias("toxic"), F.first(pieces).alias("segments"))
 
 
-def fit_model(sample: list[tuple[int, list[str]]]) -> ToxicityModel:
-    """Train on (toxic, segments) rows: four fifths for the dictionaries, the rest for the calibration."""
-    texts = [(y, "\n".join(s).lower()) for y, s in sample]
-    if len({y for y, _ in texts}) < 2:
-        only = texts[0][0] if texts else 0
-        return ToxicityModel(b"", b"", (4.0 if only else -4.0, 0.0, 0.0, 0.0, 0.0, 0.0))
-    seen: Counter[int] = Counter()
-    learn, calibrate = [], []
-    for y, t in texts:  # every fifth of a class
-        seen[y] += 1
-        (learn if seen[y] % 5 else calibrate).append((y, t))
-    ordinary, toxic = ([t for y, t in learn if y == k] for k in (0, 1))
-    words = toxic_words(ordinary, toxic)
-    kept = [" ".join(w for w in _bare_words(t) if w in words) for t in toxic]
-    toxic_samples = [f" {t} ".encode() for t in kept if t] or [t.encode() for t in toxic]
-    windows = [raw[i : i + WINDOW] for raw in (t.encode() for t in ordinary) for i in range(0, len(raw), WINDOW)]
-    stride = max(1, len(windows) // ORDINARY_WINDOWS)
-    model = ToxicityModel(_trained(windows[::stride], ORDINARY_BYTES), _trained(toxic_samples, TOXIC_BYTES), ())
-    scorer = model.scorer()
-    rows = calibrate if len({y for y, _ in calibrate}) == 2 else learn
-    x = np.array([scorer.features(t) for _, t in rows])
-    return ToxicityModel(model.ordinary, model.toxic, tuple(_logistic(x, np.array([float(y) for y, _ in rows]))))
+def _features(rows: DataFrame, model: ToxicityModel) -> DataFrame:
+    """(toxic, x) of calibration rows, compressed on the executors."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = shared.value.scorer()
+        for batch in batches:
+            x = [scorer.features(t.as_py()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["toxic", "x"])
+
+    return rows.select("toxic", F.array_join("segments", "\n").alias("text")).mapInArrow(run, "toxic int, x array<double>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS) -> ToxicityModel:
-    """Fit on a bounded sample of the labelled rows that satisfy ``train`` (a condition on labels)."""
-    sample = labelled_segments(docs, labels, train, id_col, text_col, rows).orderBy(F.xxhash64("id"), "id")
-    return fit_model([(r["toxic"], r["segments"]) for r in sample.collect()])
+    """Fit on a bounded sample of the labelled rows that satisfy ``train`` (a condition on labels).
+
+    Four fifths of the sample (by a hash of the text) train the dictionaries,
+    the rest the calibration; the driver sees the words that stand out, a
+    bounded number of windows and the calibration features.  With one class
+    or no labels every text gets the same score.
+    """
+    sample = written(labelled_segments(docs, labels, train, id_col, text_col, rows), "labelled")
+    text = F.array_join("segments", "\n")
+    rows_ = sample.select("toxic", "segments", (F.pmod(F.xxhash64(text), F.lit(5)) == 0).alias("calibrate"), bare_words(text).alias("words"))
+    n = {(r["toxic"], r["calibrate"]): r["n"] for r in rows_.groupBy("toxic", "calibrate").agg(F.count(F.lit(1)).alias("n")).collect()}
+    classes = {y for y, _ in n}
+    if len(classes) < 2:
+        return ToxicityModel(b"", b"", (4.0 if classes == {1} else -4.0, 0.0, 0.0, 0.0, 0.0, 0.0))
+    whole = all((y, c) in n for y in (0, 1) for c in (True, False))  # else too few to set any aside
+    learn = rows_.filter(~F.col("calibrate")) if whole else rows_
+    words = toxic_words(learn)
+    toxic = learn.filter("toxic = 1")
+    kept = F.array_join(F.filter("words", lambda w: w.isin(words)), " ") if words else F.lit("")
+    found = sorted(r["t"] for r in toxic.select(kept.alias("t")).filter("t <> ''").collect())
+    toxic_samples = [f" {t} ".encode() for t in found] or sorted(r["t"].encode() for r in toxic.select(F.substring(text, 1, SEGMENT_CHARS).alias("t")).collect())
+    each = max(1, -(-ORDINARY_WINDOWS // rows))
+    cuts = F.transform(F.sequence(F.lit(0), F.lit(each - 1)), lambda i: F.substring(F.lower(text), F.floor(i * F.char_length(text) / each).cast("int") + 1, F.lit(WINDOW)))
+    windows = sorted(w.encode()[:WINDOW] for r in learn.filter("toxic = 0").select(F.array_distinct(cuts).alias("w")).collect() for w in r["w"])
+    model = ToxicityModel(_trained(windows, ORDINARY_BYTES), _trained(toxic_samples, TOXIC_BYTES), ())
+    got = sorted((r["toxic"], tuple(r["x"])) for r in _features(rows_.filter("calibrate") if whole else rows_, model).collect())
+    weights = _logistic(np.array([x for _, x in got]), np.array([float(y) for y, _ in got]))
+    return ToxicityModel(model.ordinary, model.toxic, tuple(weights))
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
