@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ from fundlens.llm.common import written
 from fundlens.llm.shingles import mix, word_hashes
 
 ORDER = 4
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 START, END = 0xFE, 0xFF  # byte values that UTF-8 never uses: before a text, after a text
 SYMBOLS = 255  # every byte value but START
 END_WORD = np.uint64(1)
@@ -44,27 +45,44 @@ PACKED = "kind int, bucket int, block string, codes binary, amounts binary"
 def gram_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(code, text index) of every predicted symbol: ORDER bytes of context and the symbol, END after each text."""
     raw = np.frombuffer(b"".join(bytes([START]) * ORDER + t + bytes([END]) for t in texts), np.uint8)
-    owner = np.repeat(np.arange(len(texts)), [len(t) + ORDER + 1 for t in texts])
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) + ORDER + 1 for t in texts])
     code = np.zeros(max(0, len(raw) - ORDER), np.uint64)
     for k in range(ORDER + 1):
-        code = (code << np.uint64(8)) | raw[k : len(raw) - ORDER + k]
+        code <<= np.uint64(8)
+        code |= raw[k : len(raw) - ORDER + k]
     predicted = raw[ORDER:] != START
     return code[predicted], owner[ORDER:][predicted]
 
 
 def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(code, text index) of every word and of one end token per text."""
-    h, owner = word_hashes(texts)
-    ends = np.full(len(texts), END_WORD)
-    return np.concatenate([h, ends]), np.concatenate([owner, np.arange(len(texts))])
+    codes, owners, lo = [np.full(len(texts), END_WORD)], [np.arange(len(texts), dtype=np.int32)], 0
+    sums = np.cumsum([len(t) for t in texts])
+    while lo < len(texts):  # about a megabyte at a time, for the working arrays' sake
+        hi = max(lo + 1, int(np.searchsorted(sums, (sums[lo - 1] if lo else 0) + (1 << 20), side="right")))
+        h, owner = word_hashes(texts[lo:hi])
+        codes.append(h)
+        owners.append((owner + lo).astype(np.int32))
+        lo = hi
+    return np.concatenate(codes), np.concatenate(owners)
 
 
 def bucket_of(codes: np.ndarray, buckets: int) -> np.ndarray:
     return (mix(codes) % np.uint64(buckets)).astype(np.int64)
 
 
-def _distinct(codes: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct codes and how often each occurs in training texts."""
+def _distinct_grams(codes: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes and how often each occurs in training texts; one in-place sort."""
+    codes <<= np.uint64(1)
+    codes |= train
+    codes.sort()
+    counted = (codes & np.uint64(1)).astype(np.uint8)
+    codes >>= np.uint64(1)
+    starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    return codes[starts], np.add.reduceat(counted, starts, dtype=np.int64)
+
+
+def _distinct_words(codes: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     distinct, at = np.unique(codes, return_inverse=True)
     return distinct, np.bincount(at, weights=train, minlength=len(distinct)).astype(np.int64)
 
@@ -76,6 +94,10 @@ def _dealt(codes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(b[order], np.arange(buckets + 1))
 
 
+def _squeezed(values: np.ndarray) -> bytes:
+    return zstandard.compress(values.tobytes(), 1)
+
+
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
     kind, bucket, block, codes, values = zip(*rows) if rows else ((), (), (), (), ())
     return pa.RecordBatch.from_arrays(
@@ -101,17 +123,18 @@ def blocks(rows: DataFrame, buckets: int, block_bytes: int) -> DataFrame:
     def close(batches: list[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
         texts = _binary(table.column(1))
-        train = np.asarray(table.column(2).fill_null(False).cast(pa.int8()), np.float64)
+        train = np.asarray(table.column(2).fill_null(False).cast(pa.uint8()))
         yield _packed([(TEXT, -1, name, _to_ipc(table.select(["id", "text"])), b"")])
-        for kind, make in ((GRAM, gram_codes), (WORD, word_codes)):
+        for kind, make, count in ((GRAM, gram_codes, _distinct_grams), (WORD, word_codes, _distinct_words)):
             codes, owner = make(texts)
-            distinct, counts = _distinct(codes, train[owner])
+            distinct, counts = count(codes, train[owner])
+            del codes, owner
             order, starts = _dealt(distinct, buckets)
             out = []
             for b in range(buckets):
                 part = order[starts[b] : starts[b + 1]]
                 if len(part):
-                    out.append((kind, b, name, distinct[part].tobytes(), counts[part].tobytes()))
+                    out.append((kind, b, name, _squeezed(distinct[part]), _squeezed(counts[part])))
             yield _packed(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,6 +151,7 @@ def blocks(rows: DataFrame, buckets: int, block_bytes: int) -> DataFrame:
                 lo = hi
                 if size >= block_bytes or lo < batch.num_rows:
                     yield from close(held, f"{place}-{number}")
+                    pa.default_memory_pool().release_unused()
                     held, size, number = [], 0, number + 1
         if held:
             yield from close(held, f"{place}-{number}")
@@ -136,11 +160,11 @@ def blocks(rows: DataFrame, buckets: int, block_bytes: int) -> DataFrame:
 
 
 def _codes_of(blob) -> np.ndarray:
-    return np.frombuffer(blob.as_py(), np.uint64)
+    return np.frombuffer(zstandard.decompress(blob.as_py()), np.uint64)
 
 
 def _amounts_of(blob, dtype) -> np.ndarray:
-    return np.frombuffer(blob.as_py(), dtype)
+    return np.frombuffer(zstandard.decompress(blob.as_py()), dtype)
 
 
 def merge_counts(packed: DataFrame) -> DataFrame:
@@ -154,7 +178,7 @@ def merge_counts(packed: DataFrame) -> DataFrame:
         return pa.table(
             {
                 "kind": table["kind"][:1], "bucket": table["bucket"][:1],
-                "codes": pa.array([distinct.tobytes()], pa.binary()), "amounts": pa.array([sums.tobytes()], pa.binary()),
+                "codes": pa.array([_squeezed(distinct)], pa.binary()), "amounts": pa.array([_squeezed(sums)], pa.binary()),
                 "total": pa.array([int(sums.sum())], pa.int64()), "seen": pa.array([int((sums > 0).sum())], pa.int64()),
             }
         )
@@ -247,14 +271,14 @@ def gram_table(merged: DataFrame, buckets: int) -> DataFrame:
 
     def score(table: pa.Table) -> pa.Table:
         codes, counts = table["code"].to_numpy().view(np.uint64), table["n"].to_numpy()
-        logs = log_probabilities(codes, counts, shared.value)
+        logs = log_probabilities(codes, counts, shared.value).astype(np.float32)
         order, starts = _dealt(codes, buckets)
         parts = [(b, order[starts[b] : starts[b + 1]]) for b in range(buckets) if starts[b + 1] > starts[b]]
         return pa.table(
             {
                 "kind": pa.array([GRAM] * len(parts), pa.int32()), "bucket": pa.array([b for b, _ in parts], pa.int32()),
-                "codes": pa.array([codes[p].tobytes() for _, p in parts], pa.binary()),
-                "amounts": pa.array([logs[p].tobytes() for _, p in parts], pa.binary()),
+                "codes": pa.array([_squeezed(codes[p]) for _, p in parts], pa.binary()),
+                "amounts": pa.array([_squeezed(logs[p]) for _, p in parts], pa.binary()),
             }
         )
 
@@ -269,12 +293,12 @@ def answers(packed: DataFrame, table: DataFrame) -> DataFrame:
         if not asked.num_rows:
             return _packed_table([])
         kind, bucket = asked["kind"][0].as_py(), asked["bucket"][0].as_py()
-        dtype = np.float64 if kind == GRAM else np.int64
+        dtype = np.float32 if kind == GRAM else np.int64
         codes = np.concatenate([_codes_of(c) for c in known["codes"]])
         values = np.concatenate([_amounts_of(v, dtype) for v in known["amounts"]])
         order = np.argsort(codes)
         codes, values = codes[order], values[order]
-        out = [(kind, bucket, b.as_py(), b"", values[np.searchsorted(codes, _codes_of(c))].tobytes()) for b, c in zip(asked["block"], asked["codes"])]
+        out = [(kind, bucket, b.as_py(), b"", _squeezed(values[np.searchsorted(codes, _codes_of(c))])) for b, c in zip(asked["block"], asked["codes"])]
         return _packed_table(out)
 
     left, right = (x.groupBy("kind", "bucket") for x in (packed.select("kind", "bucket", "block", "codes"), table))
@@ -285,14 +309,29 @@ def _packed_table(rows: list[tuple]) -> pa.Table:
     return pa.Table.from_batches([_packed(rows)])
 
 
-def _per_text(codes: np.ndarray, owner: np.ndarray, replies: dict[int, np.ndarray], buckets: int, n: int, weigh) -> list[np.ndarray]:
-    """Sums over each text's codes of every array that ``weigh`` makes of the answers."""
-    distinct, at = np.unique(codes, return_inverse=True)
+def _answered(distinct: np.ndarray, replies: dict[int, np.ndarray], buckets: int) -> np.ndarray:
+    """The answers to a block's distinct codes, back in the order of the codes."""
     order, _ = _dealt(distinct, buckets)
     values = np.concatenate([replies[b] for b in sorted(replies)])
     back = np.empty(len(distinct), values.dtype)
     back[order] = values
-    return [np.bincount(owner, weights=w[at], minlength=n) for w in weigh(back)]
+    return back
+
+
+def gram_sums(texts: list[bytes], replies: dict[int, np.ndarray], buckets: int) -> np.ndarray:
+    """Each text's sum of the answers to its gram codes; (code, text) pairs are sorted in place."""
+    codes, owner = gram_codes(texts)
+    codes <<= np.uint64(24)  # a block has fewer than 2^24 texts, a code 40 bits
+    codes |= owner.astype(np.uint32)
+    del owner
+    codes.sort()
+    owner = (codes & np.uint64(0xFFFFFF)).astype(np.int32)
+    codes >>= np.uint64(24)
+    new = np.concatenate([[True], codes[1:] != codes[:-1]])
+    values = _answered(codes[new], replies, buckets)
+    at = np.cumsum(new, dtype=np.int32)
+    del codes, new
+    return np.bincount(owner, weights=values[at - 1], minlength=len(texts))
 
 
 def sum_blocks(packed: DataFrame, replies: DataFrame, buckets: int, train_tokens: int, vocabulary: int, id_type: str) -> DataFrame:
@@ -304,13 +343,16 @@ def sum_blocks(packed: DataFrame, replies: DataFrame, buckets: int, train_tokens
             if kind.as_py() == TEXT:
                 text = pa.ipc.open_stream(codes.as_py()).read_all().combine_chunks()
             else:
-                got[kind.as_py()][bucket.as_py()] = _amounts_of(values, np.float64 if kind.as_py() == GRAM else np.int64)
+                got[kind.as_py()][bucket.as_py()] = _amounts_of(values, np.float32 if kind.as_py() == GRAM else np.int64)
         texts = _binary(text["text"].combine_chunks())
         n = len(texts)
         words, owner = word_codes(texts)
         log_all = np.log10(train_tokens + vocabulary + 1)
-        known, base = _per_text(words, owner, got[WORD], buckets, n, lambda c: ((c > 0).astype(float), np.log10(c + 1.0) - log_all))
-        (score,) = _per_text(*gram_codes(texts), got[GRAM], buckets, n, lambda v: (v,))
+        distinct, at = np.unique(words, return_inverse=True)
+        c = _answered(distinct, got[WORD], buckets)
+        known = np.bincount(owner, weights=(c > 0)[at], minlength=n)
+        base = np.bincount(owner, weights=(np.log10(c + 1.0) - log_all)[at], minlength=n)
+        score = gram_sums(texts, got[GRAM], buckets)
         return pa.table(
             {
                 "id": text["id"], "n_tokens": pa.array(np.bincount(owner, minlength=n).astype(np.int64)),
