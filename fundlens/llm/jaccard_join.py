@@ -12,10 +12,11 @@ with a given one.  The order puts shingles that are frequent in a bounded
 sample last, so a passage shared by many documents makes no cells; it affects
 speed only, any order gives all pairs.
 
-Equal sets are collapsed first.  In every cell all members are compared with a
-hub (linear work), linked documents get one component, and only cells that
-still hold several components are cut into nodes of bounded size whose boxes
-and points are compared.  Surviving pairs are verified on the whole sets.
+Equal sets are collapsed first.  A cell of up to NODE members is one node: its
+pairs are compared.  In a larger cell all members are compared with a hub
+(linear work), linked documents get one component, and only cells that still
+hold several components are cut into nodes of bounded size whose boxes and
+points are compared.  Surviving pairs are verified on the whole sets.
 Thus copies are never expanded into all pairs, no task holds a whole cell, and
 no link between different sets is lost for the components.
 """
@@ -27,13 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlens.functions.columns import qcol
 from fundlens.llm.common import id_and_text, written
 from fundlens.llm.graph import components
-from fundlens.llm.shingles import shingle_sets
+from fundlens.llm.shingles import mix, shingle_sets
 from fundlens.operators.join import broadcast_if_small
 
 WIDTH = 5
@@ -42,6 +44,7 @@ NODE = 64  # members of a node
 HUB_ROUNDS = 2
 ORDER_SAMPLE = 4_000  # documents whose shingle counts fix the order
 PERCENT = 75
+MOVED = 2_000_000  # rows of two or three ids up to which a side is broadcast; beyond it is shuffled
 
 
 def _texts(batch: pa.RecordBatch, i: int) -> list[bytes]:
@@ -98,7 +101,7 @@ def points(rows: DataFrame, width: int, percent: int, order: tuple[np.ndarray, n
             if len(full):
                 k1[full] = np.add.reduceat(h, first[full])
                 k2[full] = np.add.reduceat(h * (h | np.uint64(1)), first[full])
-            by = np.lexsort((h, freq, owner))
+            by = np.argsort((owner.astype(np.int64) << 32) | np.minimum(freq, (1 << 32) - 1), kind="stable")  # hashes are in order already
             h, o = h[by], owner[by]
             keep = np.arange(len(h)) - np.repeat(first, n) < np.repeat(n - -(-percent * n // 100) + 1, n)
             yield pa.RecordBatch.from_arrays(
@@ -116,24 +119,92 @@ def points(rows: DataFrame, width: int, percent: int, order: tuple[np.ndarray, n
     return rows.select("id", "text").mapInArrow(run, "id long, n long, k1 long, k2 long, prefix array<long>, point array<int>")
 
 
+SHARED = "cell long, id long, n long, i long"
+
+
+def _blob(values: np.ndarray) -> bytes:
+    return zstandard.compress(values.tobytes(), 1)
+
+
+def shared_cells(reps: DataFrame) -> DataFrame:
+    """(cell, id, n, i) of every directory shingle that two or more sets have.
+
+    A task packs the shingles of a batch into buckets by hash.  A shingle that
+    repeats within the batch is known to be shared: its rows leave at once, and
+    its bucket only hears of it, so a bucket gets one entry per batch of even
+    the commonest shingle.  The bucket returns the rows of what it saw twice.
+    """
+    buckets = 2 * int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def flat(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        lists = batch.column(2)
+        count = np.asarray(lists.value_lengths())
+        cell = np.asarray(lists.flatten()).astype(np.int64)
+        i = np.arange(len(cell)) - np.repeat(np.cumsum(count) - count, count)
+        id_, n = (np.repeat(np.asarray(batch.column(k)), count) for k in (0, 1))
+        order = np.argsort(cell, kind="stable")
+        cell = cell[order]
+        same = np.concatenate([[False], cell[1:] == cell[:-1]])
+        again = same | np.concatenate([same[1:], [False]])
+        return cell, id_[order], n[order], i[order], again, again & ~same
+
+    def at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, id_, n, i, again, _ = flat(batch)
+            yield pa.RecordBatch.from_arrays([pa.array(x[again]) for x in (cell, id_, n, i)], names=["cell", "id", "n", "i"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, id_, n, i, again, first = flat(batch)
+            i = np.where(again, -1, i)  # told, not asked
+            keep = ~again | first
+            cell, id_, n, i = cell[keep], np.where(again, 0, id_)[keep], np.where(again, 0, n)[keep], i[keep]
+            bucket = (mix(cell.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            starts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            parts = [(b, order[starts[b] : starts[b + 1]]) for b in range(buckets) if starts[b + 1] > starts[b]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b for b, _ in parts], pa.int32())]
+                + [pa.array([_blob(x[p].astype(t)) for _, p in parts], pa.binary()) for x, t in ((cell, np.int64), (id_, np.int64), (n, np.int32), (i, np.int32))],
+                names=["bucket", "cell", "id", "n", "i"],
+            )
+
+    def shared(table: pa.Table) -> pa.Table:
+        types = {"cell": np.int64, "id": np.int64, "n": np.int32, "i": np.int32}
+        cell, id_, n, i = (np.concatenate([np.frombuffer(zstandard.decompress(b.as_py()), t) for b in table[c]]) for c, t in types.items())
+        order = np.argsort(cell, kind="stable")
+        cell, id_, n, i = cell[order], id_[order], n[order], i[order]
+        same = np.concatenate([[False], cell[1:] == cell[:-1]])
+        seen = (same | np.concatenate([same[1:], [False]])) & (i >= 0)
+        return pa.table({"cell": cell[seen], "id": id_[seen], "n": n[seen].astype(np.int64), "i": i[seen].astype(np.int64)})
+
+    rows = reps.select("id", "n", "prefix")
+    packed = rows.mapInArrow(pack, "bucket int, cell binary, id binary, n binary, i binary")
+    return rows.mapInArrow(at_once, SHARED).unionByName(packed.groupBy("bucket").applyInArrow(shared, SHARED))
+
+
 def _needed(na: Column, nb: Column, percent: int) -> Column:
     """The overlap from which two sets of these sizes are linked: overlap (100 + p) >= p (na + nb)."""
     return F.ceil(percent * (na + nb) / F.lit(100.0 + percent) - 1e-9)
 
 
-def verified(pairs: DataFrame, point_of: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, point_of: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
     """The linked ones of distinct ``pairs`` (a, b): bounded by their points, then compared as whole sets."""
 
     def side(x: str) -> DataFrame:
         return point_of.select(F.col("id").alias(x), F.col("n").alias("n" + x), F.col("point").alias("p" + x))
 
     bound = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    likely = pairs.join(side("a"), "a").join(side("b"), "b").filter(bound >= _needed(F.col("na"), F.col("nb"), percent)).select("a", "b", "na", "nb")
-    both = likely.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
-        sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b"
-    )
-    overlap = F.size(F.array_intersect("sa", "sb"))
-    return both.filter(100 * overlap >= percent * (F.col("na") + F.col("nb") - overlap)).select("a", "b")
+    likely = pairs.join(side("a"), "a").join(side("b"), "b").filter(bound >= _needed(F.col("na"), F.col("nb"), percent))
+    likely = written(likely.select("a", "b").distinct(), "likely")
+    # each set goes once to each of its pairs; texts without a pair are not moved where the pairs can be broadcast
+    ends = broadcast_if_small(likely.select("a", "b", F.explode(F.array("a", "b")).alias("id")), MOVED)
+    sets = shingle_arrays(rows.join(ends, "id", "left_semi"), width)
+    met = sets.join(ends, "id").groupBy("a", "b").agg(F.collect_list(F.struct("id", "shingles")).alias("s"))
+    end = lambda x: F.get(F.filter("s", lambda e: e["id"] == F.col(x)), F.lit(0))["shingles"]
+    both = met.select("a", "b", end("a").alias("sa"), end("b").alias("sb"))
+    counted = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("o"), (F.size("sa") + F.size("sb")).alias("n"))
+    return counted.filter(100 * F.col("o") >= percent * (F.col("n") - F.col("o"))).select("a", "b")
 
 
 def _alike(na: Column, nb: Column, ia: Column, ib: Column, percent: int) -> Column:
@@ -206,18 +277,20 @@ def jaccard_components(
     table = written(points(rows, width, percent, order), "points")
     real = table.filter("n > 0 AND id IS NOT NULL")
     classes = written(real.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep")), "classes")
-    # one row per set; a repeated id can carry several sets, which stay apart by their digests
-    reps = real.join(classes, ["n", "k1", "k2"]).filter("id = rep").select("id", "n", "k1", "k2", "prefix", "point").dropDuplicates(["n", "k1", "k2"])
-    cells = reps.select("id", "n", "k1", F.posexplode("prefix").alias("i", "cell"))
-    busy = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = written(cells.join(busy, "cell").select("cell", F.col("i").cast("long").alias("i"), "id", "n", "size"), "cells")
-
-    taking_part = broadcast_if_small(members.select("id").distinct(), 2_000_000)
-    sets = written(shingle_arrays(rows.join(taking_part, "id", "left_semi"), width).dropDuplicates(["id"]), "sets")
-    point_of = written(real.select("id", "n", "point").join(taking_part, "id", "left_semi").dropDuplicates(["id"]), "point_of")
-
-    links = None
-    labelled = members.withColumn("component", F.col("id"))
+    copies = real.select("id", "n", "k1", "k2").join(classes, ["n", "k1", "k2"]).filter("id <> rep").select("id").distinct()
+    reps = real.join(broadcast_if_small(copies, MOVED), "id", "left_anti").select("id", "n", "prefix")
+    found = written(shared_cells(reps), "cells")
+    members = written(found.join(found.groupBy("cell").agg(F.count(F.lit(1)).alias("size")), "cell"), "members")
+
+    point_of = real.select("id", "n", "point")
+
+    # cells of one node: all their pairs; larger cells: hubs first, then nodes where components are left
+    small, large = members.filter(F.col("size") <= NODE), members.filter(F.col("size") > NODE)
+    other = small.select("cell", *[F.col(c).alias(c + "2") for c in ("id", "n", "i")])
+    near = _alike(F.col("n"), F.col("n2"), F.col("i"), F.col("i2"), percent)
+    pairs = small.join(other, "cell").filter((F.col("id") < F.col("id2")) & near).select(F.col("id").alias("a"), F.col("id2").alias("b"))
+    links, labels = None, None
+    labelled = large.withColumn("component", F.col("id"))  # a row that repeats an id only repeats its pairs
     for turn in range(HUB_ROUNDS + 1):
         if turn < HUB_ROUNDS:
             place = F.struct((F.lit(0) if turn == 0 else F.xxhash64("id", F.lit(turn))).alias("o"), "id", "n", "i", "component")
@@ -225,16 +298,19 @@ def jaccard_components(
             met = labelled.join(hubs, "cell").filter(
                 (F.col("hub.component") != F.col("component")) & _alike(F.col("n"), F.col("hub.n"), F.col("i"), F.col("hub.i"), percent)
             )
-            pairs = met.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
+            starred = met.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
+            pairs = (pairs.unionByName(starred) if turn == 0 else starred).distinct()
         else:
             pairs = node_pairs(labelled.join(point_of.select("id", "point"), "id"), percent)
-        found = verified(pairs, point_of, sets, percent)
-        links = written(found if links is None else links.unionByName(found), "found")
+        confirmed = verified(pairs, point_of, rows, width, percent)
+        links = written(confirmed if links is None else links.unionByName(confirmed), "links")
         labels = components(links)
         if turn < HUB_ROUNDS:
-            now = members.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+            now = large.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
             open_cells = now.groupBy("cell").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("cell")
             labelled = written(now.join(open_cells, "cell", "left_semi"), "labelled")
+            if labelled.isEmpty():
+                break
 
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
     named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "rep", "left")
@@ -255,4 +331,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     named = jaccard_components(docs, id_col, text_col)
     gone = named.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(broadcast_if_small(gone, 2_000_000), qcol(id_col) == F.col("__gone"), "left_anti")
+    return docs.join(broadcast_if_small(gone, MOVED), qcol(id_col) == F.col("__gone"), "left_anti")

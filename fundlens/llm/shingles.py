@@ -75,8 +75,11 @@ def shingle_sets(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, np.nda
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     h, o = np.concatenate(parts), np.concatenate(owners)
-    order = np.lexsort((h, o))
+    order = np.argsort(o, kind="stable")  # two sorted runs
     h, o = h[order], o[order]
+    bounds = np.flatnonzero(np.concatenate([[True], o[1:] != o[:-1], [True]]))
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        h[lo:hi].sort()
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
     return h[new], o[new]
