@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from fundlens.functions.columns import qcol
 from fundlens.llm.common import written
-from fundlens.llm.shingles import BASE, BYTE_CODE, IS_SPACE, PLACES, POWERS, mix
 from fundlens.operators.join import broadcast_if_small
 
 MIN_WORDS = 25
@@ -35,25 +34,6 @@ NO_ID = -(2**63)
 KEY = ("id", "h")  # a document: its id and the hash of its text
 
 
-def line_table(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, place, id, words) of every line; lines are cut at newlines only and compared byte by byte."""
-    raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    ends = np.flatnonzero(raw == 10)
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    place = np.arange(len(raw)) - np.repeat(starts, ends - starts + 1)
-    code = BYTE_CODE[raw] * POWERS[place & (len(POWERS) - 1)]
-    if place.max() >= len(POWERS):
-        code = code * (PLACES[0] + np.uint64(2) * (place // len(POWERS)).astype(np.uint64))
-    ids = mix(np.add.reduceat(code, starts) + (ends - starts).astype(np.uint64) * BASE)
-    space = IS_SPACE[raw]
-    begins = ~space & np.concatenate([[True], space[:-1]])
-    words = np.add.reduceat(begins.astype(np.int64), starts)
-    text_ends = np.cumsum([len(t) + 1 for t in texts]) - 1
-    owner = np.searchsorted(text_ends, ends)
-    first = np.searchsorted(owner, np.arange(len(texts)))
-    return owner, np.arange(len(ends)) - first[owner], ids, words
-
-
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = qcol(text_col).cast("string")
     return docs.select(F.coalesce(qcol(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
@@ -63,14 +43,21 @@ def lines_of(rows: DataFrame) -> DataFrame:
     """(id, h, place, line, words) of every line of every non-empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest as digest
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            owner, place, ids, words = line_table([t.as_py() for t in batch.column(2).cast(pa.binary())])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(owner)), batch.column(1).take(pa.array(owner)), pa.array(place.astype(np.int32)), pa.array(ids.view(np.int64)), pa.array(words.astype(np.int32))],
-                names=["id", "h", "place", "line", "words"],
-            )
+            for lo in range(0, batch.num_rows, 1024):  # a bounded number of lines at a time
+                part = batch.slice(lo, 1024)
+                lines = [t.as_py().split(b"\n") for t in part.column(2).cast(pa.binary())]
+                count = np.array([len(x) for x in lines])
+                owner = pa.array(np.repeat(np.arange(len(lines)), count))
+                place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                ids = np.array([digest(line) for x in lines for line in x], np.uint64).view(np.int64)
+                words = np.array([len(line.split()) for x in lines for line in x], np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(owner), part.column(1).take(owner), pa.array(place.astype(np.int32)), pa.array(ids), pa.array(words)],
+                    names=["id", "h", "place", "line", "words"],
+                )
 
     return rows.filter("text <> ''").select(*KEY, "text").mapInArrow(run, "id long, h long, place int, line long, words int")
 
@@ -98,7 +85,7 @@ def stretches(repeated: DataFrame, min_words: int) -> DataFrame:
             for i, h, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 cols = rows.values
                 place, line, words = (np.asarray(cols.field(k)) for k in ("place", "line", "words"))
-                order = np.argsort(place, kind="stable")
+                order = np.unique(place, return_index=True)[1]  # rows that repeat an id and text are one
                 place, line, words = place[order], line[order], words[order]
                 for part in np.split(np.arange(len(place)), np.flatnonzero(np.diff(place) != 1) + 1):
                     if words[part].sum() >= min_words:
@@ -129,9 +116,9 @@ def doubled(level: DataFrame, k: int) -> DataFrame:
 
 def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(id, h, ranges): per document the merged line ranges (lo, hi) that repeat an earlier run."""
-    lines = lines_of(keyed(docs, id_col, text_col))
+    lines = written(lines_of(keyed(docs, id_col, text_col)), "lines")
     often = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("line")
-    repeated = lines.join(often, "line").dropDuplicates([*KEY, "place"])
+    repeated = lines.join(often, "line")
     kept = written(stretches(repeated, min_words), "stretches")
     longest = kept.select(F.max(F.array_max("lengths")).alias("n")).first()["n"] or 0
 
