@@ -23,12 +23,13 @@ from pyspark.sql import functions as F
 
 from fundlens.functions.columns import qcol
 from fundlens.llm.common import written
+from fundlens.operators.join import broadcast_if_small
 
-NEIGHBOURS = 24
-TREES, LEAF = 8, 1024
-ROUNDS = 3
-PROPOSALS = 6  # a node's best new partners within one neighbourhood
-POOL, EXPAND, HOPS = 64, 24, 4
+NEIGHBOURS = 32
+TREES, LEAF = 24, 1024
+ROUNDS = 2
+PROPOSALS = 8  # a node's best new partners within one neighbourhood
+POOL, EXPAND, HOPS = 128, 48, 4
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -105,8 +106,12 @@ def _top(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[ok], cols[ok]
 
 
-def first_graph(packed: DataFrame, k: int, leaf: int) -> DataFrame:
-    """(u, v, s, fresh): each node's best ``k`` over its leaves, leaves above ``leaf`` rows dealt into parts."""
+def first_graph(packed: DataFrame, k: int, leaf: int, trees: bool) -> DataFrame:
+    """(u, v, s, fresh): each node's best ``k`` over its leaves, leaves above ``leaf`` rows dealt into parts.
+
+    A leaf names half of ``k`` per node (all, where there is one tree), as several trees meet.
+    """
+    each = k if not trees else max(1, k // 2)
     placed = packed.select("node", "packed", F.posexplode("leaves").alias("tree", "leaf"))
     sizes = placed.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n"))
     parts = placed.join(sizes, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("node", "tree"), F.ceil(F.col("n") / leaf)))
@@ -117,7 +122,7 @@ def first_graph(packed: DataFrame, k: int, leaf: int) -> DataFrame:
         for lo in range(0, len(ids), 512):
             s = x[lo : lo + 512] @ x.T
             s[np.arange(len(s)), np.arange(lo, lo + len(s))] = -np.inf
-            r, c = _top(s, k)
+            r, c = _top(s, each)
             us.append(ids[lo + r])
             vs.append(ids[c])
             ss.append(s[r, c])
@@ -138,7 +143,7 @@ def neighbourhoods(graph: DataFrame, k: int) -> DataFrame:
 def descend(graph: DataFrame, packed: DataFrame, k: int) -> DataFrame:
     """One round of NN-descent on (u, v, s, fresh)."""
     worst = graph.groupBy("u").agg(F.when(F.count(F.lit(1)) >= k, F.min("s")).otherwise(F.lit(float("-inf")).cast("float")).alias("least"))
-    nodes = packed.select("node", "packed").join(worst.withColumnRenamed("u", "node"), "node", "left")
+    nodes = broadcast_if_small(packed.select("node", "packed").join(worst.withColumnRenamed("u", "node"), "node", "left"))
     sent = neighbourhoods(graph, k).join(nodes.withColumnRenamed("node", "other"), "other")
     gathered = sent.groupBy("at").agg(F.collect_list(F.struct("other", "fresh", "packed", "least")).alias("rows"))
 
@@ -169,15 +174,18 @@ def descend(graph: DataFrame, packed: DataFrame, k: int) -> DataFrame:
     return _best(merged, "u", k, F.desc("s"), F.col("v"))
 
 
-def build_graph(packed: DataFrame, k: int = NEIGHBOURS, leaf: int = LEAF, rounds: int = ROUNDS) -> DataFrame:
-    graph = written(first_graph(packed, k, leaf), "graph0")
+def build_graph(packed: DataFrame, k: int, leaf: int, rounds: int, trees: bool) -> DataFrame:
+    graph = written(first_graph(packed, k, leaf, trees), "graph0")
     for i in range(rounds):
         graph = written(descend(graph, packed, k), f"graph{i + 1}")
     return graph
 
 
 def _scored(pairs: DataFrame, packed: DataFrame) -> DataFrame:
-    """(q, node, s): inner products of the quantised vectors of node pairs."""
+    """(q, node, s): inner products of the quantised vectors of node pairs.
+
+    ``packed`` may carry a broadcast hint (a checked size); else its joins shuffle.
+    """
     asked = packed.select(F.col("node").alias("q"), F.col("packed").alias("pq"))
     found = packed.select("node", F.col("packed").alias("pn"))
 
@@ -193,6 +201,7 @@ def _scored(pairs: DataFrame, packed: DataFrame) -> DataFrame:
 def greedy_search(graph: DataFrame, packed: DataFrame, starts: DataFrame, k: int, pool: int, expand: int, hops: int) -> DataFrame:
     """(q, node): the pool of every start node ``q`` after ``hops`` expansions of its best unexpanded nodes."""
     around = written(neighbourhoods(graph, k).select(F.col("at").alias("node"), F.col("other").alias("next")), "around")
+    packed = broadcast_if_small(packed.select("node", "packed"))
     own = starts.select(F.col("node").alias("q"), "node")
     state = _scored(own, packed).withColumn("done", F.lit(False))
     for hop in range(hops + 1):
@@ -235,7 +244,7 @@ def nearest(
     n = nodes.count()
     bits = max(0, math.ceil(math.log2(max(1, n) / leaf)))
     packed = written(pack_nodes(nodes, trees if bits else 1, bits, 11), "packed")
-    graph = build_graph(packed, neighbours, leaf, rounds)
+    graph = build_graph(packed, neighbours, leaf, rounds, trees > 1 and bits > 0)
     asked = member.filter(queries).select(F.col("vec_id").alias("query_id"), F.col("node").alias("q")).distinct()
     found = greedy_search(graph, packed, asked.select(F.col("q").alias("node")).distinct(), neighbours, pool, expand, hops)
 
