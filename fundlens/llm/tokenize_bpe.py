@@ -131,8 +131,10 @@ def encode_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = make()
         for batch in batches:
-            ids = [bpe.encode(t or "") for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[id_col, "ids"])
+            for lo in range(0, batch.num_rows, 512):  # a bounded number of ids at a time
+                part = batch.slice(lo, 512)
+                ids = [bpe.encode(t or "") for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[id_col, "ids"])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type(docs, id_col)}, ids array<int>")
 
