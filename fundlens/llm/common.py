@@ -43,3 +43,17 @@ def id_type(docs: DataFrame, id_col: str) -> str:
 def blocks_for(total_bytes: int, block_bytes: int, at_least: int) -> int:
     """How many blocks hold ``total_bytes`` at about ``block_bytes`` each."""
     return max(at_least, math.ceil(total_bytes / block_bytes))
+
+
+def slices(batch, column: int, max_bytes: int = 1 << 20):
+    """Consecutive parts of an Arrow batch with about ``max_bytes`` of text each (one row at least)."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sums = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64))
+    lo = 0
+    while lo < batch.num_rows:
+        before = sums[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(sums, before + max_bytes, side="right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlens.functions.columns import qcol
-from fundlens.llm.common import id_and_text, written
+from fundlens.llm.common import id_and_text, slices, written
 from fundlens.llm.graph import components
 from fundlens.llm.shingles import mix, shingle_sets
 from fundlens.operators.join import broadcast_if_small
@@ -60,7 +60,7 @@ def shingle_arrays(rows: DataFrame, width: int) -> DataFrame:
     """(id, shingles array<long>) of an (id, text) frame with long ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for b in batches for part in slices(b, 1)):
             h, owner = shingle_sets(_texts(batch, 1), width)
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(h.view(np.int64), owner, batch.num_rows)], names=["id", "shingles"])
 
@@ -86,7 +86,7 @@ def points(rows: DataFrame, width: int, percent: int, order: tuple[np.ndarray, n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, counts = shared.value
-        for batch in batches:
+        for batch in (part for b in batches for part in slices(b, 1)):
             rows_n = batch.num_rows
             h, owner = shingle_sets(_texts(batch, 1), width)
             n = np.bincount(owner, minlength=rows_n)
