@@ -12,11 +12,12 @@ with a given one.  The order puts shingles that are frequent in a bounded
 sample last, so a passage shared by many documents makes no cells; it affects
 speed only, any order gives all pairs.
 
-Equal sets are collapsed first.  A cell of up to NODE members is one node: its
-pairs are compared.  In a larger cell all members are compared with a hub
-(linear work), linked documents get one component, and only cells that still
-hold several components are cut into nodes of bounded size whose boxes and
-points are compared.  Surviving pairs are verified on the whole sets.
+Equal sets are collapsed first.  In every cell all members are compared with a
+hub (linear work), and linked documents get one component.  Only cells that
+still hold several components go on: one of up to NODE members is one node
+whose pairs across components are compared; a larger one tries another hub and
+is then cut into nodes whose boxes and points are compared.  Surviving pairs
+are verified on the whole sets.
 Thus copies are never expanded into all pairs, no task holds a whole cell, and
 no link between different sets is lost for the components.
 """
@@ -284,29 +285,39 @@ def jaccard_components(
 
     point_of = real.select("id", "n", "point")
 
-    # cells of one node: all their pairs; larger cells: hubs first, then nodes where components are left
-    small, large = members.filter(F.col("size") <= NODE), members.filter(F.col("size") > NODE)
-    other = small.select("cell", *[F.col(c).alias(c + "2") for c in ("id", "n", "i")])
-    near = _alike(F.col("n"), F.col("n2"), F.col("i"), F.col("i2"), percent)
-    pairs = small.join(other, "cell").filter((F.col("id") < F.col("id2")) & near).select(F.col("id").alias("a"), F.col("id2").alias("b"))
+    def starred(cells: DataFrame, turn: int) -> DataFrame:
+        """(a, b) of every member and its cell's hub, where they can be linked and are not yet."""
+        place = F.struct((F.lit(0) if turn == 0 else F.xxhash64("id", F.lit(turn))).alias("o"), "id", "n", "i", "component")
+        hubs = cells.groupBy("cell").agg(F.min(place).alias("hub"))
+        near = _alike(F.col("n"), F.col("hub.n"), F.col("i"), F.col("hub.i"), percent)
+        met = cells.join(hubs, "cell").filter((F.col("hub.component") != F.col("component")) & near)
+        return met.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
+
+    def within(cells: DataFrame) -> DataFrame:
+        """(a, b) of all members of different components in cells of one node."""
+        other = cells.select("cell", *[F.col(c).alias(c + "2") for c in ("id", "n", "i", "component")])
+        near = _alike(F.col("n"), F.col("n2"), F.col("i"), F.col("i2"), percent)
+        met = cells.join(other, "cell").filter((F.col("id") < F.col("id2")) & (F.col("component") != F.col("component2")) & near)
+        return met.select(F.col("id").alias("a"), F.col("id2").alias("b"))
+
     links, labels = None, None
-    labelled = large.withColumn("component", F.col("id"))  # a row that repeats an id only repeats its pairs
+    labelled = members.withColumn("component", F.col("id"))  # a row that repeats an id only repeats its pairs
     for turn in range(HUB_ROUNDS + 1):
-        if turn < HUB_ROUNDS:
-            place = F.struct((F.lit(0) if turn == 0 else F.xxhash64("id", F.lit(turn))).alias("o"), "id", "n", "i", "component")
-            hubs = labelled.groupBy("cell").agg(F.min(place).alias("hub"))
-            met = labelled.join(hubs, "cell").filter(
-                (F.col("hub.component") != F.col("component")) & _alike(F.col("n"), F.col("hub.n"), F.col("i"), F.col("hub.i"), percent)
-            )
-            starred = met.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
-            pairs = (pairs.unionByName(starred) if turn == 0 else starred).distinct()
+        small, large = labelled.filter(F.col("size") <= NODE), labelled.filter(F.col("size") > NODE)
+        if turn == 0:
+            pairs = starred(labelled, turn)
+        elif turn < HUB_ROUNDS:
+            pairs = within(small).unionByName(starred(large, turn)) if turn == 1 else starred(large, turn)
         else:
-            pairs = node_pairs(labelled.join(point_of.select("id", "point"), "id"), percent)
-        confirmed = verified(pairs, point_of, rows, width, percent)
+            pairs = node_pairs(large.join(point_of, ["id", "n"]), percent)
+            if HUB_ROUNDS < 2:
+                pairs = pairs.unionByName(within(small))
+        confirmed = verified(pairs.distinct(), point_of, rows, width, percent)
         links = written(confirmed if links is None else links.unionByName(confirmed), "links")
         labels = components(links)
         if turn < HUB_ROUNDS:
-            now = large.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+            left = labelled.drop("component") if turn == 0 else large.drop("component")
+            now = left.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
             open_cells = now.groupBy("cell").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("cell")
             labelled = written(now.join(open_cells, "cell", "left_semi"), "labelled")
             if labelled.isEmpty():
