@@ -31,7 +31,8 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, text index of each word), A-Z folded; words are runs of non-space bytes.
 
     A word's hash sums its byte codes times powers of an odd number by place
-    (places beyond 1024 reuse the powers, mixed with the block's number).
+    (places from 1024 on reuse the powers, times an odd number by the block's
+    number); it depends on the word alone, whatever else is in ``texts``.
     """
     raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     space = IS_SPACE[raw]
@@ -43,8 +44,9 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     at = np.flatnonzero(~space)
     place = np.arange(len(at)) - np.repeat(np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths)
     code = BYTE_CODE[FOLD[raw[at]]] * POWERS[place & (len(POWERS) - 1)]
-    if lengths.max() > 1024:
-        code = code * (PLACES[0] + np.uint64(2) * (place >> 10).astype(np.uint64))
+    far = np.flatnonzero(place >= len(POWERS))
+    if len(far):
+        code[far] *= PLACES[0] + np.uint64(2) * (place[far] >> 10).astype(np.uint64)
     sums = np.add.reduceat(code, np.concatenate([[0], np.cumsum(lengths)[:-1]]))
     owner = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, side="right")
     return mix(sums + lengths.astype(np.uint64) * BASE), owner
