@@ -8,7 +8,7 @@ linked, and separators, lengths and check digits stay right.  Everything is
 DataFrame functions on one row at a time; nothing is shuffled.
 
 kind    valid value                                permuted
-card    13-19 digits, Luhn                         all but the check digit, which is computed anew
+card    13-19 digits, Luhn, anywhere in a row      all but the check digit, which is computed anew
 phone   +cc and 7-12 digits, or 10 NANP-style      the national digits
 ipv4    four octets                                the 32-bit number
 ssn     ddd-dd-dddd with valid ranges              the rank among the valid numbers
@@ -27,16 +27,31 @@ from fundlens.functions.columns import qcol
 
 ROUNDS = 8
 
+# Characters of an account number with its country and check digits; other countries are tried at any length.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|CR|HR|LI|LV",
+    22: "BG|BH|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST", 26: "IS|TR",
+    27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    groups, rest = divmod(length - 4, 4)
+    return rf"(?:{countries})\d{{2}}(?:[ ]?[A-Z0-9]{{4}}){{{groups}}}" + (rf"[ ]?[A-Z0-9]{{{rest}}}" if rest else "")
+
+
+IBAN = "|".join([*(_iban_of(n, c) for n, c in IBAN_LENGTHS.items()), r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?"])
+
 # One alternative per kind, tried in this order at each position.
 PATTERNS = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]*[A-Za-z0-9])+",
     "secret": r"(?<![A-Za-z])(?i:token|secret|password|api[_-]?key)[ ]?[:=][ ]?\"?[A-Za-z0-9_-]{16,}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:{IBAN})(?![A-Za-z0-9])",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-]|\.\d)",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\)[ ]?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
-    "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
+    "card": r"(?<!\d)\d(?:[ -]?\d){12,}+",  # a whole row of numbers; _cards looks for the cards in it
 }
 CANDIDATE = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
@@ -156,11 +171,78 @@ def iban_check(country: Column, account: Column) -> Column:
     return F.lpad((98 - F.aggregate(chars, F.lit(0), add)).cast("string"), 2, "0")
 
 
+# Groups of a card as they are usually written, tried in this order at each number of a row: (groups, pattern).
+CARD_SHAPES = (
+    (1, r"^\d{13,19}[ -]?$"),
+    (4, r"^\d{4}([ -])\d{4}\1\d{4}\1\d{4}[ -]?$"),
+    (3, r"^\d{4}([ -])\d{6}\1\d{4,5}[ -]?$"),
+    (5, r"^\d{4}([ -])\d{4}\1\d{4}\1\d{4}\1\d{1,3}[ -]?$"),
+)
+CARD_DIGITS = 13, 19
+
+
+def _body(digits: Column) -> Column:
+    return F.substring(digits, F.lit(1), F.char_length(digits) - 1)
+
+
+def _is_card(text: Column) -> Column:
+    return _let(digits_of(text), lambda d: F.char_length(d).between(*CARD_DIGITS) & (luhn_digit(_body(d)) == F.substring(d, -1, 1)))
+
+
 def _card(key: str, h: Column) -> Column:
-    d = digits_of(h)
-    body = lambda x: F.substring(x, F.lit(1), F.char_length(x) - 1)
-    new = lambda x: _let(permute_digits(key, "card", body(x)), lambda p: F.concat(p, luhn_digit(p)))
-    return _let(d, lambda x: F.when(luhn_digit(body(x)) == F.substring(x, -1, 1), _refill(h, new(x))))
+    return _refill(h, _let(permute_digits(key, "card", _body(digits_of(h))), lambda p: F.concat(p, luhn_digit(p))))
+
+
+def _cards(key: str, h: Column) -> Column:
+    """struct(kind, value, n): ``h`` with the n cards in it replaced; null if there are none.
+
+    From left to right, each number of a row may start a card: in one of the
+    usual shapes, or, at the row's start and behind what was tried that way,
+    in as many numbers as 19 digits hold, however grouped.
+    """
+    low, high = CARD_DIGITS
+
+    def scan(tokens: Column) -> Column:
+        run = lambda i, k: F.array_join(F.slice(tokens, i + 1, k), "")
+        start = F.struct(F.lit("").alias("out"), F.lit(0).alias("free"), F.lit(0).alias("any"), F.lit(0).alias("n"))
+
+        def longest(i: Column) -> Column:
+            """How many tokens from the i-th are numbers of 19 digits in all."""
+            begin = F.struct(F.lit(0).alias("k"), F.lit(0).alias("d"), F.lit(True).alias("open"))
+
+            def more(s: Column, j: Column) -> Column:
+                t = F.get(tokens, i + j)
+                d = s["d"] + F.coalesce(F.char_length(digits_of(t)), F.lit(high + 1))
+                ok = s["open"] & (d <= high) & t.rlike("^[0-9]")
+                return F.struct(F.when(ok, s["k"] + 1).otherwise(s["k"]).alias("k"), F.when(ok, d).otherwise(s["d"]).alias("d"), ok.alias("open"))
+
+            return F.aggregate(F.sequence(F.lit(0), F.lit(high - 1)), begin, more, lambda s: F.when(s["d"] >= low, s["k"]).otherwise(F.lit(0)))
+
+        def found(i: Column, widest: Column) -> Column:
+            """The first number of tokens that make a card from the i-th on, 0 for none."""
+            fits = lambda p: lambda c: c.rlike(p) & _is_card(c)
+            shaped = [F.when(_let(run(i, F.lit(k)), fits(p)), F.lit(k)) for k, p in CARD_SHAPES]
+            return F.coalesce(*shaped, F.when((widest > 0) & _is_card(run(i, widest)), widest), F.lit(0))
+
+        def step(s: Column, i: Column) -> Column:
+            def put(w: Column) -> Column:
+                def with_found(k: Column) -> Column:
+                    tried = F.when(i >= s["any"], i + F.greatest(w, F.lit(1))).otherwise(s["any"])
+                    card = F.struct(
+                        F.concat(s["out"], _card(key, run(i, k))).alias("out"), (i + k).alias("free"), (i + k).alias("any"), (s["n"] + 1).alias("n")
+                    )
+                    other = F.struct(F.concat(s["out"], F.get(tokens, i)).alias("out"), (i + 1).alias("free"), tried.alias("any"), s["n"].alias("n"))
+                    return F.when(k > 0, card).otherwise(other)
+
+                return _let(found(i, w), with_found)
+
+            return F.when(i < s["free"], s).otherwise(_let(F.when(i >= s["any"], longest(i)).otherwise(F.lit(0)), put))
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(tokens) - 1), start, step)
+
+    scanned = _let(F.regexp_extract_all(h, F.lit("[0-9]+[ -]?|[^0-9]+"), F.lit(0)), scan)
+    some = _let(scanned, lambda s: F.when(s["n"] > 0, F.struct(F.lit("card").alias("kind"), s["out"].alias("value"), s["n"].alias("n"))))
+    return F.when(F.char_length(digits_of(h)) >= low, some)
 
 
 def _phone(key: str, h: Column) -> Column:
@@ -191,11 +273,16 @@ def _ssn(key: str, h: Column) -> Column:
 
 
 def _iban(key: str, h: Column) -> Column:
-    bare = F.replace(h, F.lit(" "), F.lit(""))
-    country, account = F.substring(bare, 1, 2), F.substring(bare, F.lit(5), F.char_length(bare))
-    ok = F.char_length(bare).between(15, 34) & (iban_check(country, account) == F.substring(bare, 3, 2))
-    new = _let(permute_shape(key, "iban", account), lambda a: F.concat(country, iban_check(country, a), a))
-    return F.when(ok, _refill(h, new, "[A-Z0-9]"))
+    bare = lambda x: F.replace(x, F.lit(" "), F.lit(""))
+    country, account = (lambda b: F.substring(b, 1, 2)), (lambda b: F.substring(b, F.lit(5), F.char_length(b)))
+    ok = lambda b: F.char_length(b).between(15, 34) & (iban_check(country(b), account(b)) == F.substring(b, 3, 2))
+    new = lambda b: _let(permute_shape(key, "iban", account(b)), lambda a: F.concat(country(b), iban_check(country(b), a), a))
+    # the longest of its beginnings that end before a space and hold, the whole first
+    words = F.split(h, " ")
+    begins = F.transform(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda k: F.array_join(F.slice(words, F.lit(1), k), " "))
+    valid = F.filter(begins, lambda x: ok(bare(x)))
+    rest = lambda x: F.substring(h, F.char_length(x) + 1, F.char_length(h))
+    return _let(F.get(valid, F.lit(0)), lambda x: F.concat(_refill(x, new(bare(x)), "[A-Z0-9]"), rest(x)))
 
 
 def _day_of(first: str, b: int):
@@ -244,18 +331,17 @@ KINDS = {
     "ipv4": _ipv4,
     "ssn": _ssn,
     "phone": _phone,
-    "card": _card,
 }
 
 
 def _replacement(key: str, h: Column) -> Column:
-    """struct(kind, value): of the first kind whose pattern covers the candidate and whose check holds."""
+    """struct(kind, value, n): of the first kind whose pattern covers the candidate and whose check holds, else of the cards in it."""
     tries = [F.when(h.rlike(f"^(?:{PATTERNS[kind]})$"), _let(make(key, h), _named(kind))) for kind, make in KINDS.items()]
-    return F.coalesce(*tries)
+    return F.coalesce(*tries, _cards(key, h))
 
 
 def _named(kind: str):
-    return lambda v: F.when(v.isNotNull(), F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+    return lambda v: F.when(v.isNotNull(), F.struct(F.lit(kind).alias("kind"), v.alias("value"), F.lit(1).alias("n")))
 
 
 def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -279,6 +365,6 @@ def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     return mapped.select(
         F.col("id").alias(id_col),
         F.when(F.size("hits") > 0, F.array_join(pieces, "")).otherwise(text).alias("text"),
-        F.coalesce(F.size(kept), F.lit(0)).cast("long").alias("n_replaced"),
-        F.transform(kept, lambda n: n["kind"]).alias("kinds"),
+        F.coalesce(F.aggregate(kept, F.lit(0), lambda s, n: s + n["n"]), F.lit(0)).cast("long").alias("n_replaced"),
+        F.flatten(F.transform(kept, lambda n: F.array_repeat(n["kind"], n["n"]))).alias("kinds"),
     )
