@@ -20,6 +20,10 @@ is then cut into nodes whose boxes and points are compared.  Surviving pairs
 are verified on the whole sets.
 Thus copies are never expanded into all pairs, no task holds a whole cell, and
 no link between different sets is lost for the components.
+
+The number of links needs every pair, but only within components, as a link
+joins its ends: a component is dealt into chunks, and each pair of chunks
+counts the links between its sets, which leave it as one number per set.
 """
 
 from __future__ import annotations
@@ -42,6 +46,7 @@ from fundlens.operators.join import broadcast_if_small
 WIDTH = 5
 GROUPS = 64
 NODE = 64  # members of a node
+CHUNK_SHINGLES = 1 << 20  # of the members of a chunk, on average
 HUB_ROUNDS = 2
 ORDER_SAMPLE = 4_000  # documents whose shingle counts fix the order
 PERCENT = 75
@@ -261,15 +266,83 @@ def node_pairs(members: DataFrame, percent: int) -> DataFrame:
     return met.mapInArrow(run, "a long, b long").distinct()
 
 
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """(len(a), len(b)) sizes of the intersections of sorted sets; a slab of their union at a time."""
+    union, code = np.unique(np.concatenate([*a, *b]), return_inverse=True)
+    owner = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in [*a, *b]])
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], owner[order]
+    out, slab = np.zeros((len(a), len(b))), 1 << 14
+    for lo in range(0, len(union), slab):
+        i, j = np.searchsorted(code, [lo, lo + slab])
+        has = np.zeros((len(a) + len(b), slab), np.float32)
+        has[owner[i:j], code[i:j] - lo] = 1
+        out += has[: len(a)] @ has[len(a) :].T  # exact: at most 2^14 ones in a slab
+    return out
+
+
+def degrees(classes: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """(n, k1, k2, linked): documents in other classes that a class is linked with; classes without any are absent.
+
+    ``classes``: n, k1, k2, rep, members (documents), component (null if alone).
+    """
+    linked = classes.filter("component IS NOT NULL")
+    sizes = linked.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
+    chunks = F.ceil(F.greatest(F.col("sets") / NODE, F.col("shingles") / CHUNK_SHINGLES)).cast("int")
+    dealt = linked.join(sizes, "component").withColumn("chunks", chunks)
+    mine = F.pmod(F.xxhash64("k1", "k2", F.lit(5)), F.col("chunks")).cast("int").alias("mine")
+    dealt = written(dealt.select("rep", "n", "k1", "k2", "members", "component", "chunks", mine), "dealt")
+    sought = broadcast_if_small(dealt.select(F.col("rep").alias("id")).distinct(), MOVED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for b in batches for part in slices(b, 1)):
+            h, owner = shingle_sets(_texts(batch, 1), width)
+            n = np.bincount(owner, minlength=batch.num_rows)
+            k1, k2 = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.uint64)
+            full, first = np.flatnonzero(n), np.concatenate([[0], np.cumsum(n)[:-1]])
+            if len(full):
+                k1[full] = np.add.reduceat(h, first[full])
+                k2[full] = np.add.reduceat(h * (h | np.uint64(1)), first[full])
+            ends = np.cumsum(n)
+            blobs = [_blob(h[e - k : e]) for e, k in zip(ends.tolist(), n.tolist())]
+            columns = [batch.column(0), pa.array(n.astype(np.int64)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(blobs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["rep", "n", "k1", "k2", "set"])
+
+    sets = rows.join(sought, "id", "left_semi").select("id", "text").mapInArrow(run, "rep long, n long, k1 long, k2 long, set binary")
+    sent = sets.join(dealt, ["rep", "n", "k1", "k2"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    sent = sent.select("component", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", "n", "k1", "k2", "members", "set")
+
+    def count(table: pa.Table) -> pa.Table:
+        key = list(zip(table["k1"].to_pylist(), table["k2"].to_pylist(), table["n"].to_pylist()))
+        once = np.array(sorted({k: i for i, k in enumerate(key)}.values()))  # a row may repeat
+        mine, n, members, k1, k2 = (table[c].to_numpy()[once] for c in ("mine", "n", "members", "k1", "k2"))
+        held = [np.frombuffer(zstandard.decompress(table["set"][int(i)].as_py()), np.uint64) for i in once]
+        lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
+        left, right = np.flatnonzero(mine == lo), np.flatnonzero(mine == hi)
+        found = np.zeros(len(once), np.int64)
+        if len(left) and len(right):
+            both = _overlaps([held[i] for i in left], [held[i] for i in right])
+            near = 100 * both >= percent * (n[left][:, None] + n[right][None] - both)
+            if lo == hi:
+                np.fill_diagonal(near, False)
+            found[left] += near @ members[right]
+            if lo != hi:
+                found[right] += near.T @ members[left]
+        return pa.table({"n": n, "k1": k1, "k2": k2, "linked": found})
+
+    counted = sent.groupBy("component", "lo", "hi").applyInArrow(count, "n long, k1 long, k2 long, linked long")
+    return counted.groupBy("n", "k1", "k2").agg(F.sum("linked").alias("linked"))
+
+
 def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, order_sample: int = ORDER_SAMPLE
 ) -> DataFrame:
     """(id, n_shingles, component_id, links) per row of ``docs``; ids are integers.
 
     Two documents are linked if 100 * intersection >= percent * union of their
-    shingle sets; component_id is the smallest id reachable by links.  ``links``
-    counts the verified links of the row's set that the search used, 0 for a
-    set that is alone.  Null, empty and wordless texts have size 0 and are
+    shingle sets; component_id is the smallest id reachable by links, ``links``
+    the number of other documents that the row's text is linked with, copies
+    among them.  Null, empty and wordless texts have size 0 and are
     linked with nothing; a null id takes no part and has a null component.
     Rows that share an id are one component by definition of the id.
     """
@@ -277,7 +350,7 @@ def jaccard_components(
     order = sample_counts(rows, width, order_sample)
     table = written(points(rows, width, percent, order), "points")
     real = table.filter("n > 0 AND id IS NOT NULL")
-    classes = written(real.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep")), "classes")
+    classes = written(real.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("members")), "classes")
     copies = real.select("id", "n", "k1", "k2").join(classes, ["n", "k1", "k2"]).filter("id <> rep").select("id").distinct()
     reps = real.join(broadcast_if_small(copies, MOVED), "id", "left_anti").select("id", "n", "prefix")
     found = written(shared_cells(reps), "cells")
@@ -323,14 +396,16 @@ def jaccard_components(
             if labelled.isEmpty():
                 break
 
-    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
-    named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "rep", "left")
-    result = table.select("id", "n", "k1", "k2").join(named.select("n", "k1", "k2", "rep", "component", "links"), ["n", "k1", "k2"], "left")
+    known = written(classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left"), "known")
+    degree = degrees(known, rows, width, percent)
+    key = ["n", "k1", "k2"]
+    named = known.join(degree, key, "left").withColumn("links", F.coalesce("linked", F.lit(0)) + F.col("members") - 1)
+    result = table.select("id", *key).join(named.select(*key, "rep", "component", "links"), key, "left")
     return result.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id")).alias("component_id"),
-        F.coalesce("links", F.lit(0).cast("long")).alias("links"),
+        F.when(F.col("id").isNotNull(), F.coalesce("links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("links"),
     )
 
 
