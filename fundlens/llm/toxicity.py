@@ -1,8 +1,8 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on ordinary text, one on toxic
-text (on its words that occur in many more different contexts there than in
-ordinary text).  Every window of a document is compressed twice, given the
+Two zstandard dictionaries are made: one of the most frequent words of ordinary
+text, one of every word that occurs in many more different contexts in toxic
+text than in ordinary text.  Every window of a document (they overlap) is compressed twice, given the
 ordinary dictionary alone and given the ordinary one together with the toxic
 one; the bytes saved by the second measure how toxic the window is, as
 everything that is ordinary costs the same both times.  Statistics of the
@@ -13,6 +13,7 @@ documents that the dictionaries have not seen; 0.5 is its threshold.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,9 +24,9 @@ from pyspark.sql import functions as F
 
 from fundlens.llm.common import id_and_text, id_type, written
 
-WINDOW = 96
+WINDOW, STEP = 96, 32  # bytes of a window, and from one to the next: every shorter word is whole in some window
 LEVEL = 9
-ORDINARY_BYTES, TOXIC_BYTES = 8192, 2048
+ORDINARY_BYTES = 8192
 # The bound of the fit: labelled documents per class, and kilobyte segments taken from each.
 SAMPLE_ROWS = 6_000
 SEGMENTS, SEGMENT_CHARS = 24, 1024
@@ -64,7 +65,8 @@ class WindowSavings:
         if not raw:
             return [0.0] * 5
         plain, given = self.compress
-        saved = sorted((len(plain(w)) - len(given(w)) for w in (raw[i : i + WINDOW] for i in range(0, len(raw), WINDOW))), reverse=True)
+        windows = (raw[i : i + WINDOW] for i in range(0, max(1, len(raw) - WINDOW + STEP), STEP))
+        saved = sorted((len(plain(w)) - len(given(w)) for w in windows), reverse=True)
         n = len(saved)
         quarter = max(1, n // 4)
         return [
@@ -100,17 +102,18 @@ def toxic_words(sample: DataFrame) -> list[str]:
     return [r["w"] for r in far.select("w").orderBy("w").collect()]
 
 
-def _trained(samples: list[bytes], size: int) -> bytes:
-    """A trained dictionary; where there is too little to train on, the samples themselves."""
-    import zstandard
+def ordinary_dictionary(windows: list[bytes]) -> bytes:
+    """The words most frequent in ordinary windows, at most ORDINARY_BYTES of them; the most frequent come last."""
+    counts = Counter(w for window in windows for w in window.split())
+    ranked = sorted(counts, key=lambda w: (-counts[w], w))
+    sizes = np.cumsum([len(w) + 1 for w in ranked])
+    fit = int(np.searchsorted(sizes, ORDINARY_BYTES - 1, side="right"))
+    return b" ".join([b"", *reversed(ranked[:fit]), b""])
 
-    plain = b"".join(samples)[-size:]
-    if sum(map(len, samples)) < 8 * size:
-        return plain
-    try:
-        return zstandard.train_dictionary(size, samples).as_bytes()
-    except zstandard.ZstdError:
-        return plain
+
+def toxic_dictionary(samples: list[bytes]) -> bytes:
+    """Every distinct sample, whole."""
+    return b" ".join([b"", *sorted(set(samples)), b""])
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
@@ -181,13 +184,12 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id
     learn = rows_.filter(~F.col("calibrate")) if whole else rows_
     words = toxic_words(learn)
     toxic = learn.filter("toxic = 1")
-    kept = F.array_join(F.filter("words", lambda w: w.isin(words)), " ") if words else F.lit("")
-    found = sorted(r["t"] for r in toxic.select(kept.alias("t")).filter("t <> ''").collect())
-    toxic_samples = [f" {t} ".encode() for t in found] or sorted(r["t"].encode() for r in toxic.select(F.substring(text, 1, SEGMENT_CHARS).alias("t")).collect())
+    # where no word stands out, the beginnings of the toxic texts take the words' place
+    samples = words or [r["t"] for r in toxic.select(F.substring(F.lower(text), 1, SEGMENT_CHARS).alias("t")).distinct().collect()]
     each = max(1, -(-ORDINARY_WINDOWS // rows))
     cuts = F.transform(F.sequence(F.lit(0), F.lit(each - 1)), lambda i: F.substring(F.lower(text), F.floor(i * F.char_length(text) / each).cast("int") + 1, F.lit(WINDOW)))
     windows = sorted(w.encode()[:WINDOW] for r in learn.filter("toxic = 0").select(F.array_distinct(cuts).alias("w")).collect() for w in r["w"])
-    model = ToxicityModel(_trained(windows, ORDINARY_BYTES), _trained(toxic_samples, TOXIC_BYTES), ())
+    model = ToxicityModel(ordinary_dictionary(windows), toxic_dictionary([t.encode() for t in samples]), ())
     got = sorted((r["toxic"], tuple(r["x"])) for r in _features(rows_.filter("calibrate") if whole else rows_, model).collect())
     weights = _logistic(np.array([x for _, x in got]), np.array([float(y) for y, _ in got]))
     return ToxicityModel(model.ordinary, model.toxic, tuple(weights))
