@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.llm import jaccard_join, langid, line_dedup, lm_ppm, mixing, nn_descent, pii, quality, tokenize_bpe, toxicity
+from fundlens.functions.columns import qcol
+from fundlens.llm import (
+    jaccard_join,
+    langid,
+    lexical,
+    line_dedup,
+    lm_ppm,
+    merkle,
+    mixing,
+    nn_descent,
+    pii,
+    quality,
+    token_counts,
+    tokenize_bpe,
+    toxicity,
+)
 from fundlens.llm.common import held_out, read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -94,6 +109,111 @@ SELECT d.doc_id, d.source, CAST(s.k AS BIGINT) AS copy, d.text
 FROM draws d JOIN steps s ON s.source IS NOT DISTINCT FROM d.source AND d.u >= s.cdf
 """
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    changed = {c: qcol(c) for c in merkle.LEAF_COLUMNS} | {"n_chars": F.try_add(F.col("n_chars"), F.lit(1))}
+    altered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, merkle.leaf(changed))
+    tree = merkle.manifest(docs, carry={"altered": altered})
+    folded = merkle.fold(F.coalesce("altered", "leaf"), F.col("path"))
+    proof = merkle.path_digest(F.col("path"))
+    out = tree.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+# The level loop of the tree, the path of every leaf and the crc32 of an id, in SQL.
+OP12_SQL = """
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, CAST(doc_id AS VARCHAR) AS id_text,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS chars,
+         coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') AS more_chars,
+         coalesce(strlen(text) || ':' || text, '-') AS body
+  FROM documents
+), digests AS (
+  SELECT doc_id, lang, sha256(head || chars || body) AS leaf, sha256(head || more_chars || body) AS altered,
+         xor(4294967295, list_reduce(
+           list_concat([4294967295::BIGINT], list_transform(range(1, strlen(id_text) + 1), lambda i: ascii(substr(id_text, i, 1))::BIGINT)),
+           lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+             lambda c, z: xor(c >> 1, 3988292384 * (c & 1))))) AS crc
+  FROM fields
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS grp
+  FROM digests
+), up(grp, lvl, pos, node) AS (
+  SELECT grp, 0, pos, leaf FROM leaves
+  UNION ALL
+  SELECT grp, lvl + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY grp) AS nodes FROM up) WHERE nodes > 1 GROUP BY grp, lvl, pos // 2
+), heights AS (SELECT grp, max(lvl) AS height FROM up GROUP BY grp
+), subroots AS (SELECT u.grp, u.node FROM up u JOIN heights h ON u.grp = h.grp AND u.lvl = h.height
+), over_up(lvl, pos, node) AS (
+  SELECT 0, grp, node FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER () AS nodes FROM over_up) WHERE nodes > 1 GROUP BY lvl, pos // 2
+), top AS (SELECT max(lvl) AS height FROM over_up
+), low AS (
+  SELECT l.grp, l.pos, list(CASE WHEN (l.pos >> s.lvl) & 1 = 1 THEN 'L' ELSE 'R' END || coalesce(u.node, '') ORDER BY s.lvl) AS steps
+  FROM leaves l JOIN heights h ON l.grp = h.grp JOIN (SELECT unnest(range(0, 64)) AS lvl) s ON s.lvl < h.height
+  LEFT JOIN up u ON u.grp = l.grp AND u.lvl = s.lvl AND u.pos = xor(l.pos >> s.lvl, 1)
+  GROUP BY l.grp, l.pos
+), high AS (
+  SELECT g.grp, list(CASE WHEN (g.grp >> s.lvl) & 1 = 1 THEN 'L' ELSE 'R' END || coalesce(u.node, '') ORDER BY s.lvl) AS steps
+  FROM subroots g, top t JOIN (SELECT unnest(range(0, 64)) AS lvl) s ON s.lvl < t.height
+  LEFT JOIN over_up u ON u.lvl = s.lvl AND u.pos = xor(g.grp >> s.lvl, 1)
+  GROUP BY g.grp
+), paths AS (
+  SELECT l.doc_id, l.leaf, r.node AS subroot, (SELECT o.node FROM over_up o, top t WHERE o.lvl = t.height) AS root,
+         CASE WHEN l.crc % 7 = 0 THEN l.altered ELSE l.leaf END AS start,
+         list_concat(coalesce(low.steps, []::VARCHAR[]), coalesce(high.steps, []::VARCHAR[])) AS steps
+  FROM leaves l JOIN subroots r ON l.grp = r.grp LEFT JOIN low ON low.grp = l.grp AND low.pos = l.pos LEFT JOIN high ON high.grp = l.grp
+), folded AS (
+  SELECT *, list_reduce(list_concat([start], steps), lambda node, s:
+           sha256(CASE WHEN s[1] = 'L' THEN s[2:] || node ELSE node || s[2:] END)) AS folded_root
+  FROM paths
+)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(list_transform(steps, lambda s: s[2:]), ''), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM folded
+"""
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.top_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP13_SQL = f"""
+WITH doc_terms AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS words FROM documents),
+stats AS (SELECT count(*) AS n_docs, sum(len(words))::BIGINT AS n_terms FROM doc_terms WHERE len(words) > 0),
+postings AS (
+  SELECT r, doc_id, len(words)::BIGINT AS n, word, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, words, unnest(words) AS word FROM doc_terms) GROUP BY r, doc_id, words, word
+), dfs AS (SELECT word, count(*)::BIGINT AS df FROM postings GROUP BY word),
+items AS (
+  SELECT item_id, word, count(*)::BIGINT AS times
+  FROM (SELECT item_id, unnest({_TERMS}) AS word FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY item_id, word
+), scored AS (
+  SELECT i.item_id, p.r, p.doc_id, sum(
+    i.times * CAST(floor(1000 * ln(CAST(2 * s.n_docs + 2 AS DOUBLE) / CAST(2 * d.df + 1 AS DOUBLE))) AS BIGINT)
+    * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (25 + (75 * p.n * s.n_docs) // s.n_terms))))::BIGINT AS score
+  FROM items i JOIN postings p ON p.word = i.word JOIN dfs d ON d.word = i.word, stats s
+  GROUP BY i.item_id, p.r, p.doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
@@ -105,6 +225,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_ppm": op9_ppm,
     "op10_mixing": op10_mixing,
+    "op11_token_counts": op11_token_counts,
+    "op12_merkle": op12_merkle,
+    "op13_lexical": op13_lexical,
 }
 
-ORACLE_SQL = {"op10_mixing": OP10_SQL}
+ORACLE_SQL = {"op10_mixing": OP10_SQL, "op12_merkle": OP12_SQL, "op13_lexical": OP13_SQL}
