@@ -714,6 +714,15 @@ def q_csv_roundtrip(spark, sf_dir):
     return read_csv_dataset(spark, path, schema=rows.schema, empty_as_null=False)
 
 
+@register("csv_split_roundtrip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def q_csv_split_roundtrip(spark, sf_dir):
+    """The documents written as CSV, quotes and line breaks inside, read back with every file cut into ranges."""
+    docs = standins.read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path = scratch_path(spark, "csv")
+    write_csv(docs, path)
+    return read_csv_dataset(spark, path, schema=docs.schema, empty_as_null=False, split_records=True)
+
+
 @register(
     "ingest_numeric",
     with_standins(

@@ -99,6 +99,7 @@ def ingest(
     location: str | None = None,
     schemas: Mapping[str, StructType] | None = None,
     multi_line: bool = True,
+    split_records: bool = False,
 ) -> ProfileReports:
     """Read the CSV inputs present, save each as ``<database>.raw_<name>`` and profile them.
 
@@ -108,10 +109,10 @@ def ingest(
     others proceed.  ``schemas`` (name → StructType) types the text columns;
     types of a dataset without a schema are inferred once its tag record is
     dropped.  ``multi_line=False`` makes files without line breaks inside
-    quotes splittable.
+    quotes splittable, ``split_records=True`` those that have some.
     """
     loaded = load_datasets(
-        spark, registry, base_dir=base_dir, schemas=schemas, infer_schema=True, multi_line=multi_line
+        spark, registry, base_dir=base_dir, schemas=schemas, infer_schema=True, multi_line=multi_line, split_records=split_records
     )
     ensure_database(spark, database, location=location)
     status = save_raw_tables(loaded.frames, database, location=location)

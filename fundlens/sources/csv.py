@@ -1,9 +1,9 @@
 """CSV inputs: header line, quoted fields with line breaks, ``"`` escaped by ``"``.
 
-Records may span lines, so each file is read by one task (multi-line CSV is
-not splittable); parallelism comes from many files.  A CRLF inside a quoted
-field is returned as LF by Spark's parser.  Convert once to a
-columnar table (``fundlens.sinks.tables.save_table``) and read that for
+Records may span lines, so Spark's own reader gives each file to one task.
+``split_records=True`` reads a file with many (``fundlens.sources.csv_split``).
+A CRLF inside a quoted field is returned as LF by Spark's parser.  Convert once
+to a columnar table (``fundlens.sinks.tables.save_table``) and read that for
 everything else.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fundlens.functions.columns import qcol
+from fundlens.sources.csv_split import read_split_csv
 
 # The CSV dialect of the inputs.
 CSV_OPTIONS = {
@@ -94,6 +95,7 @@ def read_csv_dataset(
     options: Mapping[str, str] | None = None,
     multi_line: bool = True,
     empty_as_null: bool = True,
+    split_records: bool = False,
 ) -> DataFrame:
     """Read one CSV dataset (file, folder or glob).
 
@@ -102,7 +104,9 @@ def read_csv_dataset(
     the types once the tag row is gone (:func:`infer_text_types`, an extra
     pass over the data).  ``multi_line=False``
     makes large files splittable across tasks, for inputs known to have no
-    line break inside a quoted field.  As with Spark's default options, an
+    line break inside a quoted field; ``split_records=True`` does so for
+    inputs that have them, provided quotes follow the dialect (a record that
+    breaks it raises).  As with Spark's default options, an
     empty field reads as null whether quoted or not; ``empty_as_null=False``
     keeps a quoted empty field (``""``) as an empty string.
     """
@@ -112,7 +116,7 @@ def read_csv_dataset(
         # unquoted empty fields still become null; "" no longer matches nullValue
         opts["nullValue"] = NULL_SENTINEL
     opts.update(options or {})
-    df = spark.read.options(**opts).csv(path)
+    df = read_split_csv(spark, path, opts) if split_records else spark.read.options(**opts).csv(path)
     if drop_tags:
         df = drop_tag_row(df)
     if schema is not None:
