@@ -22,6 +22,7 @@ from fundlens.operators.standardize import (
 )
 from fundlens.plans.features import feature_stages
 from fundlens.sinks.tables import ensure_database, list_tables, save_raw_tables, save_table
+from fundlens.sinks.versions import current_version
 from fundlens.sources.catalog import load_tables
 from fundlens.sources.csv import load_datasets
 
@@ -163,8 +164,10 @@ def feature_pipeline(
         # only a table that is not in the catalog is looked for in the folder; any other error stays an error
         for key in [k for k, why in loaded.failures.items() if "TABLE_OR_VIEW_NOT_FOUND" in why or "SCHEMA_NOT_FOUND" in why]:
             try:
-                loaded.frames[key] = spark.read.parquet(f"{location.rstrip('/')}/{raw_names[key]}")
-                sources[key] = f"{location.rstrip('/')}/{raw_names[key]}"
+                folder = f"{location.rstrip('/')}/{raw_names[key]}"
+                folder = current_version(spark, folder) or folder
+                loaded.frames[key] = spark.read.parquet(folder)
+                sources[key] = folder
                 del loaded.failures[key]
             except Exception as exc:  # noqa: BLE001 - still reported as missing
                 loaded.failures[key] += f"; {type(exc).__name__}: {exc}".splitlines()[0]

@@ -6,6 +6,7 @@ from fundlens.sinks.tables import (
     persisted,
     save_raw_tables,
     save_table,
+    verify_content,
     verify_table,
 )
 
@@ -15,5 +16,6 @@ __all__ = [
     "persisted",
     "save_raw_tables",
     "save_table",
+    "verify_content",
     "verify_table",
 ]
