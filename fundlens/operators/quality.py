@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fundlens.functions.columns import qcol
@@ -76,6 +76,40 @@ def stage_audit(stages: Mapping[str, DataFrame]) -> DataFrame:
     return union_all(frames)
 
 
+class StageCounts:
+    """Row counts of named stages as a by-product of running the pipeline once.
+
+    :meth:`watch` puts an observation into the plan at a stage; whatever action
+    runs that plan first fills it in, so counting costs no job and no second
+    run.  :meth:`report` then gives the table that :func:`stage_audit` computes
+    by running every stage.  Stages keep the order in which they were watched.
+
+    A stage inside a shuffled part of a plan may be counted too high if an
+    executor is lost there and its tasks run again; stages of the last,
+    unshuffled part (where the feature joins are) are exact.
+    """
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+
+    def watch(self, stage: str, df: DataFrame) -> DataFrame:
+        if stage in self._seen:
+            raise ValueError(f"stage {stage!r} is watched already")
+        self._seen[stage] = Observation()
+        return df.observe(self._seen[stage], F.count(F.lit(1)).alias("row_count"))
+
+    def pending(self) -> list[str]:
+        """Watched stages whose plan no action has finished yet."""
+        return [s for s, o in self._seen.items() if not o._jo.future().isCompleted()]
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """(step, stage, row_count) of every watched stage; raises while one has not run."""
+        if waiting := self.pending():
+            raise RuntimeError(f"not run yet: {', '.join(waiting)}")
+        rows = [(i + 1, stage, seen.get["row_count"] or 0) for i, (stage, seen) in enumerate(self._seen.items())]
+        return spark.createDataFrame(rows, "step int, stage string, row_count long")
+
+
 def join_preserves_rows(audit: DataFrame, before: str, after: str) -> DataFrame:
     """One row: whether the ``after`` stage has as many rows as ``before``."""
     counts = audit.groupBy().pivot("stage", [before, after]).agg(F.first("row_count"))

@@ -23,6 +23,7 @@ from fundlens.operators.join import (
     join_needs,
     join_population,
 )
+from fundlens.operators.quality import StageCounts
 from fundlens.operators.standardize import (
     standardize_needs,
     standardize_population,
@@ -52,6 +53,7 @@ def feature_stages(
     exact_scale: int | None = None,
     broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
     checkpoint_base: bool = False,
+    audit: StageCounts | None = None,
 ) -> FeatureStages:
     """Build the pipeline from *standardized* inputs; needs and population are optional.
 
@@ -70,7 +72,11 @@ def feature_stages(
     table in the shared checkpoint folder.  Use it when that input is itself derived by
     joins or aggregations: the sector totals and the final pass then read it
     instead of recomputing it.  For a stored table it only adds a write.
+
+    ``audit`` watches the base, both joins and the features on the path to the
+    result: running the features once fills in their row counts.
     """
+    watch = audit.watch if audit else (lambda stage, df: df)
     needs_agg = None if needs is None else needs_by_country_cluster(needs, exact_scale)
     pop_agg = None if population is None else population_by_country_year(population, exact_scale)
     totals = None
@@ -102,8 +108,9 @@ def feature_stages(
         totals = done.get("sector")
         if with_totals and totals is None:
             totals = _totals(requirements)  # phase 2: from the checkpointed base
-    after_needs = join_needs(requirements, needs_agg)
-    after_pop = join_population(after_needs, pop_agg)
+    requirements = watch("base", requirements)
+    after_needs = watch("after_needs", join_needs(requirements, needs_agg))
+    after_pop = watch("after_population", join_population(after_needs, pop_agg))
     filled = fill_measures(after_pop)
     feats = add_project_features(filled)
     feats = add_population_features(feats)
@@ -121,7 +128,7 @@ def feature_stages(
         after_needs=after_needs,
         after_population=after_pop,
         filled=filled,
-        features=feats.select(*FEATURE_COLUMNS),
+        features=watch("features", feats.select(*FEATURE_COLUMNS)),
     )
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,8 +45,8 @@ from fundlens.operators.join import (
 from fundlens.operators.quality import (
     QUALITY_KEY_COLUMNS,
     nulls_after_fill,
+    StageCounts,
     quality_report,
-    stage_audit,
 )
 from fundlens.operators.standardize import (
     FieldSpec,
@@ -63,8 +64,17 @@ from fundlens.sources import standins
 from fundlens.plans.workflows import ingest
 from fundlens.sources.catalog import load_tables
 from fundlens.sources.csv import load_datasets, read_csv_dataset, write_csv
-from fundlens.sinks.tables import ensure_database, list_tables, persisted, save_raw_tables, save_table, verify_table
-from fundlens.session import scratch_path
+from fundlens.sinks.tables import (
+    ensure_database,
+    list_tables,
+    persisted,
+    save_raw_tables,
+    save_table,
+    verify_content,
+    verify_table,
+)
+from fundlens.sinks.versions import current_version, write_marker
+from fundlens.session import run_concurrently, scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -658,25 +668,22 @@ _AUDIT_STAGES = (
     ),
 )
 def q_stage_audit(spark, sf_dir):
-    """Row counts after each standardization and join; the joins keep the base count."""
-    raw = standins.raw_datasets(spark, sf_dir)
-    raw["requirements"] = materialize(raw["requirements"], as_table=True)  # every stage of the base reads it
-    needs_std = standardize_needs(raw["needs"])
-    pop_std = standardize_population(raw["population"])
-    st = feature_stages(
-        standardize_requirements(raw["requirements"]), needs_std, pop_std, exact_scale=EXACT
-    )
-    frames = {
-        "requirements_raw": raw["requirements"],
-        "requirements_std": st.base,
-        "needs_std": needs_std,
-        "population_std": pop_std,
-        "plans_std": standardize_plans(raw["plans"]),
-        "after_needs": st.after_needs,
-        "after_population": st.after_population,
-        "features": st.features,
-    }
-    return stage_audit(frames)
+    """Row counts after each standardization and join, observed while the pipeline runs once."""
+    raw, counts = standins.raw_datasets(spark, sf_dir), StageCounts()
+    requirements = standardize_requirements(counts.watch("requirements_raw", raw["requirements"]))
+    needs = counts.watch("needs_std", standardize_needs(raw["needs"]))
+    population = counts.watch("population_std", standardize_population(raw["population"]))
+    plans = counts.watch("plans_std", standardize_plans(raw["plans"]))
+    st = feature_stages(requirements, needs, population, exact_scale=EXACT, checkpoint_base=True, audit=counts)
+
+    def run(df: DataFrame) -> None:
+        df.write.format("noop").mode("overwrite").save()
+
+    # the features in one run; the plans are prepared beside them, nothing joins them
+    run_concurrently(spark, {"features": lambda: run(st.features), "plans": lambda: run(plans)})
+    names = F.create_map(*[F.lit(x) for i, (s, _) in enumerate(_AUDIT_STAGES) for x in (s, i + 1)])
+    report = counts.report(spark).withColumn("stage", F.when(F.col("stage") == "base", "requirements_std").otherwise(F.col("stage")))
+    return report.withColumn("step", names[F.col("stage")])
 
 
 # -------------------------------------------------------- sources and sinks
@@ -736,13 +743,20 @@ CAST(avg({c}) AS FLOAT) AS avg, CAST(stddev_samp({c}) AS FLOAT) AS stddev FROM (
 def q_ingest_numeric(spark, sf_dir):
     """Flows CSVs ingested without a schema: tags dropped, types inferred, raw table saved, numbers profiled."""
     path, _ = _flows_as_csv(spark, sf_dir)
-    location = scratch_path(spark, "ingest")
-    reports = ingest(spark, "", _unique_database(spark), {"flows": path}, location=location)
+    with _database(spark) as (database, location):
+        reports = ingest(spark, "", database, {"flows": path}, location=location)
     return _to_float(reports.numeric.drop("exact_min", "exact_max"), ["avg", "stddev"])
 
 
-def _unique_database(spark: SparkSession) -> str:
-    return f"fundlens_check_{uuid.uuid4().hex[:12]}"
+@contextmanager
+def _database(spark: SparkSession):
+    """(database, folder for its tables), dropped at the end; the tables' files stay for the frames that read them."""
+    name, location = f"fundlens_check_{uuid.uuid4().hex[:12]}", scratch_path(spark, "database")
+    ensure_database(spark, name, location=f"{location}/catalog")
+    try:
+        yield name, location
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
 
 @register("load_report", "SELECT 'flows' AS dataset, count(*) + 1 AS row_count, false AS failed FROM documents UNION ALL SELECT 'missing', NULL, true")
@@ -755,34 +769,37 @@ def q_load_report(spark, sf_dir):
     return shape.unionByName(failed)
 
 
-def _saved_raw(spark: SparkSession, sf_dir: str) -> str:
-    database, location = _unique_database(spark), scratch_path(spark, "raw")
-    ensure_database(spark, database, location=location)
-    raw = {k: standins.raw_datasets(spark, sf_dir)[k] for k in ("needs", "plans")}
+def _save_raw(spark: SparkSession, sf_dir: str, database: str, location: str) -> list[str]:
+    raw = standins.raw_datasets(spark, sf_dir)
     failed = {k: v for k, v in save_raw_tables(raw, database, location=location).items() if v}
     if failed:
         raise RuntimeError(f"raw tables not saved: {failed}")
-    return database
+    return sorted(raw)
 
 
 @register(
     "raw_tables",
-    with_standins("SELECT 'needs' AS dataset, count(*) AS row_count FROM needs_raw UNION ALL SELECT 'plans', count(*) FROM plans_raw"),
+    with_standins(" UNION ALL ".join(f"SELECT {lit(d)} AS dataset, count(*) AS row_count FROM {d}_raw" for d in standins.RAW_BUILDERS)),
 )
 def q_raw_tables(spark, sf_dir):
-    """Raw datasets saved as catalog tables, loaded by name again and counted."""
-    database = _saved_raw(spark, sf_dir)
-    loaded = load_tables(spark, {k: f"{database}.raw_{k}" for k in ("needs", "plans")})
-    return P.profile_shape(loaded.frames).select("dataset", "row_count")
+    """All raw datasets saved as catalog tables, loaded by name again and counted."""
+    with _database(spark) as (database, location):
+        names = _save_raw(spark, sf_dir, database, location)
+        loaded = load_tables(spark, {k: f"{database}.raw_{k}" for k in names})
+        return P.profile_shape(loaded.frames).select("dataset", "row_count")
 
 
-@register("listed_tables", with_standins("SELECT 'raw_needs' AS table_name, count(*) AS row_count FROM needs_raw UNION ALL SELECT 'raw_plans', count(*) FROM plans_raw"))
+@register(
+    "listed_tables",
+    with_standins(" UNION ALL ".join(f"SELECT 'raw_{d}' AS table_name, count(*) AS row_count FROM {d}_raw" for d in standins.RAW_BUILDERS)),
+)
 def q_listed_tables(spark, sf_dir):
     """The tables a database lists, each with its rows."""
-    database = _saved_raw(spark, sf_dir)
-    listed = list_tables(spark, database).select(F.col("tableName").alias("table_name"))
-    reports = [verify_table(spark, f"{database}.raw_{n}").select(F.lit(f"raw_{n}").alias("table_name"), "row_count") for n in ("needs", "plans")]
-    return listed.join(P.union_all(reports), "table_name", "left")
+    with _database(spark) as (database, location):
+        names = _save_raw(spark, sf_dir, database, location)
+        listed = list_tables(spark, database).select(F.col("tableName").alias("table_name"))
+        reports = [verify_table(spark, f"{database}.raw_{n}").select(F.lit(f"raw_{n}").alias("table_name"), "row_count") for n in names]
+        return listed.join(P.union_all(reports), "table_name", "left")
 
 
 @register("persisted_counts", with_standins("SELECT count(*) AS row_count, count(country_code) AS with_country FROM needs_std"))
@@ -826,11 +843,46 @@ def q_rows_without_country(spark, sf_dir):
 
 @register("table_roundtrip", with_standins(f"SELECT {', '.join(O.FEATURES)} FROM features"))
 def q_table_roundtrip(spark, sf_dir):
-    """The feature table saved to a catalog table in the shared folder and read back."""
-    location, database = scratch_path(spark, "warehouse"), _unique_database(spark)
-    ensure_database(spark, database, location=location)
-    save_table(features_all(spark, sf_dir), f"{database}.features", path=f"{location}/features")
-    return spark.table(f"{database}.features")
+    """The feature table saved over an older table, its catalog entry moved to it once checked, and read back."""
+    with _database(spark) as (database, location):
+        name, path = f"{database}.features", f"{location}/features"
+        save_table(requirements_standardized(spark, sf_dir), name, path=path)
+        save_table(features_all(spark, sf_dir), name, path=path, check="content")
+        return spark.table(name)
+
+
+@register(
+    "table_content",
+    with_standins(
+        "SELECT 'as written' AS state, count(*) AS row_count, count(*) AS written_rows, true AS matches FROM requirements_std "
+        "UNION ALL SELECT 'a row doubled', count(*) + 1, count(*), false FROM requirements_std "
+        "UNION ALL SELECT 'a value changed', count(*), count(*), false FROM requirements_std"
+    ),
+)
+def q_table_content(spark, sf_dir):
+    """The content check of a saved table: as written, with one row stored twice, with one value changed."""
+    base = requirements_standardized(spark, sf_dir)
+    one = base.orderBy("appeal_id").limit(1)
+    first = F.col("appeal_id") == one.first().appeal_id
+    tampered = {
+        "a row doubled": lambda stored: stored.unionByName(stored.filter(first)),
+        "a value changed": lambda stored: stored.withColumn("appeal_name", F.when(first, "another").otherwise(F.col("appeal_name"))),
+    }
+    reports = []
+    with _database(spark) as (database, location):
+        name, path = f"{database}.requirements", f"{location}/requirements"
+        written = save_table(base, name, path=path)
+        reports.append(verify_content(spark, name).withColumn("state", F.lit("as written")))
+        for state, change in tampered.items():
+            changed, folder = change(spark.table(name)), f"{location}/{state.replace(' ', '-')}"
+            changed.write.parquet(folder)
+            write_marker(spark, folder, written)  # a version whose files are not those that were written
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(name)
+            reports.append(verify_content(spark, name).withColumn("state", F.lit(state)))
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{current_version(spark, path)}'")
+            spark.catalog.refreshTable(name)
+    return P.union_all(reports).select("state", "row_count", "written_rows", "matches")
 
 
 # Declared types of the feature table's columns, for the read-back report.
@@ -856,8 +908,7 @@ _FEATURE_SCHEMA = "struct<" + ",".join(
 )
 def q_table_verify(spark, sf_dir):
     """Read-back report of a saved table: name, rows, columns."""
-    location, database = scratch_path(spark, "warehouse"), _unique_database(spark)
-    ensure_database(spark, database, location=location)
-    save_table(features_all(spark, sf_dir), f"{database}.features_verify", path=f"{location}/fv")
-    report = verify_table(spark, f"{database}.features_verify")
-    return report.withColumn("table_name", F.substring_index("table_name", ".", -1))
+    with _database(spark) as (database, location):
+        save_table(features_all(spark, sf_dir), f"{database}.features_verify", path=f"{location}/fv")
+        report = verify_table(spark, f"{database}.features_verify")
+        return report.withColumn("table_name", F.substring_index("table_name", ".", -1))

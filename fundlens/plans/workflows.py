@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from fundlens.operators import profile as P
-from fundlens.operators.quality import quality_report, stage_audit
+from fundlens.operators.quality import StageCounts, quality_report, stage_audit
 from fundlens.operators.standardize import (
     standardize_needs,
     standardize_plans,
@@ -174,23 +174,26 @@ def feature_pipeline(
     if "requirements" not in loaded.frames:
         raise ValueError(f"requirements table missing: {loaded.failures.get('requirements')}")
     raw = loaded.frames
+    counts = StageCounts() if output_table else None  # filled in by the save
     st = feature_stages(
         standardize_requirements(raw["requirements"]),
         standardize_needs(raw["needs"]) if "needs" in raw else None,
         standardize_population(raw["population"]) if "population" in raw else None,
+        audit=counts,
         **feature_options,
     )
     plans = standardize_plans(raw["plans"]) if "plans" in raw else None
-    audit = stage_audit(
-        {"base": st.base, "after_needs": st.after_needs, "after_population": st.after_population}
-    )
     if output_table:
         ensure_database(spark, database, location=location)
         path = f"{location.rstrip('/')}/{output_table}" if location else None
         save_table(st.features, f"{database}.{output_table}", path=path)
         features = spark.table(f"{database}.{output_table}")
+        audit = counts.report(spark)
     else:
         features = st.features
+        audit = stage_audit(
+            {"base": st.base, "after_needs": st.after_needs, "after_population": st.after_population, "features": features}
+        )
     return PipelineResult(
         features=features,
         audit=audit,

@@ -1,3 +1,5 @@
+import pytest
+
 from fundlens.operators.quality import (
     join_preserves_rows,
     nulls_after_fill,
@@ -33,3 +35,46 @@ def test_stage_audit_and_row_preservation(spark):
 def test_nulls_after_fill(spark):
     df = spark.createDataFrame([(1.0, None), (None, None)], "a double, b double")
     assert [(r.column_name, r.null_count) for r in nulls_after_fill(df).collect()] == [("b", 2), ("a", 1)]
+
+
+def test_stage_counts_come_from_one_run(spark):
+    from fundlens.operators.quality import StageCounts, stage_audit
+
+    sc = spark.sparkContext
+    rows = [(i, f"k{i % 3}" if i % 5 else None) for i in range(40)]
+
+    def stages(counts=None):
+        watch = counts.watch if counts else (lambda stage, df: df)
+        raw = watch("raw", spark.createDataFrame(rows, "id int, k string"))
+        kept = watch("kept", raw.dropna(subset=["k"]))
+        side = kept.groupBy("k").count().withColumnRenamed("count", "n")
+        joined = watch("joined", kept.join(side, "k", "left"))
+        return {"raw": raw, "kept": kept, "joined": joined}
+
+    def jobs(name, run):
+        sc.setJobGroup(name, name)
+        run()
+        sc.setJobGroup("idle", "idle")
+        return len(sc.statusTracker().getJobIdsForGroup(name))
+
+    counts = StageCounts()
+    watched = stages(counts)
+    with pytest.raises(RuntimeError, match="raw, kept, joined"):
+        counts.report(spark)
+    plain = stages()["joined"]
+    one = jobs("plain-run", lambda: plain.write.format("noop").mode("overwrite").save())
+    assert jobs("watched-run", lambda: watched["joined"].write.format("noop").mode("overwrite").save()) == one
+    report = counts.report(spark)
+    assert counts.pending() == [] and report.schema["row_count"].dataType.simpleString() == "bigint"
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, stage_audit(stages()).collect()))
+    with pytest.raises(ValueError, match="watched already"):
+        counts.watch("raw", watched["raw"])
+
+
+def test_stage_counts_of_empty_stages(spark):
+    from fundlens.operators.quality import StageCounts
+
+    counts = StageCounts()
+    empty = counts.watch("none", spark.range(5).filter("id > 9"))
+    empty.write.format("noop").mode("overwrite").save()
+    assert [tuple(r) for r in counts.report(spark).collect()] == [(1, "none", 0)]
