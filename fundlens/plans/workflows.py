@@ -188,11 +188,11 @@ def feature_pipeline(
         path = f"{location.rstrip('/')}/{output_table}" if location else None
         save_table(st.features, f"{database}.{output_table}", path=path)
         features = spark.table(f"{database}.{output_table}")
-        audit = counts.report(spark)
+        audit = counts.report(spark).filter("stage <> 'features'")
     else:
         features = st.features
         audit = stage_audit(
-            {"base": st.base, "after_needs": st.after_needs, "after_population": st.after_population, "features": features}
+            {"base": st.base, "after_needs": st.after_needs, "after_population": st.after_population}
         )
     return PipelineResult(
         features=features,
