@@ -17,6 +17,7 @@ from pyspark.sql.types import (
     BooleanType,
     DecimalType,
     FractionalType,
+    IntegralType,
     LongType,
     MapType,
     NumericType,
@@ -26,6 +27,7 @@ from pyspark.sql.types import (
 )
 
 from fundlens.functions.columns import qcol
+from fundlens.functions.exact import UnitMoments, WideMean
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -218,9 +220,17 @@ def numeric_stats(
     dataset: str,
     columns: Sequence[str] | None = None,
     stddev: bool = True,
+    exact_scale: int | None = None,
 ) -> DataFrame:
     """min, max, avg and sample stddev per numeric column, in one pass.
 
+    With ``exact_scale=k`` avg and stddev come from exact integer sums of the
+    values and their squares in units of 10**-k (integer columns: of 1), so
+    they do not depend on the order of the rows; values round half up to a unit
+    and must be below 9e18 units.  Without a stddev, avg is exact to 10**-12
+    for any magnitude (:class:`fundlens.functions.exact.WideMean`).  The
+    default, plain double sums, is faster; its last bits depend on the order.
+
     Values are reported as double; ``exact_min`` and ``exact_max`` spell the
     extremes of integer and decimal columns, which a double may not hold (null
     for floating columns).  An all-null column yields nulls rather than
@@ -228,12 +238,25 @@ def numeric_stats(
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
     types = {f.name: f.dataType for f in df.schema.fields}
-    aggs = []
+    aggs, averages, deviations = [], [], []
     for i, c in enumerate(cols):
         v = qcol(c).cast("double")
-        aggs += [F.min(qcol(c)).alias(f"mn{i}"), F.max(qcol(c)).alias(f"mx{i}"), F.avg(v).alias(f"av{i}")]
-        if stddev:
-            aggs.append(F.stddev_samp(v).alias(f"sd{i}"))
+        aggs += [F.min(qcol(c)).alias(f"mn{i}"), F.max(qcol(c)).alias(f"mx{i}")]
+        if exact_scale is None:
+            aggs.append(F.avg(v).alias(f"av{i}"))
+            if stddev:
+                aggs.append(F.stddev_samp(v).alias(f"sd{i}"))
+            averages.append(F.col(f"av{i}"))
+            deviations.append(F.col(f"sd{i}"))
+        elif stddev:
+            moments = UnitMoments(qcol(c), 0 if isinstance(types[c], IntegralType) else exact_scale, f"m{i}")
+            aggs += moments.aggregates()
+            averages.append(moments.average())
+            deviations.append(moments.stddev())
+        else:
+            mean = WideMean(qcol(c), f"m{i}")
+            aggs += mean.aggregates()
+            averages.append(mean.average())
     if not cols:
         empty = "dataset string, column_name string, min double, max double, exact_min string, exact_max string, avg double"
         return df.sparkSession.createDataFrame([], empty + (", stddev double" if stddev else ""))
@@ -249,10 +272,10 @@ def numeric_stats(
             F.col(f"mx{i}").cast("double").alias("max"),
             spell(f"mn{i}").alias("exact_min"),
             spell(f"mx{i}").alias("exact_max"),
-            F.col(f"av{i}").alias("avg"),
+            averages[i].alias("avg"),
         ]
         if stddev:
-            fields.append(F.col(f"sd{i}").alias("stddev"))
+            fields.append(deviations[i].alias("stddev"))
         structs.append(F.struct(*fields))
     return agg.select(F.lit(dataset).alias("dataset"), F.inline(F.array(*structs)))
 
@@ -283,11 +306,14 @@ FEATURE_STAT_GROUPS = {
 
 
 def feature_stats(
-    features: DataFrame, groups: Mapping[str, Sequence[str]] = FEATURE_STAT_GROUPS
+    features: DataFrame, groups: Mapping[str, Sequence[str]] = FEATURE_STAT_GROUPS, exact: bool = False
 ) -> DataFrame:
-    """min, max and avg of the feature columns, with their group, in one pass."""
+    """min, max and avg of the feature columns, with their group, in one pass.
+
+    ``exact=True`` makes avg independent of the order of the rows (see :func:`numeric_stats`).
+    """
     group_of = {c: g for g, cols in groups.items() for c in cols}
-    stats = numeric_stats(features, "features", list(group_of), stddev=False)
+    stats = numeric_stats(features, "features", list(group_of), stddev=False, exact_scale=0 if exact else None)
     mapping = F.create_map(*[x for c, g in group_of.items() for x in (F.lit(c), F.lit(g))])
     return stats.select(
         mapping[F.col("column_name")].alias("feature_group"),
@@ -301,41 +327,81 @@ def feature_stats(
 # -------------------------------------------------------------------- keys
 
 
+def _value_counts(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """(c, one slot per data type, occurrences): each column's distinct values with their rows, from one scan.
+
+    Every row gives one entry per column, de-duplicated map-side before the one
+    shuffle, so a value that a third of all rows hold costs one entry per task.
+    The slot of a column's type holds its value and keeps its order; nulls are
+    an entry of their own.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    kinds = list(dict.fromkeys(types[c].simpleString() for c in columns))
+    slots = [f"v{j}" for j in range(len(kinds))]
+    entries = [
+        F.struct(
+            F.lit(i).alias("c"),
+            *[(qcol(c) if types[c].simpleString() == k else F.lit(None)).cast(k).alias(v) for k, v in zip(kinds, slots)],
+        )
+        for i, c in enumerate(columns)
+    ]
+    counted = df.select(F.inline(F.array(*entries))).groupBy("c", *slots).agg(F.count(F.lit(1)).alias("occurrences"))
+    return counted, slots
+
+
+def _with_names(columns: Sequence[str], found: DataFrame) -> DataFrame:
+    """``found`` (by ``c``) beside every column's name, also of a table without rows."""
+    names = found.sparkSession.createDataFrame(list(enumerate(columns)), "c int, column_name string")
+    return names.join(found, "c", "left")
+
+
+def _held(slots: Sequence[str]):
+    """Whether an entry is a value, not the null entry."""
+    held = F.col(slots[0]).isNotNull()
+    for v in slots[1:]:
+        held = held | F.col(v).isNotNull()
+    return held
+
+
+def _key_counts(counted: DataFrame, slots: Sequence[str]) -> DataFrame:
+    held = _held(slots)
+    return counted.groupBy("c").agg(
+        F.sum("occurrences").alias("row_count"),
+        F.sum(F.when(~held, F.col("occurrences")).otherwise(0)).alias("null_count"),
+        F.count(F.when(held, 1)).alias("distinct_count"),
+    )
+
+
+def _smallest(counted: DataFrame, slots: Sequence[str], n: int) -> DataFrame:
+    """(c, sample_rank, sample_value, occurrences) of each column's ``n`` smallest values.
+
+    Each task passes on at most ``n`` entries a column (a group limit below the
+    shuffle).  The null entry is ranked last and taken off afterwards: a filter
+    before would be pushed below the shuffle, which then served the counts no more.
+    """
+    text = F.coalesce(*[F.col(v).cast("string") for v in slots])
+    first = Window.partitionBy("c").orderBy(F.when(_held(slots), 0).otherwise(1), *slots)
+    ranked = counted.withColumn("sample_rank", F.row_number().over(first)).filter(F.col("sample_rank") <= n)
+    return ranked.filter(_held(slots)).select("c", "sample_rank", text.alias("sample_value"), "occurrences")
+
+
 def key_profile(
     df: DataFrame, dataset: str, columns: str | Sequence[str], batch_size: int | None = None
 ) -> DataFrame:
-    """Null count, null % and distinct non-null count of key columns.
+    """Null count, null % and exact distinct non-null count of key columns, from one scan.
 
-    All columns share one aggregate, so the dataset is computed once (Spark
-    expands each row once per distinct column, with map-side de-duplication);
-    ``batch_size`` splits many columns into several aggregates if asked.
+    ``batch_size`` splits many columns into several scans if asked.
     """
     cols = [columns] if isinstance(columns, str) else list(columns)
     if batch_size and len(cols) > batch_size:
         return union_all(
             [key_profile(df, dataset, cols[i : i + batch_size], batch_size) for i in range(0, len(cols), batch_size)]
         )
-    aggs = [F.count(F.lit(1)).alias("row_count")]
-    for i, name in enumerate(cols):
-        c = qcol(name)
-        aggs += [
-            F.count(F.when(c.isNull(), 1)).alias(f"n{i}"),
-            F.count_distinct(c).alias(f"d{i}"),
-        ]
-    agg = df.agg(*aggs)
-    triples = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.col(f"n{i}").alias("null_count"),
-                F.col(f"d{i}").alias("distinct_count"),
-            )
-            for i, name in enumerate(cols)
-        ]
-    )
-    long = agg.select(F.col("row_count"), F.inline(triples))
+    found = _with_names(cols, _key_counts(*_value_counts(df, cols)))
+    counts = {c: F.coalesce(c, F.lit(0)).alias(c) for c in ("null_count", "row_count", "distinct_count")}
+    long = found.select(F.lit(dataset).alias("dataset"), "column_name", *counts.values())
     return long.select(
-        F.lit(dataset).alias("dataset"),
+        "dataset",
         "column_name",
         "null_count",
         "row_count",
@@ -344,28 +410,36 @@ def key_profile(
     )
 
 
-def key_samples(df: DataFrame, dataset: str, column: str, n: int = 5) -> DataFrame:
-    """The ``n`` smallest distinct non-null values of a column, as text, ranked.
+def key_samples(df: DataFrame, dataset: str, columns: str | Sequence[str], n: int = 5) -> DataFrame:
+    """The ``n`` smallest distinct non-null values of each column, as text, ranked, from one scan."""
+    cols = [columns] if isinstance(columns, str) else list(columns)
+    found = _with_names(cols, _smallest(*_value_counts(df, cols), n)).filter(F.col("sample_rank").isNotNull())
+    return found.orderBy("c", "sample_rank").select(F.lit(dataset).alias("dataset"), "column_name", "sample_rank", "sample_value")
+
 
-    Distinct values are found map-side first; the top-``n`` is then taken
-    per partition and merged, so no task ever holds a whole column.
+def key_report(df: DataFrame, dataset: str, columns: str | Sequence[str], n: int = 5) -> DataFrame:
+    """:func:`key_profile` with ``samples`` beside the counts: the ``n`` smallest values and how many rows hold each.
+
+    Counts and samples share one scan and one shuffle of the distinct values
+    (Spark reuses the exchange for both).
     """
-    c = qcol(column)
-    top = df.select(c.alias("v")).filter(F.col("v").isNotNull()).distinct().orderBy("v").limit(n)
-    ranked = top.select(
+    cols = [columns] if isinstance(columns, str) else list(columns)
+    counted, slots = _value_counts(df, cols)
+    ranked = _smallest(counted, slots, n)
+    entry = F.struct("sample_rank", F.struct(F.col("sample_value").alias("value"), "occurrences").alias("s"))
+    samples = ranked.groupBy("c").agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["s"]).alias("samples"))
+    found = _with_names(cols, _key_counts(counted, slots)).join(samples, "c", "left")
+    rows = F.coalesce("row_count", F.lit(0))
+    nulls = F.coalesce("null_count", F.lit(0))
+    return found.select(
         F.lit(dataset).alias("dataset"),
-        F.lit(column).alias("column_name"),
-        F.row_number().over(_rank_window()).alias("sample_rank"),
-        F.col("v").cast("string").alias("sample_value"),
+        "column_name",
+        nulls.alias("null_count"),
+        rows.alias("row_count"),
+        _pct(nulls, rows).alias("null_pct"),
+        F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"),
+        F.coalesce("samples", F.array().cast("array<struct<value:string,occurrences:bigint>>")).alias("samples"),
     )
-    return ranked
-
-
-def _rank_window():
-    from pyspark.sql import Window
-
-    # Runs over at most ``n`` rows (after the limit), so one partition is fine.
-    return Window.orderBy("v")
 
 
 def configured_columns(
@@ -381,15 +455,17 @@ def configured_columns(
     ]
 
 
-def key_profiles(dfs: Mapping[str, DataFrame], config: Mapping[str, Sequence[str]]) -> DataFrame | None:
-    """:func:`key_profile` for every configured column present, one aggregate per dataset."""
-    pairs = configured_columns(dfs, config)
-    if not pairs:
-        return None
-    by_dataset: dict[str, list[str]] = {}
+def _by_dataset(pairs: Sequence[tuple[str, str]]) -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
     for d, c in pairs:
-        by_dataset.setdefault(d, []).append(c)
-    return union_all([key_profile(dfs[d], d, cols) for d, cols in by_dataset.items()])
+        out.setdefault(d, []).append(c)
+    return out
+
+
+def key_profiles(dfs: Mapping[str, DataFrame], config: Mapping[str, Sequence[str]]) -> DataFrame | None:
+    """:func:`key_profile` for every configured column present, one scan per dataset."""
+    present = _by_dataset(configured_columns(dfs, config))
+    return union_all([key_profile(dfs[d], d, cols) for d, cols in present.items()]) if present else None
 
 
 def key_samples_all(
@@ -398,27 +474,18 @@ def key_samples_all(
     n: int = 5,
     materialize_inputs: bool = False,
 ) -> DataFrame | None:
-    """:func:`key_samples` for every configured column present, as one DataFrame.
+    """:func:`key_samples` for every configured column present, one scan per dataset.
 
-    Each column is its own top-``n`` branch.  When the inputs are derived
-    (joins, aggregates), ``materialize_inputs=True`` first checkpoints just
-    the configured columns of each dataset with several of them, so the
-    input is computed once instead of once per column.
+    ``materialize_inputs`` has no effect any more: an input is computed once anyway.
     """
-    pairs = configured_columns(dfs, config)
-    if not pairs:
-        return None
-    sources = dict(dfs)
-    if materialize_inputs:
-        from fundlens.operators.join import materialize
-
-        by_dataset: dict[str, list[str]] = {}
-        for d, c in pairs:
-            by_dataset.setdefault(d, []).append(c)
-        for d, cols in by_dataset.items():
-            if len(cols) > 1:
-                sources[d] = materialize(dfs[d].select(*[qcol(c) for c in cols]), as_table=True)
-    return union_all([key_samples(sources[d], d, c, n) for d, c in pairs])
+    present = _by_dataset(configured_columns(dfs, config))
+    return union_all([key_samples(dfs[d], d, cols, n) for d, cols in present.items()]) if present else None
+
+
+def key_reports(dfs: Mapping[str, DataFrame], config: Mapping[str, Sequence[str]], n: int = 5) -> DataFrame | None:
+    """:func:`key_report` for every configured column present, one scan per dataset."""
+    present = _by_dataset(configured_columns(dfs, config))
+    return union_all([key_report(dfs[d], d, cols, n) for d, cols in present.items()]) if present else None
 
 
 # Name fragments that mark candidate join keys, per key kind.

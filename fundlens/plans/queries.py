@@ -4,10 +4,9 @@ Each entry of :data:`QUERIES` takes ``(spark, sf_dir)`` and returns a
 DataFrame built from the library's operators over the stand-ins of
 ``fundlens.sources.standins`` (or the driver tables themselves).
 :data:`ORACLE_SQL` holds, per name, an independently written DuckDB
-statement with the same result.  Money sums use ``exact_scale=2`` so results
-do not depend on partitioning; reported averages and standard deviations
-are given to float precision (about 7 significant digits), because their
-last double bits depend on summation order in any engine.
+statement with the same result.  Money sums use ``exact_scale=2``
+and reported averages and standard deviations come from exact integer sums,
+so results do not depend on partitioning and match bit for bit.
 """
 
 from __future__ import annotations
@@ -152,10 +151,6 @@ def _filled(spark: SparkSession, sf_dir: str, *sides: str) -> DataFrame:
     return fill_measures(join_population(join_needs(base, small.get("needs")), small.get("population")))
 
 
-def _to_float(df: DataFrame, columns) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("float") for c in columns})
-
-
 # ----------------------------------------------------------- standardizers
 
 
@@ -450,9 +445,37 @@ def q_sample_rows(spark, sf_dir):
     return P.sample_rows(requirements_standardized(spark, sf_dir), 10, order_by=["appeal_id"])
 
 
-_LINEITEM_NUMERIC = (
-    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax".split()
-)
+# Numeric columns of lineitem and the decimal places of the units their moments are summed in.
+_LINEITEM_NUMERIC = {
+    **dict.fromkeys("l_orderkey l_partkey l_suppkey l_linenumber".split(), 0),
+    **dict.fromkeys("l_quantity l_extendedprice l_discount l_tax".split(), EXACT),
+}
+
+
+def _units(c: str, scale: int) -> str:
+    return f"CAST(round(CAST({c} AS DOUBLE) * {10**scale}) AS BIGINT)" if scale else f"CAST({c} AS BIGINT)"
+
+
+def _as_double(integer: str) -> str:
+    """An integer of any size as the nearest double."""
+    return f"CAST(CAST({integer} AS VARCHAR) AS DOUBLE)"
+
+
+def _exact_avg(c: str, scale: int) -> str:
+    return f"{_as_double(f'sum({_units(c, scale)})')} / CAST({10**scale} AS DOUBLE) / count({c})"
+
+
+def _exact_stddev(c: str, scale: int) -> str:
+    u = f"CAST({_units(c, scale)} AS HUGEINT)"
+    spread = _as_double(f"count({c}) * sum({u} * {u}) - sum({u}) * sum({u})")
+    return f"CASE WHEN count({c}) > 1 THEN sqrt({spread} / (CAST(count({c}) AS DOUBLE) * (count({c}) - 1))) / CAST({10**scale} AS DOUBLE) END"
+
+
+def _wide_avg(c: str) -> str:
+    """Average from whole parts and fractions in 10^-12, summed as integers."""
+    whole = f"CAST(floor({c}) AS HUGEINT)"
+    fraction = f"CAST(floor(({c} - floor({c})) * 1e12 + 0.5) AS HUGEINT)"
+    return f"{_as_double(f'sum({whole}) * 1000000000000 + sum({fraction})')} / 1e12 / count({c})"
 
 
 @register(
@@ -462,16 +485,13 @@ _LINEITEM_NUMERIC = (
         f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "
         f"CASE WHEN typeof(min({c})) <> 'DOUBLE' THEN CAST(min({c}) AS VARCHAR) END AS exact_min, "
         f"CASE WHEN typeof(max({c})) <> 'DOUBLE' THEN CAST(max({c}) AS VARCHAR) END AS exact_max, "
-        f"CAST(avg(CAST({c} AS DOUBLE)) AS FLOAT) AS avg, "
-        f"CAST(stddev_samp(CAST({c} AS DOUBLE)) AS FLOAT) AS stddev FROM lineitem"
-        for c in _LINEITEM_NUMERIC
+        f"{_exact_avg(c, s)} AS avg, {_exact_stddev(c, s)} AS stddev FROM lineitem"
+        for c, s in _LINEITEM_NUMERIC.items()
     ),
 )
 def q_numeric_profile(spark, sf_dir):
-    """min/max/avg/stddev of every numeric column of lineitem, one pass."""
-    lineitem = standins.read_table(spark, sf_dir, "lineitem")
-    stats = P.numeric_stats(lineitem, "lineitem")
-    return _to_float(stats, ["avg", "stddev"])
+    """min/max/avg/stddev of every numeric column of lineitem, one pass, avg and stddev from exact sums."""
+    return P.numeric_stats(standins.read_table(spark, sf_dir, "lineitem"), "lineitem", exact_scale=EXACT)
 
 
 @register(
@@ -480,15 +500,15 @@ def q_numeric_profile(spark, sf_dir):
         "\nUNION ALL\n".join(
             f"SELECT {lit(g)} AS feature_group, {lit(c)} AS feature, "
             f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "
-            f"CAST(avg({c}) AS FLOAT) AS avg FROM features"
+            f"{_wide_avg(c)} AS avg FROM features"
             for g, cols in O.STAT_GROUPS.items()
             for c in cols
         )
     ),
 )
 def q_feature_stats(spark, sf_dir):
-    """min/max/avg of the 14 reported features in their three groups, one pass."""
-    return _to_float(P.feature_stats(features_all(spark, sf_dir)), ["avg"])
+    """min/max/avg of the 14 reported features in their three groups, one pass, avg from exact sums."""
+    return P.feature_stats(features_all(spark, sf_dir), exact=True)
 
 
 def _key_pairs():
@@ -526,14 +546,29 @@ def q_key_profile(spark, sf_dir):
     ),
 )
 def q_key_samples(spark, sf_dir):
-    """The five smallest distinct values of each configured key column.
+    """The five smallest distinct values of each configured key column, one scan per input."""
+    return P.key_samples_all(standins.raw_datasets(spark, sf_dir), KEY_PROFILE_CONFIG, 5)
 
-    The stand-ins are derived by joins, so each one's key columns are
-    checkpointed once instead of being recomputed per column.
-    """
-    return P.key_samples_all(
-        standins.raw_datasets(spark, sf_dir), KEY_PROFILE_CONFIG, 5, materialize_inputs=True
-    )
+
+@register(
+    "key_report",
+    with_standins(
+        "\nUNION ALL\n".join(
+            f"SELECT {lit(d)} AS dataset, {lit(c)} AS column_name, rows.null_count, rows.row_count, rows.distinct_count, "
+            f"sample_rank, sample_value, occurrences FROM (SELECT count(*) - count({q(c)}) AS null_count, count(*) AS row_count, "
+            f"count(DISTINCT {q(c)}) AS distinct_count FROM {d}_raw) rows, "
+            f"(SELECT CAST(row_number() OVER (ORDER BY v) AS INTEGER) AS sample_rank, CAST(v AS VARCHAR) AS sample_value, n AS occurrences "
+            f"FROM (SELECT {q(c)} AS v, count(*) AS n FROM {d}_raw WHERE {q(c)} IS NOT NULL GROUP BY v ORDER BY v LIMIT 5))"
+            for d, c in _key_pairs()
+        )
+    ),
+)
+def q_key_report(spark, sf_dir):
+    """Counts and the five smallest values with their rows, of each configured key column, from one scan per input."""
+    report = P.key_reports(standins.raw_datasets(spark, sf_dir), KEY_PROFILE_CONFIG, 5)
+    fixed = [F.col(c) for c in ("dataset", "column_name", "null_count", "row_count", "distinct_count")]
+    each = report.select(*fixed, F.posexplode("samples").alias("at", "s"))
+    return each.select(*fixed, (F.col("at") + 1).alias("sample_rank"), F.col("s.value").alias("sample_value"), F.col("s.occurrences").alias("occurrences"))
 
 
 _TYPE_NAMES = {
@@ -735,8 +770,8 @@ def q_csv_split_roundtrip(spark, sf_dir):
     with_standins(
         "\nUNION ALL\n".join(
             f"""SELECT 'flows' AS dataset, {lit(c)} AS column_name, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
-CAST(avg({c}) AS FLOAT) AS avg, CAST(stddev_samp({c}) AS FLOAT) AS stddev FROM ({_FLOWS_CSV_SQL})"""
-            for c in ("id", "amountUSD")
+{_exact_avg(c, s)} AS avg, {_exact_stddev(c, s)} AS stddev FROM ({_FLOWS_CSV_SQL})"""
+            for c, s in (("id", 0), ("amountUSD", EXACT))
         )
     ),
 )
@@ -744,8 +779,8 @@ def q_ingest_numeric(spark, sf_dir):
     """Flows CSVs ingested without a schema: tags dropped, types inferred, raw table saved, numbers profiled."""
     path, _ = _flows_as_csv(spark, sf_dir)
     with _database(spark) as (database, location):
-        reports = ingest(spark, "", database, {"flows": path}, location=location)
-    return _to_float(reports.numeric.drop("exact_min", "exact_max"), ["avg", "stddev"])
+        reports = ingest(spark, "", database, {"flows": path}, location=location, exact_scale=EXACT)
+        return reports.numeric.drop("exact_min", "exact_max")
 
 
 @contextmanager
@@ -863,7 +898,7 @@ def q_table_content(spark, sf_dir):
     """The content check of a saved table: as written, with one row stored twice, with one value changed."""
     base = requirements_standardized(spark, sf_dir)
     one = base.orderBy("appeal_id").limit(1)
-    first = F.col("appeal_id") == one.first().appeal_id
+    first = F.col("appeal_id") == one.first().appeal_id  # one row
     tampered = {
         "a row doubled": lambda stored: stored.unionByName(stored.filter(first)),
         "a value changed": lambda stored: stored.withColumn("appeal_name", F.when(first, "another").otherwise(F.col("appeal_name"))),

@@ -74,9 +74,13 @@ def profile_datasets(
     dfs: Mapping[str, DataFrame],
     key_columns: Mapping[str, list[str]] = COUNTRY_KEY_COLUMNS,
     approx_distinct: bool = False,
+    exact_scale: int | None = None,
 ) -> ProfileReports:
-    """Every exploratory report for ``dfs`` (nothing is executed here); without datasets the reports are absent."""
-    numeric = [P.numeric_stats(df, name) for name, df in dfs.items() if P.numeric_columns(df)]
+    """Every exploratory report for ``dfs`` (nothing is executed here); without datasets the reports are absent.
+
+    ``exact_scale`` makes averages and deviations independent of the order of rows (``numeric_stats``).
+    """
+    numeric = [P.numeric_stats(df, name, exact_scale=exact_scale) for name, df in dfs.items() if P.numeric_columns(df)]
     distinct = _union(P.distinct_counts(df, name, approx=approx_distinct) for name, df in dfs.items())
     return ProfileReports(
         shape=P.profile_shape(dfs) if dfs else None,
@@ -101,6 +105,7 @@ def ingest(
     schemas: Mapping[str, StructType] | None = None,
     multi_line: bool = True,
     split_records: bool = False,
+    exact_scale: int | None = None,
 ) -> ProfileReports:
     """Read the CSV inputs present, save each as ``<database>.raw_<name>`` and profile them.
 
@@ -118,7 +123,7 @@ def ingest(
     ensure_database(spark, database, location=location)
     status = save_raw_tables(loaded.frames, database, location=location)
     saved = {name: spark.table(f"{database}.raw_{name}") for name, err in status.items() if not err}
-    reports = profile_datasets(spark, saved)
+    reports = profile_datasets(spark, saved, exact_scale=exact_scale)
     reports.failures = dict(loaded.failures)
     reports.failures.update({f"write:{k}": v for k, v in status.items() if v})
     reports.tables = list_tables(spark, database)

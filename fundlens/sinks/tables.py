@@ -62,7 +62,7 @@ def _table_type(spark: SparkSession, name: str) -> tuple[str, str, str] | None:
     """(type, provider, location) of a catalog table, None where there is none."""
     if not spark.catalog.tableExists(name):
         return None
-    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ident(name)}").collect()}
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ident(name)}").collect()}  # one row per column
     return told.get("Type", ""), told.get("Provider", "").lower(), told.get("Location", "")
 
 

@@ -76,7 +76,7 @@ def digest_columns(df: DataFrame) -> list[Column]:
 
 def content_digest(df: DataFrame) -> ContentDigest:
     """Digest of a table's rows, one aggregate pass."""
-    return ContentDigest.of(df.agg(*digest_columns(df)).first().asDict())
+    return ContentDigest.of(df.agg(*digest_columns(df)).first().asDict())  # one row
 
 
 # ----------------------------------------------------------------- folders

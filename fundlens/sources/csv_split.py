@@ -250,7 +250,7 @@ def read_split_csv(spark: SparkSession, path: str, options: Mapping[str, str]) -
         raise ValueError("split_records needs a header and quotes escaped by doubling")
     names = spark.read.options(**{**options, "multiLine": "true"}).csv(path).columns  # reads one record
     lines = _lines(spark, path)
-    states = range_states([tuple(r) for r in scan_ranges(lines, quote).collect()])  # a few numbers per range
+    states = range_states([tuple(r) for r in scan_ranges(lines, quote).collect()])  # one row per range
     whole = cut_records(lines, states, quote, sep, True).select("first", "record")
     records = whole
     if any(owner is not None for owner in states[0].values()):

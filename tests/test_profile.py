@@ -161,3 +161,36 @@ def test_top_cardinality_is_per_dataset(spark):
     rows = [("wide", f"c{i:02d}", 100 + i) for i in range(20)] + [("small", "a", 1), ("small", "b", None)]
     got = P.top_cardinality(spark.createDataFrame(rows, "dataset string, column_name string, distinct_count bigint")).collect()
     assert len(got) == 17 and sum(r.dataset == "small" for r in got) == 2
+
+
+def _scans(df):
+    """File scans of a finished adaptive plan, without those below a reused exchange."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().executedPlan().toString()
+    return plan.count("FileScan parquet"), plan
+
+
+def test_key_reports_scan_each_input_once(spark, tmp_path):
+    rows = [(i % 7 if i % 5 else None, f"k{i % 3}", float(i % 4), None) for i in range(400)]
+    path = f"{tmp_path}/t"
+    spark.createDataFrame(rows, "i int, s string, x double, e date").repartition(3).write.parquet(path)
+    df, cols = spark.read.parquet(path), ["i", "s", "x", "e"]
+    for report in (P.key_profile(df, "t", cols), P.key_samples(df, "t", cols, 3)):
+        assert _scans(report)[0] == 1
+    report = P.key_report(df, "t", cols, 2)
+    scans, plan = _scans(report)
+    assert plan.count("ReusedExchange") + (scans == 1) >= 1
+    got = {r.column_name: r for r in report.collect()}
+    assert (got["i"].row_count, got["i"].null_count, got["i"].distinct_count) == (400, 80, 7)
+    zeros = sum(1 for r in rows if r[0] == 0)
+    assert [tuple(s) for s in got["i"].samples] == [("0", zeros), ("1", sum(1 for r in rows if r[0] == 1))]
+    assert [s.value for s in got["x"].samples] == ["0.0", "1.0"]
+    assert (got["e"].null_count, got["e"].distinct_count, got["e"].samples) == (400, 0, [])
+
+
+def test_key_report_of_an_empty_table_and_floats(spark):
+    empty = P.key_report(spark.createDataFrame([], "a int, b string"), "t", ["a", "b"]).collect()
+    assert [(r.row_count, r.null_count, r.null_pct, r.distinct_count, r.samples) for r in empty] == [(0, 0, 0.0, 0, [])] * 2
+    floats = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),), (None,)], "x double")
+    got = P.key_report(floats, "t", "x").first()
+    assert (got.distinct_count, got.null_count) == (2, 1) and [s.occurrences for s in got.samples] == [2, 2]
