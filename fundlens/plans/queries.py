@@ -41,6 +41,7 @@ from fundlens.operators.join import (
     join_population,
     materialize,
 )
+from fundlens.operators.profile_state import ProfileState
 from fundlens.operators.quality import (
     QUALITY_KEY_COLUMNS,
     nulls_after_fill,
@@ -425,6 +426,31 @@ def q_distinct_profile(spark, sf_dir):
     return _distinct_profile(spark, sf_dir)
 
 
+_STATE_COLUMNS = [c for c in _DISTINCT_TABLES["orders"] if c != "o_orderpriority"]
+
+
+@register(
+    "profile_state",
+    "\nUNION ALL\n".join(
+        f"SELECT 'orders' AS dataset, {lit(c)} AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, "
+        f"count(DISTINCT {c}) AS distinct_count, true AS estimate_within_5_pct FROM orders"
+        for c in _STATE_COLUMNS
+    ),
+)
+def q_profile_state(spark, sf_dir):
+    """A stored profile of orders kept through appended loads (one per priority), each read once, beside exact counts."""
+    orders = standins.read_table(spark, sf_dir, "orders")
+    table, state = scratch_path(spark, "orders"), ProfileState(spark, scratch_path(spark, "profile"))
+    early = F.col("o_orderpriority") < "3"
+    for load in (orders.filter(early), orders.filter(~early | early.isNull())):
+        load.write.mode("append").partitionBy("o_orderpriority").parquet(table)
+        state.update(spark.read.parquet(table), "orders", ["o_orderpriority"])
+    merged = state.profile().drop("null_pct")
+    exact = P.distinct_counts(orders, "orders", _STATE_COLUMNS).drop("dataset")
+    off = F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= F.col("distinct_count") * 0.05
+    return merged.join(exact, "column_name").withColumn("estimate_within_5_pct", off).drop("distinct_estimate")
+
+
 @register(
     "top_cardinality",
     f"""SELECT dataset, column_name, distinct_count FROM (
