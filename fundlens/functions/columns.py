@@ -7,7 +7,7 @@ stays inside whole-stage codegen; nothing runs Python per row.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.window import WindowSpec
@@ -95,14 +95,29 @@ def sum_measure(
     engine that rounds the same way.  The sums are longs, inside codegen, and
     do not overflow for values below 9e18 units; a NaN makes the total NaN.
     """
+    parts = measure_parts(c, exact_scale)
+    summed = [agg(p) if over is None else agg(p).over(over) for agg, p in parts]
+    return measure_total(summed, exact_scale)
+
+
+def measure_parts(c: Column, exact_scale: int | None = None) -> list[tuple[Callable[[Column], Column], Column]]:
+    """(aggregate, value) pairs whose results :func:`measure_total` puts together.
+
+    Each aggregate may be applied again to its own results, so totals can be
+    taken in levels (per salt, then per key) without losing exactness.
+    """
     if exact_scale is None:
-        total = F.sum(c.cast(DoubleType()))
-        return total if over is None else total.over(over)
-    unit = 10**exact_scale
+        return [(F.sum, c.cast(DoubleType()))]
     value = c.cast(DoubleType())
-    units = F.when(~F.isnan(value), F.round(value * unit).cast("bigint"))
+    units = F.when(~F.isnan(value), F.round(value * 10**exact_scale).cast("bigint"))
     # two long sums, of the high and the low 32 bits, cannot overflow where one would
-    parts = [F.sum(F.shiftright(units, 32)), F.sum(units.bitwiseAND(0xFFFFFFFF)), F.max(F.isnan(value))]
-    high, low, nan = parts if over is None else [p.over(over) for p in parts]
+    return [(F.sum, F.shiftright(units, 32)), (F.sum, units.bitwiseAND(0xFFFFFFFF)), (F.max, F.isnan(value))]
+
+
+def measure_total(summed: Sequence[Column], exact_scale: int | None = None) -> Column:
+    """The total from the aggregated parts of :func:`measure_parts`."""
+    if exact_scale is None:
+        return summed[0]
+    high, low, nan = summed
     total = high.cast("decimal(19,0)") * F.lit(2**32).cast("decimal(10,0)") + low.cast("decimal(19,0)")
-    return F.when(nan, F.lit(float("nan"))).otherwise(total.cast(DoubleType()) / F.lit(float(unit)))
+    return F.when(nan, F.lit(float("nan"))).otherwise(total.cast(DoubleType()) / F.lit(float(10**exact_scale)))

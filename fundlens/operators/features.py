@@ -2,7 +2,7 @@
 
 Project and population features are narrow projections (one ``withColumns``
 each, collapsed by Catalyst into the scan's codegen stage).  Sector features
-need per-group totals over (country_code, year, cluster_code); two strategies
+need per-group totals over (country_code, year, cluster_code); three strategies
 give the same values:
 
 * ``"aggregate"`` (default): ``groupBy`` with partial aggregation, then a
@@ -14,6 +14,12 @@ give the same values:
 * ``"window"``: ``sum().over(partitionBy(keys))``.  One pass, but every row
   of a group is shuffled into one task and sorted there, so a hot group
   becomes a straggler; kept for small inputs and as a cross-check.
+* ``"salted_window"``: windows in two levels.  The base is shuffled once, by
+  (keys, salt); a window there gives every salted part of a group its partial
+  totals, a second one over the parts' representatives (at most ``salts`` rows a
+  group) the group's, and these meet the rows again by (keys, salt), where both
+  already lie.  The base is read and shuffled once, and no task gets more of a
+  group than one salt's share.
 """
 
 from __future__ import annotations
@@ -23,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundlens.functions.columns import EPS, guarded_ratio, safe_ratio, sum_measure
+from fundlens.functions.columns import EPS, guarded_ratio, measure_parts, measure_total, safe_ratio, sum_measure
 from fundlens.operators.join import broadcast_if_small
 from fundlens.operators.standardize import with_columns_if_missing
 
@@ -152,6 +158,43 @@ def sector_totals(
     return df.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()])
 
 
+def _salted_window_totals(df: DataFrame, exact_scale: int | None, keys: Sequence[str], salts: int) -> DataFrame:
+    """``df`` with W1-W4 by windows in two levels.
+
+    The salt is a hash of the whole row, so a rerun deals alike and only rows
+    that are equal in every column share a salt.  Level two reads the exchange
+    of level one again, so the base is read once: Spark reuses an exchange that
+    both sides need with the same columns.  Both refer to the hash of the whole
+    row for that; a caller who needs few columns selects them before.
+    """
+    measures = dict(zip(SECTOR_TOTALS[:3], ("total_requirements_usd", "total_funding_usd", "funding_gap_usd")))
+    whole = F.xxhash64(*[F.col(c) for c in df.columns])
+    # one key that is never null: windows and join then ask for the same partitioning
+    key = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+    salted = df.withColumns({"__key": key, "__salt": F.pmod(whole, F.lit(salts))}).repartition("__key", "__salt")
+    part = Window.partitionBy("__key", "__salt")
+    parts: dict[str, list[tuple]] = {
+        name: [(f"__{m}_{i}", agg, value) for i, (agg, value) in enumerate(measure_parts(F.col(m), exact_scale))]
+        for name, m in measures.items()
+    }
+    parts["sector_project_count"] = [("__projects", F.sum, F.when(F.col("appeal_id").isNotNull(), 1).otherwise(0).cast("bigint"))]
+    flat = [p for group in parts.values() for p in group]
+    level1 = salted.withColumns({n: agg(value).over(part) for n, agg, value in flat})
+    # the order decides nothing but which of a part's equal totals is kept
+    level1 = level1.withColumn("__first", F.row_number().over(part.orderBy(whole)))
+    group = Window.partitionBy("__key")
+    level2 = level1.filter(F.col("__first") == 1).withColumns({n: agg(F.col(n)).over(group) for n, agg, _ in flat})
+    totals = level2.select(
+        "__key",
+        "__salt",
+        *[measure_total([F.col(n) for n, _, _ in parts[t]], exact_scale).alias(t) for t in SECTOR_TOTALS[:3]],
+        F.col("__projects").alias("sector_project_count"),
+    )
+    # the count is never null: the hash only keeps every column on this side of the exchange too
+    count = F.coalesce("sector_project_count", whole).alias("sector_project_count")
+    return salted.join(totals, ["__key", "__salt"], "left").select(*df.columns, *SECTOR_TOTALS[:3], count)
+
+
 def add_sector_features(
     df: DataFrame,
     strategy: str = "aggregate",
@@ -160,6 +203,7 @@ def add_sector_features(
     keys: Sequence[str] = SECTOR_KEYS,
     broadcast_max_rows: int | None = None,
     totals: DataFrame | None = None,
+    salts: int = 32,
 ) -> DataFrame:
     """W1–W4 (sector totals) and F12–F15 (shares and sector efficiency).
 
@@ -167,11 +211,14 @@ def add_sector_features(
     are materialized first and broadcast when they have at most that many
     rows (see ``broadcast_if_small``); otherwise the join is left to Spark.
     ``totals`` passes a precomputed :func:`sector_totals` table (possibly
-    already materialized) for the aggregate strategy.
+    already materialized) for the aggregate strategy, ``salts`` is the number
+    of parts a group is dealt into by ``"salted_window"``.
     """
     if strategy == "window":
         w = Window.partitionBy(*keys)
         with_totals = df.withColumns(_sector_total_columns(exact_scale, over=w))
+    elif strategy == "salted_window":
+        with_totals = _salted_window_totals(df, exact_scale, keys, salts)
     elif strategy == "aggregate":
         renamed = [f"__sector_key{i}" for i in range(len(keys))]
         if totals is None:
@@ -185,7 +232,7 @@ def add_sector_features(
             cond = term if cond is None else cond & term
         with_totals = df.join(totals, on=cond, how="left").select(*df.columns, *SECTOR_TOTALS)
     else:
-        raise ValueError(f"unknown sector strategy {strategy!r}; use 'aggregate' or 'window'")
+        raise ValueError(f"unknown sector strategy {strategy!r}; use 'aggregate', 'window' or 'salted_window'")
 
     req, fund = F.col("total_requirements_usd"), F.col("total_funding_usd")
     s_req, s_fund = F.col("sector_total_requirements_usd"), F.col("sector_total_funding_usd")

@@ -7,15 +7,18 @@ match, so such base rows keep nulls (filled later).
 Broadcast policy: a right side is broadcast only after its size was checked
 (:func:`broadcast_if_small`: materialize it to the shared checkpoint folder,
 observe its row count in the same job, hint a broadcast under the bound).  Above the bound the join
-stays a shuffle join, where AQE splits skewed base partitions.  Leaving the
-choice to AQE alone is not enough: AQE converts a sort-merge join only after
+is a shuffle join whose hot keys are dealt over several tasks (:func:`skew_join`):
+they are found beforehand, their base rows salted and their one row of the right
+side replicated.  Leaving the choice to AQE alone is not enough: AQE converts a sort-merge join only after
 the aggregate stage finished, and by then the big side's shuffle may already
 have run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -80,12 +83,74 @@ def broadcast_if_small(
     """
     if max_rows is None:
         return df
+    mat, small = size_checked(df, max_rows, max_bytes)
+    return F.broadcast(mat) if small else mat
+
+
+def size_checked(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+    """``df`` materialized, and whether it is within the bounds."""
     # rows and bytes are observed while the checkpoint job runs: no second job
     size = Observation()
     seen = df.observe(size, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes"))
     mat = materialize(seen)
-    small = size.get["rows"] <= max_rows and (size.get["bytes"] or 0) <= max_bytes
-    return F.broadcast(mat) if small else mat
+    return mat, size.get["rows"] <= max_rows and (size.get["bytes"] or 0) <= max_bytes
+
+
+@dataclass(frozen=True)
+class SizedSide:
+    """A materialized right side: broadcast if ``small``, else joined by :func:`skew_join`."""
+
+    frame: DataFrame
+    small: bool
+
+    @classmethod
+    def of(cls, df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> SizedSide:
+        return cls(*size_checked(df, max_rows))
+
+
+# Keys with fewer rows are never worth dealing out.
+HOT_MIN_ROWS = 1000
+
+
+def hot_keys(base: DataFrame, keys: Sequence[str], tasks: int | None = None, min_rows: int = HOT_MIN_ROWS) -> DataFrame:
+    """(keys, salts) of the keys that hold more than a task's share of ``base``, null keys included.
+
+    The share is 1 / ``tasks`` of all rows (default: the shuffle partitions), so
+    there are fewer hot keys than tasks, whatever the table, and their salts add
+    up to less than twice the tasks.  One pass over the key columns; partial
+    counts are merged map-side.
+    """
+    tasks = tasks or int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = materialize(base.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")), as_table=True)
+    total = counted.agg(F.sum("rows").alias("total")).first().total or 0  # one row
+    share = max(min_rows, total // tasks)
+    return counted.filter(F.col("rows") > share).select(*keys, F.ceil(F.col("rows") / share).cast("int").alias("salts"))
+
+
+def skew_join(base: DataFrame, right: DataFrame, keys: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """base ⟕ right on ``keys`` by a shuffle that no hot key unbalances; the columns of a using-join.
+
+    ``right`` may have several rows a key.  Base rows of a hot key are dealt over
+    its salts by a hash of the whole row (a rerun deals alike), the key's right
+    rows are repeated once per salt, all other rows have salt 0.  Null keys
+    match nothing but are dealt out too.  Only the list of hot keys, fewer than
+    ``tasks`` rows, is broadcast; the base is read once more for the counts.
+    """
+    found = materialize(hot_keys(base, keys, tasks))
+    if found.isEmpty():
+        return base.join(right, on=list(keys), how="left")
+    hot = F.broadcast(found).select(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(keys)], F.col("salts").alias("__salts"))
+
+    def with_salts(df: DataFrame) -> DataFrame:
+        same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(hot[f"__hot{i}"]) for i, k in enumerate(keys)])
+        return df.join(hot, same, "left").drop(*[f"__hot{i}" for i in range(len(keys))])
+
+    whole = F.xxhash64(*[qcol(c) for c in base.columns])
+    salt = F.coalesce(F.pmod(whole, F.col("__salts")), F.lit(0)).cast("int")
+    left = with_salts(base).withColumn("__salt", salt).drop("__salts")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))
+    spread = with_salts(right).withColumn("__salt", copies).drop("__salts")
+    return left.join(spread, [*keys, "__salt"], "left").drop("__salt")
 
 
 def broadcast_all_if_small(
@@ -105,17 +170,26 @@ def broadcast_all_if_small(
 POPULATION_JOIN_KEYS = ("country_code", "year")
 
 
-def join_needs(base: DataFrame, needs_agg: DataFrame | None) -> DataFrame:
-    """base ⟕ needs on (country_code, cluster_code); absent needs give null measures."""
-    if needs_agg is None:
-        return with_columns_if_missing(base, NEEDS_MEASURES)
-    right = needs_agg.select(*NEEDS_JOIN_KEYS, *NEEDS_MEASURES)
-    return base.join(right, on=list(NEEDS_JOIN_KEYS), how="left")
+def _join_side(base: DataFrame, side: DataFrame | SizedSide | None, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    if side is None:
+        return with_columns_if_missing(base, measures)
+    frame = side.frame if isinstance(side, SizedSide) else side
+    right = frame.select(*keys, *measures)
+    if isinstance(side, SizedSide):
+        if not side.small:
+            return skew_join(base, right, keys)
+        right = F.broadcast(right)
+    return base.join(right, on=list(keys), how="left")
+
+
+def join_needs(base: DataFrame, needs_agg: DataFrame | SizedSide | None) -> DataFrame:
+    """base ⟕ needs on (country_code, cluster_code); absent needs give null measures.
+
+    A :class:`SizedSide` is broadcast or joined around hot keys by its size.
+    """
+    return _join_side(base, needs_agg, NEEDS_JOIN_KEYS, NEEDS_MEASURES)
 
 
-def join_population(base: DataFrame, population_agg: DataFrame | None) -> DataFrame:
+def join_population(base: DataFrame, population_agg: DataFrame | SizedSide | None) -> DataFrame:
     """base ⟕ population on (country_code, year); absent input gives null population."""
-    if population_agg is None:
-        return with_columns_if_missing(base, ("population",))
-    right = population_agg.select(*POPULATION_JOIN_KEYS, "population")
-    return base.join(right, on=list(POPULATION_JOIN_KEYS), how="left")
+    return _join_side(base, population_agg, POPULATION_JOIN_KEYS, ("population",))

@@ -17,6 +17,7 @@ from fundlens.operators.features import (
 )
 from fundlens.operators.join import (
     BROADCAST_MAX_ROWS,
+    SizedSide,
     broadcast_if_small,
     materialize,
     run_concurrently,
@@ -63,7 +64,8 @@ def feature_stages(
     With ``broadcast_max_rows`` set (the default) the three small per-group
     tables (needs, population and sector totals) are computed concurrently
     and checkpointed first, then broadcast if under the bound, so the base
-    is never shuffled for a join with a small side.  The sector totals only
+    is never shuffled for a join with a small side; above the bound hot keys
+    are dealt over several tasks (``skew_join``).  The sector totals only
     use base columns (requirements, filled funding, appeal id), so they are
     taken from the base before the joins, which keep its rows.  ``None``
     keeps the whole pipeline lazy and leaves join choice to Spark/AQE.
@@ -79,7 +81,7 @@ def feature_stages(
     watch = audit.watch if audit else (lambda stage, df: df)
     needs_agg = None if needs is None else needs_by_country_cluster(needs, exact_scale)
     pop_agg = None if population is None else population_by_country_year(population, exact_scale)
-    totals = None
+    totals = needs_side = pop_side = None
     if broadcast_max_rows is None:
         if checkpoint_base:
             requirements = materialize(requirements, as_table=True)
@@ -88,9 +90,9 @@ def feature_stages(
         # totals join them unless they must wait for the checkpointed base.
         tasks = {}
         if needs_agg is not None:
-            tasks["needs"] = lambda: broadcast_if_small(needs_agg, broadcast_max_rows)
+            tasks["needs"] = lambda: SizedSide.of(needs_agg, broadcast_max_rows)
         if pop_agg is not None:
-            tasks["population"] = lambda: broadcast_if_small(pop_agg, broadcast_max_rows)
+            tasks["population"] = lambda: SizedSide.of(pop_agg, broadcast_max_rows)
 
         def _totals(base: DataFrame) -> DataFrame:
             table = sector_totals(add_project_features(fill_measures(base)), exact_scale)
@@ -102,15 +104,15 @@ def feature_stages(
         elif with_totals:
             tasks["sector"] = lambda: _totals(requirements)
         done = run_concurrently(requirements.sparkSession, tasks)
-        needs_agg = done.get("needs", needs_agg)
-        pop_agg = done.get("population", pop_agg)
+        needs_side = done.get("needs")
+        pop_side = done.get("population")
         requirements = done.get("base", requirements)
         totals = done.get("sector")
         if with_totals and totals is None:
             totals = _totals(requirements)  # phase 2: from the checkpointed base
     requirements = watch("base", requirements)
-    after_needs = watch("after_needs", join_needs(requirements, needs_agg))
-    after_pop = watch("after_population", join_population(after_needs, pop_agg))
+    after_needs = watch("after_needs", join_needs(requirements, needs_side or needs_agg))
+    after_pop = watch("after_population", join_population(after_needs, pop_side or pop_agg))
     filled = fill_measures(after_pop)
     feats = add_project_features(filled)
     feats = add_population_features(feats)
@@ -123,8 +125,8 @@ def feature_stages(
     )
     return FeatureStages(
         base=requirements,
-        needs_agg=needs_agg,
-        population_agg=pop_agg,
+        needs_agg=needs_side.frame if needs_side else needs_agg,
+        population_agg=pop_side.frame if pop_side else pop_agg,
         after_needs=after_needs,
         after_population=after_pop,
         filled=filled,

@@ -36,6 +36,7 @@ from fundlens.operators.features import (
     fill_measures,
 )
 from fundlens.operators.join import (
+    SizedSide,
     broadcast_all_if_small,
     join_needs,
     join_population,
@@ -208,6 +209,14 @@ def q_join_needs(spark, sf_dir):
     return join_needs(requirements_standardized(spark, sf_dir), _small_sides(spark, sf_dir, "needs")["needs"])
 
 
+@register("join_needs_shuffled", with_standins("SELECT * FROM after_needs"))
+def q_join_needs_shuffled(spark, sf_dir):
+    """The same join with no side broadcast: hot keys of the base are found, salted and replicated, the rest shuffles."""
+    base = materialize(requirements_standardized(spark, sf_dir), as_table=True)  # read for the counts and for the join
+    side = SizedSide.of(needs_by_country_cluster(needs_standardized(spark, sf_dir), EXACT), max_rows=0)
+    return join_needs(base, side)
+
+
 @register("join_population", with_standins("SELECT * FROM after_population"))
 def q_join_population(spark, sf_dir):
     small = _small_sides(spark, sf_dir, "needs", "population")
@@ -270,9 +279,11 @@ _SECTOR_SQL = with_standins(
 )
 
 
-def _sector(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    """The sector columns need the base alone: it is written once, totalled and joined back."""
-    st = feature_stages(requirements_standardized(spark, sf_dir), None, None, exact_scale=EXACT, checkpoint_base=True, **kw)
+def _sector(spark: SparkSession, sf_dir: str, strategy: str = "aggregate", **kw) -> DataFrame:
+    """The sector columns need the base alone; a strategy that reads it twice has it written once first."""
+    base = requirements_standardized(spark, sf_dir)
+    twice = strategy == "aggregate"
+    st = feature_stages(base, None, None, sector_strategy=strategy, exact_scale=EXACT, checkpoint_base=twice, **kw)
     return st.features.select(*_FEATURE_KEYS, *SECTOR_TOTALS, *SECTOR_RATIOS)
 
 
@@ -284,11 +295,13 @@ def q_features_sector(spark, sf_dir):
 
 @register("features_sector_window", _SECTOR_SQL)
 def q_features_sector_window(spark, sf_dir):
-    """What a window over (country_code, year, cluster_code) gives, without one task per hot group.
+    """Sector totals as windows over (country_code, year, cluster_code), salted in two levels for hot groups."""
+    return _sector(spark, sf_dir, strategy="salted_window")
 
-    The totals are partial aggregates joined back by a shuffle join, which AQE
-    splits on a hot key; the window strategy itself is only unit-tested.
-    """
+
+@register("features_sector_lazy", _SECTOR_SQL)
+def q_features_sector_lazy(spark, sf_dir):
+    """Sector totals by partial aggregate + a shuffle join back, which AQE splits on a hot key."""
     return _sector(spark, sf_dir, broadcast_max_rows=None)
 
 
@@ -820,6 +833,43 @@ def _database(spark: SparkSession):
         spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
 
+_TYPED_TABLES = ("region", "nation", "customer", "supplier", "part", "orders")
+_TYPED_COLUMNS = {
+    "region": "r_regionkey r_name",
+    "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+}
+
+
+def _inferred_sql(table: str, c: str) -> str:
+    text = f"CAST({c} AS VARCHAR)"
+    fits = lambda kind, more="true": f"bool_and(TRY_CAST({text} AS {kind}) IS NOT NULL AND {more})"
+    day = f"regexp_matches({text}, '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}$')"
+    return (
+        f"SELECT {lit(table)} AS dataset, {lit(c)} AS column_name, CASE WHEN {fits('INTEGER')} AND max(typeof({c})) <> 'DOUBLE' THEN 'int' "
+        f"WHEN {fits('BIGINT')} AND max(typeof({c})) <> 'DOUBLE' THEN 'bigint' WHEN {fits('DOUBLE')} THEN 'double' "
+        f"WHEN {fits('DATE', day)} THEN 'date' WHEN {fits('TIMESTAMP')} THEN 'timestamp' ELSE 'string' END AS data_type, "
+        f"count(*) AS row_count FROM {table}"
+    )
+
+
+@register("inferred_types", "\nUNION ALL\n".join(_inferred_sql(t, c) for t, cols in _TYPED_COLUMNS.items() for c in cols.split()))
+def q_inferred_types(spark, sf_dir):
+    """Six tables written as CSV and read without schemas: the types of all found in one wave of jobs."""
+    paths = {t: scratch_path(spark, f"csv-{t}") for t in _TYPED_TABLES}
+    tables = {t: standins.read_table(spark, sf_dir, t).select(*_TYPED_COLUMNS[t].split()) for t in _TYPED_TABLES}
+    run_concurrently(spark, {t: (lambda t=t: write_csv(tables[t], paths[t])) for t in _TYPED_TABLES})
+    loaded = load_datasets(spark, paths, infer_schema=True)
+    if loaded.failures:
+        raise RuntimeError(f"not loaded: {loaded.failures}")
+    counts = P.profile_shape(loaded.frames).select("dataset", "row_count")
+    kinds = P.profile_schema(spark, loaded.frames).select("dataset", "column_name", "data_type")
+    return kinds.join(counts, "dataset")
+
+
 @register("load_report", "SELECT 'flows' AS dataset, count(*) + 1 AS row_count, false AS failed FROM documents UNION ALL SELECT 'missing', NULL, true")
 def q_load_report(spark, sf_dir):
     """Several datasets loaded, one of them absent: row counts and which failed."""

@@ -12,11 +12,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fundlens.functions.columns import qcol
+from fundlens.session import run_concurrently
 from fundlens.sources.csv_split import read_split_csv
 
 # The CSV dialect of the inputs.
@@ -47,6 +48,50 @@ def drop_tag_row(df: DataFrame, prefix: str = TAG_PREFIX) -> DataFrame:
 INFERRED = ("int", "bigint", "double", "date", "timestamp", "boolean")
 
 
+def _fitting_types(c: str) -> Column:
+    """A bit per type of INFERRED that a value has; null for a null, which fits all."""
+    value = F.trim(qcol(c))
+    number = value.rlike(r"^[+-]?(?!0[0-9])[0-9]*\.?[0-9]+([eE][+-]?[0-9]+)?$")
+    day = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+    extra = {"int": number, "bigint": number, "double": number, "date": value.rlike(day + "$"), "timestamp": value.rlike(day)}
+    bits = F.lit(0)
+    for i, kind in enumerate(INFERRED):
+        ok = value.try_cast(kind).isNotNull() & extra.get(kind, F.lit(True))
+        bits = bits + F.when(ok, 1 << i).otherwise(0)
+    return F.when(qcol(c).isNotNull(), bits)
+
+
+def text_types(dfs: Mapping[str, DataFrame]) -> tuple[dict[str, dict[str, str]], dict[str, str]]:
+    """Per dataset the inferred type of each text column, and the error of each dataset that failed.
+
+    A column's type is the narrowest of INFERRED that all its values have: the
+    meet of its values in the lattice of types, one ``bit_and`` a column.  Each
+    dataset is one aggregate; all run as concurrent jobs, one wave.
+    """
+
+    def one(df: DataFrame) -> dict[str, str] | str:
+        text = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
+        if not text:
+            return {}
+        try:
+            found = df.agg(*[F.bit_and(_fitting_types(c)).alias(f"b{i}") for i, c in enumerate(text)]).first()  # one row
+        except Exception as exc:  # noqa: BLE001 - reported per dataset
+            return f"{type(exc).__name__}: {exc}".splitlines()[0]
+        kinds = {c: next((k for j, k in enumerate(INFERRED) if bits >> j & 1), None) for c, bits in zip(text, found) if bits is not None}
+        return {c: k for c, k in kinds.items() if k}
+
+    if not dfs:
+        return {}, {}
+    spark = next(iter(dfs.values())).sparkSession
+    done = run_concurrently(spark, {n: (lambda d=df: one(d)) for n, df in dfs.items()}, resolve_checkpoint=False)
+    return {n: r for n, r in done.items() if isinstance(r, dict)}, {n: r for n, r in done.items() if isinstance(r, str)}
+
+
+def cast_text(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+    """``df`` with the named text columns trimmed and cast."""
+    return df.select(*[F.trim(qcol(c)).try_cast(kinds[c]).alias(c) if c in kinds else qcol(c) for c in df.columns])
+
+
 def infer_text_types(df: DataFrame) -> DataFrame:
     """Cast each text column to the first type of INFERRED that all its values have (one pass).
 
@@ -54,22 +99,10 @@ def infer_text_types(df: DataFrame) -> DataFrame:
     A column without values stays text, and so does one whose numbers are
     written with leading zeros (codes).
     """
-    text = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
-    if not text:
-        return df
-
-    def fits(c: str, kind: str):
-        value = F.trim(qcol(c))
-        ok = value.try_cast(kind).isNotNull()
-        if kind in ("int", "bigint", "double"):
-            ok = ok & value.rlike(r"^[+-]?(?!0[0-9])[0-9]*\.?[0-9]+([eE][+-]?[0-9]+)?$")
-        if kind in ("date", "timestamp"):
-            ok = ok & value.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}" + ("$" if kind == "date" else ""))
-        return F.bool_and(F.when(qcol(c).isNotNull(), F.coalesce(ok, F.lit(False))))
-
-    checks = df.agg(*[fits(c, k).alias(f"{i}_{k}") for i, c in enumerate(text) for k in INFERRED]).first()  # one row
-    kinds = {c: next((k for k in INFERRED if checks[f"{i}_{k}"]), None) for i, c in enumerate(text)}
-    return df.select(*[F.trim(qcol(c)).try_cast(kinds[c]).alias(c) if kinds.get(c) else qcol(c) for c in df.columns])
+    kinds, failed = text_types({"data": df})
+    if failed:
+        raise RuntimeError(failed["data"])
+    return cast_text(df, kinds["data"])
 
 
 def apply_schema(df: DataFrame, schema: StructType) -> DataFrame:
@@ -151,8 +184,13 @@ def load_datasets(
     schemas: Mapping[str, StructType] | None = None,
     **kwargs,
 ) -> LoadResult:
-    """Read every dataset of ``registry`` (name → file); failures are reported, not raised."""
-    result = LoadResult()
+    """Read every dataset of ``registry`` (name → file); failures are reported, not raised.
+
+    With ``infer_schema`` the types of all datasets without a schema are
+    inferred in one wave of concurrent jobs (:func:`text_types`); the other
+    ``kwargs`` go to :func:`read_csv_dataset`.
+    """
+    result, infer = LoadResult(), kwargs.pop("infer_schema", False)
     for name, file_name in registry.items():
         path = f"{base_dir.rstrip('/')}/{file_name}" if base_dir else file_name
         try:
@@ -161,4 +199,11 @@ def load_datasets(
             )
         except Exception as exc:  # noqa: BLE001 - reported per dataset
             result.failures[name] = f"{type(exc).__name__}: {exc}".splitlines()[0]
+    if infer:
+        kinds, failed = text_types({n: df for n, df in result.frames.items() if n not in (schemas or {})})
+        for name, found in kinds.items():
+            result.frames[name] = cast_text(result.frames[name], found)
+        for name, why in failed.items():
+            del result.frames[name]
+            result.failures[name] = why
     return result

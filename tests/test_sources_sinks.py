@@ -3,6 +3,8 @@ import tempfile
 
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from pyspark.sql import functions as F
+
 from fundlens.sinks.tables import (
     ensure_database,
     list_tables,
@@ -112,3 +114,38 @@ def test_single_line_mode_reads_plain_files(spark):
     path = _write(d, "plain.csv", "a,b\n#x,#y\n1,2\n3,4\n")
     out = read_csv_dataset(spark, path, multi_line=False).collect()
     assert [(r.a, r.b) for r in out] == [("1", "2"), ("3", "4")]
+
+
+def test_all_datasets_are_typed_in_one_wave(spark, monkeypatch):
+    from fundlens.sources import csv as source
+
+    d = tempfile.mkdtemp(prefix="fundlens-csv-")
+    columns = {
+        "a": 'x,y,z\n1,2020-01-05,true\n,2020-1-6,false\n',
+        "b": 'x,y,z\n1,2020-01-05 10:00:00,07\n3000000000,2021-01-01,8\n',
+        "c": 'x,y,z\n1.5,a,\n-2,1,\n',
+        "d": 'x,y,z\n" 4 ",1e3,0\n5,.5,1\n',
+    }
+    for n, text in columns.items():
+        _write(d, f"{n}.csv", text)
+    waves, plain = [], source.run_concurrently
+    monkeypatch.setattr(source, "run_concurrently", lambda s, tasks, **kw: waves.append(sorted(tasks)) or plain(s, tasks, **kw))
+    res = load_datasets(spark, {n: f"{n}.csv" for n in (*columns, "absent")}, base_dir=d, infer_schema=True)
+    assert waves == [sorted(columns)] and set(res.failures) == {"absent"}
+    kinds = {n: [k for _, k in df.dtypes] for n, df in res.frames.items()}
+    assert kinds == {
+        "a": ["int", "date", "boolean"],
+        "b": ["bigint", "timestamp", "string"],
+        "c": ["double", "string", "string"],
+        "d": ["int", "double", "int"],
+    }
+    assert [r.x for r in res.frames["d"].collect()] == [4, 5]
+
+
+def test_a_dataset_that_cannot_be_typed_is_reported(spark):
+    from fundlens.sources.csv import text_types
+
+    bad = spark.range(3).select(F.raise_error(F.lit("lost")).cast("string").alias("x"))
+    kinds, failed = text_types({"bad": bad, "good": spark.createDataFrame([("1",)], "x string"), "none": spark.range(2)})
+    assert kinds == {"good": {"x": "int"}, "none": {}} and set(failed) == {"bad"}
+    assert text_types({}) == ({}, {})
