@@ -17,7 +17,9 @@ hub (linear work), and linked documents get one component.  Only cells that
 still hold several components go on: one of up to NODE members is one node
 whose pairs across components are compared; a larger one tries another hub and
 is then cut into nodes whose boxes and points are compared.  Surviving pairs
-are verified on the whole sets.
+are bounded once more by finer points, whose groups grow with the set (about
+FINE shingles each, so long texts are pruned like short ones), and verified on
+the whole sets, which travel once per star of pairs.
 Thus copies are never expanded into all pairs, no task holds a whole cell, and
 no link between different sets is lost for the components.
 
@@ -41,11 +43,12 @@ from fundlens.functions.columns import qcol
 from fundlens.llm.common import id_and_text, slices, written
 from fundlens.llm.graph import components
 from fundlens.llm.shingles import mix, shingle_sets
-from fundlens.operators.join import broadcast_if_small
+from fundlens.operators.join import broadcast_if_small, skew_join
 
 WIDTH = 5
 GROUPS = 64
 NODE = 64  # members of a node
+FINE = 4  # shingles of a group of a fine point, on average
 CHUNK_SHINGLES = 1 << 20  # of the members of a chunk, on average
 HUB_ROUNDS = 2
 ORDER_SAMPLE = 4_000  # documents whose shingle counts fix the order
@@ -86,8 +89,29 @@ def sample_counts(rows: DataFrame, width: int, sample: int) -> tuple[np.ndarray,
     return s[order], table["count"].to_numpy()[order]
 
 
+def fine_point(h: np.ndarray) -> bytes:
+    """Group counts of one set, about FINE shingles a group: the number of bits of a group, then the counts."""
+    bits = max(6, math.ceil(math.log2(max(len(h), 1) / FINE)))
+    counts = np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return bytes([bits]) + counts.astype(np.uint8 if len(h) == 0 or counts.max() < 256 else np.uint32).tobytes()
+
+
+def _counts(point: bytes) -> np.ndarray:
+    bits = point[0]
+    return np.frombuffer(point, np.uint8 if len(point) == 1 + (1 << bits) else np.uint32, offset=1).astype(np.int64)
+
+
+def overlap_bound(a: bytes, b: bytes) -> int:
+    """No pair of sets with these fine points has more in common: the sum of the minima of their counts.
+
+    Groups are the leading bits of a hash, so the finer point is summed up to the coarser one.
+    """
+    x, y = sorted((_counts(a), _counts(b)), key=len)
+    return int(np.minimum(x, y.reshape(len(x), -1).sum(1)).sum())
+
+
 def points(rows: DataFrame, width: int, percent: int, order: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(id, n, k1, k2, prefix, point): set size, set digest, directory shingles in order, group counts."""
+    """(id, n, k1, k2, prefix, point, fine): set size, set digest, directory shingles in order, group counts, finer ones."""
     shared = rows.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,6 +126,7 @@ def points(rows: DataFrame, width: int, percent: int, order: tuple[np.ndarray, n
                 freq = np.where(common[at] == h, counts[at], 0)
             point = np.bincount(owner * GROUPS + (h >> np.uint64(58)).astype(np.int64), minlength=rows_n * GROUPS).astype(np.int32)
             first = np.concatenate([[0], np.cumsum(n)[:-1]])
+            sets = np.split(h, first[1:]) if rows_n else []
             k1, k2 = np.zeros(rows_n, np.uint64), np.zeros(rows_n, np.uint64)
             full = np.flatnonzero(n)
             if len(full):
@@ -118,11 +143,13 @@ def points(rows: DataFrame, width: int, percent: int, order: tuple[np.ndarray, n
                     pa.array(k2.view(np.int64)),
                     _lists(h[keep].view(np.int64), o[keep], rows_n),
                     _lists(point, np.repeat(np.arange(rows_n), GROUPS), rows_n),
+                    pa.array([fine_point(s) for s in sets], pa.binary()),
                 ],
-                names=["id", "n", "k1", "k2", "prefix", "point"],
+                names=["id", "n", "k1", "k2", "prefix", "point", "fine"],
             )
 
-    return rows.select("id", "text").mapInArrow(run, "id long, n long, k1 long, k2 long, prefix array<long>, point array<int>")
+    schema = "id long, n long, k1 long, k2 long, prefix array<long>, point array<int>, fine binary"
+    return rows.select("id", "text").mapInArrow(run, schema)
 
 
 SHARED = "cell long, id long, n long, i long"
@@ -195,22 +222,65 @@ def _needed(na: Column, nb: Column, percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, point_of: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """The linked ones of distinct ``pairs`` (a, b): bounded by their points, then compared as whole sets."""
+    """The linked ones of distinct ``pairs`` (a, b): bounded by their fine points, then compared as whole sets.
+
+    The pairs that are left are seen as stars: of its two ends the one with
+    more pairs is the hub.  A hub's members are dealt into chunks of about NODE
+    members and CHUNK_SHINGLES shingles; a member's set is sent once to each of
+    its stars, the hub's once to each chunk, and never once per pair.
+    """
 
     def side(x: str) -> DataFrame:
-        return point_of.select(F.col("id").alias(x), F.col("n").alias("n" + x), F.col("point").alias("p" + x))
+        return point_of.select(F.col("id").alias(x), F.col("n").alias("n" + x), F.col("fine").alias("p" + x))
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = (np.asarray(batch.column(i)) for i in (2, 3))
+            need = percent * (na + nb) / (100 + percent) - 1e-9
+            points = zip(batch.column(4), batch.column(5))
+            near = [overlap_bound(x.as_py(), y.as_py()) >= least for (x, y), least in zip(points, need.tolist())]
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(near, pa.bool_()))
+
+    met = pairs.join(side("a"), "a").join(side("b"), "b").filter("100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
+    likely = met.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(bounded, "a long, b long, na long, nb long").distinct()
+    likely = written(likely, "likely")
+    ends = F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("nb").alias("other")), F.struct(F.col("b").alias("id"), F.col("na").alias("other"))))
+    degree = likely.select(ends.alias("e")).groupBy("e.id").agg(F.count(F.lit(1)).alias("deg"), F.sum("e.other").alias("load"))
+    of = lambda x: degree.select(F.col("id").alias(x), F.struct("deg", "id", "load").alias("d" + x))
+    turned = likely.join(of("a"), "a").join(of("b"), "b").withColumn("hub", F.greatest("da", "db"))
+    member = F.when(F.col("hub.id") == F.col("a"), F.col("b")).otherwise(F.col("a"))
+    chunks = F.ceil(F.greatest(F.col("hub.deg") / NODE, F.col("hub.load") / CHUNK_SHINGLES))
+    star = turned.select(F.col("hub.id").alias("hub"), member.alias("id"), F.pmod(F.xxhash64(member, F.lit(7)), chunks).alias("chunk"))
+    star = written(star, "stars")
+    seats = star.unionByName(star.select("hub", F.col("hub").alias("id"), "chunk").distinct())
+    # texts without a pair are not moved where the list of the others can be broadcast
+    sought = broadcast_if_small(seats.select("id").distinct(), MOVED)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for b in batches for part in slices(b, 1)):
+            h, owner = shingle_sets(_texts(batch, 1), width)
+            at = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+            blobs = [h[lo:hi].tobytes() for lo, hi in zip(at, at[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], names=["id", "set"])
+
+    def compare(table: pa.Table) -> pa.Table:
+        hub = table["hub"][0].as_py()
+        ids = table["id"].to_numpy()
+        held = [np.frombuffer(x.as_py(), np.uint64) for x in table["set"]]
+        centres = [x for i, x in zip(ids, held) if i == hub and len(x)]  # several where rows repeat the id
+
+        def near(x: np.ndarray, centre: np.ndarray) -> bool:
+            at = np.minimum(np.searchsorted(centre, x), len(centre) - 1)
+            both = int((centre[at] == x).sum())
+            return 100 * both >= percent * (len(x) + len(centre) - both)
+
+        linked = {i for i, x in zip(ids.tolist(), held) if i != hub and len(x) and any(near(x, c) for c in centres)}
+        other = np.array(sorted(linked), np.int64)
+        return pa.table({"a": np.minimum(other, hub), "b": np.maximum(other, hub)})
 
-    bound = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    likely = pairs.join(side("a"), "a").join(side("b"), "b").filter(bound >= _needed(F.col("na"), F.col("nb"), percent))
-    likely = written(likely.select("a", "b").distinct(), "likely")
-    # each set goes once to each of its pairs; texts without a pair are not moved where the pairs can be broadcast
-    ends = broadcast_if_small(likely.select("a", "b", F.explode(F.array("a", "b")).alias("id")), MOVED)
-    sets = shingle_arrays(rows.join(ends, "id", "left_semi"), width)
-    met = sets.join(ends, "id").groupBy("a", "b").agg(F.collect_list(F.struct("id", "shingles")).alias("s"))
-    end = lambda x: F.get(F.filter("s", lambda e: e["id"] == F.col(x)), F.lit(0))["shingles"]
-    both = met.select("a", "b", end("a").alias("sa"), end("b").alias("sb"))
-    counted = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("o"), (F.size("sa") + F.size("sb")).alias("n"))
-    return counted.filter(100 * F.col("o") >= percent * (F.col("n") - F.col("o"))).select("a", "b")
+    moved = rows.join(sought, "id", "left_semi").select("id", "text").mapInArrow(sets, "id long, set binary")
+    seated = moved.join(broadcast_if_small(seats, MOVED), "id").select("hub", "chunk", "id", "set")
+    return seated.groupBy("hub", "chunk").applyInArrow(compare, "a long, b long")
 
 
 def _alike(na: Column, nb: Column, ia: Column, ib: Column, percent: int) -> Column:
@@ -356,7 +426,7 @@ def jaccard_components(
     found = written(shared_cells(reps), "cells")
     members = written(found.join(found.groupBy("cell").agg(F.count(F.lit(1)).alias("size")), "cell"), "members")
 
-    point_of = real.select("id", "n", "point")
+    point_of = real.select("id", "n", "point", "fine")
 
     def starred(cells: DataFrame, turn: int) -> DataFrame:
         """(a, b) of every member and its cell's hub, where they can be linked and are not yet."""
@@ -400,7 +470,9 @@ def jaccard_components(
     degree = degrees(known, rows, width, percent)
     key = ["n", "k1", "k2"]
     named = known.join(degree, key, "left").withColumn("links", F.coalesce("linked", F.lit(0)) + F.col("members") - 1)
-    result = table.select("id", *key).join(named.select(*key, "rep", "component", "links"), key, "left")
+    # documents of their own need no look-up; wordless ones and large groups of copies are dealt over many tasks
+    named = named.filter("members > 1 OR component IS NOT NULL").select(*key, "rep", "component", "links")
+    result = skew_join(table.select("id", *key), written(named, "named"), key)
     return result.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
@@ -412,9 +484,28 @@ def jaccard_components(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of every component, that with its smallest id; all columns unchanged.
 
-    Rows with a null id or no words are linked with nothing and stay; of rows
-    that repeat an id one stays if they are alike in all columns.
+    Rows with a null id or no words are linked with nothing and stay.  Rows that
+    repeat a (non-null) id are one component by that: one of them stays, the
+    same on every run.  Columns may have any names.
     """
     named = jaccard_components(docs, id_col, text_col)
-    gone = named.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(broadcast_if_small(gone, MOVED), qcol(id_col) == F.col("__gone"), "left_anti")
+    gone = named.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    kept = _with_ids(docs, id_col, gone, "left_anti")
+    repeated = kept.groupBy(qcol(id_col).alias("id")).agg(F.count(F.lit(1)).alias("rows")).filter("id IS NOT NULL AND rows > 1")
+    repeated = written(repeated.select("id"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    again = _with_ids(kept, id_col, repeated, "left_semi")
+    row = F.struct(*[qcol(c) for c in docs.columns])
+    place = F.xxhash64(*[qcol(c) for c in docs.columns])
+    one = again.groupBy(qcol(id_col).alias("key")).agg(F.min_by(row, place).alias("row"))
+    one = one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    return _with_ids(kept, id_col, repeated, "left_anti").unionByName(one)
+
+
+def _with_ids(docs: DataFrame, id_col: str, ids: DataFrame, how: str) -> DataFrame:
+    """A semi or anti join of ``docs`` by the one column of ``ids``, broadcast if small, whatever the columns' names."""
+    free = "id"
+    while free in docs.columns:
+        free += "_"
+    return docs.join(broadcast_if_small(ids.toDF(free), MOVED), qcol(id_col) == F.col(free), how)
