@@ -15,10 +15,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a parquet table in the shared folder and read back (lineage cut)."""
+def written(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
+    """``df`` written as a parquet table in the shared folder and read back (lineage cut).
+
+    ``tasks``, from a known size, bounds the tasks and files of the last stage:
+    a few rows need not go through every shuffle partition.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.coalesce(tasks) if tasks else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -15,8 +15,8 @@ speed only, any order gives all pairs.
 Equal sets are collapsed first.  In every cell all members are compared with a
 hub (linear work), and linked documents get one component.  Only cells that
 still hold several components go on: one of up to NODE members is one node
-whose pairs across components are compared; a larger one tries another hub and
-is then cut into nodes whose boxes and points are compared.  Surviving pairs
+whose pairs across components are compared; a larger one (which has several
+hubs) is cut into nodes whose boxes and points are compared.  Surviving pairs
 are bounded once more by finer points, whose groups grow with the set (about
 FINE shingles each, so long texts are pruned like short ones), and verified on
 the whole sets, which travel once per star of pairs.
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,16 +42,17 @@ from pyspark.sql import functions as F
 
 from fundlens.functions.columns import qcol
 from fundlens.llm.common import id_and_text, slices, written
-from fundlens.llm.graph import components
+from fundlens.llm.graph import ROWS_PER_TASK, components
 from fundlens.llm.shingles import mix, shingle_sets
-from fundlens.operators.join import broadcast_if_small, skew_join
+from fundlens.operators.join import SizedSide, broadcast_if_small, skew_join
 
 WIDTH = 5
 GROUPS = 64
 NODE = 64  # members of a node
 FINE = 4  # shingles of a group of a fine point, on average
 CHUNK_SHINGLES = 1 << 20  # of the members of a chunk, on average
-HUB_ROUNDS = 2
+TASK_SHINGLES = 1 << 21  # of the pairs that one task compares, on average
+HUBS = 2  # of a cell of more than a node; smaller ones have one
 ORDER_SAMPLE = 4_000  # documents whose shingle counts fix the order
 PERCENT = 75
 MOVED = 2_000_000  # rows of two or three ids up to which a side is broadcast; beyond it is shuffled
@@ -221,6 +223,17 @@ def _needed(na: Column, nb: Column, percent: int) -> Column:
     return F.ceil(percent * (na + nb) / F.lit(100.0 + percent) - 1e-9)
 
 
+def _sized(df: DataFrame, side: SizedSide) -> DataFrame:
+    """``df``, made from a side's frame, hinted for broadcast where the side was found small."""
+    return F.broadcast(df) if side.small else df
+
+
+def points_of(ids: DataFrame, point_of: DataFrame) -> SizedSide:
+    """The rows of ``point_of`` whose id is in ``ids``, materialized and sized."""
+    wanted = broadcast_if_small(ids.distinct(), MOVED)
+    return SizedSide.of(point_of.join(wanted, "id", "left_semi"), MOVED)
+
+
 def verified(pairs: DataFrame, point_of: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
     """The linked ones of distinct ``pairs`` (a, b): bounded by their fine points, then compared as whole sets.
 
@@ -230,8 +243,11 @@ def verified(pairs: DataFrame, point_of: DataFrame, rows: DataFrame, width: int,
     its stars, the hub's once to each chunk, and never once per pair.
     """
 
+    pairs = written(pairs.distinct(), "pairs")
+    held = points_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), point_of.select("id", "n", "fine"))
+
     def side(x: str) -> DataFrame:
-        return point_of.select(F.col("id").alias(x), F.col("n").alias("n" + x), F.col("fine").alias("p" + x))
+        return held.frame.select(F.col("id").alias(x), F.col("n").alias("n" + x), F.col("fine").alias("p" + x))
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,17 +257,19 @@ def verified(pairs: DataFrame, point_of: DataFrame, rows: DataFrame, width: int,
             near = [overlap_bound(x.as_py(), y.as_py()) >= least for (x, y), least in zip(points, need.tolist())]
             yield batch.select([0, 1, 2, 3]).filter(pa.array(near, pa.bool_()))
 
-    met = pairs.join(side("a"), "a").join(side("b"), "b").filter("100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
-    likely = met.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(bounded, "a long, b long, na long, nb long").distinct()
+    met = pairs.join(_sized(side("a"), held), "a").join(_sized(side("b"), held), "b")
+    met = met.filter("100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
+    likely = met.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(bounded, "a long, b long, na long, nb long")
     likely = written(likely, "likely")
     ends = F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("nb").alias("other")), F.struct(F.col("b").alias("id"), F.col("na").alias("other"))))
     degree = likely.select(ends.alias("e")).groupBy("e.id").agg(F.count(F.lit(1)).alias("deg"), F.sum("e.other").alias("load"))
-    of = lambda x: degree.select(F.col("id").alias(x), F.struct("deg", "id", "load").alias("d" + x))
+    degree = SizedSide.of(degree, MOVED)
+    of = lambda x: _sized(degree.frame.select(F.col("id").alias(x), F.struct("deg", "id", "load").alias("d" + x)), degree)
     turned = likely.join(of("a"), "a").join(of("b"), "b").withColumn("hub", F.greatest("da", "db"))
     member = F.when(F.col("hub.id") == F.col("a"), F.col("b")).otherwise(F.col("a"))
     chunks = F.ceil(F.greatest(F.col("hub.deg") / NODE, F.col("hub.load") / CHUNK_SHINGLES))
     star = turned.select(F.col("hub.id").alias("hub"), member.alias("id"), F.pmod(F.xxhash64(member, F.lit(7)), chunks).alias("chunk"))
-    star = written(star, "stars")
+    star = written(star, "stars", 4 + likely.count() // ROWS_PER_TASK)
     seats = star.unionByName(star.select("hub", F.col("hub").alias("id"), "chunk").distinct())
     # texts without a pair are not moved where the list of the others can be broadcast
     sought = broadcast_if_small(seats.select("id").distinct(), MOVED)
@@ -280,7 +298,8 @@ def verified(pairs: DataFrame, point_of: DataFrame, rows: DataFrame, width: int,
 
     moved = rows.join(sought, "id", "left_semi").select("id", "text").mapInArrow(sets, "id long, set binary")
     seated = moved.join(broadcast_if_small(seats, MOVED), "id").select("hub", "chunk", "id", "set")
-    return seated.groupBy("hub", "chunk").applyInArrow(compare, "a long, b long")
+    load = likely.agg(F.sum(F.col("na") + F.col("nb"))).first()[0] or 0
+    return written(seated.groupBy("hub", "chunk").applyInArrow(compare, "a long, b long"), "linked", 8 + load // TASK_SHINGLES)
 
 
 def _alike(na: Column, nb: Column, ia: Column, ib: Column, percent: int) -> Column:
@@ -336,6 +355,27 @@ def node_pairs(members: DataFrame, percent: int) -> DataFrame:
     return met.mapInArrow(run, "a long, b long").distinct()
 
 
+def cell_pairs(cells: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different components in cells of up to NODE members that sizes, places and points let through.
+
+    ``cells``: cell, id, n, i, component, fine.  A cell is one node: its members meet in one task, and only
+    pairs whose bound reaches the overlap that a link needs leave it.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        id_, n, i, component = (table[c].to_numpy() for c in ("id", "n", "i", "component"))
+        need = percent * (n[:, None] + n[None]) / (100 + percent) - 1e-9
+        ok = (id_[:, None] < id_[None]) & (component[:, None] != component[None])
+        ok &= (np.minimum((n - i)[:, None], (n - i)[None]) >= need) & (100 * np.minimum(n[:, None], n[None]) >= percent * np.maximum(n[:, None], n[None]))
+        x, y = np.nonzero(ok)
+        fine = [p.as_py() for p in table["fine"]]
+        near = [overlap_bound(fine[a], fine[b]) >= need[a, b] for a, b in zip(x.tolist(), y.tolist())]
+        x, y = x[near], y[near]
+        return pa.table({"a": id_[x], "b": id_[y]})
+
+    return cells.groupBy("cell").applyInArrow(run, "a long, b long")
+
+
 def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     """(len(a), len(b)) sizes of the intersections of sorted sets; a slab of their union at a time."""
     union, code = np.unique(np.concatenate([*a, *b]), return_inverse=True)
@@ -405,14 +445,21 @@ def degrees(classes: DataFrame, rows: DataFrame, width: int, percent: int) -> Da
 
 
 def jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, order_sample: int = ORDER_SAMPLE
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = WIDTH,
+    percent: int = PERCENT,
+    order_sample: int = ORDER_SAMPLE,
+    count_links: bool = False,
 ) -> DataFrame:
-    """(id, n_shingles, component_id, links) per row of ``docs``; ids are integers.
+    """(id, n_shingles, component_id) per row of ``docs``; ids are integers.
 
     Two documents are linked if 100 * intersection >= percent * union of their
-    shingle sets; component_id is the smallest id reachable by links, ``links``
-    the number of other documents that the row's text is linked with, copies
-    among them.  Null, empty and wordless texts have size 0 and are
+    shingle sets; component_id is the smallest id reachable by links.
+    ``count_links`` adds ``links``, the number of other documents that the row's
+    text is linked with, copies among them; it compares all chunks of a
+    component with one another, which components do not need.  Null, empty and wordless texts have size 0 and are
     linked with nothing; a null id takes no part and has a null component.
     Rows that share an id are one component by definition of the id.
     """
@@ -421,7 +468,8 @@ def jaccard_components(
     table = written(points(rows, width, percent, order), "points")
     real = table.filter("n > 0 AND id IS NOT NULL")
     classes = written(real.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("members")), "classes")
-    copies = real.select("id", "n", "k1", "k2").join(classes, ["n", "k1", "k2"]).filter("id <> rep").select("id").distinct()
+    several = broadcast_if_small(classes.filter("members > 1").drop("members"), MOVED)
+    copies = real.select("id", "n", "k1", "k2").join(several, ["n", "k1", "k2"]).filter("id <> rep").select("id").distinct()
     reps = real.join(broadcast_if_small(copies, MOVED), "id", "left_anti").select("id", "n", "prefix")
     found = written(shared_cells(reps), "cells")
     members = written(found.join(found.groupBy("cell").agg(F.count(F.lit(1)).alias("size")), "cell"), "members")
@@ -437,47 +485,41 @@ def jaccard_components(
         return met.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
 
     def within(cells: DataFrame) -> DataFrame:
-        """(a, b) of all members of different components in cells of one node."""
-        other = cells.select("cell", *[F.col(c).alias(c + "2") for c in ("id", "n", "i", "component")])
-        near = _alike(F.col("n"), F.col("n2"), F.col("i"), F.col("i2"), percent)
-        met = cells.join(other, "cell").filter((F.col("id") < F.col("id2")) & (F.col("component") != F.col("component2")) & near)
-        return met.select(F.col("id").alias("a"), F.col("id2").alias("b"))
+        """(a, b) of the members of different components in cells of one node that points let through."""
+        held = points_of(cells.select("id"), point_of.select("id", "n", "fine"))
+        return cell_pairs(cells.join(_sized(held.frame, held), ["id", "n"]).select("cell", "id", "n", "i", "component", "fine"), percent)
 
-    links, labels = None, None
     labelled = members.withColumn("component", F.col("id"))  # a row that repeats an id only repeats its pairs
-    for turn in range(HUB_ROUNDS + 1):
+    stars = [starred(labelled, 0)] + [starred(labelled.filter(F.col("size") > NODE), k) for k in range(1, HUBS)]
+    links = verified(reduce(DataFrame.unionByName, stars), point_of, rows, width, percent)
+    labels = broadcast_if_small(components(links), MOVED)
+    now = labelled.drop("component").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    open_cells = now.groupBy("cell").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("cell")
+    labelled = written(now.join(broadcast_if_small(open_cells, MOVED), "cell", "left_semi"), "labelled")
+    if not labelled.isEmpty():
         small, large = labelled.filter(F.col("size") <= NODE), labelled.filter(F.col("size") > NODE)
-        if turn == 0:
-            pairs = starred(labelled, turn)
-        elif turn < HUB_ROUNDS:
-            pairs = within(small).unionByName(starred(large, turn)) if turn == 1 else starred(large, turn)
-        else:
-            pairs = node_pairs(large.join(point_of, ["id", "n"]), percent)
-            if HUB_ROUNDS < 2:
-                pairs = pairs.unionByName(within(small))
-        confirmed = verified(pairs.distinct(), point_of, rows, width, percent)
-        links = written(confirmed if links is None else links.unionByName(confirmed), "links")
-        labels = components(links)
-        if turn < HUB_ROUNDS:
-            left = labelled.drop("component") if turn == 0 else large.drop("component")
-            now = left.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-            open_cells = now.groupBy("cell").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("cell")
-            labelled = written(now.join(open_cells, "cell", "left_semi"), "labelled")
-            if labelled.isEmpty():
-                break
+        held = points_of(large.select("id"), point_of.select("id", "n", "point"))
+        pairs = within(small).unionByName(node_pairs(large.join(_sized(held.frame, held), ["id", "n"]), percent))
+        links = links.unionByName(verified(pairs, point_of, rows, width, percent))
+        labels = broadcast_if_small(components(links), MOVED)
 
     known = written(classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left"), "known")
-    degree = degrees(known, rows, width, percent)
-    key = ["n", "k1", "k2"]
-    named = known.join(degree, key, "left").withColumn("links", F.coalesce("linked", F.lit(0)) + F.col("members") - 1)
-    # documents of their own need no look-up; wordless ones and large groups of copies are dealt over many tasks
-    named = named.filter("members > 1 OR component IS NOT NULL").select(*key, "rep", "component", "links")
-    result = skew_join(table.select("id", *key), written(named, "named"), key)
+    key, out = ["n", "k1", "k2"], ["rep", "component"]
+    named = known
+    if count_links:
+        degree = degrees(known, rows, width, percent)
+        named = known.join(degree, key, "left").withColumn("links", F.coalesce("linked", F.lit(0)) + F.col("members") - 1)
+        out.append("links")
+    # documents of their own need no look-up; where the others are many, wordless ones and groups of copies are dealt out
+    named = SizedSide.of(named.filter("members > 1 OR component IS NOT NULL").select(*key, *out), MOVED)
+    ids = table.select("id", *key)
+    result = ids.join(F.broadcast(named.frame), key, "left") if named.small else skew_join(ids, named.frame, key)
+    links = F.when(F.col("id").isNotNull(), F.coalesce("links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("links") if count_links else None
     return result.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id")).alias("component_id"),
-        F.when(F.col("id").isNotNull(), F.coalesce("links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("links"),
+        *([links] if count_links else []),
     )
 
 

@@ -27,7 +27,7 @@ def test_links_count_every_linked_document(documents, monkeypatch):
         want[i] = sum(j != i and 100 * len(a & b) >= 75 * len(a | b) for j, b in enumerate(sets))
     rows += [(0, texts[0], "en", "a"), (None, texts[0], "en", "a"), (900, None, "en", "a"), (901, "", "en", "a")]
     monkeypatch.setattr(jaccard_join, "NODE", 8)
-    got = jaccard_join.jaccard_components(documents(rows)).collect()
+    got = jaccard_join.jaccard_components(documents(rows), count_links=True).collect()
     assert len(got) == len(rows) and max(want.values()) > 20
     for r in got:
         assert r.links == want.get(r.doc_id, 0), (r, want.get(r.doc_id))
