@@ -8,12 +8,12 @@ language is the class with the largest mean window logit.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +28,7 @@ UNKNOWN = "und"
 # The bound of the fit: training documents per language and windows of each.
 SAMPLE_ROWS, SAMPLE_WINDOWS = 1_500, 4
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 WIDEST = max(WIDTHS)
 STRIDE = WINDOW - WIDEST + 1  # neighbouring windows overlap so that no n-gram is lost
 

@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from fundlens.functions.columns import qcol
 from fundlens.operators.join import broadcast_if_small
 
-# Means above this are split: floor(mean - MAX_MEAN) certain copies plus a draw with the rest.
+# A larger mean is drawn as the sum of independent draws of equal means up to this, which is Poisson again.
 MAX_MEAN = 16.0
-# Inverse steps of one draw: P(k >= 96) for mean 17 is below the 2^-52 grid of the uniform number.
+# Inverse steps of one draw: P(k >= 96) for mean 16 is below the 2^-52 grid of the uniform number.
 MAX_DRAW = 96
 
 
@@ -32,18 +32,27 @@ def uniform(seed: int, *parts: Column) -> Column:
 
 
 def poisson_inverse(u: Column, mean: Column) -> Column:
-    """Smallest k with P(X <= k) > u for X ~ Poisson(mean), plus the certain copies of a large mean."""
-    certain = F.floor(F.greatest(mean - MAX_MEAN, F.lit(0.0)))
-    rest = mean - certain
-    start = F.struct(F.exp(-rest).alias("p"), F.exp(-rest).alias("cdf"), F.lit(0).alias("k"))
+    """Smallest k with P(X <= k) > u for X ~ Poisson(mean), means up to MAX_MEAN."""
+    start = F.struct(F.exp(-mean).alias("p"), F.exp(-mean).alias("cdf"), F.lit(0).alias("k"))
 
     def step(s: Column, i: Column) -> Column:
-        p = s["p"] * rest / i
+        p = s["p"] * mean / i
         more = u >= s["cdf"]
         return F.when(more, F.struct(p.alias("p"), (s["cdf"] + p).alias("cdf"), i.alias("k"))).otherwise(s)
 
-    drawn = F.aggregate(F.sequence(F.lit(1), F.lit(MAX_DRAW)), start, step)["k"]
-    return certain.cast("long") + drawn
+    return F.aggregate(F.sequence(F.lit(1), F.lit(MAX_DRAW)), start, step)["k"]
+
+
+def poisson_copies(seed: int, id_: Column, mean: Column) -> Column:
+    """A Poisson number with this mean, fixed by the seed and the id: one draw, or the sum of equal ones of a large mean.
+
+    The first draw is hashed from (seed, id), further ones from (seed, id, their number).
+    """
+    draws = F.greatest(F.ceil(mean / MAX_MEAN), F.lit(1))
+    one = poisson_inverse(uniform(seed, id_), mean / draws).cast("long")
+    more = F.transform(F.sequence(F.lit(1).cast("long"), draws - 1), lambda j: poisson_inverse(uniform(seed, id_, j), mean / draws))
+    total = F.aggregate(more, one, lambda s, k: s + k.cast("long"))
+    return F.when(draws > 1, total).otherwise(one)
 
 
 def repetition_rates(
@@ -95,7 +104,7 @@ def mix_sources(
     rates = broadcast_if_small(repetition_rates(docs, source_col, weights, temperature, epochs).drop("n"))
     rows = docs.select(F.struct(*[qcol(c) for c in docs.columns]).alias("row"), qcol(id_col).alias("id"), qcol(source_col).alias("s"))
     drawn = rows.join(rates, rows["s"].eqNullSafe(rates["source"]), "inner").select(
-        "row", "id", poisson_inverse(uniform(seed, F.col("id")), F.col("rate")).alias("k")
+        "row", "id", poisson_copies(seed, F.col("id"), F.col("rate")).alias("k")
     )
     copies = drawn.filter("k > 0").select("row", "id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("copy"))
     keyed = copies.select("row", "copy", F.xxhash64(F.lit(seed), F.col("id"), F.col("copy")).alias("place"))

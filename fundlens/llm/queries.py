@@ -97,16 +97,21 @@ OP10_SQL = """
 WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 rates AS (
   SELECT source, sqrt(n) / (SELECT sum(sqrt(n)) FROM counts) * (SELECT sum(n) FROM counts) / n AS rate FROM counts
+), means AS (SELECT *, greatest(ceil(rate / 16), 1) AS draws FROM rates
 ), steps AS (
-  SELECT source, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS cdf
-  FROM rates, generate_series(0, 95) AS s(k)
-), draws AS (
-  SELECT doc_id, source, text,
-         ('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13))::BIGINT / 4503599627370496.0 AS u
-  FROM documents
+  SELECT source, k, sum(exp(-rate / draws + k * ln(rate / draws) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS cdf
+  FROM means, generate_series(0, 95) AS s(k)
+), seeds AS (
+  SELECT d.doc_id, d.source, d.text, d.r, unnest(range(CAST(m.draws AS BIGINT))) AS j
+  FROM (SELECT *, row_number() OVER () AS r FROM documents) d JOIN means m ON m.source IS NOT DISTINCT FROM d.source
+), drawn AS (
+  SELECT *, ('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || CASE WHEN j > 0 THEN ':' || j ELSE '' END), 1, 13))::BIGINT / 4503599627370496.0 AS u
+  FROM seeds
+), copies AS (
+  SELECT d.r, any_value(d.doc_id) AS doc_id, any_value(d.source) AS source, any_value(d.text) AS text, count(s.k) AS n
+  FROM drawn d LEFT JOIN steps s ON s.source IS NOT DISTINCT FROM d.source AND d.u >= s.cdf GROUP BY d.r
 )
-SELECT d.doc_id, d.source, CAST(s.k AS BIGINT) AS copy, d.text
-FROM draws d JOIN steps s ON s.source IS NOT DISTINCT FROM d.source AND d.u >= s.cdf
+SELECT doc_id, source, unnest(range(n)) AS copy, text FROM copies
 """
 
 def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
