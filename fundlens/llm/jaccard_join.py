@@ -358,8 +358,9 @@ def node_pairs(members: DataFrame, percent: int) -> DataFrame:
 def cell_pairs(cells: DataFrame, percent: int) -> DataFrame:
     """(a, b) of different components in cells of up to NODE members that sizes, places and points let through.
 
-    ``cells``: cell, id, n, i, component, fine.  A cell is one node: its members meet in one task, and only
-    pairs whose bound reaches the overlap that a link needs leave it.
+    ``cells``: cell, id, n, i, component, point.  A cell is one node: its members meet in one task, and only
+    pairs whose bound reaches the overlap that a link needs leave it.  (The points of GROUPS counts travel, as a
+    set may be in many cells; the fine ones come in once per pair, in :func:`verified`.)
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -368,8 +369,8 @@ def cell_pairs(cells: DataFrame, percent: int) -> DataFrame:
         ok = (id_[:, None] < id_[None]) & (component[:, None] != component[None])
         ok &= (np.minimum((n - i)[:, None], (n - i)[None]) >= need) & (100 * np.minimum(n[:, None], n[None]) >= percent * np.maximum(n[:, None], n[None]))
         x, y = np.nonzero(ok)
-        fine = [p.as_py() for p in table["fine"]]
-        near = [overlap_bound(fine[a], fine[b]) >= need[a, b] for a, b in zip(x.tolist(), y.tolist())]
+        point = table["point"].combine_chunks().flatten().to_numpy().reshape(len(id_), GROUPS)
+        near = np.minimum(point[x], point[y]).sum(1) >= need[x, y]
         x, y = x[near], y[near]
         return pa.table({"a": id_[x], "b": id_[y]})
 
@@ -486,8 +487,8 @@ def jaccard_components(
 
     def within(cells: DataFrame) -> DataFrame:
         """(a, b) of the members of different components in cells of one node that points let through."""
-        held = points_of(cells.select("id"), point_of.select("id", "n", "fine"))
-        return cell_pairs(cells.join(_sized(held.frame, held), ["id", "n"]).select("cell", "id", "n", "i", "component", "fine"), percent)
+        held = points_of(cells.select("id"), point_of.select("id", "n", "point"))
+        return cell_pairs(cells.join(_sized(held.frame, held), ["id", "n"]).select("cell", "id", "n", "i", "component", "point"), percent)
 
     labelled = members.withColumn("component", F.col("id"))  # a row that repeats an id only repeats its pairs
     stars = [starred(labelled, 0)] + [starred(labelled.filter(F.col("size") > NODE), k) for k in range(1, HUBS)]
