@@ -8,14 +8,20 @@ linked, and separators, lengths and check digits stay right.  Everything is
 DataFrame functions on one row at a time; nothing is shuffled.
 
 kind    valid value                                permuted
-card    13-19 digits, Luhn, anywhere in a row      all but the check digit, which is computed anew
-phone   +cc and 7-12 digits, or 10 NANP-style      the national digits
+card    13-19 digits from 1 on, Luhn, anywhere in a row   all but the check digit, which is computed anew
+phone   +cc and 7-15 digits, or 10 NANP-style      the national digits, by country code, however they are spelled
 ipv4    four octets                                the 32-bit number
 ssn     ddd-dd-dddd with valid ranges              the rank among the valid numbers
 iban    country, check digits, 11-30 characters    the account part; check digits computed anew
-date    yyyy-mm-dd, dd/mm/yyyy, mm/dd/yyyy or dd.mm.yyyy in 1900-2099   the day within its century
+date    yyyy-mm-dd, dd/mm/yyyy, mm/dd/yyyy or dd.mm.yyyy in 1900-2099   the day within its century and half of the month
 email   local part @ domain                        letters and digits of the local part
 secret  token, secret, password or key assignment  letters and digits of the value
+
+Spellings of one value stay linked: a date in any of its formats, a phone
+number with and without its country code, an account number in either case.
+A date with slashes whose second part is above 12 can only be month first, any
+other is read day first.  Days up to the 12th and later ones are permuted
+apart, so both readings keep to their own written forms and never collide.
 """
 
 from __future__ import annotations
@@ -40,7 +46,9 @@ def _iban_of(length: int, countries: str) -> str:
     return rf"(?:{countries})\d{{2}}(?:[ ]?[A-Z0-9]{{4}}){{{groups}}}" + (rf"[ ]?[A-Z0-9]{{{rest}}}" if rest else "")
 
 
-IBAN = "|".join([*(_iban_of(n, c) for n, c in IBAN_LENGTHS.items()), r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?"])
+_BY_COUNTRY = "|".join(_iban_of(n, c) for n, c in IBAN_LENGTHS.items())
+_LOWER_CASE = "|".join(_iban_of(n, c.lower()).replace("A-Z", "a-z") for n, c in IBAN_LENGTHS.items())
+IBAN = "|".join([_BY_COUNTRY, _LOWER_CASE, r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?"])
 
 # One alternative per kind, tried in this order at each position.
 PATTERNS = {
@@ -50,13 +58,17 @@ PATTERNS = {
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-]|\.\d)",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\)[ ]?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
+    "phone": r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\)[ ]?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])"
+    r"|(?<![\d.,+-])(?<!\d[ ])(?:[2-9]\d{2} \d{3} \d{4}|[2-9]\d{2}\.\d{3}\.\d{4})(?![\d-]|[ .,]\d)",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,}+",  # a whole row of numbers; _cards looks for the cards in it
 }
 CANDIDATE = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
-# Days of the two centuries as exact products, so that (day div b, day mod b) is a full grid.
-CENTURIES = (("1900-01-01", 92, 397), ("2000-01-01", 75, 487))
+# A century has 1,200 months of 12 early days, 120 x 120, and of 19 later ones, 150 x 152, some of which do not exist.
+EARLY, LATE = (1, 12, 120, 120), (13, 19, 150, 152)  # first day, days, grid
+WALK = 24  # turns until an existing day is met; one in 34 does not exist, so no value needs them all
+# Country calling codes of one and two digits (fixed values); all others have three.
+CALLING_CODE = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 SSN_GROUPS, SSN_SERIALS, SSN_AREAS = 99, 9999, 898
 
 
@@ -65,7 +77,7 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _keyed(key: str, kind: str, turn: Column, value: Column) -> Column:
+def _keyed(key: str, kind: str | Column, turn: Column, value: Column) -> Column:
     """64 hex digits from the key, the kind, the round and the other half."""
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), turn.cast("string"), value.cast("string")), 256)
 
@@ -74,7 +86,7 @@ def _number(hexes: Column) -> Column:
     return F.conv(F.substring(hexes, 1, 13), 16, 10).cast("long")
 
 
-def feistel(key: str, kind: str, left: Column, size_left: Column, right: Column, size_right: Column) -> Column:
+def feistel(key: str, kind: str | Column, left: Column, size_left: Column, right: Column, size_right: Column) -> Column:
     """A keyed permutation of the grid [0, size_left) x [0, size_right), as struct(l, r).
 
     Rounds add a hash of one half to the other, modulo its size, in turns.
@@ -91,16 +103,25 @@ def feistel(key: str, kind: str, left: Column, size_left: Column, right: Column,
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn)
 
 
-def permute_digits(key: str, kind: str, digits: Column) -> Column:
-    """A permutation of the digit strings of this length (up to 30 digits)."""
+def permute_digits(key: str, kind: str | Column, digits: Column, lead: Column | None = None) -> Column:
+    """A permutation of the digit strings of this length (up to 30 digits).
+
+    With ``lead``, of 2 digits or more that start with at least that digit:
+    those among themselves, the others among themselves.
+    """
     n = F.char_length(digits)
     h = F.floor(n / 2).cast("int")
     size = lambda k: F.pow(F.lit(10.0), k).cast("long")
     left = F.coalesce(F.substring(digits, F.lit(1), h).try_cast("long"), F.lit(0))
     right = F.coalesce(F.substring(digits, h + 1, n - h).try_cast("long"), F.lit(0))
-    out = feistel(key, kind, left, size(h), right, size(n - h))
+    least, span = F.lit(0).cast("long"), size(h)
+    if lead is not None:
+        first = F.when(h > 0, lead * size(h - 1)).otherwise(F.lit(0)).cast("long")
+        least = F.when(left >= first, first).otherwise(F.lit(0)).cast("long")
+        span = F.when(left >= first, size(h) - first).otherwise(first)
+    out = feistel(key, kind, left - least, span, right, size(n - h))
     pad = lambda v, k: F.when(k > 0, F.lpad(v.cast("string"), k, F.lit("0"))).otherwise(F.lit(""))
-    return _let(out, lambda s: F.concat(pad(s["l"], h), pad(s["r"], n - h)))
+    return _let(out, lambda s: F.concat(pad(s["l"] + least, h), pad(s["r"], n - h)))
 
 
 def _shifted(text: Column, hexes: Column, letters: int) -> Column:
@@ -186,11 +207,11 @@ def _body(digits: Column) -> Column:
 
 
 def _is_card(text: Column) -> Column:
-    return _let(digits_of(text), lambda d: F.char_length(d).between(*CARD_DIGITS) & (luhn_digit(_body(d)) == F.substring(d, -1, 1)))
+    return _let(digits_of(text), lambda d: F.char_length(d).between(*CARD_DIGITS) & ~d.startswith("0") & (luhn_digit(_body(d)) == F.substring(d, -1, 1)))
 
 
 def _card(key: str, h: Column) -> Column:
-    return _refill(h, _let(permute_digits(key, "card", _body(digits_of(h))), lambda p: F.concat(p, luhn_digit(p))))
+    return _refill(h, _let(permute_digits(key, "card", _body(digits_of(h)), F.lit(1)), lambda p: F.concat(p, luhn_digit(p))))
 
 
 def _cards(key: str, h: Column) -> Column:
@@ -246,10 +267,13 @@ def _cards(key: str, h: Column) -> Column:
 
 
 def _phone(key: str, h: Column) -> Column:
-    code = F.regexp_extract(h, r"^(\+\d{1,3})(?=[ .(-])", 1)
-    rest = F.substring(h, F.char_length(code) + 1, F.char_length(h))
-    ok = F.char_length(digits_of(rest)).between(7, 15)
-    return F.when(ok, F.concat(code, _refill(rest, permute_digits(key, "phone", digits_of(rest)))))
+    """The national digits permuted by country code, that of numbers without one being 1; a trunk (0) stays."""
+    lead = F.regexp_extract(h, rf"^\+{CALLING_CODE}(?:[ .-]?\(0\))?", 0)
+    code = F.when(h.startswith("+"), F.regexp_extract(h, rf"^\+({CALLING_CODE})", 1)).otherwise(F.lit("1"))
+    rest = F.substring(h, F.char_length(lead) + 1, F.char_length(h))
+    area = F.when((code == "1") & (F.char_length(digits_of(rest)) == 10), F.lit(2)).otherwise(F.lit(0))  # areas start with 2 to 9
+    new = permute_digits(key, F.concat(F.lit("phone"), code), digits_of(rest), area)
+    return F.when(F.char_length(digits_of(rest)).between(7, 15), F.concat(lead, _refill(rest, new)))
 
 
 def _ipv4(key: str, h: Column) -> Column:
@@ -272,7 +296,7 @@ def _ssn(key: str, h: Column) -> Column:
     return F.when(valid, _let(out, spell))
 
 
-def _iban(key: str, h: Column) -> Column:
+def _upper_iban(key: str, h: Column) -> Column:
     bare = lambda x: F.replace(x, F.lit(" "), F.lit(""))
     country, account = (lambda b: F.substring(b, 1, 2)), (lambda b: F.substring(b, F.lit(5), F.char_length(b)))
     ok = lambda b: F.char_length(b).between(15, 34) & (iban_check(country(b), account(b)) == F.substring(b, 3, 2))
@@ -285,30 +309,54 @@ def _iban(key: str, h: Column) -> Column:
     return _let(F.get(valid, F.lit(0)), lambda x: F.concat(_refill(x, new(bare(x)), "[A-Z0-9]"), rest(x)))
 
 
-def _day_of(first: str, b: int):
-    return lambda s: F.date_add(F.lit(first).cast("date"), (s["l"] * b + s["r"]).cast("int"))
+def _iban(key: str, written: Column) -> Column:
+    """Upper and lower case are one number; the pattern lets no mixture through."""
+    return _let(F.upper(written), lambda h: _let(_upper_iban(key, h), lambda new: F.when(written == h, new).otherwise(F.lower(new))))
 
 
 def _day(key: str, day: Column) -> Column:
-    """The pseudonym of a date within its century; null outside 1900-2099."""
-    out = F.lit(None).cast("date")
-    for first, a, b in CENTURIES:
-        at = F.datediff(day, F.lit(first).cast("date"))
-        moved = _let(feistel(key, "date" + first, F.floor(at / b), F.lit(a), at % b, F.lit(b)), _day_of(first, b))
-        out = F.when((at >= 0) & (at < a * b), moved).otherwise(out)
-    return out
+    """The pseudonym of a date among the existing days of its century, early or later in the month like itself.
+
+    Later days are numbered with those that do not exist; a turn that ends on one of these is followed by another.
+    """
+    century = F.floor(F.year(day) / 100).cast("int")
+    early = F.dayofmonth(day) <= EARLY[1]
+    first, days, a, b = (F.when(early, F.lit(x)).otherwise(F.lit(y)) for x, y in zip(EARLY, LATE))
+    months = (F.year(day) - century * 100) * 12 + F.month(day) - 1
+    own = F.struct(
+        F.concat(F.lit("date"), century.cast("string"), early.cast("string")).alias("kind"),
+        (century * 100).alias("year"), first.alias("first"), days.alias("days"), a.alias("a"), b.alias("b"),
+        (months * days + F.dayofmonth(day) - first).cast("long").alias("at"),
+    )
+
+    def walked(o: Column) -> Column:
+        def of(at: Column) -> Column:
+            month = F.floor(at / o["days"]).cast("int")
+            start = F.make_date(o["year"] + F.floor(month / 12).cast("int"), month % 12 + 1, F.lit(1))
+            return F.date_add(start, (at % o["days"] + o["first"] - 1).cast("int"))
+
+        def turn(s: Column, _: Column) -> Column:
+            moved = _let(feistel(key, o["kind"], F.floor(s["at"] / o["b"]), o["a"], s["at"] % o["b"], o["b"]), lambda g: g["l"] * o["b"] + g["r"])
+            exists = lambda at: F.dayofmonth(of(at)) == at % o["days"] + o["first"]
+            return F.when(s["done"], s).otherwise(_let(moved, lambda at: F.struct(at.alias("at"), exists(at).alias("done"))))
+
+        begin = F.struct(o["at"].alias("at"), F.lit(False).alias("done"))
+        return _let(F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), begin, turn), lambda s: F.when(s["done"], of(s["at"])))
+
+    return F.when(F.year(day).between(1900, 2099), _let(own, walked))
 
 
 def _date(key: str, h: Column) -> Column:
-    def as_format(fmt: str) -> Column:
-        day = F.try_to_timestamp(h, F.lit(fmt)).cast("date")
-        return F.date_format(_day(key, day), fmt)
-
-    return (
-        F.when(h.rlike(r"^\d{4}-"), as_format("yyyy-MM-dd"))
-        .when(h.contains("."), as_format("dd.MM.yyyy"))
-        .otherwise(F.coalesce(as_format("dd/MM/yyyy"), as_format("MM/dd/yyyy")))
+    read = lambda fmt: F.try_to_timestamp(h, F.lit(fmt)).cast("date")
+    iso, dotted, day_first = h.rlike(r"^\d{4}-"), h.contains("."), read("dd/MM/yyyy")
+    day = F.when(iso, read("yyyy-MM-dd")).when(dotted, read("dd.MM.yyyy")).otherwise(F.coalesce(day_first, read("MM/dd/yyyy")))
+    spelled = lambda d: (
+        F.when(iso, F.date_format(d, "yyyy-MM-dd"))
+        .when(dotted, F.date_format(d, "dd.MM.yyyy"))
+        .when(day_first.isNotNull(), F.date_format(d, "dd/MM/yyyy"))
+        .otherwise(F.date_format(d, "MM/dd/yyyy"))
     )
+    return _let(_let(day, lambda d: _day(key, d)), spelled)
 
 
 def _email(key: str, h: Column) -> Column:
