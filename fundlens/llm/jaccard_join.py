@@ -15,9 +15,9 @@ speed only, any order gives all pairs.
 Equal sets are collapsed first.  In every cell all members are compared with a
 hub (linear work), and linked documents get one component.  Only cells that
 still hold several components go on: one of up to NODE members is one node
-whose pairs across components are compared; a larger one (which has several
-hubs) is cut into nodes whose boxes and points are compared.  Surviving pairs
-are bounded once more by finer points, whose groups grow with the set (about
+whose pairs across components go on if their sizes allow a link; a larger one
+(which has several hubs) is cut into nodes whose boxes and points are compared.
+The pairs that are left are bounded by finer points, whose groups grow with the set (about
 FINE shingles each, so long texts are pruned like short ones), and verified on
 the whole sets, which travel once per star of pairs.
 Thus copies are never expanded into all pairs, no task holds a whole cell, and
@@ -52,6 +52,8 @@ NODE = 64  # members of a node
 FINE = 4  # shingles of a group of a fine point, on average
 CHUNK_SHINGLES = 1 << 20  # of the members of a chunk, on average
 TASK_SHINGLES = 1 << 21  # of the pairs that one task compares, on average
+BUCKET_ROWS = 50_000  # members of small cells that one task compares, on average
+SLAB = 1 << 20  # pairs looked at together
 HUBS = 2  # of a cell of more than a node; smaller ones have one
 ORDER_SAMPLE = 4_000  # documents whose shingle counts fix the order
 PERCENT = 75
@@ -356,25 +358,37 @@ def node_pairs(members: DataFrame, percent: int) -> DataFrame:
 
 
 def cell_pairs(cells: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of different components in cells of up to NODE members that sizes, places and points let through.
+    """Distinct (a, b) of different components in cells of up to NODE members that sizes and places let through.
 
-    ``cells``: cell, id, n, i, component, point.  A cell is one node: its members meet in one task, and only
-    pairs whose bound reaches the overlap that a link needs leave it.  (The points of GROUPS counts travel, as a
-    set may be in many cells; the fine ones come in once per pair, in :func:`verified`.)
+    ``cells``: cell, id, n, i, component, of a written table.  A task compares the cells of a bucket, about
+    BUCKET_ROWS members, and names a pair once however many of them it meets in.  No points travel here: a
+    set may be in many cells, and :func:`verified` bounds every pair once, by its fine points.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        id_, n, i, component = (table[c].to_numpy() for c in ("id", "n", "i", "component"))
-        need = percent * (n[:, None] + n[None]) / (100 + percent) - 1e-9
-        ok = (id_[:, None] < id_[None]) & (component[:, None] != component[None])
-        ok &= (np.minimum((n - i)[:, None], (n - i)[None]) >= need) & (100 * np.minimum(n[:, None], n[None]) >= percent * np.maximum(n[:, None], n[None]))
-        x, y = np.nonzero(ok)
-        point = table["point"].combine_chunks().flatten().to_numpy().reshape(len(id_), GROUPS)
-        near = np.minimum(point[x], point[y]).sum(1) >= need[x, y]
-        x, y = x[near], y[near]
-        return pa.table({"a": id_[x], "b": id_[y]})
-
-    return cells.groupBy("cell").applyInArrow(run, "a long, b long")
+        cell, id_, n, i, component = (table[c].to_numpy() for c in ("cell", "id", "n", "i", "component"))
+        order = np.argsort(cell, kind="stable")
+        id_, n, i, component = id_[order], n[order], i[order], component[order]
+        _, first, size = np.unique(cell[order], return_index=True, return_counts=True)
+        pairs = [np.zeros((0, 2), np.int64)]
+        for m in np.unique(size[size > 1]):
+            x, y = np.triu_indices(m, 1)
+            starts = first[size == m]
+            step = max(1, SLAB // len(x))
+            for part in (starts[k : k + step, None] for k in range(0, len(starts), step)):
+                u, v = (part + x).ravel(), (part + y).ravel()
+                ok = component[u] != component[v]
+                u, v = u[ok], v[ok]
+                need = percent * (n[u] + n[v]) / (100 + percent) - 1e-9
+                ok = (np.minimum(n[u] - i[u], n[v] - i[v]) >= need) & (100 * np.minimum(n[u], n[v]) >= percent * np.maximum(n[u], n[v]))
+                u, v = id_[u[ok]], id_[v[ok]]
+                pairs.append(np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], 1), axis=0))
+        found = np.unique(np.concatenate(pairs), axis=0)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+
+    bucket = F.pmod(F.xxhash64("cell", F.lit(9)), F.lit(1 + cells.count() // BUCKET_ROWS)).alias("bucket")
+    dealt = cells.select(bucket, "cell", "id", "n", "i", "component")
+    return dealt.groupBy("bucket").applyInArrow(run, "a long, b long").distinct()
 
 
 def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -485,11 +499,6 @@ def jaccard_components(
         met = cells.join(hubs, "cell").filter((F.col("hub.component") != F.col("component")) & near)
         return met.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
 
-    def within(cells: DataFrame) -> DataFrame:
-        """(a, b) of the members of different components in cells of one node that points let through."""
-        held = points_of(cells.select("id"), point_of.select("id", "n", "point"))
-        return cell_pairs(cells.join(_sized(held.frame, held), ["id", "n"]).select("cell", "id", "n", "i", "component", "point"), percent)
-
     labelled = members.withColumn("component", F.col("id"))  # a row that repeats an id only repeats its pairs
     stars = [starred(labelled, 0)] + [starred(labelled.filter(F.col("size") > NODE), k) for k in range(1, HUBS)]
     links = verified(reduce(DataFrame.unionByName, stars), point_of, rows, width, percent)
@@ -500,7 +509,7 @@ def jaccard_components(
     if not labelled.isEmpty():
         small, large = labelled.filter(F.col("size") <= NODE), labelled.filter(F.col("size") > NODE)
         held = points_of(large.select("id"), point_of.select("id", "n", "point"))
-        pairs = within(small).unionByName(node_pairs(large.join(_sized(held.frame, held), ["id", "n"]), percent))
+        pairs = cell_pairs(small, percent).unionByName(node_pairs(large.join(_sized(held.frame, held), ["id", "n"]), percent))
         links = links.unionByName(verified(pairs, point_of, rows, width, percent))
         labels = broadcast_if_small(components(links), MOVED)
 
