@@ -54,7 +54,7 @@ IBAN = "|".join([_BY_COUNTRY, _LOWER_CASE, r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,
 PATTERNS = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]*[A-Za-z0-9])+",
     "secret": r"(?<![A-Za-z])(?i:token|secret|password|api[_-]?key)[ ]?[:=][ ]?\"?[A-Za-z0-9_-]{16,}",
-    "iban": rf"(?<![A-Za-z0-9])(?:{IBAN})(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}\d|[a-z]{{2}}\d)(?:{IBAN})(?![A-Za-z0-9])",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-]|\.\d)",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
