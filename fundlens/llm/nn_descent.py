@@ -1,12 +1,13 @@
 """Approximate nearest neighbours by inner product: NN-descent graph and greedy search.
 
-Equal vectors are one node.  The graph starts from random-hyperplane leaves
-(all pairs of a bounded leaf, several trees) and is refined by NN-descent: in
-each round every node gathers its neighbours and reverse neighbours with their
-vectors (joins on the graph), compares them with each other and proposes the
-better ones to both ends; each node keeps its best K.  A query starts at its
-own node and repeatedly expands the best nodes of its pool that it has not
-expanded, over neighbours and reverse neighbours.  Vectors travel as signed
+Equal vectors are one node.  The graph starts from small groups, dealt at
+random and by a few random hyperplanes, and is a poor one; NN-descent makes it
+good: in each round every node gathers its neighbours and reverse neighbours
+with their vectors (joins on the graph), compares those that have not met and
+proposes the better ones to both ends; each node keeps its best K.  Rounds go on
+until few edges change.  A query starts at its own node and repeatedly expands
+the best nodes of its pool that it has not expanded, over neighbours and
+reverse neighbours, until all of the pool are expanded.  Vectors travel as signed
 bytes with a scale; the final candidates are scored exactly on the originals in
 double precision.  The index covers every row.
 """
@@ -26,10 +27,10 @@ from fundlens.llm.common import written
 from fundlens.operators.join import broadcast_if_small
 
 NEIGHBOURS = 32
-TREES, LEAF = 24, 1024
-ROUNDS = 2
-PROPOSALS = 8  # a node's best new partners within one neighbourhood
-POOL, EXPAND, HOPS = 128, 48, 4
+TREES, LEAF = 3, 128  # hyperplane trees beside the random groups, and the rows of a group
+SETTLED = 0.05  # the descent ends with a round that changes at most this share of the edges
+PROPOSALS = 3  # a node's best new partners within one neighbourhood
+POOL, EXPAND = 160, 48
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -74,7 +75,7 @@ def pack_nodes(nodes: DataFrame, trees: int, bits: int, seed: int) -> DataFrame:
             scale = (np.abs(x).max(1, keepdims=True) / 127).astype(np.float32)
             whole = np.concatenate([scale.view(np.uint8), np.rint(x / scale).astype(np.int8).view(np.uint8)], axis=1)
             signs = ((x @ planes) > 0).reshape(len(x), trees, bits).astype(np.int64)
-            leaves = (signs << np.arange(bits)).sum(2) if bits else np.zeros((len(x), trees), np.int64)
+            leaves = (signs << np.arange(bits)).sum(2)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([r.tobytes() for r in whole], pa.binary()), pa.array(leaves.tolist(), pa.list_(pa.int64()))], names=["node", "packed", "leaves"]
             )
@@ -106,15 +107,18 @@ def _top(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[ok], cols[ok]
 
 
-def first_graph(packed: DataFrame, k: int, leaf: int, trees: bool) -> DataFrame:
-    """(u, v, s, fresh): each node's best ``k`` over its leaves, leaves above ``leaf`` rows dealt into parts.
+def first_graph(packed: DataFrame, n: int, k: int, leaf: int) -> DataFrame:
+    """(u, v, s, fresh): each node's best ``k`` within its groups of about ``leaf`` rows.
 
-    A leaf names half of ``k`` per node (all, where there is one tree), as several trees meet.
+    One group is dealt at random out of all ``n`` nodes, so that the graph hangs
+    together; the others are the leaves of the trees, large ones dealt into parts.
+    A group names half of ``k`` per node, the random one all.
     """
-    each = k if not trees else max(1, k // 2)
+    dealt = lambda of: F.pmod(F.xxhash64("node", "tree"), F.ceil(of / leaf))
+    anywhere = packed.select("node", "packed", F.lit(-1).alias("tree"), F.lit(0).cast("long").alias("leaf")).withColumn("part", dealt(F.lit(max(1, n))))
     placed = packed.select("node", "packed", F.posexplode("leaves").alias("tree", "leaf"))
-    sizes = placed.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n"))
-    parts = placed.join(sizes, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("node", "tree"), F.ceil(F.col("n") / leaf)))
+    large = placed.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > leaf)
+    parts = placed.join(broadcast_if_small(large), ["tree", "leaf"], "left").withColumn("part", F.coalesce(dealt(F.col("n")), F.lit(0).cast("long")))
 
     def run(table: pa.Table) -> pa.Table:
         ids, x = table["node"].to_numpy(), _unpack(table["packed"].combine_chunks())
@@ -122,13 +126,13 @@ def first_graph(packed: DataFrame, k: int, leaf: int, trees: bool) -> DataFrame:
         for lo in range(0, len(ids), 512):
             s = x[lo : lo + 512] @ x.T
             s[np.arange(len(s)), np.arange(lo, lo + len(s))] = -np.inf
-            r, c = _top(s, each)
+            r, c = _top(s, k if table["tree"][0].as_py() < 0 else max(1, k // 2))
             us.append(ids[lo + r])
             vs.append(ids[c])
             ss.append(s[r, c])
         return pa.Table.from_batches([_edges(us, vs, ss)])
 
-    found = parts.groupBy("tree", "leaf", "part").applyInArrow(lambda t: run(t.select(["node", "packed"])), EDGES)
+    found = anywhere.unionByName(parts.drop("n")).groupBy("tree", "leaf", "part").applyInArrow(run, EDGES)
     one = found.groupBy("u", "v").agg(F.max("s").alias("s"))
     return _best(one, "u", k, F.desc("s"), F.col("v")).withColumn("fresh", F.lit(True))
 
@@ -174,10 +178,15 @@ def descend(graph: DataFrame, packed: DataFrame, k: int) -> DataFrame:
     return _best(merged, "u", k, F.desc("s"), F.col("v"))
 
 
-def build_graph(packed: DataFrame, k: int, leaf: int, rounds: int, trees: bool) -> DataFrame:
-    graph = written(first_graph(packed, k, leaf, trees), "graph0")
-    for i in range(rounds):
-        graph = written(descend(graph, packed, k), f"graph{i + 1}")
+def build_graph(packed: DataFrame, n: int, k: int, leaf: int, rounds: int | None) -> DataFrame:
+    """The graph of ``n`` nodes after ``rounds`` rounds; without a number, after the round that settles it."""
+    graph, done = written(first_graph(packed, n, k, leaf), "graph0"), 0
+    while done != rounds:
+        done += 1
+        graph = written(descend(graph, packed, k), f"graph{done}")
+        changed, edges = graph.agg(F.count_if("fresh"), F.count(F.lit(1))).first()
+        if rounds is None and changed <= SETTLED * edges:
+            break
     return graph
 
 
@@ -198,13 +207,18 @@ def _scored(pairs: DataFrame, packed: DataFrame) -> DataFrame:
     return pairs.join(found, "node").join(asked, "q").select("q", "node", "pq", "pn").mapInArrow(run, "q long, node long, s float")
 
 
-def greedy_search(graph: DataFrame, packed: DataFrame, starts: DataFrame, k: int, pool: int, expand: int, hops: int) -> DataFrame:
-    """(q, node): the pool of every start node ``q`` after ``hops`` expansions of its best unexpanded nodes."""
+def greedy_search(graph: DataFrame, packed: DataFrame, starts: DataFrame, k: int, pool: int, expand: int) -> DataFrame:
+    """(q, node): the pool of every start node ``q`` once all its nodes are expanded, the best ``expand`` at a time.
+
+    An expanded node that the pool loses stays out: its place went to better ones,
+    so the worst of the pool only rises and the search ends.
+    """
     around = written(neighbourhoods(graph, k).select(F.col("at").alias("node"), F.col("other").alias("next")), "around")
     packed = broadcast_if_small(packed.select("node", "packed"))
     own = starts.select(F.col("node").alias("q"), "node")
     state = _scored(own, packed).withColumn("done", F.lit(False))
-    for hop in range(hops + 1):
+    hop, open_ = 0, True
+    while open_:
         front = _best(state.filter("NOT done"), "q", expand, F.desc("s"), F.col("node")).select("q", "node")
         reached = front.join(around, "node").select("q", F.col("next").alias("node")).distinct()
         new = _scored(reached, packed).withColumn("done", F.lit(False))
@@ -212,6 +226,7 @@ def greedy_search(graph: DataFrame, packed: DataFrame, starts: DataFrame, k: int
         merged = expanded.unionByName(new).groupBy("q", "node").agg(F.max("s").alias("s"), F.max("done").alias("done"))
         # the start itself stays in the pool for the copies of its vector
         state = written(_best(merged, "q", pool + 1, (F.col("q") == F.col("node")).desc(), F.desc("s"), F.col("node")), f"pool{hop}")
+        hop, open_ = hop + 1, not state.filter("NOT done").isEmpty()
     return state.select("q", "node")
 
 
@@ -222,10 +237,9 @@ def nearest(
     vector_col: str = "embedding",
     k: int = 20,
     neighbours: int = NEIGHBOURS,
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
     pool: int = POOL,
     expand: int = EXPAND,
-    hops: int = HOPS,
     leaf: int = LEAF,
     trees: int = TREES,
 ) -> DataFrame:
@@ -233,7 +247,8 @@ def nearest(
 
     Nearness is the largest inner product, exact in double precision for what
     is returned; ties go to the smaller id; a row is never its own neighbour,
-    its copies are.  Null ids and null, empty, zero or non-finite vectors, and
+    its copies are.  ``rounds`` sets the number of rounds of the descent; without it they go
+    on until the graph settles.  Every table takes the same path, whatever its size.  Null ids and null, empty, zero or non-finite vectors, and
     vectors of another length than the usual one, take no part.  Rows that
     repeat an id with one vector are one row.
     """
@@ -242,11 +257,11 @@ def nearest(
     member = written(rows.join(classes, ["k1", "k2"]).select("vec_id", "node", "v"), "members")
     nodes = member.filter("vec_id = node").dropDuplicates(["node"])
     n = nodes.count()
-    bits = max(0, math.ceil(math.log2(max(1, n) / leaf)))
-    packed = written(pack_nodes(nodes, trees if bits else 1, bits, 11), "packed")
-    graph = build_graph(packed, neighbours, leaf, rounds, trees > 1 and bits > 0)
+    bits = max(1, math.ceil(math.log2(max(1, n) / leaf)))
+    packed = written(pack_nodes(nodes, trees, bits, 11), "packed")
+    graph = build_graph(packed, n, neighbours, leaf, rounds)
     asked = member.filter(queries).select(F.col("vec_id").alias("query_id"), F.col("node").alias("q")).distinct()
-    found = greedy_search(graph, packed, asked.select(F.col("q").alias("node")).distinct(), neighbours, pool, expand, hops)
+    found = greedy_search(graph, packed, asked.select(F.col("q").alias("node")).distinct(), neighbours, max(pool, k), expand)
 
     vector = nodes.select("node", "v")
     exact = found.join(vector.select(F.col("node").alias("q"), F.col("v").alias("a")), "q").join(vector.select("node", F.col("v").alias("b")), "node")
