@@ -2,21 +2,24 @@
 
 Unigrams and bigrams of words are hashed into a fixed number of buckets.  Two
 multinomials over the buckets are counted: the raw corpus (every document) and
-the trusted target (labelled documents).  A document's score is the sum of
+the trusted target (all documents labelled good).  A document's score is the sum of
 log(p_target / p_raw) over its n-grams divided by their number; it is kept if it
 passes the base rules and its score reaches the threshold.  All of it is
 DataFrame functions; the only values that reach the driver are the bucket
-weights (one number per bucket) and the threshold.
+weights (one number per bucket), the totals of the labelled scores by range and
+the threshold.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlens.functions.columns import qcol
+from fundlens.llm.common import id_and_text, written
+from fundlens.operators.join import broadcast_if_small
 
 # Bytes that separate words: space, and tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -24,9 +27,7 @@ SPACE_RUN = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 
 BUCKETS = 1 << 14
-# Labelled documents, per class, from which the target and the threshold are fitted.
-TARGET_ROWS = 20_000
-THRESHOLD_ROWS = 4_000
+MOVED = 2_000_000  # labelled ids up to which they are broadcast; beyond it the documents are shuffled
 
 
 def words_of(text: Column) -> Column:
@@ -107,10 +108,14 @@ def ngram_buckets(buckets: int) -> Column:
     )
 
 
-def labelled_sample(labels: DataFrame, quality: int, rows: int) -> DataFrame:
-    """At most ``rows`` labelled ids of one class, the first in hash order (a distributed top-n)."""
-    ids = labels.filter(F.col("quality") == quality).filter("doc_id IS NOT NULL").select("doc_id").distinct()
-    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+def labelled_ids(labels: DataFrame) -> DataFrame:
+    """(t, good) of every labelled id, materialized; an id with both labels is good (1).
+
+    Broadcast up to MOVED ids; beyond it the joins with the documents are shuffled.
+    """
+    known = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)")
+    ids = known.groupBy(F.col("doc_id").alias("t")).agg(F.max("quality").cast("int").alias("good"))
+    return broadcast_if_small(ids, MOVED)
 
 
 @dataclass(frozen=True)
@@ -127,12 +132,11 @@ class QualityModel:
         return F.when(F.size("grams") > 0, total / F.size("grams")).otherwise(F.lit(0.0))
 
 
-def fit_weights(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, buckets: int, target_rows: int) -> tuple[float, ...]:
-    """Log ratio per bucket, add-one smoothed: target from trusted rows, raw from all rows."""
-    trusted = F.broadcast(labelled_sample(labels, 1, target_rows).select(F.col("doc_id").alias("t")))
+def fit_weights(docs: DataFrame, labelled: DataFrame, id_col: str, text_col: str, buckets: int) -> tuple[float, ...]:
+    """Log ratio per bucket, add-one smoothed: target from all trusted rows, raw from all rows."""
     words = with_words(docs, id_col, text_col)
-    marked = words.join(trusted, words["id"] == trusted["t"], "left").select(
-        F.when(F.col("t").isNull(), 0).otherwise(1).cast("long").alias("trusted"), ngram_buckets(buckets).alias("grams")
+    marked = words.join(labelled, words["id"] == labelled["t"], "left").select(
+        F.coalesce("good", F.lit(0)).cast("long").alias("trusted"), ngram_buckets(buckets).alias("grams")
     )
     counts = (
         # explode() would add a filter on the size of grams that computes them a second time
@@ -151,32 +155,48 @@ def fit_weights(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     return tuple(round(log((t + 1) / target_all) - log((r + 1) / raw_all), 9) for r, t in every)
 
 
-def fit_threshold(
-    docs: DataFrame, labels: DataFrame, weights: tuple[float, ...], id_col: str, text_col: str, buckets: int, rows: int
-) -> float:
-    """The score that best separates a bounded sample of labelled classes.
+def fit_threshold(docs: DataFrame, labelled: DataFrame, weights: tuple[float, ...], id_col: str, text_col: str) -> float:
+    """The score that best separates all labelled documents with words (:func:`best_cut`)."""
+    # joined before the words are cut, so only labelled texts are; wordless ones get no score
+    rows = id_and_text(docs, id_col, text_col).join(labelled, F.col("id") == F.col("t"))
+    words = rows.select("good", words_of(F.col("text")).alias("words"))
+    grams = words.select("good", ngram_buckets(len(weights)).alias("grams"))
+    score = F.when(F.size("grams") > 0, QualityModel(weights, 0.0).score())
+    return best_cut(grams.select("good", score.alias("score")))
+
 
-    It maximises (share of good rows kept) - (share of bad rows kept); of equal
-    best cuts the lowest, and the cut lies halfway below the lowest kept score.
-    Without both classes nothing is rejected (minus infinity).
+def best_cut(scored: DataFrame) -> float:
+    """The cut of ``scored`` (good 0 or 1, score) that maximises (share of good kept) - (share of bad kept).
+
+    Of equal best cuts the lowest; it lies halfway below the lowest kept score.
+    Without both classes nothing is rejected (minus infinity); rows without a
+    score do not count.  The distinct scores are dealt into ranges; the counts
+    above a score are those of its range plus the totals of the ranges above,
+    and only the totals (one row per range) reach the driver.
     """
-    parts = [labelled_sample(labels, q, rows).select(F.col("doc_id").alias("t"), F.lit(q).alias("good")) for q in (0, 1)]
-    sample = F.broadcast(parts[0].unionByName(parts[1]).groupBy("t").agg(F.max("good").alias("good")))
-    words = with_words(docs, id_col, text_col).filter(F.size("words") > 0)
-    picked = words.join(sample, words["id"] == sample["t"]).select("good", ngram_buckets(buckets).alias("grams"))
-    scored = picked.select("good", QualityModel(weights, 0.0).score().alias("score"))
     per_score = scored.groupBy("score").agg(F.sum("good").alias("good"), F.count(F.lit(1)).alias("n"))
-    rows_ = sorted((r["score"], r["good"], r["n"] - r["good"]) for r in per_score.collect())  # at most 2 * rows
-    good, bad = sum(r[1] for r in rows_), sum(r[2] for r in rows_)
+    ranged = per_score.repartitionByRange("score").withColumn("part", F.spark_partition_id())
+    ranged = written(ranged, "scores").filter("score IS NOT NULL")
+    ends = ranged.groupBy("part").agg(F.sum("good").alias("good"), F.sum("n").alias("n"), F.max("score").alias("top")).orderBy("part").collect()
+    good, bad = sum(r["good"] for r in ends), sum(r["n"] - r["good"] for r in ends)
     if not good or not bad:
         return float("-inf")
-    best, cut, kept_good, kept_bad, below = -1.0, float("-inf"), good, bad, None
-    for score, g, b in rows_:
-        gain = kept_good / good - kept_bad / bad
-        if gain > best:
-            best, cut = gain, score if below is None else (score + below) / 2
-        kept_good, kept_bad, below = kept_good - g, kept_bad - b, score
-    return cut
+    starts, kept_good, kept_bad, below = [], good, bad, None
+    for r in ends:
+        starts.append((r["part"], kept_good, kept_bad, below))
+        kept_good, kept_bad, below = kept_good - r["good"], kept_bad - (r["n"] - r["good"]), r["top"]
+    starts = scored.sparkSession.createDataFrame(starts, "part int, good_left long, bad_left long, top_below double")
+    by_score = Window.partitionBy("part").orderBy("score")
+    before = by_score.rowsBetween(Window.unboundedPreceding, -1)
+    kept_good = F.col("good_left") - F.coalesce(F.sum("good").over(before), F.lit(0))
+    kept_bad = F.col("bad_left") - F.coalesce(F.sum(F.col("n") - F.col("good")).over(before), F.lit(0))
+    below = F.coalesce(F.lag("score").over(by_score), "top_below")
+    cuts = ranged.join(F.broadcast(starts), "part").select(
+        (kept_good / F.lit(good) - kept_bad / F.lit(bad)).alias("gain"),
+        (-F.col("score")).alias("low"),
+        F.when(below.isNull(), F.col("score")).otherwise((F.col("score") + below) / 2).alias("cut"),
+    )
+    return cuts.agg(F.max(F.struct("gain", "low", "cut")).alias("best")).first()["best"]["cut"]
 
 
 def fit(
@@ -185,15 +205,14 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     buckets: int = BUCKETS,
-    target_rows: int = TARGET_ROWS,
-    threshold_rows: int = THRESHOLD_ROWS,
 ) -> QualityModel:
-    """Weights over all documents, target and threshold from bounded labelled samples.
+    """Weights over all documents, target and threshold from all labelled ones.
 
     ``labels`` has doc_id and quality (1 trusted, 0 bad); null ids or labels are not used.
     """
-    weights = fit_weights(docs, labels, id_col, text_col, buckets, target_rows)
-    return QualityModel(weights, fit_threshold(docs, labels, weights, id_col, text_col, buckets, threshold_rows))
+    labelled = labelled_ids(labels)
+    weights = fit_weights(docs, labelled, id_col, text_col, buckets)
+    return QualityModel(weights, fit_threshold(docs, labelled, weights, id_col, text_col))
 
 
 def _verdicts(words: DataFrame, model: QualityModel, *carried: str) -> DataFrame:
