@@ -4,7 +4,7 @@ The model is serialised straight from the ranks: every vocabulary entry becomes
 a piece spelled with one printable character per byte, scored by its negative
 rank, with identity normalisation, so sentencepiece's best-score-first merges
 are the lowest-rank-first merges of byte-level BPE.  The text is first cut by
-the vocabulary's pattern; each distinct pre-token of a batch is encoded once.
+the vocabulary's pattern; each distinct pre-token of about 1 MB of text is encoded once.
 Decoding looks the ids up in the inverse mapping and joins their bytes.
 """
 
@@ -18,7 +18,7 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fundlens.llm.common import id_and_text, id_type
+from fundlens.llm.common import id_and_text, id_type, slices
 
 # Pre-tokens whose ids a task remembers; older ones are forgotten and encoded again.
 CACHE_ENTRIES = 200_000
@@ -96,17 +96,23 @@ class ByteBpe:
             else:
                 self.cache[p] = (rank,)
         if todo:
-            for (p, _), ids in zip(todo, self.processor.encode([m for _, m in todo], out_type=int)):
+            # one thread: by default every call starts and ends a thread per core of the machine
+            for (p, _), ids in zip(todo, self.processor.encode([m for _, m in todo], out_type=int, num_threads=1)):
                 self.cache[p] = tuple(ids)
 
-    def encode(self, text: str) -> list[int]:
-        pretokens = self.find(text)
+    def encode_texts(self, texts: list[str]) -> Iterator[list[int]]:
+        """The ids of each text; pre-tokens that are not remembered are encoded in one call for all of them."""
+        found = [self.find(t) for t in texts]
         if len(self.cache) > self.cache_entries:
             self.cache.clear()
-        missing = set(pretokens).difference(self.cache)
+        missing = set().union(*found).difference(self.cache)
         if missing:
             self.encode_pretokens(list(missing))
-        return list(chain.from_iterable(map(self.cache.__getitem__, pretokens)))
+        for pretokens in found:
+            yield list(chain.from_iterable(map(self.cache.__getitem__, pretokens)))
+
+    def encode(self, text: str) -> list[int]:
+        return next(self.encode_texts([text]))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token_bytes.__getitem__, ids))
@@ -131,9 +137,8 @@ def encode_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = make()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):  # a bounded number of ids at a time
-                part = batch.slice(lo, 512)
-                ids = [bpe.encode(t or "") for t in part.column(1).to_pylist()]
+            for part in slices(batch, 1):  # a bounded number of ids at a time
+                ids = list(bpe.encode_texts([t or "" for t in part.column(1).to_pylist()]))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[id_col, "ids"])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type(docs, id_col)}, ids array<int>")
@@ -165,10 +170,9 @@ def encode_digest(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = make()
         decimal = [str(i) for i in range(len(bpe.token_bytes))]
-        for batch in batches:
+        for batch in (part for b in batches for part in slices(b, 1)):
             counts, id_sums, text_sums = [], [], []
-            for text in batch.column(1):
-                ids = bpe.encode(text.as_py() or "")
+            for ids in bpe.encode_texts([t or "" for t in batch.column(1).to_pylist()]):
                 counts.append(len(ids))
                 id_sums.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
                 text_sums.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
