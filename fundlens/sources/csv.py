@@ -31,6 +31,7 @@ CSV_OPTIONS = {
     "mode": "PERMISSIVE",
 }
 TAG_PREFIX = "#"
+FILE_RECORDS = 100_000
 NULL_SENTINEL = "\u0000"  # never produced by a text field; marks "no null token"
 
 
@@ -48,24 +49,32 @@ def drop_tag_row(df: DataFrame, prefix: str = TAG_PREFIX) -> DataFrame:
 INFERRED = ("int", "bigint", "double", "date", "timestamp", "boolean")
 
 
-def _fitting_types(c: str) -> Column:
-    """A bit per type of INFERRED that a value has; null for a null, which fits all."""
-    value = F.trim(qcol(c))
+def _fitting_types(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(at, bits): per column, by its place in ``columns``, a bit per type of INFERRED that all its values have.
+
+    Nulls fit all types; a column without values has no row.  The values come
+    one under the other, so one short expression serves every column: an
+    expression per column makes code too long to be compiled in a wide table.
+    """
+    values = F.array(*[F.struct(F.lit(i).alias("at"), F.trim(qcol(c)).alias("value")) for i, c in enumerate(columns)])
+    value, day = F.col("value"), r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
     number = value.rlike(r"^[+-]?(?!0[0-9])[0-9]*\.?[0-9]+([eE][+-]?[0-9]+)?$")
-    day = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+    rows = df.select(F.inline(values)).filter("value IS NOT NULL").select("at", "value", number.alias("number"))
+    number = F.col("number")
     extra = {"int": number, "bigint": number, "double": number, "date": value.rlike(day + "$"), "timestamp": value.rlike(day)}
     bits = F.lit(0)
     for i, kind in enumerate(INFERRED):
-        ok = value.try_cast(kind).isNotNull() & extra.get(kind, F.lit(True))
+        # the pattern first: a cast of text that is no number may throw inside, which costs far more
+        ok = extra.get(kind, F.lit(True)) & value.try_cast(kind).isNotNull()
         bits = bits + F.when(ok, 1 << i).otherwise(0)
-    return F.when(qcol(c).isNotNull(), bits)
+    return rows.groupBy("at").agg(F.bit_and(bits).alias("bits"))
 
 
 def text_types(dfs: Mapping[str, DataFrame]) -> tuple[dict[str, dict[str, str]], dict[str, str]]:
     """Per dataset the inferred type of each text column, and the error of each dataset that failed.
 
     A column's type is the narrowest of INFERRED that all its values have: the
-    meet of its values in the lattice of types, one ``bit_and`` a column.  Each
+    meet of its values in the lattice of types, a ``bit_and`` per column.  Each
     dataset is one aggregate; all run as concurrent jobs, one wave.
     """
 
@@ -74,10 +83,10 @@ def text_types(dfs: Mapping[str, DataFrame]) -> tuple[dict[str, dict[str, str]],
         if not text:
             return {}
         try:
-            found = df.agg(*[F.bit_and(_fitting_types(c)).alias(f"b{i}") for i, c in enumerate(text)]).first()  # one row
+            found = {r["at"]: r["bits"] for r in _fitting_types(df, text).collect()}  # at most one row per column
         except Exception as exc:  # noqa: BLE001 - reported per dataset
             return f"{type(exc).__name__}: {exc}".splitlines()[0]
-        kinds = {c: next((k for j, k in enumerate(INFERRED) if bits >> j & 1), None) for c, bits in zip(text, found) if bits is not None}
+        kinds = {c: next((k for j, k in enumerate(INFERRED) if bits >> j & 1), None) for at, c in enumerate(text) if (bits := found.get(at)) is not None}
         return {c: k for c, k in kinds.items() if k}
 
     if not dfs:
@@ -158,8 +167,12 @@ def read_csv_dataset(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write ``df`` in the same dialect (header, ``"``-doubled quotes)."""
+    """Write ``df`` in the same dialect (header, ``"``-doubled quotes).
+
+    Files hold at most FILE_RECORDS records, as a reader whose records may span lines gives a file to one task.
+    """
     opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("multiLine", "mode")}
+    opts["maxRecordsPerFile"] = str(FILE_RECORDS)
     opts["quoteAll"] = "false"
     df.write.mode(mode).options(**opts).csv(path)
 
