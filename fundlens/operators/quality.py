@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -76,6 +77,9 @@ def stage_audit(stages: Mapping[str, DataFrame]) -> DataFrame:
     return union_all(frames)
 
 
+ARRIVAL_SECONDS = 5.0  # for which a report waits for the observations of finished actions
+
+
 class StageCounts:
     """Row counts of named stages as a by-product of running the pipeline once.
 
@@ -103,7 +107,13 @@ class StageCounts:
         return [s for s, o in self._seen.items() if not o._jo.future().isCompleted()]
 
     def report(self, spark: SparkSession) -> DataFrame:
-        """(step, stage, row_count) of every watched stage; raises while one has not run."""
+        """(step, stage, row_count) of every watched stage; raises while one has not run.
+
+        Observations arrive a moment after their action has returned, so a missing one is waited for.
+        """
+        until = time.monotonic() + ARRIVAL_SECONDS
+        while self.pending() and time.monotonic() < until:
+            time.sleep(0.05)
         if waiting := self.pending():
             raise RuntimeError(f"not run yet: {', '.join(waiting)}")
         rows = [(i + 1, stage, seen.get["row_count"] or 0) for i, (stage, seen) in enumerate(self._seen.items())]
