@@ -37,7 +37,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlens.functions.columns import qcol
@@ -54,12 +54,19 @@ CHUNK_SHINGLES = 1 << 20  # of the members of a chunk, on average
 TASK_SHINGLES = 1 << 21  # of the pairs that one task compares, on average
 BUCKET_ROWS = 50_000  # members of small cells that one task compares, on average
 SLAB = 1 << 20  # pairs looked at together
+EARLIER = 8  # cells of a set that are known where it is met in the next one
+PACKED_SHINGLES = 500_000  # of the sets whose directory shingles one task unpacks, on average
 HUBS = 2  # of a cell of more than a node; smaller ones have one
 ORDER_SAMPLE = 4_000  # documents whose shingle counts fix the order
 PERCENT = 75
 MOVED = 2_000_000  # rows of two or three ids up to which a side is broadcast; beyond it is shuffled
 
 
+def tasks_for(rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Tasks for a stage of so many rows: a few rows need not go through every shuffle partition."""
+    return 4 + rows // rows_per_task
+
+
 def _texts(batch: pa.RecordBatch, i: int) -> list[bytes]:
     return [t.as_py() or b"" for t in batch.column(i).cast(pa.binary())]
 
@@ -86,7 +93,7 @@ def sample_counts(rows: DataFrame, width: int, sample: int) -> tuple[np.ndarray,
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     part = rows.filter(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 20)) < math.ceil(min(1.0, sample / n) * (1 << 20)))
-    counts = shingle_arrays(part, width).select(F.explode("shingles").alias("s")).groupBy("s").count().filter("count >= 2")
+    counts = shingle_arrays(part, width).select(F.explode("shingles").alias("s")).groupBy("s").count().filter("count >= 2").coalesce(8)
     table = counts.toArrow()  # bounded by the sample
     s = table["s"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(s)
@@ -163,7 +170,7 @@ def _blob(values: np.ndarray) -> bytes:
     return zstandard.compress(values.tobytes(), 1)
 
 
-def shared_cells(reps: DataFrame) -> DataFrame:
+def shared_cells(reps: DataFrame, tasks: int) -> DataFrame:
     """(cell, id, n, i) of every directory shingle that two or more sets have.
 
     A task packs the shingles of a batch into buckets by hash.  A shingle that
@@ -217,7 +224,7 @@ def shared_cells(reps: DataFrame) -> DataFrame:
 
     rows = reps.select("id", "n", "prefix")
     packed = rows.mapInArrow(pack, "bucket int, cell binary, id binary, n binary, i binary")
-    return rows.mapInArrow(at_once, SHARED).unionByName(packed.groupBy("bucket").applyInArrow(shared, SHARED))
+    return rows.mapInArrow(at_once, SHARED).unionByName(packed.groupBy("bucket").applyInArrow(shared, SHARED).coalesce(tasks))
 
 
 def _needed(na: Column, nb: Column, percent: int) -> Column:
@@ -230,23 +237,24 @@ def _sized(df: DataFrame, side: SizedSide) -> DataFrame:
     return F.broadcast(df) if side.small else df
 
 
-def points_of(ids: DataFrame, point_of: DataFrame) -> SizedSide:
+def points_of(ids: DataFrame, point_of: DataFrame, tasks: int) -> SizedSide:
     """The rows of ``point_of`` whose id is in ``ids``, materialized and sized."""
-    wanted = broadcast_if_small(ids.distinct(), MOVED)
+    wanted = broadcast_if_small(ids.distinct().coalesce(tasks), MOVED)
     return SizedSide.of(point_of.join(wanted, "id", "left_semi"), MOVED)
 
 
-def verified(pairs: DataFrame, point_of: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, point_of: DataFrame, rows: DataFrame, width: int, percent: int, tasks: int | None = None) -> DataFrame:
     """The linked ones of distinct ``pairs`` (a, b): bounded by their fine points, then compared as whole sets.
 
     The pairs that are left are seen as stars: of its two ends the one with
     more pairs is the hub.  A hub's members are dealt into chunks of about NODE
     members and CHUNK_SHINGLES shingles; a member's set is sent once to each of
-    its stars, the hub's once to each chunk, and never once per pair.
+    its stars, the hub's once to each chunk, and never once per pair.  ``tasks``
+    bounds those that make the list of pairs.
     """
 
-    pairs = written(pairs.distinct(), "pairs")
-    held = points_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), point_of.select("id", "n", "fine"))
+    pairs = written(pairs.distinct(), "pairs", tasks)
+    held = points_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), point_of.select("id", "n", "fine"), tasks_for(pairs.count()))
 
     def side(x: str) -> DataFrame:
         return held.frame.select(F.col("id").alias(x), F.col("n").alias("n" + x), F.col("fine").alias("p" + x))
@@ -263,18 +271,19 @@ def verified(pairs: DataFrame, point_of: DataFrame, rows: DataFrame, width: int,
     met = met.filter("100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
     likely = met.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(bounded, "a long, b long, na long, nb long")
     likely = written(likely, "likely")
+    few = tasks_for(likely.count())
     ends = F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("nb").alias("other")), F.struct(F.col("b").alias("id"), F.col("na").alias("other"))))
     degree = likely.select(ends.alias("e")).groupBy("e.id").agg(F.count(F.lit(1)).alias("deg"), F.sum("e.other").alias("load"))
-    degree = SizedSide.of(degree, MOVED)
+    degree = SizedSide.of(degree.coalesce(few), MOVED)
     of = lambda x: _sized(degree.frame.select(F.col("id").alias(x), F.struct("deg", "id", "load").alias("d" + x)), degree)
     turned = likely.join(of("a"), "a").join(of("b"), "b").withColumn("hub", F.greatest("da", "db"))
     member = F.when(F.col("hub.id") == F.col("a"), F.col("b")).otherwise(F.col("a"))
     chunks = F.ceil(F.greatest(F.col("hub.deg") / NODE, F.col("hub.load") / CHUNK_SHINGLES))
     star = turned.select(F.col("hub.id").alias("hub"), member.alias("id"), F.pmod(F.xxhash64(member, F.lit(7)), chunks).alias("chunk"))
-    star = written(star, "stars", 4 + likely.count() // ROWS_PER_TASK)
-    seats = star.unionByName(star.select("hub", F.col("hub").alias("id"), "chunk").distinct())
+    star = written(star, "stars", few)
+    seats = star.unionByName(star.select("hub", F.col("hub").alias("id"), "chunk").distinct().coalesce(few))
     # texts without a pair are not moved where the list of the others can be broadcast
-    sought = broadcast_if_small(seats.select("id").distinct(), MOVED)
+    sought = broadcast_if_small(seats.select("id").distinct().coalesce(few), MOVED)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for b in batches for part in slices(b, 1)):
@@ -354,22 +363,46 @@ def node_pairs(members: DataFrame, percent: int) -> DataFrame:
             if out_a:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
 
-    return met.mapInArrow(run, "a long, b long").distinct()
+    rows_met = members.agg(F.sum("size")).first()[0] or 0  # two for every pair
+    few = tasks_for(rows_met, 2 * SLAB)
+    return met.coalesce(few).mapInArrow(run, "a long, b long").distinct().coalesce(few)
 
 
 def cell_pairs(cells: DataFrame, percent: int) -> DataFrame:
     """Distinct (a, b) of different components in cells of up to NODE members that sizes and places let through.
 
-    ``cells``: cell, id, n, i, component, of a written table.  A task compares the cells of a bucket, about
-    BUCKET_ROWS members, and names a pair once however many of them it meets in.  No points travel here: a
-    set may be in many cells, and :func:`verified` bounds every pair once, by its fine points.
+    ``cells``: cell, id, n, i, component, of a written table, and ``rest`` if known: at most so many shingles
+    of the set, from its place in this cell on, are in a set of another component whose prefix ends no sooner.
+    A task compares the cells of a bucket, about BUCKET_ROWS members.  No points travel here: a set may be in
+    many cells, and :func:`verified` bounds every pair once, by its fine points.
+
+    Sets that are much alike meet in most of their cells.  Every member brings the EARLIER cells before this
+    one in its own list, and a pair with one of them in common is left to that cell: its places there are no
+    later, so it is let through there if it is here.
     """
+    has_rest = "rest" in cells.columns
 
     def run(table: pa.Table) -> pa.Table:
-        cell, id_, n, i, component = (table[c].to_numpy() for c in ("cell", "id", "n", "i", "component"))
-        order = np.argsort(cell, kind="stable")
-        id_, n, i, component = id_[order], n[order], i[order], component[order]
-        _, first, size = np.unique(cell[order], return_index=True, return_counts=True)
+        names = ("cell", "id", "n", "i", "component", *(["rest"] if has_rest else []))
+        order = np.argsort(table["cell"].to_numpy(), kind="stable")
+        cell, id_, n, i, component, *rest = (table[c].to_numpy()[order] for c in names)
+        lists = table["earlier"].combine_chunks()
+        count = np.asarray(lists.value_lengths()).astype(np.int64)
+        known = np.zeros((len(lists), EARLIER), bool)
+        known[np.repeat(np.arange(len(lists)), count), np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)] = True
+        earlier = np.zeros((len(lists), EARLIER), np.int64)
+        earlier[known] = np.asarray(lists.flatten())
+        earlier, known = earlier[order], known[order]
+
+        def first_met(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+            before = np.zeros(len(u), bool)
+            for x in range(EARLIER):
+                of_u, has_u = earlier[u, x], known[u, x]
+                for y in range(EARLIER):
+                    before |= (of_u == earlier[v, y]) & has_u & known[v, y]
+            return ~before
+
+        _, first, size = np.unique(cell, return_index=True, return_counts=True)
         pairs = [np.zeros((0, 2), np.int64)]
         for m in np.unique(size[size > 1]):
             x, y = np.triu_indices(m, 1)
@@ -381,14 +414,22 @@ def cell_pairs(cells: DataFrame, percent: int) -> DataFrame:
                 u, v = u[ok], v[ok]
                 need = percent * (n[u] + n[v]) / (100 + percent) - 1e-9
                 ok = (np.minimum(n[u] - i[u], n[v] - i[v]) >= need) & (100 * np.minimum(n[u], n[v]) >= percent * np.maximum(n[u], n[v]))
+                if has_rest:  # the set whose prefix ends first bounds what they share
+                    r = rest[0]
+                    ok &= (np.minimum(r[u], n[v] - i[v]) >= need) | (np.minimum(r[v], n[u] - i[u]) >= need)
+                u, v = u[ok], v[ok]
+                ok = first_met(u, v)
                 u, v = id_[u[ok]], id_[v[ok]]
                 pairs.append(np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], 1), axis=0))
         found = np.unique(np.concatenate(pairs), axis=0)
         return pa.table({"a": found[:, 0], "b": found[:, 1]})
 
-    bucket = F.pmod(F.xxhash64("cell", F.lit(9)), F.lit(1 + cells.count() // BUCKET_ROWS)).alias("bucket")
-    dealt = cells.select(bucket, "cell", "id", "n", "i", "component")
-    return dealt.groupBy("bucket").applyInArrow(run, "a long, b long").distinct()
+    rows = cells.count()
+    few = tasks_for(rows, BUCKET_ROWS)
+    bucket = F.pmod(F.xxhash64("cell", F.lit(9)), F.lit(1 + rows // BUCKET_ROWS)).alias("bucket")
+    own = Window.partitionBy("id", "n").orderBy("i", "cell").rowsBetween(-EARLIER, -1)  # one n: of several texts of an id, like with like
+    dealt = cells.select(bucket, "cell", "id", "n", "i", "component", *(["rest"] if has_rest else []), F.collect_list("cell").over(own).alias("earlier")).coalesce(few)
+    return dealt.groupBy("bucket").applyInArrow(run, "a long, b long").coalesce(few).distinct().coalesce(few)
 
 
 def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -482,12 +523,16 @@ def jaccard_components(
     order = sample_counts(rows, width, order_sample)
     table = written(points(rows, width, percent, order), "points")
     real = table.filter("n > 0 AND id IS NOT NULL")
-    classes = written(real.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("members")), "classes")
+    few = tasks_for(table.count())
+    once = real.select("n", "k1", "k2", "id").distinct().coalesce(few)
+    classes = written(once.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("members")), "classes", few)
     several = broadcast_if_small(classes.filter("members > 1").drop("members"), MOVED)
-    copies = real.select("id", "n", "k1", "k2").join(several, ["n", "k1", "k2"]).filter("id <> rep").select("id").distinct()
+    copies = real.select("id", "n", "k1", "k2").join(several, ["n", "k1", "k2"]).filter("id <> rep").select("id").distinct().coalesce(few)
     reps = real.join(broadcast_if_small(copies, MOVED), "id", "left_anti").select("id", "n", "prefix")
-    found = written(shared_cells(reps), "cells")
-    members = written(found.join(found.groupBy("cell").agg(F.count(F.lit(1)).alias("size")), "cell"), "members")
+    shingles = classes.agg(F.sum("n")).first()[0] or 0
+    found = written(shared_cells(reps, tasks_for(shingles, PACKED_SHINGLES)), "cells")
+    few = tasks_for(found.count())
+    members = written(found.join(found.groupBy("cell").agg(F.count(F.lit(1)).alias("size")), "cell"), "members", few)
 
     point_of = real.select("id", "n", "point", "fine")
 
@@ -497,20 +542,24 @@ def jaccard_components(
         hubs = cells.groupBy("cell").agg(F.min(place).alias("hub"))
         near = _alike(F.col("n"), F.col("hub.n"), F.col("i"), F.col("hub.i"), percent)
         met = cells.join(hubs, "cell").filter((F.col("hub.component") != F.col("component")) & near)
-        return met.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
+        return met.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).coalesce(few)
 
     labelled = members.withColumn("component", F.col("id"))  # a row that repeats an id only repeats its pairs
     stars = [starred(labelled, 0)] + [starred(labelled.filter(F.col("size") > NODE), k) for k in range(1, HUBS)]
-    links = verified(reduce(DataFrame.unionByName, stars), point_of, rows, width, percent)
+    links = verified(reduce(DataFrame.unionByName, stars), point_of, rows, width, percent, few)
     labels = broadcast_if_small(components(links), MOVED)
     now = labelled.drop("component").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_cells = now.groupBy("cell").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("cell")
-    labelled = written(now.join(broadcast_if_small(open_cells, MOVED), "cell", "left_semi"), "labelled")
+    open_cells = now.groupBy("cell").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("cell").coalesce(few)
+    labelled = now.join(broadcast_if_small(open_cells, MOVED), "cell", "left_semi")
+    # what a set shares with another component is in its open cells (places alike count together) or behind its prefix
+    here = F.count(F.lit(1)).over(Window.partitionBy("id", "n").orderBy(F.desc("i")))
+    behind = F.ceil(F.col("n") * percent / F.lit(100.0) - 1e-9) - 1
+    labelled = written(labelled.withColumn("rest", here + behind), "labelled", few)
     if not labelled.isEmpty():
-        small, large = labelled.filter(F.col("size") <= NODE), labelled.filter(F.col("size") > NODE)
-        held = points_of(large.select("id"), point_of.select("id", "n", "point"))
+        small, large = labelled.filter(F.col("size") <= NODE), labelled.filter(F.col("size") > NODE).drop("rest")
+        held = points_of(large.select("id"), point_of.select("id", "n", "point"), few)
         pairs = cell_pairs(small, percent).unionByName(node_pairs(large.join(_sized(held.frame, held), ["id", "n"]), percent))
-        links = links.unionByName(verified(pairs, point_of, rows, width, percent))
+        links = links.unionByName(verified(pairs, point_of, rows, width, percent, few))
         labels = broadcast_if_small(components(links), MOVED)
 
     known = written(classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left"), "known")
