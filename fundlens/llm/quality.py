@@ -12,6 +12,7 @@ the threshold.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,38 +35,83 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_RUN), "")
 
 
-def _repeat_words(words: Column, n: Column) -> Column:
-    """Words inside 3-word windows that occur twice or more in the text.
+def slot(h: Column, buckets: int) -> Column:
+    return F.pmod(h, F.lit(buckets)).cast("int")
 
-    Window hashes are sorted as plain longs first; only a text that has a
-    repeat sorts (hash, position) pairs to find the positions.
-    """
-    starts = F.when(n >= 3, F.sequence(F.lit(0), n - 3)).otherwise(F.array().cast("array<int>"))
-    window = lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
-    hashes = F.transform(starts, window)
 
-    def distinct_fewer(h: Column) -> Column:
-        return F.size(F.array_distinct(h)) < F.size(h)
+def word_pairs(words: Column, value: Callable[[Column], Column] = lambda h: h) -> Column:
+    """``value`` of the hash of every pair of neighbouring words."""
+    n = F.size(words)
+    starts = F.when(n >= 2, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: value(F.xxhash64(F.get(words, i), F.get(words, i + 1))))
+
 
-    def covered(placed: Column) -> Column:
+def word_windows(pairs: Column) -> Column:
+    """One hash per window of three words, from the hashes of its two pairs."""
+    n = F.size(pairs)
+    starts = F.when(n >= 2, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.xxhash64(F.get(pairs, i), F.get(pairs, i + 1)))
+
+
+def _covered(at: Column) -> Column:
+    """Words inside the 3-word windows that start at the ascending positions ``at`` (repeated ones count once)."""
+    step = F.aggregate(
+        at,
+        F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).cast("long").alias("end")),
+        lambda s, p: F.struct((s["n"] + F.least(F.lit(3), p - s["end"])).alias("n"), p.alias("end")),
+    )
+    return step["n"]
+
+
+def _covered_by_pairs(windows: Column) -> Column:
+    """The same for all windows found twice or more, by sorting (hash, position) pairs: any hashes, but slow."""
+
+    def repeated(placed: Column) -> Column:
         last = F.size(placed) - 1
         twice = F.filter(
             placed,
             lambda x, i: ((i > 0) & (F.get(placed, i - 1)["h"] == x["h"])) | ((i < last) & (F.get(placed, i + 1)["h"] == x["h"])),
         )
-        at = F.sort_array(F.transform(twice, lambda x: x["p"]))
-        step = F.aggregate(
-            at,
-            F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).alias("end")),
-            lambda s, p: F.struct((s["n"] + F.least(F.lit(3), p - s["end"])).alias("n"), p.alias("end")),
-        )
-        return step["n"]
+        return F.sort_array(F.transform(twice, lambda x: x["p"]))
 
+    pairs = F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("p")))
     # a let-binding: the one-element array's element is evaluated once
-    let = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
-    pairs = F.transform(starts, lambda i: F.struct(window(i).alias("h"), i.alias("p")))
-    slow = let(F.sort_array(pairs), covered)
-    return F.when(let(hashes, distinct_fewer), slow).otherwise(F.lit(0).cast("long"))
+    return _covered(F.get(F.transform(F.array(F.sort_array(pairs)), repeated), F.lit(0)))
+
+
+def with_repeat_words(rows: DataFrame) -> DataFrame:
+    """``n_repeat_words`` instead of ``windows``: words inside 3-word windows that occur twice or more in the text.
+
+    Each step is a select of its own: inside a lambda Spark evaluates (and sorts) boxed values.  A text
+    with a repeat sorts plain longs, the low bits of a hash followed by its position; neighbours that
+    agree but for the position are repeats.  If cut hashes agree where whole ones differ, there are
+    more such neighbours than repeats, and the whole hashes are sorted with their positions.
+    """
+    kept = [c for c in rows.columns if c != "windows"]
+    n, bits, placed, again = F.size("windows"), F.col("bits"), F.col("placed"), F.col("again")
+    found = rows.select(*kept, "windows", F.size(F.array_distinct("windows")).alias("different"), F.length(F.bin(n)).alias("bits"))
+    searched = F.when(F.col("different") < n, F.col("windows")).otherwise(F.slice("windows", 1, 0))
+    place = F.transform(searched, lambda h, i: F.call_function("shiftleft", h, bits).bitwiseOR(i.cast("long")))
+    sorted_ = found.select(*kept, "windows", (n - F.col("different")).alias("repeats"), "bits", F.sort_array(place).alias("placed"))
+    # beyond the ends get() gives null, which no filter keeps
+    alike = lambda i: F.call_function("shiftrightunsigned", F.get(placed, i).bitwiseXOR(F.get(placed, i - 1)), bits) == 0
+    low = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+    neighbours = sorted_.select(
+        *kept,
+        "windows",
+        "repeats",
+        "placed",
+        low.alias("low"),
+        F.filter(F.sequence(F.lit(1), F.greatest(F.size(placed) - 1, F.lit(1))), alike).alias("again"),
+    )
+    position = lambda i: F.get(placed, i).bitwiseAND(F.col("low"))
+    at = F.concat(F.transform(again, lambda i: position(i)), F.transform(again, lambda i: position(i - 1)))
+    counted = (
+        F.when(F.col("repeats") == 0, F.lit(0).cast("long"))
+        .when(F.size(again) == F.col("repeats"), _covered(F.sort_array(at)))
+        .otherwise(_covered_by_pairs(F.col("windows")))
+    )
+    return neighbours.select(*kept, counted.alias("n_repeat_words"))
 
 
 def with_words(docs: DataFrame, id_col: str, text_col: str, keep_row: bool = False) -> DataFrame:
@@ -75,37 +121,29 @@ def with_words(docs: DataFrame, id_col: str, text_col: str, keep_row: bool = Fal
     return docs.select(*row, qcol(id_col).alias("id"), text.alias("text"), words_of(qcol(text_col).cast("string")).alias("words"))
 
 
-def base_columns() -> dict[str, Column]:
-    """The counted base columns over ``text`` and ``words``."""
+def counted_columns() -> dict[str, Column]:
+    """The base columns over ``text`` and ``words`` that need no windows."""
     text, words = F.col("text"), F.col("words")
-    n = F.size(words)
-    bare = text
-    for symbol in SYMBOLS:
-        bare = F.replace(bare, F.lit(symbol), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(SPACES)) != "")
     return {
-        "n_words": n.cast("long"),
+        "n_words": F.size(words).cast("long"),
         "word_chars": F.char_length(F.array_join(words, "")).cast("long"),
-        "n_symbols": (F.octet_length(text) - F.octet_length(bare)).cast("long"),
+        "n_symbols": F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long"),
         "n_dup_lines": F.get(F.transform(F.array(lines), lambda a: F.size(a) - F.size(F.array_distinct(a))), F.lit(0)).cast("long"),
-        "n_repeat_words": _repeat_words(words, n),
     }
 
 
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
 def base_failed(min_words: int = 50, max_repeat_percent: int = 50) -> Column:
     return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
 
 
 def ngram_buckets(buckets: int) -> Column:
     """Bucket numbers of every word and every pair of neighbouring words."""
-    words = F.col("words")
-    n = F.size(words)
-    pair_starts = F.when(n >= 2, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
-    slot = lambda h: F.pmod(h, F.lit(buckets)).cast("int")
-    return F.concat(
-        F.transform(words, lambda w: slot(F.xxhash64(w))),
-        F.transform(pair_starts, lambda i: slot(F.xxhash64(F.get(words, i), F.get(words, i + 1)))),
-    )
+    value = lambda h: slot(h, buckets)
+    return F.concat(F.transform("words", lambda w: value(F.xxhash64(w))), word_pairs(F.col("words"), value))
 
 
 def labelled_ids(labels: DataFrame) -> DataFrame:
@@ -126,10 +164,12 @@ class QualityModel:
     threshold: float
 
     def score(self) -> Column:
-        """Mean weight of the n-grams in ``grams`` (0 without any)."""
+        """Mean weight of the n-grams of ``words`` and ``pairs`` (0 without any)."""
         table = F.expr("array(" + ",".join(f"{w!r}D" for w in self.weights) + ")")  # folded to one literal
-        total = F.aggregate(F.col("grams"), F.lit(0.0), lambda s, g: s + F.get(table, g))
-        return F.when(F.size("grams") > 0, total / F.size("grams")).otherwise(F.lit(0.0))
+        hashes = F.concat(F.transform("words", lambda w: F.xxhash64(w)), F.col("pairs"))
+        total = F.aggregate(hashes, F.lit(0.0), lambda s, h: s + F.get(table, slot(h, len(self.weights))))
+        n = F.size("words") + F.size("pairs")
+        return F.when(n > 0, total / n).otherwise(F.lit(0.0))
 
 
 def fit_weights(docs: DataFrame, labelled: DataFrame, id_col: str, text_col: str, buckets: int) -> tuple[float, ...]:
@@ -160,8 +200,8 @@ def fit_threshold(docs: DataFrame, labelled: DataFrame, weights: tuple[float, ..
     # joined before the words are cut, so only labelled texts are; wordless ones get no score
     rows = id_and_text(docs, id_col, text_col).join(labelled, F.col("id") == F.col("t"))
     words = rows.select("good", words_of(F.col("text")).alias("words"))
-    grams = words.select("good", ngram_buckets(len(weights)).alias("grams"))
-    score = F.when(F.size("grams") > 0, QualityModel(weights, 0.0).score())
+    grams = words.select("good", "words", word_pairs(F.col("words")).alias("pairs"))
+    score = F.when(F.size("words") > 0, QualityModel(weights, 0.0).score())
     return best_cut(grams.select("good", score.alias("score")))
 
 
@@ -216,8 +256,9 @@ def fit(
 
 
 def _verdicts(words: DataFrame, model: QualityModel, *carried: str) -> DataFrame:
-    counted = words.select(*carried, *[c.alias(n) for n, c in base_columns().items()], ngram_buckets(len(model.weights)).alias("grams"))
-    scored = counted.select(*carried, *base_columns(), base_failed().alias("base_failed"), model.score().alias("score"))
+    counted = words.select(*carried, *[c.alias(n) for n, c in counted_columns().items()], "words", word_pairs(F.col("words")).alias("pairs"))
+    scored = counted.select(*carried, *BASE[:-1], model.score().alias("score"), word_windows(F.col("pairs")).alias("windows"))
+    scored = with_repeat_words(scored).select(*carried, *BASE, base_failed().alias("base_failed"), "score")
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(model.threshold)))
 
 
