@@ -83,7 +83,7 @@ def text_types(dfs: Mapping[str, DataFrame]) -> tuple[dict[str, dict[str, str]],
         if not text:
             return {}
         try:
-            found = {r["at"]: r["bits"] for r in _fitting_types(df, text).collect()}  # at most one row per column
+            found = {r["at"]: r["bits"] for r in _fitting_types(df, text).collect()}  # one row per column with values
         except Exception as exc:  # noqa: BLE001 - reported per dataset
             return f"{type(exc).__name__}: {exc}".splitlines()[0]
         kinds = {c: next((k for j, k in enumerate(INFERRED) if bits >> j & 1), None) for at, c in enumerate(text) if (bits := found.get(at)) is not None}
